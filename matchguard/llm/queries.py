@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, sstable, token_count
+from . import bpe, ngram_join, sstable, token_count, toxicity
 from .common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,22 @@ def op1_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.sstable_digests(spark, uri)
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.NoisyOr:
+    return toxicity.fit(docs, table(spark, sf_dir, "labels"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Noisy-or scores of all documents, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_documents(docs, toxicity_model(spark, sf_dir, docs))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "n_sentences", "n_offending")
+
+
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of five-word shingles have Jaccard 0.8 or more."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), percent=80)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), max_tokens=4096)
 
@@ -51,6 +67,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_sstable": op1_sstable,
+    "op2_toxicity": op2_toxicity,
+    "op6_ngram_join": op6_ngram_join,
     "op8_token_counts": op8_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
 }
