@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ngram_join, sstable, token_count, toxicity
+from . import bpe, decontaminate, embed_dedup, ngram_join, sstable, token_count, toxicity
 from .common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "n_sentences", "n_offending")
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.93 or more between vectors of one label, by the inverted multi-index."""
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of five-word shingles have Jaccard 0.8 or more."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), percent=80)
@@ -61,6 +66,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), max_tokens=4096)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items whose question and answer they hold."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), split_pattern())
 
@@ -68,8 +78,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_sstable": op1_sstable,
     "op2_toxicity": op2_toxicity,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op6_ngram_join": op6_ngram_join,
     "op8_token_counts": op8_token_counts,
+    "op9_decontamination": op9_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
