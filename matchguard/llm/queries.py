@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embed_dedup, ngram_join, sstable, token_count, toxicity
+from . import bpe, chat, decontaminate, embed_dedup, html_render, lm_score, ngram_join, sstable, token_count, toxicity
 from .common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,16 +52,33 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "n_sentences", "n_offending")
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked pseudo-likelihood of all documents, by a network trained on all of them."""
+    docs = table(spark, sf_dir, "documents")
+    net, tables = lm_score.fit(docs)
+    return lm_score.score_documents(docs, net, tables)
+
+
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of cosine 0.93 or more between vectors of one label, by the inverted multi-index."""
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+def op5_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as each of its participants sees it."""
+    return chat.rotate(table(spark, sf_dir, "conversations"), turns_per_piece=64)
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of five-word shingles have Jaccard 0.8 or more."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), percent=80)
 
 
+def op7_html_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of all pages, laid out."""
+    return html_render.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), max_tokens=4096)
 
@@ -78,11 +95,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_sstable": op1_sstable,
     "op2_toxicity": op2_toxicity,
+    "op3_lm_score": op3_lm_score,
     "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_chat_rotation": op5_chat_rotation,
     "op6_ngram_join": op6_ngram_join,
+    "op7_html_render": op7_html_render,
     "op8_token_counts": op8_token_counts,
     "op9_decontamination": op9_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op5_chat_rotation": chat.SQL}
