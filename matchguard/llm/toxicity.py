@@ -166,7 +166,7 @@ def _bags(train: DataFrame, words: list[str]) -> list:
     return train.select("y", "text").mapInArrow(run, "y int, plain long, sid array<int>, wid array<int>").collect()
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_train: int = 8_000, max_words: int = 3_000, min_docs: int = 5, rounds: int = 200, rate: float = 0.15, l2: float = 2e-4) -> NoisyOr:
+def fit(docs: DataFrame, labels: DataFrame, max_train: int = 8_000, max_words: int = 3_000, min_docs: int = 5, rounds: int = 300, rate: float = 0.15, l2: float = 5e-5) -> NoisyOr:
     """Learn from document labels. The driver gets ``max_train`` small bags of word codes."""
     train = materialize(_train_docs(docs, labels, max_train), "tox-train")
     words = _vocabulary(train, max_words, min_docs)
@@ -233,7 +233,7 @@ def keep_clean(docs: DataFrame, model: NoisyOr, threshold: float = 0.3) -> DataF
     return docs.mapInArrow(run, docs.schema)
 
 
-def locate(docs: DataFrame, model: NoisyOr, threshold: float = 0.5) -> DataFrame:
+def locate(docs: DataFrame, model: NoisyOr, threshold: float = 0.3) -> DataFrame:
     """Offending sentences: ``doc_id, sentence, start, end, score, text``; offsets in characters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -46,7 +46,7 @@ def test_held_out_documents_and_sentences(spark):
 
 
 def test_noisy_or_of_sentence_scores():
-    model = tx.NoisyOr(["bad", "go*"], np.array([4.0, 3.0]), -3.0)
+    model = tx.NoisyOr(["bad", "goo*", "goi*", "gob*"], np.array([4.0, 3.0, 3.0, 3.0]), -3.0)
     p = model.sentences("Good bad day. going; GOBAD!\n\n... nothing here")
     z = np.array([4.0 + 3.0 - 3.0, 3.0 + 3.0 - 3.0, -3.0])
     assert np.allclose(p, 1 / (1 + np.exp(-z)))
