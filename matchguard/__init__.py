@@ -1,0 +1 @@
+"""PySpark-native match-telemetry integrity engine."""

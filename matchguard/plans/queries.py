@@ -1,4 +1,547 @@
-"""Queries over the reference's own operators, and their SQL."""
+"""Queries over the given tables, one for each operator, and the same in DuckDB's SQL.
 
-QUERIES: dict = {}
+Sums and means of doubles are rounded, as their last digits depend on order.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import schemas as S
+from ..functions.expr import distance
+from ..operators import bronze as B
+from ..operators import decision, dedup, envelope, evidence, features, gold, ml, normalize, quality, reports, scoring, silver, validate
+from . import adapters as A
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+SHORT = 3600.0  # a day is a match here, so a short interval is an hour
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(fn: Query) -> Query:
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            SQL[fn.__name__] = sql
+        return fn
+
+    return add
+
+
+WITH_KILLS = f"WITH k AS ({A.KILLS})"
+WITH_STATS = f"WITH s AS ({A.STATS})"
+_DIST = "sqrt((killer_position_x - victim_position_x) * (killer_position_x - victim_position_x) + (killer_position_y - victim_position_y) * (killer_position_y - victim_position_y))"
+_FEATS = f"""g AS (SELECT *, event_time_seconds - lag(event_time_seconds) OVER (PARTITION BY match_id, killer_name ORDER BY event_time_seconds) AS dt, {_DIST} AS d FROM k),
+f AS (SELECT match_id, killer_name, count(*) AS kill_count, min(dt) AS minimum_kill_interval_seconds, quantile_cont(d, 0.5) AS median_kill_distance_coordinate_units,
+      count(*) FILTER (WHERE dt <= 3600) AS short_kill_interval_count, count(DISTINCT nullif(weapon, '')) AS unique_weapons_used FROM g GROUP BY 1, 2)"""
+_PEOPLE = "p AS (SELECT match_id, killer_name AS player_id FROM k UNION SELECT match_id, victim_name FROM k)"
+_GOLD = f"""{WITH_KILLS}, {_FEATS}, {_PEOPLE}, gold AS (SELECT p.match_id, p.player_id, coalesce(kill_count, 0) AS kills, minimum_kill_interval_seconds, median_kill_distance_coordinate_units,
+  coalesce(short_kill_interval_count, 0) AS short_kill_interval_count, coalesce(unique_weapons_used, 0) AS unique_weapons_used
+  FROM p LEFT JOIN f ON p.match_id = f.match_id AND p.player_id = f.killer_name)"""
+
+
+def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = A.kills(spark, sf_dir)
+    pm = silver.participants(k).withColumn("kills", F.lit(0).cast("bigint"))
+    return gold.gold_features(pm, k, SHORT).drop("feature_version", "created_at")
+
+
+@query(f"{_GOLD} SELECT * FROM gold")
+def gold_features(spark, sf_dir):
+    """Silver participants joined with kill features: the flagship."""
+    return _gold(spark, sf_dir)
+
+
+_BRONZE_SQL = f"""{WITH_KILLS}, s AS ({A.STATS}), b AS (
+  SELECT match_id, sha256(killer_name) AS player_id, killer_name, victim_name, event_time_seconds, killer_position_x, killer_position_y, victim_position_x, victim_position_y, weapon,
+         NULL::BIGINT AS kills, NULL::BIGINT AS headshot_kills, NULL::DOUBLE AS damage_dealt, NULL::DOUBLE AS walk_distance, NULL::DOUBLE AS ride_distance, NULL::DOUBLE AS swim_distance,
+         NULL::DOUBLE AS survival_duration, NULL::DOUBLE AS win_place_perc, 'data.kill_event.raw' AS op FROM k
+  UNION ALL SELECT match_id, player_id, player_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, kills, headshot_kills, damage_dealt, walk_distance, ride_distance, swim_distance,
+         survival_duration, win_place_perc, 'data.player_stat.match_summary' FROM s)"""
+_BEST = ", ".join(f"greatest(0, coalesce(max({c}), 0)) AS {c}" for c in S.METRICS)
+
+
+@query(f"""{_BRONZE_SQL}, kk AS (SELECT match_id, coalesce(killer_name, player_id) AS killer_name, event_time_seconds, weapon, {_DIST} AS d FROM b),
+g AS (SELECT *, CASE WHEN event_time_seconds IS NOT NULL THEN event_time_seconds - lag(event_time_seconds) OVER (PARTITION BY match_id, killer_name, event_time_seconds IS NULL ORDER BY event_time_seconds) END AS dt FROM kk),
+f AS (SELECT match_id, killer_name, count(*) AS kill_count, min(dt) AS a, quantile_cont(d, 0.5) AS m, count(*) FILTER (WHERE dt <= 3600) AS c, count(DISTINCT nullif(weapon, '')) AS w FROM g GROUP BY 1, 2),
+pm AS (SELECT match_id, player_id, greatest(0, coalesce(max(kills), 0)) AS kills FROM (SELECT match_id, player_id, kills FROM b UNION ALL SELECT match_id, victim_name, NULL FROM b) WHERE length(match_id) > 0 AND length(player_id) > 0 GROUP BY 1, 2)
+SELECT pm.match_id, pm.player_id, coalesce(kill_count, kills, 0) AS kills, a AS minimum_kill_interval_seconds, m AS median_kill_distance_coordinate_units,
+  coalesce(c, 0) AS short_kill_interval_count, coalesce(w, 0) AS unique_weapons_used FROM pm LEFT JOIN f ON pm.match_id = f.match_id AND pm.player_id = f.killer_name""")
+def gold_features_reference_identity(spark, sf_dir):
+    """Both sources through bronze and silver with the reference's own identities."""
+    b = A.bronze(spark, sf_dir)
+    return gold.gold_features(silver.player_match(b, "reference"), silver.to_silver_kill_events(b, "reference"), SHORT).drop("feature_version", "created_at")
+
+
+@query(f"""{WITH_KILLS}, s AS ({A.STATS}), r AS (SELECT match_id, player_id, kills, headshot_kills, damage_dealt, walk_distance, ride_distance, swim_distance, survival_duration, win_place_perc FROM s
+  UNION ALL SELECT match_id, unnest([sha256(killer_name), sha256(victim_name)]), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM k)
+SELECT match_id, player_id, {_BEST} FROM r GROUP BY 1, 2""")
+def player_match(spark, sf_dir):
+    return silver.player_match(silver.canonical_identity(A.bronze(spark, sf_dir)))
+
+
+@query(f"{WITH_KILLS}, {_PEOPLE} SELECT * FROM p")
+def participants(spark, sf_dir):
+    return silver.participants(A.kills(spark, sf_dir))
+
+
+@query(f"{WITH_KILLS} SELECT row_id, match_id, killer_name, event_time_seconds - lag(event_time_seconds) OVER (PARTITION BY match_id, killer_name ORDER BY event_time_seconds) AS interval FROM k QUALIFY interval IS NOT NULL")
+def kill_intervals(spark, sf_dir):
+    return gold.kill_intervals(A.kills(spark, sf_dir)).where("interval is not null").select("row_id", "match_id", "killer_name", "interval")
+
+
+@query(f"{WITH_KILLS}, {_FEATS} SELECT match_id, killer_name, short_kill_interval_count, minimum_kill_interval_seconds FROM f")
+def short_intervals(spark, sf_dir):
+    return gold.kill_features(A.kills(spark, sf_dir), SHORT).select("match_id", "killer_name", "short_kill_interval_count", "minimum_kill_interval_seconds")
+
+
+@query(f"{WITH_KILLS}, {_FEATS} SELECT match_id, killer_name, median_kill_distance_coordinate_units FROM f")
+def median_kill_distance(spark, sf_dir):
+    return gold.kill_features(A.kills(spark, sf_dir), SHORT).select("match_id", "killer_name", "median_kill_distance_coordinate_units")
+
+
+@query(f"{WITH_KILLS}, {_FEATS} SELECT match_id, killer_name, unique_weapons_used, kill_count FROM f")
+def unique_weapons(spark, sf_dir):
+    return gold.kill_features(A.kills(spark, sf_dir), SHORT).select("match_id", "killer_name", "unique_weapons_used", "kill_count")
+
+
+_ORDER = ["l_partkey", "l_quantity", "l_extendedprice", "l_suppkey"]
+
+
+@query(f"{WITH_STATS} SELECT event_id, match_id, player_id, kills, damage_dealt FROM s QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY {', '.join(_ORDER)}) = 1")
+def dedup_events(spark, sf_dir):
+    return dedup.dedup_events(A.stats(spark, sf_dir), _ORDER).select("event_id", "match_id", "player_id", "kills", "damage_dealt")
+
+
+@query(f"""{WITH_STATS}, b AS (SELECT * REPLACE (CASE WHEN l_linenumber = 7 THEN '' ELSE event_id END AS event_id) FROM s)
+SELECT event_id, match_id, player_id, kills, damage_dealt FROM b QUALIFY event_id = '' OR row_number() OVER (PARTITION BY event_id ORDER BY {', '.join(_ORDER)}) = 1""")
+def dedup_bronze(spark, sf_dir):
+    s = A.stats(spark, sf_dir).withColumn("event_id", F.when(F.col("l_linenumber") == 7, "").otherwise(F.col("event_id")))
+    return dedup.dedup_bronze(s, _ORDER).select("event_id", "match_id", "player_id", "kills", "damage_dealt")
+
+
+@query(f"{WITH_STATS} SELECT count(*) - count(DISTINCT event_id) AS duplicate_records FROM s")
+def duplicate_count(spark, sf_dir):
+    return dedup.duplicate_count(A.stats(spark, sf_dir))
+
+
+def _reason_rows(df: DataFrame) -> DataFrame:
+    return df.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("records"))
+
+
+def _checked_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.validate_player_stat(A.stats(spark, sf_dir).withColumn("op", F.lit(S.OP_MATCH_SUMMARY)))
+
+
+_BAD_STAT = "SELECT 'headshot_kills_over_kills' AS reason FROM s WHERE headshot_kills > kills UNION ALL SELECT 'win_place_perc_out_of_range' FROM s WHERE win_place_perc > 1 OR win_place_perc < 0"
+
+
+@query(f"{WITH_STATS} SELECT reason, count(*) AS records FROM ({_BAD_STAT}) GROUP BY 1")
+def validate_player_stat_reasons(spark, sf_dir):
+    return _reason_rows(_checked_stats(spark, sf_dir))
+
+
+@query(f"""{WITH_KILLS} SELECT reason, count(*) AS records FROM (SELECT 'killer_placement_not_positive' AS reason FROM k WHERE killer_placement <= 0
+UNION ALL SELECT 'victim_placement_not_positive' FROM k WHERE victim_placement <= 0) GROUP BY 1""")
+def validate_kill_event_reasons(spark, sf_dir):
+    return _reason_rows(validate.validate_kill_event(A.kills(spark, sf_dir).withColumn("op", F.lit(S.OP_KILL_RAW))))
+
+
+@query(f"{WITH_STATS} SELECT count(*) FILTER (WHERE NOT bad) AS valid, count(*) FILTER (WHERE bad) AS invalid FROM (SELECT headshot_kills > kills OR win_place_perc > 1 OR win_place_perc < 0 AS bad FROM s)")
+def valid_invalid_split(spark, sf_dir):
+    good, bad = validate.split(_checked_stats(spark, sf_dir))
+    return good.select(F.lit(1).alias("v"), F.lit(0).alias("i")).unionAll(bad.select(F.lit(0), F.lit(1))).agg(F.sum("v").alias("valid"), F.sum("i").alias("invalid"))
+
+
+@query(f"""{WITH_STATS}, r AS ({_BAD_STAT}), t AS (SELECT count(*) AS n FROM s WHERE headshot_kills > kills OR win_place_perc > 1 OR win_place_perc < 0)
+SELECT reason, count(*) AS records, round(count(*) * 100.0::DOUBLE / any_value(n), 6) AS percent FROM r, t GROUP BY 1""")
+def invalid_reason_breakdown(spark, sf_dir):
+    bad = validate.split(_checked_stats(spark, sf_dir))[1]
+    return reports.invalid_reason_breakdown(bad).withColumn("percent", F.round(F.col("percent").cast("double"), 6))
+
+
+@query(f"{_BRONZE_SQL} SELECT op, count(*) AS n, count(killer_name) AS killers, count(victim_name) AS victims, count(kills) AS with_metrics, sum(kills) AS kills FROM b GROUP BY 1")
+def bronze_union(spark, sf_dir):
+    return A.bronze(spark, sf_dir).groupBy("op").agg(F.count("*").alias("n"), F.count("killer_name").alias("killers"), F.count("victim_name").alias("victims"), F.count("kills").alias("with_metrics"), F.sum("kills").alias("kills"))
+
+
+def _raw_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as the raw CSV of player statistics: strings, some of them bad."""
+    li = A.table(spark, sf_dir, "lineitem")
+    s = lambda c: F.col(c).cast("string")
+    return li.select(
+        F.when(F.col("l_suppkey") % 89 != 0, F.concat(F.lit("s"), s("l_suppkey"))).otherwise("").alias("Id"), F.concat(F.lit("m"), (F.col("l_orderkey") % 100).cast("string")).alias("matchId"),
+        F.when(F.col("l_linenumber") == 6, "x7").otherwise(F.col("l_quantity").cast("bigint").cast("string")).alias("kills"), ((F.col("l_linenumber") * F.col("l_suppkey")) % 12).cast("string").alias("headshotKills"),
+        (F.col("l_partkey") - 50).cast("string").alias("walkDistance"), F.lit(" 12.5 ").alias("damageDealt"), F.lit("").alias("rideDistance"), F.lit("0").alias("swimDistance"), F.lit("900").alias("matchDuration"), F.lit("").alias("winPlacePerc"),
+        F.lit("lineitem.csv").alias("source_file"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("record_index"),
+    )
+
+
+_RAW_STATS = """r AS (SELECT CASE WHEN l_suppkey % 89 <> 0 THEN 's' || l_suppkey ELSE '' END AS player, 'm' || (l_orderkey % 100) AS match, l_linenumber = 6 AS bad_kills, CASE WHEN l_linenumber = 6 THEN 0 ELSE CAST(l_quantity AS BIGINT) END AS kills,
+  (l_linenumber * l_suppkey) % 12 AS heads, l_partkey - 50 AS walk, l_orderkey * 10 + l_linenumber AS record_index FROM lineitem)"""
+
+
+@query(f"""WITH {_RAW_STATS} SELECT reason, count(*) AS records FROM (SELECT 'player_id_blank' AS reason FROM r WHERE player = '' UNION ALL SELECT 'kills_invalid' FROM r WHERE bad_kills
+UNION ALL SELECT 'headshot_kills_over_kills' FROM r WHERE heads > kills UNION ALL SELECT 'walk_distance_negative' FROM r WHERE walk < 0) GROUP BY 1""")
+def normalize_errors(spark, sf_dir):
+    n = normalize.normalize(_raw_stats(spark, sf_dir), "lineitem")
+    return n.select(F.explode("errors").alias("reason")).groupBy("reason").agg(F.count("*").alias("records"))
+
+
+@query(f"""WITH {_RAW_STATS} SELECT record_index, sha256('lineitem.csv:' || match || ':' || record_index || ':' || player) AS event_id, sha256(match) AS match_id, sha256(player) AS player_id, kills, CAST(walk AS DOUBLE) AS walk_distance, 12.5::DOUBLE AS damage_dealt
+FROM r WHERE NOT (player = '' OR bad_kills OR heads > kills OR walk < 0)""")
+def event_ids(spark, sf_dir):
+    good, _ = normalize.split_valid_invalid(normalize.normalize(_raw_stats(spark, sf_dir), "lineitem"))
+    return good.select("source.record_index", "event_id", "match_id", "player_id", "payload.kills", "payload.walk_distance", "payload.damage_dealt")
+
+
+@query("SELECT event_id AS row_id, sha256('u' || user_id) AS player_id, sha256(CAST(CAST(ts AS DATE) AS VARCHAR)) AS match_id, sha256('events.csv:' || CAST(CAST(ts AS DATE) AS VARCHAR) || ':' || event_id || ':u' || user_id || ':u' || ((event_id * 7 + 3) % 150)) AS event_id FROM events")
+def pseudonyms(spark, sf_dir):
+    k = A.kills(spark, sf_dir)
+    raw = k.select("match_id", "killer_name", "victim_name", F.col("event_time_seconds").cast("string").alias("time"), F.col("weapon").alias("killed_by"), F.lit("events.csv").alias("source_file"), F.col("row_id").alias("record_index"))
+    return normalize.normalize(raw, "events").select(F.col("source.record_index").alias("row_id"), "player_id", "match_id", "event_id")
+
+
+@query(f"WITH {_RAW_STATS} SELECT count(*) AS records_read, count(*) FILTER (WHERE NOT bad) AS records_valid, count(*) FILTER (WHERE bad) AS records_invalid, count(*) FILTER (WHERE NOT bad) AS records_produced FROM (SELECT player = '' OR bad_kills OR heads > kills OR walk < 0 AS bad FROM r)")
+def replay_statistics(spark, sf_dir):
+    return normalize.replay_statistics(normalize.normalize(_raw_stats(spark, sf_dir), "lineitem"))
+
+
+@query("SELECT CASE WHEN event_id % 11 = 0 THEN 'malformed' ELSE 'kill' END AS kind, count(*) AS n, count(DISTINCT CASE WHEN event_id % 11 <> 0 THEN user_id END) AS players FROM events GROUP BY 1")
+def parse_envelopes(spark, sf_dir):
+    """Kill envelopes written as topic messages, every eleventh with a wrong type, parsed again."""
+    k = A.kills(spark, sf_dir)
+    raw = k.select("match_id", "killer_name", "victim_name", F.col("event_time_seconds").cast("string").alias("time"), F.col("weapon").alias("killed_by"), F.lit("events.csv").alias("source_file"), F.col("row_id").alias("record_index"))
+    env = normalize.normalize(raw, "events", F.lit("2026-01-01T00:00:00Z")).drop("errors", "raw_fields")
+    value = F.to_json(F.struct("*"))
+    broken = F.when(F.col("source.record_index") % 11 == 0, F.regexp_replace(value, '"record_index":\\d+', '"record_index":"no"')).otherwise(value)
+    sent = env.select(broken.cast("binary").alias("value"), F.lit("raw").alias("topic"), F.lit(0).alias("partition"), F.col("source.record_index").alias("offset"))
+    return envelope.parse_envelopes(sent).groupBy("kind").agg(F.count("*").alias("n"), F.count_distinct("kill.player_id").alias("players"))
+
+
+_MIN = "(CASE WHEN survival_duration = 0 THEN 1.0::DOUBLE ELSE survival_duration END / 60)"
+_RATES = f"""SELECT event_id, match_id, player_id, kills / {_MIN} AS kills_per_minute, damage_dealt / {_MIN} AS damage_per_minute, CASE WHEN kills = 0 THEN 0 ELSE CAST(headshot_kills AS DOUBLE) / greatest(kills, 1) END AS headshot_ratio,
+  walk_distance + ride_distance + swim_distance AS total_distance, damage_dealt / greatest(kills, 1) AS damage_per_kill, (walk_distance + ride_distance + swim_distance) / {_MIN} AS movement_per_minute, damage_dealt, kills, l_orderkey, l_linenumber, l_partkey FROM s"""
+RATE_NAMES = ["kills_per_minute", "damage_per_minute", "headshot_ratio", "total_distance", "damage_per_kill", "movement_per_minute"]
+_R9 = ", ".join(f"round({c}, 6) AS {c}" for c in RATE_NAMES)
+
+
+@query(f"{WITH_STATS}, x AS ({_RATES}) SELECT event_id, player_id, l_partkey, {_R9} FROM x")
+def rate_features(spark, sf_dir):
+    return features.rate_features(A.stats(spark, sf_dir)).select("event_id", "player_id", "l_partkey", *(F.round(c, 6).alias(c) for c in RATE_NAMES))
+
+
+@query(f"""{WITH_KILLS} SELECT row_id, match_id, killer_name AS player_id, 1::BIGINT AS kills, round(sqrt(killer_position_x * killer_position_x + killer_position_y * killer_position_y) / 1000, 9) AS walk_distance,
+event_time_seconds AS survival_duration, CASE WHEN killer_placement <> 0 THEN 1.0::DOUBLE / killer_placement END AS win_place_perc FROM k""")
+def kill_death_stats(spark, sf_dir):
+    k = A.kills(spark, sf_dir)
+    out = normalize.kill_death_stats(k.withColumn("match_id", F.concat_ws("|", "match_id", "row_id")))
+    parts = F.split("match_id", r"\|")
+    return out.select(parts[1].cast("bigint").alias("row_id"), parts[0].alias("match_id"), "player_id", "kills", F.round("walk_distance", 9).alias("walk_distance"), "survival_duration", "win_place_perc")
+
+
+_PM = f"{WITH_STATS}, pm AS (SELECT match_id, player_id, {_BEST} FROM s GROUP BY 1, 2)"
+
+
+def _pm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Player-match rows of the stats alone."""
+    b = A.bronze(spark, sf_dir).where(F.col("op") == S.OP_MATCH_SUMMARY)
+    return silver.player_match(b)
+
+
+@query(f"""{_PM} SELECT player_id, count(DISTINCT match_id) AS matches, sum(kills) AS total_kills, sum(headshot_kills) AS total_headshot_kills, max(kills) AS max_kills, round(avg(damage_dealt), 4) AS mean_damage,
+max(damage_dealt) AS max_damage, round(avg(survival_duration), 4) AS mean_survival FROM pm GROUP BY 1""")
+def players(spark, sf_dir):
+    return silver.players(_pm(spark, sf_dir)).withColumns({c: F.round(c, 4) for c in ("mean_damage", "mean_survival")})
+
+
+@query(f"{_PM} SELECT match_id, count(*) AS players, sum(kills) AS total_kills, round(quantile_cont(damage_dealt, 0.5), 4) AS median_damage, round(stddev_samp(damage_dealt), 4) AS sd_damage, max(survival_duration) AS duration FROM pm GROUP BY 1")
+def matches(spark, sf_dir):
+    return silver.matches(_pm(spark, sf_dir)).withColumns({c: F.round(c, 4) for c in ("median_damage", "sd_damage")})
+
+
+@query(f"""{_PM}, l AS (SELECT match_id, quantile_cont(damage_dealt, 0.5) AS m, stddev_samp(damage_dealt) AS sd FROM pm GROUP BY 1)
+SELECT match_id, player_id, round(coalesce((damage_dealt - m) / nullif(sd, 0), 0), 5) AS performance_vs_lobby, round(damage_dealt - m, 4) AS damage_minus_median FROM pm JOIN l USING (match_id)""")
+def lobby_performance(spark, sf_dir):
+    pm = _pm(spark, sf_dir)
+    both = features.lobby_relative(features.lobby_relative(pm), scaled=False, name="damage_minus_median")
+    return both.select("match_id", "player_id", F.round("performance_vs_lobby", 5).alias("performance_vs_lobby"), F.round("damage_minus_median", 4).alias("damage_minus_median"))
+
+
+@query(f"{WITH_STATS} SELECT match_id, count(*) FILTER (WHERE walk_distance > 10000 AND survival_duration < 100) AS anomalies, count(*) AS n FROM s GROUP BY 1")
+def speed_anomaly(spark, sf_dir):
+    return features.speed_anomaly(A.stats(spark, sf_dir)).groupBy("match_id").agg(F.count_if("speed_anomaly").alias("anomalies"), F.count("*").alias("n"))
+
+
+_DESCRIBED = ["kills", "damage_dealt", "walk_distance", "survival_duration"]
+
+
+@query(WITH_STATS + " " + " UNION ALL ".join(f"SELECT '{c}' AS feature, round(avg({c}), 4) AS mean, round(quantile_cont({c}::DOUBLE, 0.5), 4) AS median, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max, round(stddev_samp({c}), 4) AS sd, round(quantile_cont({c}::DOUBLE, 0.95), 4) AS p95, round(quantile_cont({c}::DOUBLE, 0.99), 4) AS p99 FROM s" for c in _DESCRIBED))
+def describe_features(spark, sf_dir):
+    return reports.describe_features(A.stats(spark, sf_dir), _DESCRIBED).withColumns({c: F.round(c, 4) for c in ("mean", "median", "sd", "p95", "p99")})
+
+
+@query(f"{WITH_STATS} SELECT count(*) AS total_rows, count(DISTINCT player_id) AS players, count(DISTINCT match_id) AS matches FROM s")
+def dataset_overview(spark, sf_dir):
+    return reports.dataset_overview(A.stats(spark, sf_dir))
+
+
+@query(f"{WITH_STATS} SELECT count(*) FILTER (WHERE CAST(headshot_kills AS DOUBLE) / greatest(kills, 1) > 0.85 AND kills >= 10) AS extreme_outlier_count, count(*) AS total_rows FROM s")
+def extreme_outliers(spark, sf_dir):
+    return features.extreme_outliers(A.stats(spark, sf_dir))
+
+
+_Z = ", ".join(f"((CAST({n} AS FLOAT) - {m}::FLOAT) / ({d}::FLOAT * 1.4826::FLOAT))::FLOAT AS z{i}" for i, (n, m, d) in enumerate(zip(["kills_per_minute", "damage_per_minute", "headshot_ratio", "movement_per_minute", "damage_per_kill"], evidence.MEDIANS, evidence.MADS)))
+_EV = f"""{WITH_STATS}, x AS ({_RATES}), z AS (SELECT event_id, l_partkey, player_id, {_Z} FROM x)"""
+
+
+def _named(df: DataFrame) -> dict[str, Column]:
+    return {n: F.col(n) for n in evidence.POSITIONAL if n in df.columns}
+
+
+@query(f"""{_EV} SELECT DISTINCT event_id, l_partkey, player_id, CAST(least(2, coalesce((z0 > 1.5)::INT, 0) + coalesce((z1 > 1.5)::INT, 0) + coalesce((z2 > 1.5)::INT, 0) + coalesce((z3 > 1.5)::INT, 0) + coalesce((z4 > 1.5)::INT, 0)) AS INTEGER) AS items FROM z""")
+def evidence_top2(spark, sf_dir):
+    """How many items each row has; which ones is in the tests' golden vectors."""
+    r = features.rate_features(A.stats(spark, sf_dir))
+    return r.select("event_id", "l_partkey", "player_id", F.size(evidence.evidence(_named(r))).alias("items")).distinct()
+
+
+@query(f"""{_PM}, l AS (SELECT match_id, quantile_cont(damage_dealt, 0.5) AS m FROM pm GROUP BY 1), d AS (SELECT match_id, any_value(m) AS m, quantile_cont(abs(damage_dealt - m), 0.5) AS mad FROM pm JOIN l USING (match_id) GROUP BY 1)
+SELECT match_id, player_id, CAST(coalesce(((damage_dealt::FLOAT - m::FLOAT) / nullif(mad::FLOAT * 1.4826::FLOAT, 0))::FLOAT > 1.5, false) AS INTEGER) AS items FROM pm JOIN d USING (match_id)""")
+def evidence_lobby(spark, sf_dir):
+    return evidence.evidence_from_lobby(_pm(spark, sf_dir), ["damage_dealt"]).select("match_id", "player_id", F.size("evidence").alias("items"))
+
+
+#: A logistic model over the gold features with round weights.
+COEF, INTERCEPT = [0.05, -0.0005, -0.002, 0.25, 0.125], -0.5
+_SCORE = "1.0::DOUBLE / (1.0::DOUBLE + exp(-(-0.5 + 0.05 * kills + -0.0005 * coalesce(minimum_kill_interval_seconds, 0) + -0.002 * coalesce(median_kill_distance_coordinate_units, 0) + 0.25 * short_kill_interval_count + 0.125 * unique_weapons_used)))"
+_PREDS = f"{_GOLD}, pr AS (SELECT match_id, player_id, CAST({_SCORE} AS FLOAT) AS risk_score, gold.* EXCLUDE (match_id, player_id) FROM gold), lv AS (SELECT *, CASE WHEN risk_score >= 0.95 THEN 'CRITICAL' WHEN risk_score >= 0.8 THEN 'HIGH' WHEN risk_score >= 0.6 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level FROM pr)"
+
+
+def _preds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = _gold(spark, sf_dir)
+    cols = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in S.FEATURES]
+    scored = g.withColumn("risk_score", scoring.score_logistic(COEF, INTERCEPT, cols))
+    return scored.withColumn("risk_level", scoring.risk_level(F.col("risk_score"))).withColumn("model_version", F.lit("v1"))
+
+
+@query(f"{_PREDS} SELECT match_id, player_id, round(risk_score::DOUBLE, 5) AS risk_score, risk_level FROM lv")
+def risk_levels(spark, sf_dir):
+    return _preds(spark, sf_dir).select("match_id", "player_id", F.round(F.col("risk_score").cast("double"), 5).alias("risk_score"), "risk_level")
+
+
+@query("""SELECT coalesce(rule, 'none') AS policy_rule, count(*) AS n FROM (SELECT CASE WHEN l_discount * 10 > 0.8 THEN 'heuristic_teleport_hack' WHEN l_quantity >= 2 AND l_partkey > 0 AND l_partkey < 200 THEN 'heuristic_burst_kill'
+WHEN l_linenumber >= 5 THEN 'heuristic_headshot_streak' END AS rule FROM lineitem) GROUP BY 1""")
+def heuristic_decisions(spark, sf_dir):
+    rule = decision.heuristic_rules(F.col("l_discount") * 10, F.col("l_quantity"), F.col("l_partkey"), F.col("l_linenumber"))
+    return A.table(spark, sf_dir, "lineitem").groupBy(F.coalesce(rule["policy_rule"], F.lit("none")).alias("policy_rule")).agg(F.count("*").alias("n"))
+
+
+_POLICY = "CASE WHEN risk_score < 0.3::FLOAT THEN 'auto_clear' WHEN risk_score < 0.6::FLOAT THEN 'watchlist_monitoring' WHEN risk_score < 0.85::FLOAT THEN 'escalate_human_review' WHEN short_kill_interval_count >= 3 THEN 'auto_suspend_aimbot' ELSE 'critical_permanent_ban' END"
+_ACTION = "CASE policy_rule WHEN 'auto_clear' THEN 'CLEAR' WHEN 'watchlist_monitoring' THEN 'WATCHLIST' WHEN 'escalate_human_review' THEN 'ESCALATE_TO_MODERATOR' WHEN 'auto_suspend_aimbot' THEN 'SUSPEND_ACCOUNT' ELSE 'PERMANENT_BAN' END"
+
+
+@query(f"{_PREDS}, d AS (SELECT match_id, player_id, {_POLICY} AS policy_rule FROM lv) SELECT match_id, player_id, policy_rule, {_ACTION} AS action FROM d")
+def policy_decisions(spark, sf_dir):
+    d = decision.policy_decision(F.col("risk_score"), F.col("short_kill_interval_count").cast("double"), decision.FIVE_RULES)
+    return _preds(spark, sf_dir).withColumn("d", d).select("match_id", "player_id", "d.policy_rule", "d.action")
+
+
+@query(f"""{_PREDS}, q AS (SELECT *, (kills % 13 = 0) AS bad FROM lv), d AS (SELECT *, CASE WHEN NOT bad THEN {_POLICY.replace("short_kill_interval_count >= 3", "false")} END AS policy_rule FROM q)
+SELECT match_id, player_id, CASE WHEN bad THEN 'UNAVAILABLE' ELSE 'OK' END AS status, CASE WHEN bad THEN 0 ELSE round(risk_score::DOUBLE, 5) END AS risk_score, CASE WHEN NOT bad THEN risk_level END AS risk_level,
+policy_rule, CASE WHEN bad THEN 'op_not_predict' END AS error FROM d""")
+def predictions_full(spark, sf_dir):
+    """Requests built from gold rows, some of them wrong, through scoring, evidence and policy."""
+    g = _gold(spark, sf_dir)
+    cols = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in S.FEATURES]
+    req = g.select(F.when(F.col("kills") % 13 == 0, "other").otherwise("predict").alias("op"), "match_id", "player_id", F.array(*cols).alias("features"))
+    at = [F.col("features")[i] for i in range(len(cols))]
+    none = {"kills_per_minute": F.lit(0.0)}
+    out = scoring.predict(req, scoring.score_logistic(COEF, INTERCEPT, at), decision.FIVE_RULES, "v1", len(cols), named=none)
+    return out.select("match_id", "player_id", "status", F.round(F.col("risk_score").cast("double"), 5).alias("risk_score"), "risk_level", F.col("decision.policy_rule").alias("policy_rule"), "error")
+
+
+@query(f"{_PREDS} SELECT CAST(least(floor(risk_score::DOUBLE * 10), 9) AS INTEGER) AS bin, risk_level, count(*) AS predictions FROM lv GROUP BY 1, 2")
+def risk_histogram(spark, sf_dir):
+    return reports.risk_histogram(_preds(spark, sf_dir))
+
+
+@query(f"{_PREDS} SELECT risk_level, count(*) AS predictions, count(*)::DOUBLE / sum(count(*)) OVER () AS share FROM lv GROUP BY 1")
+def risk_level_share(spark, sf_dir):
+    return reports.risk_level_share(_preds(spark, sf_dir))
+
+
+@query(f"{_PREDS} SELECT match_id, player_id, round(risk_score::DOUBLE, 5) AS risk_score FROM lv ORDER BY lv.risk_score DESC, match_id, player_id LIMIT 50")
+def rank_predictions(spark, sf_dir):
+    """The report's top 50."""
+    return reports.rank_predictions(_preds(spark, sf_dir), n=50).select("match_id", "player_id", F.round(F.col("risk_score").cast("double"), 5).alias("risk_score"))
+
+
+@query(f"{_PREDS} SELECT 'risk_level' AS field, risk_level AS value FROM lv GROUP BY 1, 2 UNION ALL SELECT 'match_id', match_id FROM lv GROUP BY 1, 2")
+def distinct_filter_values(spark, sf_dir):
+    return reports.distinct_filter_values(_preds(spark, sf_dir), ["risk_level", "match_id"])
+
+
+_MAN = f"""WITH m AS ({A.MESSAGES}), o AS (SELECT batch, part, min(off) AS lo, max(off) AS hi FROM m GROUP BY 1, 2),
+i AS (SELECT batch, sha256(string_agg('p' || part || ':' || lo || '-' || hi || '|', '' ORDER BY part)) AS batch_id FROM o GROUP BY 1),
+c AS (SELECT batch, count(*) AS total_records_read, count(*) FILTER (WHERE status = 'valid') AS valid_records, count(*) FILTER (WHERE status = 'invalid') AS invalid_records, count(*) FILTER (WHERE status = 'valid' AND dup) AS duplicate_records FROM m GROUP BY 1),
+man AS (SELECT * FROM i JOIN c USING (batch))"""
+
+
+def _manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.batch_manifest(A.messages(spark, sf_dir), by=["batch"])
+
+
+@query(f"{_MAN} SELECT batch, batch_id, total_records_read, valid_records, invalid_records, duplicate_records FROM man")
+def batch_manifest(spark, sf_dir):
+    return _manifests(spark, sf_dir).select("batch", "batch_id", "total_records_read", "valid_records", "invalid_records", "duplicate_records")
+
+
+@query(f"{_MAN} SELECT batch_id, part AS \"partition\", lo AS start_offset, hi AS end_offset, total_records_read FROM man JOIN o USING (batch)")
+def contract_manifest(spark, sf_dir):
+    return B.contract_manifest(_manifests(spark, sf_dir)).select("batch_id", "partition", "start_offset", "end_offset", "total_records_read")
+
+
+@query(f"{_MAN} SELECT batch, part AS \"partition\", lo AS min_offset, hi AS max_offset FROM o")
+def partition_offsets(spark, sf_dir):
+    return B.partition_offsets(A.messages(spark, sf_dir), ["batch"])
+
+
+@query(f"{_MAN} SELECT batch, batch_id FROM i")
+def batch_id(spark, sf_dir):
+    return B.batch_id(B.partition_offsets(A.messages(spark, sf_dir), ["batch"]), ["batch"])
+
+
+@query(f"""{_MAN}, t AS (SELECT CAST(sum(total_records_read) AS BIGINT) AS total_raw, CAST(sum(valid_records) AS BIGINT) AS total_valid, CAST(sum(invalid_records + duplicate_records) AS BIGINT) AS total_invalid, count(*) AS total_batches FROM man),
+k AS ({A.KILLS}), {_PEOPLE} SELECT t.*, greatest(total_batches, total_valid // 70) AS estimated_matches, total_valid AS estimated_players, total_valid AS estimated_predictions, CAST(floor(total_valid * 0.05) AS BIGINT) AS estimated_high_risk,
+(SELECT count(DISTINCT match_id) FROM p) AS matches, (SELECT count(DISTINCT player_id) FROM p) AS players FROM t""")
+def pipeline_summary(spark, sf_dir):
+    return reports.pipeline_summary(_manifests(spark, sf_dir), silver.participants(A.kills(spark, sf_dir)))
+
+
+@query(f"{_MAN} SELECT round(sum(valid_records)::DOUBLE / sum(total_records_read) * 100, 8) AS retention_rate FROM man")
+def retention_rate(spark, sf_dir):
+    return reports.retention_rate(_manifests(spark, sf_dir)).select(F.round("retention_rate", 8).alias("retention_rate"))
+
+
+@query(f"{_MAN} SELECT batch_id, 'before' AS stage, total_records_read AS records FROM man UNION ALL SELECT batch_id, 'after', valid_records FROM man")
+def batch_before_after(spark, sf_dir):
+    return reports.batch_before_after(_manifests(spark, sf_dir))
+
+
+@query(f"{_MAN} SELECT left(batch_id, 8) AS batch, valid_records, invalid_records + duplicate_records AS rejected_records FROM man")
+def batch_throughput(spark, sf_dir):
+    return reports.batch_throughput(_manifests(spark, sf_dir))
+
+
+@query(f"{_BRONZE_SQL} SELECT 'bronze' AS layer, count(*) AS rows FROM b UNION ALL SELECT 'kill_events', count(*) FROM k UNION ALL SELECT 'player_match', count(*) FROM (SELECT DISTINCT match_id, player_id FROM s)")
+def layer_row_counts(spark, sf_dir):
+    return reports.layer_row_counts({"bronze": A.bronze(spark, sf_dir), "kill_events": A.kills(spark, sf_dir), "player_match": _pm(spark, sf_dir)})
+
+
+@query(f"{WITH_KILLS} SELECT count(*) AS total_events, round(avg({_DIST}), 6) AS mean_distance, count(*) FILTER (WHERE {_DIST} > 800) AS anomalies FROM k")
+def kill_event_summary(spark, sf_dir):
+    return reports.kill_event_summary(A.kills(spark, sf_dir), 800.0).withColumn("mean_distance", F.round("mean_distance", 6))
+
+
+@query(f"""{WITH_KILLS}, x AS (SELECT 'killer' AS side, killer_position_x AS x, killer_position_y AS y FROM k UNION ALL SELECT 'victim', victim_position_x, victim_position_y FROM k)
+SELECT side, CAST(floor(x / 100) AS BIGINT) AS cell_x, CAST(floor(y / 100) AS BIGINT) AS cell_y, count(*) AS events FROM x WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2, 3""")
+def kill_position_grid(spark, sf_dir):
+    return reports.kill_position_grid(A.kills(spark, sf_dir), 100.0)
+
+
+@query("WITH i AS (SELECT DISTINCT event_id AS i FROM events WHERE event_type <> 'error' AND event_id > 0 UNION SELECT 0) SELECT min(i) AS high_water_mark FROM i WHERE i + 1 NOT IN (SELECT i FROM i)")
+def contiguous_high_water_mark(spark, sf_dir):
+    acked = A.table(spark, sf_dir, "events").where("event_type <> 'error'").select(F.col("event_id").alias("record_index"))
+    return reports.contiguous_high_water_mark(acked, 0)
+
+
+@query(f"{WITH_STATS} SELECT match_id, player_id, count(*) AS n FROM s GROUP BY 1, 2 HAVING count(*) > 1")
+def duplicate_keys(spark, sf_dir):
+    return quality.duplicate_keys(A.stats(spark, sf_dir))
+
+
+@query("WITH f AS (SELECT DISTINCT 'day=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS path FROM events), d AS (SELECT DISTINCT 'day=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS path FROM events WHERE event_id % 500 = 0) SELECT path FROM f WHERE path NOT IN (SELECT path FROM d)")
+def unprocessed_files(spark, sf_dir):
+    e = A.table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("day="), F.col("ts").cast("date").cast("string")).alias("path"))
+    return reports.unprocessed_files(e.select("path").distinct(), e.where("event_id % 500 = 0").select("path").distinct())
+
+
+@query(f"""{WITH_KILLS}, v AS (SELECT * FROM (VALUES ('I1_bronze_not_empty', 0), ('I2_kill_events_not_empty', 0), ('I3_player_match_not_empty', 0), ('I4_gold_not_empty', 0), ('I5_kill_rows_equal_bronze', 0),
+('I6_no_duplicate_player_match', 0), ('I7_no_synthetic_kill_rows', 0), ('I7_no_synthetic_player_rows', 0)) t(invariant, violations)) SELECT invariant, CAST(violations AS BIGINT) AS violations FROM v WHERE (SELECT count(*) FROM k) > 0""")
+def invariants(spark, sf_dir):
+    b = silver.canonical_identity(A.bronze(spark, sf_dir))
+    k, pm = silver.to_silver_kill_events(b), silver.player_match(b)
+    return quality.verify_invariants(b, k, pm, gold.gold_features(pm, k, SHORT))
+
+
+@query(f"""{_GOLD}, g AS (SELECT DISTINCT match_id FROM gold), t AS (SELECT match_id FROM g ORDER BY sha256('42:' || match_id), match_id LIMIT (SELECT CAST(ceil(count(*) * 0.2) AS BIGINT) FROM g))
+SELECT match_id, CASE WHEN match_id IN (SELECT match_id FROM t) THEN 'test' ELSE 'train' END AS side, count(*) AS n FROM gold GROUP BY 1, 2""")
+def group_split(spark, sf_dir):
+    train, test = ml.group_split(_gold(spark, sf_dir))
+    both = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+    return both.groupBy("match_id", "side").agg(F.count("*").alias("n"))
+
+
+_SCORED = "x AS (SELECT toxic AS y, ((doc_id * 7919) % 1000) / 1000.0::DOUBLE * 0.5 + toxic * 0.3 AS s FROM labels)"
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = ((F.col("doc_id") * 7919) % 1000) / 1000.0 * 0.5 + F.col("toxic") * 0.3
+    return A.table(spark, sf_dir, "labels").select(F.col("toxic").alias("label"), s.alias("score"), "doc_id")
+
+
+@query(f"""WITH {_SCORED}, c AS (SELECT count(*) FILTER (WHERE s >= 0.5 AND y = 1) AS tp, count(*) FILTER (WHERE s >= 0.5 AND y = 0) AS fp, count(*) FILTER (WHERE s < 0.5 AND y = 1) AS fn, count(*) AS n FROM x)
+SELECT round(tp / (tp + fp)::DOUBLE, 8) AS precision, round(tp / (tp + fn)::DOUBLE, 8) AS recall, round(2 * tp / (2 * tp + fp + fn)::DOUBLE, 8) AS f1, n AS rows FROM c""")
+def classification_metrics(spark, sf_dir):
+    return ml.classification_metrics(_scored(spark, sf_dir)).select(*(F.round(c, 8).alias(c) for c in ("precision", "recall", "f1")), "rows")
+
+
+@query(f"""WITH {_SCORED}, g AS (SELECT s, count(*) AS n, sum(y) AS p FROM x GROUP BY 1), r AS (SELECT p, sum(p) OVER (ORDER BY s DESC) AS cp, sum(n) OVER (ORDER BY s DESC) AS cn FROM g)
+SELECT round(sum(p * cp / cn::DOUBLE) / sum(p), 8) AS average_precision FROM r""")
+def average_precision(spark, sf_dir):
+    return ml.classification_metrics(_scored(spark, sf_dir)).select(F.round("average_precision", 8).alias("average_precision"))
+
+
+@query(f"""WITH x AS (SELECT doc_id, toxic AS y, ((doc_id * 7919) % 1000) / 1000.0::DOUBLE * 0.5 + toxic * 0.3 AS s FROM labels), r AS (SELECT *, row_number() OVER (ORDER BY s, doc_id) AS k, count(*) OVER () AS n FROM x)
+SELECT doc_id, CAST(k <= greatest(1, round_even(n * 0.05::DOUBLE, 0)) AS INTEGER) AS pseudo_label FROM r""")
+def pseudo_labels(spark, sf_dir):
+    return ml.pseudo_labels(_scored(spark, sf_dir), ["doc_id"], "score").select("doc_id", "pseudo_label")
+
+
+@query("WITH x AS (SELECT ((doc_id * 7919) % 1000) / 1000.0::DOUBLE * 0.5 + toxic * 0.3 AS s FROM labels) SELECT round(quantile_cont(s, 0.05), 8) AS p05, round(avg(s), 8) AS mean FROM x")
+def anomaly_score_summary(spark, sf_dir):
+    return ml.anomaly_score_summary(_scored(spark, sf_dir), "score").select(F.round("p05", 8).alias("p05"), F.round("mean", 8).alias("mean"))
+
+
+@query()
+def isolation_forest_scores(spark, sf_dir):
+    """Scores of all complete gold rows by a forest grown from them; no SQL."""
+    g = _gold(spark, sf_dir)
+    return ml.isolation_forest_score(g, ml.isolation_forest_fit(g, trees=50)).select("match_id", "player_id", "anomaly_score")
+
+
+def _metrics_row(spark: SparkSession, metrics: dict) -> DataFrame:
+    names = sorted(metrics)
+    return spark.createDataFrame([tuple(float(metrics[k]) if not isinstance(metrics[k], str) else metrics[k] for k in names)], ", ".join(f"{k} {'string' if isinstance(metrics[k], str) else 'double'}" for k in names))
+
+
+@query()
+def train_unsupervised(spark, sf_dir):
+    """Isolation forest, pseudo-labels and surrogate over all gold rows; a small classifier."""
+    return _metrics_row(spark, ml.train_unsupervised(_gold(spark, sf_dir), trees=50, rounds=3, depth=3)[1])
+
+
+@query()
+def train_supervised(spark, sf_dir):
+    g = _gold(spark, sf_dir).withColumn("is_suspicious", (F.col("short_kill_interval_count") >= 2).cast("int"))
+    return _metrics_row(spark, ml.train_supervised(g, rounds=3, depth=3)[1])
+
+
+@query(f"{WITH_KILLS} SELECT row_id, {_DIST} AS distance FROM k")
+def kill_distance(spark, sf_dir):
+    return A.kills(spark, sf_dir).select("row_id", distance("killer_position_x", "killer_position_y", "victim_position_x", "victim_position_y").alias("distance"))
