@@ -14,6 +14,9 @@ from .. import schemas as S
 from ..functions.expr import distance
 from ..operators import bronze as B
 from ..operators import decision, dedup, envelope, evidence, features, gold, ml, normalize, quality, reports, scoring, silver, validate
+from ..sources import readers
+from ..sources.folders import scratch
+from ..streaming import pipeline
 from . import adapters as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -227,12 +230,12 @@ _MIN = "(CASE WHEN survival_duration = 0 THEN 1.0::DOUBLE ELSE survival_duration
 _RATES = f"""SELECT event_id, match_id, player_id, kills / {_MIN} AS kills_per_minute, damage_dealt / {_MIN} AS damage_per_minute, CASE WHEN kills = 0 THEN 0 ELSE CAST(headshot_kills AS DOUBLE) / greatest(kills, 1) END AS headshot_ratio,
   walk_distance + ride_distance + swim_distance AS total_distance, damage_dealt / greatest(kills, 1) AS damage_per_kill, (walk_distance + ride_distance + swim_distance) / {_MIN} AS movement_per_minute, damage_dealt, kills, l_orderkey, l_linenumber, l_partkey FROM s"""
 RATE_NAMES = ["kills_per_minute", "damage_per_minute", "headshot_ratio", "total_distance", "damage_per_kill", "movement_per_minute"]
-_R9 = ", ".join(f"round({c}, 6) AS {c}" for c in RATE_NAMES)
+_R9 = ", ".join(RATE_NAMES)
 
 
 @query(f"{WITH_STATS}, x AS ({_RATES}) SELECT event_id, player_id, l_partkey, {_R9} FROM x")
 def rate_features(spark, sf_dir):
-    return features.rate_features(A.stats(spark, sf_dir)).select("event_id", "player_id", "l_partkey", *(F.round(c, 6).alias(c) for c in RATE_NAMES))
+    return features.rate_features(A.stats(spark, sf_dir)).select("event_id", "player_id", "l_partkey", *RATE_NAMES)
 
 
 @query(f"""{WITH_KILLS} SELECT row_id, match_id, killer_name AS player_id, 1::BIGINT AS kills, round(sqrt(killer_position_x * killer_position_x + killer_position_y * killer_position_y) / 1000, 9) AS walk_distance,
@@ -479,7 +482,7 @@ def invariants(spark, sf_dir):
     return quality.verify_invariants(b, k, pm, gold.gold_features(pm, k, SHORT))
 
 
-@query(f"""{_GOLD}, g AS (SELECT DISTINCT match_id FROM gold), t AS (SELECT match_id FROM g ORDER BY sha256('42:' || match_id), match_id LIMIT (SELECT CAST(ceil(count(*) * 0.2) AS BIGINT) FROM g))
+@query(f"""{_GOLD}, gs AS (SELECT DISTINCT match_id FROM gold), t AS (SELECT match_id FROM gs ORDER BY sha256('42:' || match_id), match_id LIMIT (SELECT CAST(ceil(count(*) * 0.2) AS BIGINT) FROM gs))
 SELECT match_id, CASE WHEN match_id IN (SELECT match_id FROM t) THEN 'test' ELSE 'train' END AS side, count(*) AS n FROM gold GROUP BY 1, 2""")
 def group_split(spark, sf_dir):
     train, test = ml.group_split(_gold(spark, sf_dir))
@@ -542,6 +545,28 @@ def train_supervised(spark, sf_dir):
     return _metrics_row(spark, ml.train_supervised(g, rounds=3, depth=3)[1])
 
 
+@query()
+def stream_equals_batch(spark, sf_dir):
+    """All kills as topic messages through the streaming pipeline, in files of several micro-batches, against the batch plan: rows of either that the other lacks."""
+    root = scratch(spark, "stream")
+    k = A.kills(spark, sf_dir)
+    raw = k.select("match_id", "killer_name", "victim_name", F.col("event_time_seconds").cast("string").alias("time"), "killer_position_x", "killer_position_y", "victim_position_x", "victim_position_y", F.col("weapon").alias("killed_by"), F.lit("events.csv").alias("source_file"), F.col("row_id").alias("record_index"))
+    env = normalize.normalize(raw, "events", F.lit("2026-01-01T00:00:00Z"))
+    good, _ = normalize.split_valid_invalid(env)
+    at = F.col("source.record_index")
+    sent = good.select(F.col("match_id").cast("binary").alias("key"), F.to_json(F.struct("*")).cast("binary").alias("value"), F.lit("raw").alias("topic"), (at % 6).cast("int").alias("partition"), F.floor(at / 6).cast("bigint").alias("offset"), F.current_timestamp().alias("timestamp"))
+    sent.repartition(4).write.parquet(f"{root}/messages")
+    stream = readers.read_message_files(spark, f"{root}/messages", max_files=2)
+    pipeline.start_pipeline(stream, f"{root}/lake", f"{root}/checkpoint", short_interval_threshold=SHORT).awaitTermination()
+    cols = ["match_id", "player_id", *S.FEATURES]
+    streamed = spark.read.parquet(f"{root}/lake/gold").select(*cols)
+    names = good.select("match_id", F.col("payload.killer_name").alias("killer_name"), F.col("payload.victim_name").alias("victim_name"), *(F.col(f"payload.{c}").alias(c) for c in ("event_time_seconds", "killer_position_x", "killer_position_y", "victim_position_x", "victim_position_y", "weapon")))
+    pm = silver.participants(names).withColumn("kills", F.lit(0).cast("bigint"))
+    batch = gold.gold_features(pm, names, SHORT).select(*cols)
+    gap = streamed.exceptAll(batch).select(F.lit("stream_only").alias("side")).unionAll(batch.exceptAll(streamed).select(F.lit("batch_only"))).unionAll(streamed.select(F.lit("streamed")))
+    return gap.groupBy("side").agg(F.count("*").alias("rows"))
+
+
 @query(f"{WITH_KILLS} SELECT row_id, {_DIST} AS distance FROM k")
 def kill_distance(spark, sf_dir):
     return A.kills(spark, sf_dir).select("row_id", distance("killer_position_x", "killer_position_y", "victim_position_x", "victim_position_y").alias("distance"))

@@ -5,42 +5,47 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {"string": T.StringType(), "long": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType()}
 
 
-SOURCE = "struct<provider:string,dataset_id:string,source_file:string,record_index:bigint>"
-PLAYER_STAT_PAYLOAD = "struct<kills:bigint,damage_dealt:double,headshot_kills:bigint,walk_distance:double,ride_distance:double,swim_distance:double,survival_duration:double,win_place_perc:double>"
-KILL_EVENT_PAYLOAD = "struct<match_id:string,killer_name:string,victim_name:string,killer_placement:int,victim_placement:int,killer_position_x:double,killer_position_y:double,victim_position_x:double,victim_position_y:double,event_time_seconds:double,weapon:string>"
-_ENVELOPE = "schema_version string, event_id string, op string, event_time string, ingest_time string, match_id string, player_id string"
+def _schema(*groups: tuple[str, str | T.DataType]) -> T.StructType:
+    """Fields in order, from (names, type) groups; needs no session, so executors can import it."""
+    return T.StructType([T.StructField(n, _TYPES.get(kind, kind) if isinstance(kind, str) else kind) for names, kind in groups for n in names.split()])
 
-PLAYER_STAT_ENVELOPE = _schema(f"{_ENVELOPE}, source {SOURCE}, payload {PLAYER_STAT_PAYLOAD}")
-KILL_EVENT_ENVELOPE = _schema(f"{_ENVELOPE}, source {SOURCE}, payload {KILL_EVENT_PAYLOAD}")
+
+_PLACES = "killer_position_x killer_position_y victim_position_x victim_position_y"
+_DISTANCES = "walk_distance ride_distance swim_distance survival_duration win_place_perc"
+
+SOURCE = _schema(("provider dataset_id source_file", "string"), ("record_index", "long"))
+PLAYER_STAT_PAYLOAD = _schema(("kills", "long"), ("damage_dealt", "double"), ("headshot_kills", "long"), (_DISTANCES, "double"))
+KILL_EVENT_PAYLOAD = _schema(("match_id killer_name victim_name", "string"), ("killer_placement victim_placement", "int"), (f"{_PLACES} event_time_seconds", "double"), ("weapon", "string"))
+_ENVELOPE = ("schema_version event_id op event_time ingest_time match_id player_id", "string")
+
+PLAYER_STAT_ENVELOPE = _schema(_ENVELOPE, ("source", SOURCE), ("payload", PLAYER_STAT_PAYLOAD))
+KILL_EVENT_ENVELOPE = _schema(_ENVELOPE, ("source", SOURCE), ("payload", KILL_EVENT_PAYLOAD))
 
 BRONZE = _schema(
-    "event_id string, schema_version string, op string, event_time string, ingest_time string, match_id string, player_id string, "
-    "source_provider string, source_dataset_id string, source_file string, source_record_index bigint, "
-    "killer_name string, victim_name string, killer_placement bigint, victim_placement bigint, "
-    "killer_position_x double, killer_position_y double, victim_position_x double, victim_position_y double, "
-    "event_time_seconds double, weapon string, kills bigint, damage_dealt double, headshot_kills bigint, "
-    "walk_distance double, ride_distance double, swim_distance double, survival_duration double, win_place_perc double"
-)
-SILVER_KILL_EVENTS = _schema(
-    "event_id string, match_id string, event_time string, event_time_seconds double, killer_name string, victim_name string, "
-    "killer_position_x double, killer_position_y double, victim_position_x double, victim_position_y double, weapon string, damage_dealt double"
-)
-SILVER_PLAYER_MATCH = _schema(
-    "match_id string, player_id string, kills bigint, headshot_kills bigint, damage_dealt double, walk_distance double, "
-    "ride_distance double, swim_distance double, survival_duration double, win_place_perc double"
+    ("event_id schema_version op event_time ingest_time match_id player_id source_provider source_dataset_id source_file", "string"),
+    ("source_record_index", "long"),
+    ("killer_name victim_name", "string"),
+    ("killer_placement victim_placement", "long"),
+    (f"{_PLACES} event_time_seconds", "double"),
+    ("weapon", "string"),
+    ("kills", "long"),
+    ("damage_dealt", "double"),
+    ("headshot_kills", "long"),
+    (_DISTANCES, "double"),
 )
+SILVER_KILL_EVENTS = _schema(("event_id match_id event_time", "string"), ("event_time_seconds", "double"), ("killer_name victim_name", "string"), (_PLACES, "double"), ("weapon", "string"), ("damage_dealt", "double"))
+SILVER_PLAYER_MATCH = _schema(("match_id player_id", "string"), ("kills headshot_kills", "long"), (f"damage_dealt {_DISTANCES}", "double"))
 GOLD = _schema(
-    "match_id string, player_id string, kills bigint, minimum_kill_interval_seconds double, median_kill_distance_coordinate_units double, "
-    "short_kill_interval_count bigint, unique_weapons_used bigint, feature_version string, created_at string"
-)
+    ("match_id player_id", "string"), ("kills", "long"), ("minimum_kill_interval_seconds median_kill_distance_coordinate_units", "double"),
+    ("short_kill_interval_count unique_weapons_used", "long"), ("feature_version created_at", "string"),
+)
 MANIFEST = _schema(
-    "batch_id string, total_records_read bigint, valid_records bigint, invalid_records bigint, duplicate_records bigint, "
-    "partition_offsets map<int,struct<min_offset:bigint,max_offset:bigint>>, data_object_path string, checksum_sha256 string, created_at string"
-)
+    ("batch_id", "string"), ("total_records_read valid_records invalid_records duplicate_records", "long"),
+    ("partition_offsets", T.MapType(T.IntegerType(), _schema(("min_offset max_offset", "long")))), ("data_object_path checksum_sha256 created_at", "string"),
+)
 
 OP_MATCH_SUMMARY = "data.player_stat.match_summary"
 OP_KILL_DEATH = "data.kill_event.kill_death"

@@ -27,7 +27,7 @@ def read_event_stream(spark: SparkSession, options: dict[str, str], fmt: str = "
     return spark.readStream.format(fmt).options(**({"startingOffsets": "earliest"} if fmt == "kafka" else {}), **options).load()
 
 
-MESSAGE = T.StructType.fromDDL("key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp")
+MESSAGE = T.StructType([T.StructField(n, k) for n, k in (("key", T.BinaryType()), ("value", T.BinaryType()), ("topic", T.StringType()), ("partition", T.IntegerType()), ("offset", T.LongType()), ("timestamp", T.TimestampType()))])
 
 
 def read_message_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
