@@ -114,6 +114,8 @@ class Index:
         out = ([], [], [])
         step = max(1, cells // max(1, self.n_entries))
         numbers = np.flatnonzero(live)
+        if not len(numbers):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         cut = np.searchsorted(passage, numbers[::step])
         for a, b in zip(cut, [*cut[1:], len(passage)], strict=True):
             for x, y in zip(out, self._some(passage[a:b], term[a:b], ub[a:b], threshold), strict=True):
