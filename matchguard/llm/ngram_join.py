@@ -7,16 +7,17 @@ is at most D agrees on at least m - D words. With m = D + 1 + slack for each siz
 band, one equal word at least makes such a pair a candidate (pigeonhole); sets
 are then compared exactly.
 
-Words that many sets share (passages found in many documents) are left out for a
-set as long as such words, and words no shingle fell into, are at most ``slack``
-of its sketch: the pigeonhole then still leaves an equal word. Sets with more of
-them meet on those words too, so no link is lost.
+Of the m words at least ``slack`` + 1 are equal, so each set leaves out ``slack``
+of them, in one order for all sets: first words no shingle fell into, then those
+that most sets share (passages found in many documents). Two sets that link
+still have an equal word among the rest: sorted the other way round, the first
+m - slack words of both must meet (prefix filter).
 
 Candidates of a group are its smallest set against each other one, which grows
 with the group and not with its square. After the links so found are joined to
-components, only groups that still hold several components go on: small groups
-by their pairs across components, large ones by more rounds with other centres
-and at last by their pairs across components.
+components, only groups that still hold several components go on: with other
+centres if they are large, and at last by their pairs across components that no
+round has tried.
 
 Equal sets have one node, the hash of the set, so copies cost one comparison.
 
@@ -35,7 +36,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, is_empty, materialize, slices
@@ -43,7 +44,10 @@ from .components import components
 
 WORDS = 5
 RATIO = 1.3
-FREQUENT = 32
+#: Groups up to this size are counted while they stream by; larger ones by a group-by.
+BUFFER = 8192
+#: Groups up to this size go straight to their pairs across components.
+FEW = 8
 #: Base of the polynomial that hashes words, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -188,31 +192,22 @@ def _sketch_rows(bands: Bands) -> Callable:
     return run
 
 
-STAR, MEMBER, COMMON = 0, 1, 2
-
-
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, node) to: centre and other (STAR), members of small groups (MEMBER) and of large ones (COMMON).
+    """Rows sorted by (key, node) to (key, node, size) of groups of two or more; size 0 means more than BUFFER.
 
-    Only one small group is ever held back, so a group of any size streams through.
+    At most BUFFER rows are held back, so a group of any size streams through.
     """
 
-    def rows(kind: int, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(y)], names=["kind", "x", "y"])
+    def rows(k: np.ndarray, v: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(k), pa.array(v), pa.array(n.astype(np.int64))], names=["key", "node", "size"])
 
     def closed(k: np.ndarray, v: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not len(k):
-            return
-        first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-        size = np.diff(first, append=len(k))
-        rank = np.arange(len(k)) - np.repeat(first, size)
-        n = np.repeat(size, size)
-        other = rank > 0
-        if other.any():
-            yield rows(STAR, np.repeat(v[first], size)[other], v[other])
-        for kind, where in ((MEMBER, (n > 2) & (n <= FREQUENT)), (COMMON, n > FREQUENT)):
-            if where.any():
-                yield rows(kind, k[where], v[where])
+        if len(k):
+            first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+            size = np.diff(first, append=len(k))
+            n = np.repeat(size, size)
+            if (n > 1).any():
+                yield rows(k[n > 1], v[n > 1], n[n > 1])
 
     tail_k, tail_v, hot = np.zeros(0, np.int64), np.zeros(0, np.int64), None
     for batch in batches:
@@ -222,11 +217,10 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail_k, tail_v = k[:0], v[:0]
         if hot is not None and len(k):
             n = int(np.searchsorted(k, hot[0], "right"))
-            more = v[:n][v[:n] != hot[2]]
+            more = v[:n][v[:n] != hot[1]]
             if len(more):
-                yield rows(STAR, np.full(len(more), hot[1]), more)
-                yield rows(COMMON, np.full(len(more), hot[0]), more)
-                hot = (hot[0], hot[1], more[-1])
+                yield rows(np.full(len(more), hot[0]), more, np.zeros(len(more)))
+                hot = (hot[0], more[-1])
             k, v = k[n:], v[n:]
         if not len(k):
             continue
@@ -234,9 +228,9 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = int(np.searchsorted(k, k[-1], "left"))
         yield from closed(k[:last], v[:last])
         tail_k, tail_v = k[last:], v[last:]
-        if len(tail_k) > FREQUENT:
-            yield from closed(tail_k, tail_v)
-            hot = (tail_k[0], tail_v[0], tail_v[-1])
+        if len(tail_k) > BUFFER:
+            yield rows(tail_k, tail_v, np.zeros(len(tail_k)))
+            hot = (tail_k[0], tail_v[-1])
             tail_k, tail_v = k[:0], v[:0]
     yield from closed(tail_k, tail_v)
 
@@ -270,11 +264,27 @@ def verified(pairs: DataFrame, texts: DataFrame, bands: Bands, per_task: int = 2
     return rows.mapInArrow(_verify(bands), "a long, b long")
 
 
+def _kept(groups: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
+    """Group rows without the ``slack`` most shared words of each set's sketch (empty words count first)."""
+    counted = groups.where("size > 0")
+    large = groups.where("size = 0").select("key", "node")
+    sizes = large.groupBy("key").agg(F.count("*").alias("size"))
+    counted = counted.unionByName(large.join(sizes, "key").select("key", "node", "size"))
+    band = F.col("key").bitwiseAND(F.lit(0xFF).cast("long")).cast("int")
+    slack = F.element_at(F.array(*(F.lit(int(x)) for x in bands.slack)), F.col("band") + 1)
+    bare = sets.where("node is not null").groupBy("node").agg(F.first("bare").alias("bare"))
+    order = Window.partitionBy("node", "band").orderBy(F.desc("size"), "key")
+    ranked = counted.withColumn("band", band).join(bare, "node").withColumn("at", F.row_number().over(order))
+    left = slack - F.least(F.coalesce(F.try_element_at("bare", "band"), F.lit(0)), slack)
+    kept = ranked.where(F.col("at") > left).select("key", "node")
+    return materialize(kept, "ngram-kept")
+
+
 def _labelled(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """Members with their component, of groups that hold several."""
+    """Members with component and group size, of groups that hold several components."""
     named = members.join(comps, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    return named.join(mixed, "key", "left_semi")
+    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo < hi and size > 2").select("key", "size")
+    return materialize(named.join(mixed, "key"), "ngram-mixed")
 
 
 def _across(named: DataFrame) -> DataFrame:
@@ -283,6 +293,14 @@ def _across(named: DataFrame) -> DataFrame:
     return left.join(right, "key").where("a < b and ca <> cb").select("a", "b").distinct()
 
 
+def _stars(members: DataFrame, turn: int) -> DataFrame:
+    """Each group's centre (another one each turn) with its members in other components."""
+    by = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
+    centre = members.groupBy("key").agg(F.min_by(F.struct("node", "component"), by).alias("c"))
+    met = members.join(centre, "key").where("component <> c.component")
+    return met.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
+
+
 def _release(spark) -> None:
     """Let Spark's cleaner drop shuffle files of plans that are done."""
     gc.collect()
@@ -306,49 +324,41 @@ def set_links(docs: DataFrame, sets: DataFrame, bands: Bands, rounds: int = 3) -
     spark = docs.sparkSession
     named = _named(docs)
     keyed = named.mapInArrow(_sketch_rows(bands), "key long, node long")
-    groups = materialize(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_grouped, "kind int, x long, y long"), "ngram-groups")
+    groups = materialize(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_grouped, "key long, node long, size long"), "ngram-groups")
     _release(spark)
-    stars = materialize(groups.where(F.col("kind") == STAR).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "ngram-stars")
+    kept = _kept(groups, sets, bands)
+    discard(groups)
+    tried = materialize(_stars(kept.withColumn("component", F.col("node")), 0), "ngram-tried")
     # one text for each set that has a candidate
-    needed = stars.select("a").unionByName(stars.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "node")
+    needed = kept.select("node").distinct()
     first = sets.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("f"))
     wanted = first.join(needed, "node", "left_semi").select("node", F.col("f.doc_id").alias("first_id"), F.col("f.th").alias("first_th"))
     found = named.join(wanted, named.doc_id.eqNullSafe(F.col("first_id")) & (named.th == F.col("first_th")))
     texts = materialize(found.select("node", "text").dropDuplicates(["node"]), "ngram-texts")
     _release(spark)
-    links = materialize(verified(stars, texts, bands), "ngram-links")
+    links = materialize(verified(tried, texts, bands), "ngram-links")
     comps = components(links, "ngram-components")
-
-    small = groups.where(F.col("kind") == MEMBER).select(F.col("x").alias("key"), F.col("y").alias("node"))
-    pairs = materialize(_across(_labelled(small, comps)).join(stars, ["a", "b"], "left_anti"), "ngram-pairs")
-    if not is_empty(pairs):
-        links = materialize(links.unionByName(verified(pairs, texts, bands)), "ngram-links")
-        comps = components(links, "ngram-components")
-
-    # large groups, for sets that the pigeonhole needs them for
-    common = groups.where(F.col("kind") == COMMON).select(F.col("x").alias("key"), F.col("y").alias("node"))
-    band = F.col("key").bitwiseAND(F.lit(0xFF).cast("long")).cast("int")
-    limits = spark.createDataFrame([(i, int(s)) for i, s in enumerate(bands.slack)], "band int, slack int")
-    held = common.withColumn("band", band).groupBy("node", "band").agg(F.count("*").alias("c"))
-    sizes = sets.where("node is not null").groupBy("node").agg(F.first("bare").alias("bare"))
-    empty = F.coalesce(F.try_element_at("bare", "band"), F.lit(0))
-    bound = held.join(F.broadcast(limits), "band").join(sizes, "node").where(F.col("c") + empty > F.col("slack")).select("node", "band")
-    rest = common.withColumn("band", band).join(bound, ["node", "band"], "left_semi").select("key", "node")
-    for turn in range(rounds + 1):
-        mixed = materialize(_labelled(rest, comps), "ngram-mixed")
+    members = kept
+    for turn in range(1, rounds + 2):
+        mixed = _labelled(members, comps)
         if is_empty(mixed):
+            discard(mixed)
             break
-        if turn < rounds:
-            centre = mixed.groupBy("key").agg(F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn))).alias("c"))
-            found = mixed.join(centre, "key").where("component <> c.component").select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
+        if turn <= rounds:
+            fresh = _stars(mixed.where(F.col("size") > FEW), turn)
+            if turn == 1:
+                fresh = fresh.unionByName(_across(mixed.where(F.col("size") <= FEW))).distinct()
         else:
-            found = _across(mixed)
-        found = materialize(found.join(stars, ["a", "b"], "left_anti"), "ngram-pairs")
-        if is_empty(found):
-            continue
-        links = materialize(links.unionByName(verified(found, texts, bands)), "ngram-links")
-        comps = components(links, "ngram-components")
-        rest = mixed.select("key", "node")
+            fresh = _across(mixed.where(F.col("size") > FEW))
+        fresh = materialize(fresh.join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
+        members = mixed.where(F.col("size") > FEW).select("key", "node")
+        if not is_empty(fresh):
+            more = materialize(links.unionByName(verified(fresh, texts, bands)), "ngram-links")
+            all_tried = materialize(tried.unionByName(fresh), "ngram-tried")
+            discard(links, tried, fresh)
+            links, tried = more, all_tried
+            comps = components(links, "ngram-components")
+    discard(kept, texts, tried, links)
     return comps
 
 
@@ -366,3 +376,20 @@ def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The rows, with all their columns, whose id names their component; rows without an id stay."""
     kept = near_duplicates(docs, percent).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     return docs.where("doc_id is null").unionByName(docs.where("doc_id is not null").join(kept, "doc_id", "left_semi"))
+
+
+#: The same rows in DuckDB by brute force, for documents whose ids are all different.
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i : array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), e AS (SELECT x, y FROM p JOIN n a ON x = a.doc_id JOIN n b ON y = b.doc_id WHERE 100 * c >= 80 * (a.n + b.n - c)
+), links AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e
+), r(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.y, r.root FROM r JOIN links l ON l.x = r.doc_id)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(root) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
