@@ -105,4 +105,4 @@ QUERIES: dict[str, Query] = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-SQL: dict[str, str] = {"op5_chat_rotation": chat.SQL}
+SQL: dict[str, str] = {"op5_chat_rotation": chat.SQL, "op6_ngram_join": ngram_join.SQL}
