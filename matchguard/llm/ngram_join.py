@@ -120,7 +120,8 @@ class Bands:
         both = top + top * 100 // percent  # the largest sizes of a pair that meets in the band
         #: largest symmetric difference of such a pair
         self.gap = (100 - percent) * both // (100 + percent)
-        self.slack = np.maximum(1, (self.gap + 1) // 8)
+        #: words that each set may leave out: enough for those inside a passage that is a third of the set
+        self.slack = np.maximum(1, (self.gap + 1) // 2)
         self.words = self.gap + 1 + self.slack
 
     def of(self, n: int) -> list[int]:
@@ -319,7 +320,7 @@ def document_sets(docs: DataFrame, bands: Bands) -> DataFrame:
     return materialize(_named(docs).mapInArrow(_nodes(bands), "doc_id long, node long, n long, bare map<int,int>, th long"), "ngram-nodes")
 
 
-def set_links(docs: DataFrame, sets: DataFrame, bands: Bands, rounds: int = 3) -> DataFrame:
+def set_links(docs: DataFrame, sets: DataFrame, bands: Bands, rounds: int = 1) -> DataFrame:
     """``node, component`` for every set that links with another."""
     spark = docs.sparkSession
     named = _named(docs)
