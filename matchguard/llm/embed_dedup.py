@@ -4,7 +4,8 @@ Unit vectors are cut in halves with a codebook each; the product of the
 codebooks is a grid of cells, one grid for each label. A vector visits cells in
 the order of a multi-sequence traversal (rising sum of the two halves' squared
 distances) until the order passes its nearest cell by ``reach``, the excess that
-finds the target share of the true pairs of a sample. Pairs in visited cells are
+finds the target share of the true pairs of a sample, where neither the size of
+a group nor the closeness of its pairs has weight. Pairs in visited cells are
 verified by cosine in double precision.
 
 Each pair is looked for once: the vector whose home cell comes first in the grid
@@ -52,15 +53,15 @@ def squared(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1), 0)
 
 
-def k_means(x: np.ndarray, k: int, rounds: int = 12, seed: int = 5) -> np.ndarray:
+def k_means(x: np.ndarray, k: int, weight: np.ndarray, rounds: int = 12, seed: int = 5) -> np.ndarray:
     rng = np.random.default_rng(seed)
-    c = x[rng.choice(len(x), min(k, len(x)), replace=False)]
+    c = x[rng.choice(len(x), min(k, len(x)), replace=False, p=weight / weight.sum())]
     for _ in range(rounds):
         own = squared(x, c).argmin(1)
-        n = np.bincount(own, minlength=len(c))
+        n = np.bincount(own, weight, len(c))
         total = np.zeros_like(c)
-        np.add.at(total, own, x)
-        c = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], c)
+        np.add.at(total, own, x * weight[:, None])
+        c = np.where(n[:, None] > 0, total / np.where(n > 0, n, 1)[:, None], c)
     return c
 
 
@@ -117,25 +118,51 @@ class MultiIndex:
         return np.concatenate(rows), np.concatenate(cells)
 
 
-def fit_index(sample: np.ndarray, labels: np.ndarray, codes: int, cosine: float, recall: float) -> MultiIndex:
-    """Codebooks from unit vectors, and the reach that finds ``recall`` of the sample's true pairs."""
-    cut = (sample.shape[1] + 1) // 2
-    index = MultiIndex(k_means(sample[:, :cut], codes), k_means(sample[:, cut:], codes, seed=6))
-    homes, excess = index.homes(sample), []
+def _links(sample: np.ndarray, labels: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(x, y, their cosine) for all ordered pairs of different vectors that link, in bounded blocks."""
     for label in np.unique(labels):
         own = np.flatnonzero(labels == label)
-        for a in range(0, len(own), 512):
-            x, y = np.nonzero(sample[own[a : a + 512]] @ sample[own].T >= cosine)
-            x, y = own[a : a + 512][x], own[y]
-            ahead = homes[x] < homes[y]
-            x, y = x[ahead][:200_000], y[ahead][:200_000]
-            if len(x):
-                d1, d2 = index.costs(sample[x])
-                k = np.arange(len(x))
-                excess.append(d1[k, homes[y] // len(index.second)] + d2[k, homes[y] % len(index.second)] - d1.min(1) - d2.min(1))
-    found = np.concatenate(excess) if excess else np.zeros(0)
-    # without pairs to learn from: twice the mean excess of vectors at that cosine
-    index.reach = float(np.quantile(found, recall)) if len(found) >= 20 else 4 * (1 - cosine)
+        for a in range(0, len(own), 128):
+            close = sample[own[a : a + 128]] @ sample[own].T
+            x, y = np.nonzero(close >= cosine)
+            x, y, close = own[a : a + 128][x], own[y], close[x, y]
+            apart = x != y
+            yield x[apart], y[apart], close[apart]
+
+
+BINS = 1e-4 * np.arange(40_001)
+
+
+def fit_index(sample: np.ndarray, labels: np.ndarray, codes: int, cosine: float, recall: float) -> MultiIndex:
+    """Codebooks from unit vectors, and the reach that finds ``recall`` of the sample's true pairs.
+
+    Pair counts have no weight. In the codebooks a vector weighs one over its
+    links and itself, so a group of near copies takes about one code. Between
+    two cells an excess is at most linear in the distance of the pair, so each
+    is scaled to a pair at the threshold. The reach is the larger of two
+    quantiles of these: with each vector counted once, and each group once.
+    """
+    cut = (sample.shape[1] + 1) // 2
+    degree = np.zeros(len(sample), np.int64)
+    for x, _, _ in _links(sample, labels, cosine):
+        degree += np.bincount(x, minlength=len(sample))
+    weight = 1 / (1.0 + degree)
+    index = MultiIndex(k_means(sample[:, :cut], codes, weight), k_means(sample[:, cut:], codes, weight, seed=6))
+    homes, by_vector, by_group = index.homes(sample), np.zeros(len(BINS)), np.zeros(len(BINS))
+    for x, y, close in _links(sample, labels, cosine):
+        ahead = homes[x] < homes[y]
+        x, y, close = x[ahead], y[ahead], close[ahead]
+        if len(x):
+            rows, k = np.unique(x, return_inverse=True)
+            d1, d2 = index.costs(sample[rows])
+            excess = d1[k, homes[y] // len(index.second)] + d2[k, homes[y] % len(index.second)] - (d1.min(1) + d2.min(1))[k]
+            scaled = excess * np.sqrt((1 - cosine) / np.maximum(1 - close, 1e-9)) if cosine < 1 else excess
+            at = np.minimum(np.searchsorted(BINS, scaled), len(BINS) - 1)
+            by_vector += np.bincount(at, 1 / degree[x] + 1 / degree[y], len(BINS))
+            by_group += np.bincount(at, 1 / (degree[x] * degree[y]), len(BINS))
+    index.reach = max((float(BINS[np.searchsorted(np.cumsum(w), recall * w.sum())]) for w in (by_vector, by_group) if w.any()), default=0.0)
+    if by_group.sum() < 10:  # too few groups to learn from: at least twice the mean excess of vectors at that cosine
+        index.reach = max(index.reach, 4 * (1 - cosine))
     return index
 
 
@@ -175,7 +202,7 @@ def _dealt(indexes: dict[int, MultiIndex]) -> Callable:
                 cell = np.concatenate([home, home, cell[keep]])
                 query = np.concatenate([np.zeros(len(u), bool), np.ones(len(row) - len(u), bool)])
                 out = part.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([out.column(0), out.column(1), out.column(2), out.column(3), out.column(4), pa.array(cell, pa.int64()), pa.array(query), pa.array(home[row], pa.int64())], names=["node", "label", "embedding", "copies", "dim", "cell", "query", "home"])
+                yield pa.RecordBatch.from_arrays([out.column(0), out.column(1), out.column(3), out.column(4), pa.array(cell, pa.int64()), pa.array(query), pa.array(home[row], pa.int64())], names=["node", "label", "copies", "dim", "cell", "query", "home"])
 
     return run
 
@@ -245,7 +272,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, recall: float = 0.
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _dealt(shared.value)(batches)
 
-    dealt = materialize(nodes.select("node", "label", "embedding", "copies", "dim").mapInArrow(deal, "node long, label long, embedding array<double>, copies long, dim int, cell long, query boolean, home long"), "imi-dealt")
+    dealt = materialize(nodes.select("node", "label", "embedding", "copies", "dim").mapInArrow(deal, "node long, label long, copies long, dim int, cell long, query boolean, home long"), "imi-dealt")
     key = ["label", "dim", "cell"]
     sizes = dealt.groupBy(*key).agg(F.count_if(~F.col("query")).alias("m"), F.count_if("query").alias("q")).where("m > 0")
     sizes = sizes.select(*key, F.ceil(F.col("m") / TILE_MEMBERS).cast("int").alias("mp"), F.ceil(F.col("q") / TILE_QUERIES).cast("int").alias("qp"))
@@ -254,6 +281,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, recall: float = 0.
     # a query meets every part of the members, a member every part of the queries
     parts = F.when(F.col("query"), F.transform(F.sequence(F.lit(0), F.col("mp") - 1), lambda i: i * F.col("qp") + own_q)).otherwise(F.transform(F.sequence(F.lit(0), F.col("qp") - 1), lambda i: own_m * F.col("qp") + i))
     tiled = tiled.withColumn("part", F.explode(parts)).withColumn("tile", F.concat_ws(":", *key, "part"))
+    tiled = tiled.join(nodes.select("node", "embedding"), "node")  # only rows that meet a member carry their vector
     tiled = tiled.repartition(*key, "part").sortWithinPartitions("tile", "query").select("tile", "query", "part", "node", "embedding", "copies", "home", "cell")
     found = materialize(tiled.mapInArrow(_tiles(cosine), "kind int, a long, b long"), "imi-found")
     comps = components(found.where(F.col("kind") == EDGE).select("a", "b"), "imi-components")

@@ -89,3 +89,25 @@ def test_recall_and_precision(spark, monkeypatch, small_tiles):
 def test_whole_grid_is_exact(spark):
     rows = vectors(np.random.default_rng(3), 200)
     assert run(spark, rows, codes=1) == answer(rows, brute(rows))
+
+
+def test_a_hot_near_copy_group_does_not_set_the_reach_of_others(spark):
+    rng = np.random.default_rng(7)
+    hot = rng.normal(size=64)
+    hot = hot / np.linalg.norm(hot) + rng.normal(size=(1000, 64)) * 0.1 / 8  # a third of the vectors, cosine about 0.99
+    base = ed.unit(rng.normal(size=(1000, 64)))
+    off = rng.normal(size=base.shape)
+    off = ed.unit(off - (off * base).sum(1, keepdims=True) * base)
+    cosine = rng.uniform(0.931, 0.96, (1000, 1))
+    twin = cosine * base + np.sqrt(1 - cosine**2) * off
+    x = np.float32(np.concatenate([hot, base, twin]))
+    rows = [(i, [float(c) for c in v], 1) for i, v in enumerate(x)]
+    u = ed.unit(x)
+    link = u @ u.T >= 0.93
+    degree = link.sum(1) - 1
+    got = run(spark, rows)
+    counts = np.array([got[i][0] for i in range(len(rows))])
+    assert (counts <= degree).all()
+    others = np.arange(len(rows)) >= 1000
+    assert (counts / np.maximum(degree, 1))[others & (degree > 0)].mean() >= 0.97
+    assert counts[~others].sum() >= 0.97 * degree[~others].sum()
