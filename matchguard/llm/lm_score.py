@@ -7,15 +7,19 @@ probabilities.
 * tokens: words (as the n-gram join cuts them), hashed to ``VOCABULARY`` ids;
 * counts of all ids come from all documents (a shuffle of partial sums);
 * network: a row for each context id and place, summed and put through tanh,
-  then a softmax over token classes; a token's probability is that of its class
-  times its share of the class's count. Frequent tokens are their own class, the
-  others are dealt to classes of about equal mass;
+  then a softmax over token classes. Frequent tokens are their own class, the
+  others are dealt to classes of about equal mass. Within a class a token is
+  found by the turns of a binary tree, each a learned logistic of the same
+  hidden values that starts at the ratio of the counts on its two sides, so the
+  neighbours tell tokens of a class apart. The ``NODES`` heaviest turns have
+  weights of their own but for an eighth, which the lighter turns share by hash;
 * training: numpy in tasks, each round on another part of all documents, every
   token once in all; the tasks' weights are averaged by tokens seen in two
   grouped steps, so no task and not the driver sees more than a bounded share.
 
 What is gathered (counts, weights) grows with the number of tasks; what is
-broadcast (one count array, one network) has a fixed size.
+broadcast (a count for each id in use, one network) has a bound. Words that hash to one
+id are one token: 404,216 words leave about one in six with company.
 
 Defined results: null, empty and blank texts have 0 tokens, score 0 and a null
 mean; ids, nulls among them, pass through; rows that repeat are scored each; an
@@ -37,7 +41,7 @@ from pyspark.sql import functions as F
 from .common import slices
 from .ngram_join import word_hashes
 
-VOCABULARY, CONTEXTS, CLASSES, HIDDEN, SIDE = 1 << 15, 1 << 12, 64, 32, 2
+VOCABULARY, CONTEXTS, CLASSES, NODES, HIDDEN, SIDE = 1 << 21, 1 << 12, 64, 1 << 15, 32, 2
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 PAD = CONTEXTS  # the row of places before and after a document
 
@@ -48,31 +52,93 @@ def token_ids(text: str | None) -> np.ndarray:
 
 @dataclass
 class Tables:
-    """What the counts fix: a token's class, its share of the class, its context row."""
+    """What the counts fix: a token's class, its share of the class, its context row, and the trees in the classes.
+
+    Ids in falling order of count lie on a line; a turn is named by the place
+    where it cuts the line. ``above`` (of an id) and ``up`` (of a turn) hold
+    twice the next turn towards the root plus the side taken there, 0 at a root.
+    Only the counts that are not 0 are sent; a worker builds the arrays again.
+    """
+
+    seen: tuple[np.ndarray, np.ndarray]
 
     klass: np.ndarray
     log_share: np.ndarray
     context: np.ndarray
+    above: np.ndarray
+    up: np.ndarray
+    bias: np.ndarray
+    row: np.ndarray
 
     @classmethod
     def from_counts(cls, counts: np.ndarray) -> Tables:
-        mass = counts + 1.0  # unseen ids keep a share
-        order = np.argsort(-mass, kind="stable")
+        mass = counts + max(1, (counts == 1).sum()) / VOCABULARY  # unseen ids keep a share
+        used = np.flatnonzero(counts)
+        order = np.concatenate([used[np.argsort(-counts[used], kind="stable")], np.flatnonzero(counts == 0)])
         own = CLASSES // 2
-        klass = np.empty(VOCABULARY, np.int64)
+        klass = np.empty(VOCABULARY, np.uint8)
         klass[order[:own]] = np.arange(own)
         rest = np.cumsum(mass[order[own:]])
         klass[order[own:]] = own + np.minimum((rest - mass[order[own:]]) * (CLASSES - own) / rest[-1], CLASSES - own - 1).astype(np.int64)
         log_share = np.log(mass / np.bincount(klass, mass, CLASSES)[klass]).astype(np.float32)
         single = CONTEXTS * 7 // 8
-        context = np.empty(VOCABULARY, np.int64)
+        context = np.empty(VOCABULARY, np.int16)
         context[order[:single]] = np.arange(single)
         context[order[single:]] = single + order[single:] % (CONTEXTS - single)
-        return cls(klass, log_share, context)
+        return cls((used.astype(np.int32), counts[used]), klass, log_share, context, *_trees(mass[order], order, klass[order]))
+
+    def __reduce__(self) -> tuple:
+        return _rebuilt, self.seen
+
+    def paths(self, tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row, turn, side) from the leaves to the roots; a row occurs once in each step."""
+        code = self.above[tokens]
+        rows = np.flatnonzero(code)
+        code = code[rows]
+        while len(rows):
+            turn = code >> 1
+            yield rows, turn, (code & 1).astype(np.float32)
+            code = self.up[turn]
+            rows, code = rows[code > 0], code[code > 0]
+
+
+_BUILT: dict[int, Tables] = {}
+
+
+def _rebuilt(used: np.ndarray, n: np.ndarray) -> Tables:
+    """The tables of these counts; a process keeps those that it built last."""
+    key = hash((used.tobytes(), n.tobytes()))
+    if key not in _BUILT:
+        _BUILT.clear()
+        counts = np.zeros(VOCABULARY, n.dtype)
+        counts[used] = n
+        _BUILT[key] = Tables.from_counts(counts)
+    return _BUILT[key]
+
+
+def _trees(mass: np.ndarray, order: np.ndarray, klass: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Halves the mass of each class again and again: ``above``, ``up``, ``bias`` and ``row`` of ``Tables``."""
+    before = np.concatenate([[0.0], np.cumsum(mass)])
+    above, up = np.zeros((2, len(mass)), np.int32)
+    bias, heavy = np.zeros(len(mass), np.float32), np.zeros(len(mass))
+    lo = np.flatnonzero(np.diff(klass.astype(int), prepend=-1))
+    hi, code = np.append(lo[1:], len(mass)), np.zeros(len(lo), np.int32)
+    while len(lo):
+        leaf = hi - lo == 1
+        above[order[lo[leaf]]] = code[leaf]
+        lo, hi, code = lo[~leaf], hi[~leaf], code[~leaf]
+        cut = np.clip(np.searchsorted(before, (before[lo] + before[hi]) / 2), lo + 1, hi - 1)
+        bias[cut] = np.log((before[hi] - before[cut]) / (before[cut] - before[lo]))
+        heavy[cut], up[cut] = before[hi] - before[lo], code
+        lo, hi, code = np.concatenate([lo, cut]), np.concatenate([cut, hi]), np.concatenate([2 * cut, 2 * cut + 1]).astype(np.int32)
+    single = NODES * 7 // 8
+    row = (single + np.arange(len(mass)) * 2654435761 % (1 << 32) % (NODES - single)).astype(np.uint16)
+    row[np.argsort(-heavy, kind="stable")[:single]] = np.arange(single)
+    return above, up, bias, row
 
 
 class Network:
-    """Context rows for each place, hidden bias, class weights and bias."""
+    """Context rows for each place, hidden bias, class weights and bias, weights of the turns within classes."""
 
     def __init__(self, seed: int = 11):
         rng = np.random.default_rng(seed)
@@ -80,14 +146,15 @@ class Network:
         self.bias = np.zeros(HIDDEN, np.float32)
         self.out = rng.normal(0, 0.1, (HIDDEN, CLASSES)).astype(np.float32)
         self.out_bias = np.zeros(CLASSES, np.float32)
+        self.nodes = np.zeros((NODES, HIDDEN), np.float32)
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([self.rows.ravel(), self.bias, self.out.ravel(), self.out_bias])
+        return np.concatenate([self.rows.ravel(), self.bias, self.out.ravel(), self.out_bias, self.nodes.ravel()])
 
     @classmethod
     def of(cls, flat: np.ndarray) -> Network:
         net, at = cls.__new__(cls), 0
-        for name, shape in (("rows", (len(OFFSETS), CONTEXTS + 1, HIDDEN)), ("bias", (HIDDEN,)), ("out", (HIDDEN, CLASSES)), ("out_bias", (CLASSES,))):
+        for name, shape in (("rows", (len(OFFSETS), CONTEXTS + 1, HIDDEN)), ("bias", (HIDDEN,)), ("out", (HIDDEN, CLASSES)), ("out_bias", (CLASSES,)), ("nodes", (NODES, HIDDEN))):
             n = int(np.prod(shape))
             setattr(net, name, flat[at : at + n].reshape(shape).astype(np.float32))
             at += n
@@ -104,6 +171,15 @@ class Network:
         z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
         return h, z
 
+    def within(self, h: np.ndarray, tokens: np.ndarray, tables: Tables) -> np.ndarray:
+        """What the neighbours add to the log of each token's share of its class."""
+        more = np.zeros(len(tokens))
+        for rows, turn, side in tables.paths(tokens):
+            flip, plain = 1 - 2 * side, tables.bias[turn]
+            a = plain + np.einsum("ij,ij->i", h[rows], self.nodes[tables.row[turn]])
+            more[rows] += np.logaddexp(0, flip * plain) - np.logaddexp(0, flip * a)
+        return more
+
 
 def windows(ids: list[np.ndarray], tables: Tables) -> tuple[np.ndarray, np.ndarray]:
     """All tokens of some documents, and the context ids around each; documents do not see each other."""
@@ -120,16 +196,33 @@ class Trainer:
     def __init__(self, net: Network, rate: float = 0.15):
         self.net, self.rate = net, rate
         self.seen = [np.full((CONTEXTS + 1, 1), 1e-6, np.float32) for _ in OFFSETS]
+        self.seen_nodes = np.full((NODES, 1), 1e-7, np.float32)
         self.dense = [np.full_like(x, 1e-6) for x in (net.bias, net.out, net.out_bias)]
 
-    def step(self, context: np.ndarray, klass: np.ndarray) -> float:
-        net, n = self.net, len(klass)
+    def step(self, context: np.ndarray, tokens: np.ndarray, tables: Tables) -> None:
+        net, n, klass = self.net, len(tokens), tables.klass[tokens]
         h, logp = net.forward(context)
-        loss = -float(logp[np.arange(n), klass].sum())
         d = np.exp(logp)
         d[np.arange(n), klass] -= 1
         d /= n
-        back = (d @ net.out.T) * (1 - h * h)
+        back = d @ net.out.T
+        turns, wrong, of = [], [], []
+        for rows, turn, side in tables.paths(tokens):
+            row = tables.row[turn]
+            w = net.nodes[row]
+            a = tables.bias[turn] + np.einsum("ij,ij->i", h[rows], w)
+            g = (1 / (1 + np.exp(-a)) - side) / n
+            back[rows] += g[:, None] * w
+            turns.append(row), wrong.append(g), of.append(rows)
+        if turns:
+            row = np.concatenate(turns)
+            order = np.argsort(row, kind="stable")
+            row, g, of = row[order], np.concatenate(wrong)[order], np.concatenate(of)[order]
+            first = np.flatnonzero(np.diff(row.astype(np.int32), prepend=-1))
+            ids, g = row[first], np.add.reduceat(g[:, None] * h[of], first)
+            self.seen_nodes[ids] += (g * g).mean(axis=1, keepdims=True)
+            net.nodes[ids] -= self.rate * g / np.sqrt(self.seen_nodes[ids])
+        back *= 1 - h * h
         for x, acc, g in zip((net.bias, net.out, net.out_bias), self.dense, (back.sum(0), h.T @ d, d.sum(0)), strict=True):
             acc += g * g
             x -= self.rate * g / np.sqrt(acc)
@@ -140,7 +233,6 @@ class Trainer:
             ids, g = sorted_ids[first], np.add.reduceat(back[order], first)
             self.seen[o][ids] += (g * g).mean(axis=1, keepdims=True)
             net.rows[o][ids] -= self.rate * g / np.sqrt(self.seen[o][ids])
-        return loss
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -154,14 +246,13 @@ def count_ids(docs: DataFrame) -> np.ndarray:
         total = np.zeros(VOCABULARY, np.int64)
         for batch in slices(batches):
             for text in batch.column(0).to_pylist():
-                total += np.bincount(token_ids(text), minlength=VOCABULARY)
+                np.add.at(total, token_ids(text), 1)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], names=["id", "n"])
 
-    rows = _named(docs).select("text").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = _named(docs).select("text").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(VOCABULARY)
-    for r in rows:
-        counts[r["id"]] = r["n"]
+    counts[rows["id"].to_numpy()] = rows["n"].to_numpy()
     return counts
 
 
@@ -190,7 +281,7 @@ def train_round(docs: DataFrame, net: Network, tables: Tables, batch_tokens: int
             order = np.random.default_rng(n).permutation(len(tokens))
             for a in range(0, len(order), batch_tokens):
                 part = order[a : a + batch_tokens]
-                trainer.step(context[part], known.klass[tokens[part]])
+                trainer.step(context[part], tokens[part], known)
             n += len(tokens)
         if n:
             task = TaskContext.get().partitionId()
@@ -222,8 +313,8 @@ def log_likelihoods(texts: list[str | None], net: Network, tables: Tables, most:
     logp = np.empty(len(tokens), np.float64)
     for a in range(0, len(tokens), most):
         t = tokens[a : a + most]
-        z = net.forward(context[a : a + most])[1]
-        logp[a : a + most] = z[np.arange(len(t)), tables.klass[t]] + tables.log_share[t]
+        h, z = net.forward(context[a : a + most])
+        logp[a : a + most] = z[np.arange(len(t)), tables.klass[t]] + tables.log_share[t] + net.within(h, t, tables)
     return np.bincount(np.repeat(np.arange(len(ids)), size), logp, len(ids)), size
 
 

@@ -66,3 +66,31 @@ def test_counts_cover_all_documents_and_empty_table(spark):
     none = docs.where(F.lit(False))
     net, tables = lm.fit(none)
     assert lm.score_documents(none, net, tables).count() == 0
+
+
+def test_neighbours_tell_tokens_of_one_class_apart(spark):
+    net, tables = lm.fit(spark.createDataFrame(corpus(1, 1500), SCHEMA).repartition(3))
+
+    def middle(i, j):
+        """Log probability of b_j between a_i and c_i."""
+        tokens, context = lm.windows([np.concatenate([lm.token_ids(w) for w in (f"a{i}", f"b{j}", f"c{i}")])], tables)
+        h, z = net.forward(context[1:2])
+        return z[0, tables.klass[tokens[1]]] + tables.log_share[tokens[1]] + net.within(h, tokens[1:2], tables)[0]
+
+    klass = [tables.klass[lm.token_ids(f"b{i}")[0]] for i in range(40)]
+    pairs = [(i, j) for i in range(40) for j in range(i) if klass[i] == klass[j]]
+    # what classes and counts say cancels out of these sums: only the order within the class is left
+    better = np.array([middle(i, i) - middle(i, j) + middle(j, j) - middle(j, i) for i, j in pairs])
+    assert len(better) >= 5 and (better > 0.5).mean() > 0.9
+    net.nodes[:] = 0
+    assert all(abs(middle(i, i) - middle(i, j) + middle(j, j) - middle(j, i)) < 1e-3 for i, j in pairs)
+
+
+def test_tokens_sum_to_one_in_any_context():
+    tables = lm.Tables.from_counts(np.random.default_rng(1).integers(0, 3, lm.VOCABULARY))
+    net = lm.Network()
+    net.nodes += np.random.default_rng(2).normal(0, 0.5, net.nodes.shape).astype(np.float32)
+    h, z = net.forward(np.array([[1, 2, 3, 4]]))
+    ids = np.arange(lm.VOCABULARY)
+    more = net.within(np.broadcast_to(h, (len(ids), lm.HIDDEN)), ids, tables)
+    assert abs(np.exp(z[0, tables.klass] + tables.log_share + more).sum() - 1) < 1e-3
