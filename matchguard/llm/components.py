@@ -62,7 +62,7 @@ def _star_shaped(edges: DataFrame) -> bool:
     return not bad.head(1)
 
 
-def components(edges: DataFrame, name: str = "components", max_rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``node, component`` of every node that has an edge; component is the smallest node reached.
 
     ``edges`` has two long columns, any names; null ends and loops are ignored.
@@ -70,7 +70,7 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 40)
     a, b = edges.columns[:2]
     clean = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a is not null and b is not null and a <> b")
     now = materialize(clean.mapInArrow(_thin, "a long, b long"), name)
-    for _ in range(max_rounds):
+    while True:
         if _star_shaped(now):
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         # large-star: each node passes its smallest neighbour to its larger neighbours
@@ -83,4 +83,3 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 40)
         after = materialize(small.mapInArrow(_thin, "a long, b long"), name)
         discard(now)
         now = after
-    raise RuntimeError("components did not settle")

@@ -13,23 +13,26 @@ that most sets share (passages found in many documents). Two sets that link
 still have an equal word among the rest: sorted the other way round, the first
 m - slack words of both must meet (prefix filter).
 
-Candidates of a group are its smallest set against each other one, which grows
-with the group and not with its square. After the links so found are joined to
-components, only groups that still hold several components go on: with other
-centres if they are large, and at last by their pairs across components that no
-round has tried.
+A group's smallest set is compared with each other one, which grows with the
+group and not with its square: first by the Hamming distance of dense bit
+sketches (every shingle flips one bit), then, if that is small enough, by the
+texts. Sets of groups that still hold several components after that meet once
+more, by the places of their rarest shingles (``_crossing``), which loses no
+link and leaves pairs near the threshold only.
 
 Equal sets have one node, the hash of the set, so copies cost one comparison.
 
 Defined results: null, empty and blank texts have an empty set, link with
 nothing and are their own component; under five words the whole sequence is one
-shingle; a null id takes part but never names a component unless all ids there
+shingle; texts of any length are read whole (a set has up to 2^40 shingles, all
+of one text in one task's memory); a null id takes part but never names a component unless all ids there
 are null; rows that repeat an id are rows of one component only if their sets
 link; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+import functools
 import gc
 from collections.abc import Callable, Iterator
 
@@ -46,8 +49,6 @@ WORDS = 5
 RATIO = 1.3
 #: Groups up to this size are counted while they stream by; larger ones by a group-by.
 BUFFER = 8192
-#: Groups up to this size go straight to their pairs across components.
-FEW = 8
 #: Base of the polynomial that hashes words, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -108,10 +109,14 @@ def node_of(s: np.ndarray) -> int | None:
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)) if len(s) else None
 
 
+def read_bits(data: bytes) -> tuple[int, np.ndarray]:
+    return int.from_bytes(data[:8], "little"), np.frombuffer(data, np.uint64, offset=8)
+
+
 class Bands:
     """Size bands and the sketch length of each, for links of similarity ``percent`` / 100 or more."""
 
-    def __init__(self, percent: int = 80, largest: int = 1 << 26):
+    def __init__(self, percent: int = 80, largest: int = 1 << 40):
         self.percent, low = percent, [1]
         while low[-1] <= largest:
             low.append(max(low[-1] + 1, int(np.ceil(low[-1] * RATIO))))
@@ -138,6 +143,18 @@ class Bands:
     def linked(self, common: int, a: int, b: int) -> bool:
         return 100 * common >= self.percent * (a + b - common)
 
+    def bits(self, s: np.ndarray) -> bytes:
+        """The dense sketch: its set's size and a power of two of bits, at least four for each shingle, each shingle flipping one."""
+        width = 64 << max(0, (len(s) - 1).bit_length() - 4)
+        odd = np.bincount((s >> np.uint64(8)).astype(np.int64) & (width - 1), minlength=width) & 1
+        return len(s).to_bytes(8, "little") + np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+    def within(self, x: tuple[int, np.ndarray], y: tuple[int, np.ndarray]) -> bool:
+        """False only if the Hamming distance, which no symmetric difference is below, rules a link out."""
+        (n, a), (m, b) = (x, y) if len(x[1]) <= len(y[1]) else (y, x)
+        apart = np.bitwise_count(a ^ np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)).sum()
+        return int(apart) * (100 + self.percent) <= (100 - self.percent) * (n + m)
+
     def sketch(self, s: np.ndarray, band: int) -> np.ndarray:
         """Keys of the sketch's words; those without a shingle only if they are over ``slack``."""
         m = int(self.words[band])
@@ -236,18 +253,22 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from closed(tail_k, tail_v)
 
 
-def _verify(bands: Bands) -> Callable:
-    """Rows (a, salt, b, text) sorted so that a centre's own text (b null) comes first."""
+def _exact(bands: Bands, mine: np.ndarray, other: np.ndarray) -> bool:
+    return bands.linked(len(np.intersect1d(mine, other, assume_unique=True)), len(mine), len(other))
+
+
+def _meeting(read: Callable, passes: Callable) -> Callable:
+    """Rows (a, b, payload) sorted so that a centre's own payload (b null) comes first: the pairs that pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, mine = None, np.zeros(0, np.uint64)
+        at, mine = None, None
         for batch in slices(batches, 64):
             a, b = [], []
-            for key, other, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                s = shingles(text)
+            for key, other, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                value = read(payload)
                 if other is None:
-                    at, mine = key, s
-                elif key == at and bands.linked(len(np.intersect1d(mine, s, assume_unique=True)), len(mine), len(s)):
+                    at, mine = key, value
+                elif key == at and passes(mine, value):
                     a.append(key)
                     b.append(other)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -255,14 +276,21 @@ def _verify(bands: Bands) -> Callable:
     return run
 
 
-def verified(pairs: DataFrame, texts: DataFrame, bands: Bands, per_task: int = 2_000) -> DataFrame:
-    """The pairs (a, b) of nodes that link. A centre with many partners is dealt to several tasks."""
+def _met(pairs: DataFrame, payloads: DataFrame, read: Callable, passes: Callable, per_task: int) -> DataFrame:
+    """The pairs (a, b) whose payloads pass. A centre with many partners is dealt to several tasks."""
+    payloads = payloads.toDF("node", "payload")
     sized = pairs.groupBy("a").agg(F.count("*").alias("c")).select("a", F.ceil(F.col("c") / per_task).cast("int").alias("parts"))
-    centres = sized.join(texts, sized.a == texts.node).select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "text")
+    centres = sized.join(payloads, sized.a == payloads.node).select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "payload")
     dealt = pairs.join(sized, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("salt"), "b")
-    others = dealt.join(texts, dealt.b == texts.node).select("a", "salt", "b", "text")
-    rows = centres.unionByName(others).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first()).select("a", "b", "text")
-    return rows.mapInArrow(_verify(bands), "a long, b long")
+    others = dealt.join(payloads, dealt.b == payloads.node).select("a", "salt", "b", "payload")
+    rows = centres.unionByName(others).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first()).select("a", "b", "payload")
+    return rows.mapInArrow(_meeting(read, passes), "a long, b long")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, bands: Bands, per_task: int = 2_000) -> DataFrame:
+    """The pairs (a, b) of nodes that link: by Hamming distance of their bit sketches, then by their texts."""
+    near = materialize(_met(pairs, texts.select("node", "bits"), read_bits, bands.within, 10 * per_task), "ngram-near")
+    return _met(near, texts.select("node", "text"), shingles, functools.partial(_exact, bands), per_task)
 
 
 def _kept(groups: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
@@ -281,25 +309,61 @@ def _kept(groups: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
     return materialize(kept, "ngram-kept")
 
 
-def _labelled(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """Members with component and group size, of groups that hold several components."""
+def _mixed(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """``node, component`` of the members of groups that hold several components."""
     named = members.join(comps, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo < hi and size > 2").select("key", "size")
-    return materialize(named.join(mixed, "key"), "ngram-mixed")
+    keys = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    return materialize(named.join(keys, "key", "left_semi").groupBy("node").agg(F.first("component").alias("component")), "ngram-mixed")
+
+
+def _stars(members: DataFrame) -> DataFrame:
+    """Each group's smallest node with its other members."""
+    centre = members.groupBy("key").agg(F.min("node").alias("a"))
+    return members.join(centre, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
 
 
-def _across(named: DataFrame) -> DataFrame:
-    left = named.select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
-    right = named.select("key", F.col("node").alias("b"), F.col("component").alias("cb"))
-    return left.join(right, "key").where("a < b and ca <> cb").select("a", "b").distinct()
+def _texts(bands: Bands) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            bits = [bands.bits(shingles(t)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits, pa.binary())], names=["node", "text", "bits"])
+
+    return run
+
+
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, 64):
+        for node, component, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            s = shingles(text).astype(np.int64)
+            same = lambda x: pa.array(np.full(len(s), x, np.int64))  # noqa: B023, E731
+            yield pa.RecordBatch.from_arrays([same(node), same(component), same(len(s)), pa.array(s)], names=["node", "component", "n", "shingle"])
 
 
-def _stars(members: DataFrame, turn: int) -> DataFrame:
-    """Each group's centre (another one each turn) with its members in other components."""
-    by = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-    centre = members.groupBy("key").agg(F.min_by(F.struct("node", "component"), by).alias("c"))
-    met = members.join(centre, "key").where("component <> c.component")
-    return met.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
+def _crossing(mixed: DataFrame, texts: DataFrame, percent: int, per_key: int = 1 << 16) -> DataFrame:
+    """Pairs (a, b) of ``mixed`` nodes in different components that may still link.
+
+    A set's shingles stand in one order for all sets, those that fewest of the
+    sets hold first. The first shingle that two linked sets share has at least
+    their common count at or after it in both; from its place in each set
+    follows the largest size of a partner. Sets that meet at a shingle too late
+    for either one's size are no pair, and a copy with many words of its own
+    meets nobody. The join by shingle is dealt to tasks by ``per_key`` holders.
+    """
+    rows = mixed.join(texts.select("node", "text"), "node").select("node", "component", "text").mapInArrow(_shingle_rows, "node long, component long, n long, shingle long")
+    held = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    each = Window.partitionBy("node")
+    placed = (
+        rows.join(held, "shingle")
+        .withColumn("left", F.lit(1) - F.row_number().over(each.orderBy("df", "shingle")) + F.count("*").over(each))
+        .where(F.col("left") * 100 >= F.col("n") * percent)
+        .withColumn("most", F.floor(F.col("left") * (100 + percent) / F.lit(percent)) - F.col("n"))
+        .withColumn("parts", F.ceil(F.col("df") / per_key).cast("int"))
+    )
+    placed = materialize(placed.select("shingle", "node", "component", "n", "most", "parts"), "ngram-placed")
+    small = placed.where("most >= n").select("shingle", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.col("node").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("most").alias("mx"))
+    large = placed.select("shingle", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("salt"), "node", "component", "n", "most")
+    met = small.join(large, (small.shingle == large.shingle) & (small.salt == large.salt) & (F.col("cx") != F.col("component")) & (F.col("nx") <= F.col("n")) & (F.col("n") <= F.col("mx")) & (F.col("nx") <= F.col("most")) & ((F.col("nx") < F.col("n")) | (F.col("x") < F.col("node"))))
+    return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
 
 def _release(spark) -> None:
@@ -320,7 +384,7 @@ def document_sets(docs: DataFrame, bands: Bands) -> DataFrame:
     return materialize(_named(docs).mapInArrow(_nodes(bands), "doc_id long, node long, n long, bare map<int,int>, th long"), "ngram-nodes")
 
 
-def set_links(docs: DataFrame, sets: DataFrame, bands: Bands, rounds: int = 1) -> DataFrame:
+def set_links(docs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
     """``node, component`` for every set that links with another."""
     spark = docs.sparkSession
     named = _named(docs)
@@ -329,37 +393,22 @@ def set_links(docs: DataFrame, sets: DataFrame, bands: Bands, rounds: int = 1) -
     _release(spark)
     kept = _kept(groups, sets, bands)
     discard(groups)
-    tried = materialize(_stars(kept.withColumn("component", F.col("node")), 0), "ngram-tried")
     # one text for each set that has a candidate
     needed = kept.select("node").distinct()
     first = sets.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("f"))
     wanted = first.join(needed, "node", "left_semi").select("node", F.col("f.doc_id").alias("first_id"), F.col("f.th").alias("first_th"))
     found = named.join(wanted, named.doc_id.eqNullSafe(F.col("first_id")) & (named.th == F.col("first_th")))
-    texts = materialize(found.select("node", "text").dropDuplicates(["node"]), "ngram-texts")
+    texts = materialize(found.select("node", "text").dropDuplicates(["node"]).mapInArrow(_texts(bands), "node long, text string, bits binary"), "ngram-texts")
     _release(spark)
-    links = materialize(verified(tried, texts, bands), "ngram-links")
+    links = materialize(verified(_stars(kept), texts, bands), "ngram-links")
     comps = components(links, "ngram-components")
-    members = kept
-    for turn in range(1, rounds + 2):
-        mixed = _labelled(members, comps)
-        if is_empty(mixed):
-            discard(mixed)
-            break
-        if turn <= rounds:
-            fresh = _stars(mixed.where(F.col("size") > FEW), turn)
-            if turn == 1:
-                fresh = fresh.unionByName(_across(mixed.where(F.col("size") <= FEW))).distinct()
-        else:
-            fresh = _across(mixed.where(F.col("size") > FEW))
-        fresh = materialize(fresh.join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
-        members = mixed.where(F.col("size") > FEW).select("key", "node")
-        if not is_empty(fresh):
-            more = materialize(links.unionByName(verified(fresh, texts, bands)), "ngram-links")
-            all_tried = materialize(tried.unionByName(fresh), "ngram-tried")
-            discard(links, tried, fresh)
-            links, tried = more, all_tried
-            comps = components(links, "ngram-components")
-    discard(kept, texts, tried, links)
+    mixed = _mixed(kept, comps)
+    if not is_empty(mixed):
+        more = materialize(links.unionByName(verified(_crossing(mixed, texts, bands.percent), texts, bands)), "ngram-links")
+        discard(links)
+        links = more
+        comps = components(links, "ngram-components")
+    discard(kept, texts, links, mixed)
     return comps
 
 
@@ -374,9 +423,21 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows, with all their columns, whose id names their component; rows without an id stay."""
-    kept = near_duplicates(docs, percent).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.where("doc_id is null").unionByName(docs.where("doc_id is not null").join(kept, "doc_id", "left_semi"))
+    """One row, with all its columns, of each component: the one with the smallest id (no id comes last), then the
+    smallest text hash. Rows that repeat both are one row. Empty sets link with nothing, so their rows all stay.
+    """
+    bands = Bands(percent)
+    sets = document_sets(docs, bands)
+    comps = set_links(docs, sets, bands)
+    classed = sets.join(comps, "node", "left").select("doc_id", "th", F.coalesce("component", "node").alias("class"))
+    named = classed.where("class is not null").groupBy("class", "doc_id", "th").agg(F.count("*").alias("rows"))
+    best = named.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "th", "rows")).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.th").alias("_th"), F.col("k.rows").alias("_rows"))
+    bare = classed.where("class is null").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.lit(1).cast("long").alias("_rows")).distinct()
+    chosen = materialize(best.unionByName(bare), "ngram-chosen")
+    keyed = docs.withColumn("_key", F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("th")))
+    kept = keyed.join(chosen, F.col("_key.id").eqNullSafe(F.col("_id")) & (F.col("_key.th") == F.col("_th")))
+    once = kept.where("_rows = 1").select(docs.columns)
+    return once.unionByName(kept.where("_rows > 1").dropDuplicates(["_key"]).select(docs.columns))
 
 
 #: The same rows in DuckDB by brute force, for documents whose ids are all different.

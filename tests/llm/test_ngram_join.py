@@ -91,11 +91,12 @@ def test_large_groups_of_near_copies_and_a_common_passage(spark):
 
 
 def test_keep_one_keeps_columns_and_one_of_each_group(spark):
-    rows = [(3, "a b c d e f"), (1, "a b c d e f"), (2, "q r s t u"), (None, "a b c d e f"), (4, None)]
+    rows = [(3, "a b c d e f"), (1, "a b c d e f"), (2, "q r s t u"), (None, "a b c d e f"), (4, None), (1, "A b c d e f"), (2, "q r s t u"), (2, "other words of the same id"), (None, "no id and a text of its own"), (None, "no id and a text of its own"), (6, ""), (None, None)]
     df = spark.createDataFrame([(d, t, "en", "clash", 1) for d, t in rows], SCHEMA)
     out = nj.keep_one(df)
     assert out.columns == df.columns
-    assert sorted((r["doc_id"] for r in out.collect()), key=repr) == [1, 2, 4, None]
+    assert sorted((r["doc_id"] for r in out.collect()), key=repr) == [1, 2, 2, 4, 6, None, None]
+    assert sorted(r["text"] for r in out.collect() if r["doc_id"] == 2) == ["other words of the same id", "q r s t u"]
 
 
 def test_sketch_distance_never_exceeds_the_symmetric_difference():
@@ -114,6 +115,56 @@ def test_sketch_distance_never_exceeds_the_symmetric_difference():
             assert set(bands.sketch(x, band).tolist()) & set(bands.sketch(y, band).tolist())
 
 
+def test_hamming_distance_rules_out_no_link_and_most_others():
+    rnd = random.Random(4)
+    bands = nj.Bands()
+    killed = 0
+    for _ in range(300):
+        n = rnd.randint(1, 400)
+        a = [rnd.randrange(10**6) for _ in range(n)]
+        b = [x if rnd.random() > rnd.choice([0.01, 0.1]) else rnd.randrange(10**6) for x in a] + [rnd.randrange(10**6) for _ in range(rnd.choice([0, n // 10]))]
+        x, y = (nj.shingles(" ".join(map(str, s))) for s in (a, b))
+        common = len(set(x.tolist()) & set(y.tolist()))
+        within = bands.within(nj.read_bits(bands.bits(x)), nj.read_bits(bands.bits(y)))
+        if bands.linked(common, len(x), len(y)):
+            assert within
+        elif common < 0.7 * (len(x) + len(y) - common) and n > 20:
+            killed += not within
+            assert not within
+    assert killed > 20
+
+
+def test_a_group_of_many_sets_that_share_most_words_makes_no_pairs(spark):
+    rnd = random.Random(6)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(400):  # each with a run of words of its own, too long for a link
+        at = rnd.randrange(0, 120)
+        rows.append((i, " ".join(base[:at] + [f"own{i}_{j}" for j in range(22)] + base[at:])))
+    df = spark.createDataFrame([(d, t, "en", "clash", 1) for d, t in rows], SCHEMA)
+    bands = nj.Bands()
+    texts = df.selectExpr("doc_id as node", "text")
+    alone = df.selectExpr("doc_id as node", "doc_id as component")
+    assert nj._crossing(alone, texts, bands.percent).count() == 0
+    assert run(spark, rows) == brute(rows)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_crossing_alone_finds_every_link(spark, seed):
+    rnd = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(300)]
+    rows = []
+    for _ in range(12):
+        base = [rnd.choice(vocabulary) for _ in range(rnd.choice([3, 5, 12, 40, 150]))]
+        rows += [(len(rows) + i, " ".join(edited(rnd, base, vocabulary, 0.01) + [rnd.choice(vocabulary) for _ in range(rnd.randint(0, 3))])) for i in range(10)]
+    df = spark.createDataFrame([(d, t, "en", "clash", 1) for d, t in rows], SCHEMA)
+    sets = {d: brute_sets(t) for d, t in rows}
+    links = {(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    found = {(r["a"], r["b"]) for r in nj._crossing(df.selectExpr("doc_id as node", "doc_id as component"), df.selectExpr("doc_id as node", "text"), 80, per_key=3).collect()}
+    assert links <= found
+    assert len(links) > 50
+
+
 @pytest.mark.parametrize("kind", ["path", "star", "random"])
 def test_components(spark, kind):
     rnd = random.Random(7)

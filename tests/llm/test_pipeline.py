@@ -75,4 +75,4 @@ def test_stages_take_odd_rows_and_clashing_columns(spark, tmp_path):
         for k in range(3):
             docs = stage_rows(spark, docs, k, f"{tmp_path}/{n}")
             assert docs.columns == [c.split()[0] for c in schema.split(", ")]
-        assert stage_rows(spark, docs, 3, f"{tmp_path}/{n}").count() == docs.count() == (6 if data else 0)
+        assert stage_rows(spark, docs, 3, f"{tmp_path}/{n}").count() == docs.count() == (4 if data else 0)
