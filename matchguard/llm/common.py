@@ -12,6 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
 
@@ -64,6 +65,25 @@ def is_empty(df: DataFrame) -> bool:
     return not df.head(1)
 
 
+def join_spread(rows: DataFrame, side: DataFrame, key: str, spread: str, share: int = 10_000) -> DataFrame:
+    """``rows`` left-joined with ``side``, which holds a key once, without one task for a frequent key.
+
+    Keys that more than one in ``share`` rows hold, fewer than ``share`` of them,
+    meet their value by broadcast; their rows, and those without a key, are dealt
+    by ``spread``.
+    """
+    values = [c for c in side.columns if c != key]
+    total = rows.count()
+    often = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col(key).isNotNull() & (F.col("_n") * share > total)).select(key)
+    hot = often.join(side, key, "left").select(F.col(key).alias("_hot"), *(F.col(v).alias(f"_hot_{v}") for v in values))
+    met = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+    alone = F.col(key).isNull() | F.col("_hot").isNotNull()
+    dealt = met.withColumn("_at", F.when(alone, F.xxhash64(spread)).otherwise(F.col(key))).withColumn("_alone", alone)
+    cold = side.select(F.col(key).alias("_cold"), *(F.col(v).alias(f"_cold_{v}") for v in values))
+    out = dealt.join(cold, (F.col("_at") == F.col("_cold")) & ~F.col("_alone"), "left")
+    return out.select(*rows.columns, *(F.coalesce(f"_hot_{v}", f"_cold_{v}").alias(v) for v in values))
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to at most ``rows`` rows, which bounds a task's Python memory."""
     for batch in batches:

@@ -13,12 +13,12 @@ that most sets share (passages found in many documents). Two sets that link
 still have an equal word among the rest: sorted the other way round, the first
 m - slack words of both must meet (prefix filter).
 
-A group's smallest set is compared with each other one, which grows with the
-group and not with its square: first by the Hamming distance of dense bit
+A set is compared with three at most of its groups' smallest sets, those it meets
+most often, which grows with the sets and not with a square: first by the Hamming distance of dense bit
 sketches (every shingle flips one bit), then, if that is small enough, by the
 texts. Sets of groups that still hold several components after that meet once
-more, by the places of their rarest shingles (``_crossing``), which loses no
-link and leaves pairs near the threshold only.
+more, by the places of their rarest shingles and again by Hamming distance
+(``_crossing``), which loses no link; only pairs near the threshold come out.
 
 Equal sets have one node, the hash of the set, so copies cost one comparison.
 
@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, is_empty, materialize, slices
+from .common import discard, is_empty, join_spread, materialize, slices
 from .components import components
 
 WORDS = 5
@@ -287,9 +287,9 @@ def _met(pairs: DataFrame, payloads: DataFrame, read: Callable, passes: Callable
     return rows.mapInArrow(_meeting(read, passes), "a long, b long")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, bands: Bands, per_task: int = 2_000) -> DataFrame:
-    """The pairs (a, b) of nodes that link: by Hamming distance of their bit sketches, then by their texts."""
-    near = materialize(_met(pairs, texts.select("node", "bits"), read_bits, bands.within, 10 * per_task), "ngram-near")
+def verified(pairs: DataFrame, texts: DataFrame, bands: Bands, per_task: int = 2_000, sketched: bool = False) -> DataFrame:
+    """The pairs (a, b) of nodes that link: by Hamming distance of their bit sketches (unless ``sketched``), then by their texts."""
+    near = pairs if sketched else materialize(_met(pairs, texts.select("node", "bits"), read_bits, bands.within, 10 * per_task), "ngram-near")
     return _met(near, texts.select("node", "text"), shingles, functools.partial(_exact, bands), per_task)
 
 
@@ -316,10 +316,15 @@ def _mixed(members: DataFrame, comps: DataFrame) -> DataFrame:
     return materialize(named.join(keys, "key", "left_semi").groupBy("node").agg(F.first("component").alias("component")), "ngram-mixed")
 
 
-def _stars(members: DataFrame) -> DataFrame:
-    """Each group's smallest node with its other members."""
+def _stars(members: DataFrame, centres: int = 3) -> DataFrame:
+    """Each node with those of its groups' smallest nodes that it meets in most groups, ``centres`` of them at most.
+
+    This only joins what is plainly alike; the pairs left out meet in ``_crossing``.
+    """
     centre = members.groupBy("key").agg(F.min("node").alias("a"))
-    return members.join(centre, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    met = members.join(centre, "key").where("node <> a").groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("words"))
+    best = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("words"), "a"))
+    return met.withColumn("at", best).where(F.col("at") <= centres).select("a", "b")
 
 
 def _texts(bands: Bands) -> Callable:
@@ -333,23 +338,21 @@ def _texts(bands: Bands) -> Callable:
 
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 64):
-        for node, component, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for node, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             s = shingles(text).astype(np.int64)
             same = lambda x: pa.array(np.full(len(s), x, np.int64))  # noqa: B023, E731
-            yield pa.RecordBatch.from_arrays([same(node), same(component), same(len(s)), pa.array(s)], names=["node", "component", "n", "shingle"])
+            yield pa.RecordBatch.from_arrays([same(node), same(len(s)), pa.array(s)], names=["node", "n", "shingle"])
 
 
-def _crossing(mixed: DataFrame, texts: DataFrame, percent: int, per_key: int = 1 << 16) -> DataFrame:
-    """Pairs (a, b) of ``mixed`` nodes in different components that may still link.
+def _placed(mixed: DataFrame, texts: DataFrame, percent: int, per_tile: int) -> DataFrame:
+    """``shingle, node, n, most, parts``: the shingles at which a set may meet a partner, and the largest size of one.
 
     A set's shingles stand in one order for all sets, those that fewest of the
     sets hold first. The first shingle that two linked sets share has at least
     their common count at or after it in both; from its place in each set
-    follows the largest size of a partner. Sets that meet at a shingle too late
-    for either one's size are no pair, and a copy with many words of its own
-    meets nobody. The join by shingle is dealt to tasks by ``per_key`` holders.
+    follows the largest size of a partner there.
     """
-    rows = mixed.join(texts.select("node", "text"), "node").select("node", "component", "text").mapInArrow(_shingle_rows, "node long, component long, n long, shingle long")
+    rows = mixed.join(texts.select("node", "text"), "node").select("node", "text").mapInArrow(_shingle_rows, "node long, n long, shingle long")
     held = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     each = Window.partitionBy("node")
     placed = (
@@ -357,13 +360,91 @@ def _crossing(mixed: DataFrame, texts: DataFrame, percent: int, per_key: int = 1
         .withColumn("left", F.lit(1) - F.row_number().over(each.orderBy("df", "shingle")) + F.count("*").over(each))
         .where(F.col("left") * 100 >= F.col("n") * percent)
         .withColumn("most", F.floor(F.col("left") * (100 + percent) / F.lit(percent)) - F.col("n"))
-        .withColumn("parts", F.ceil(F.col("df") / per_key).cast("int"))
+        .withColumn("parts", F.ceil(F.col("df") / per_tile).cast("int"))
     )
-    placed = materialize(placed.select("shingle", "node", "component", "n", "most", "parts"), "ngram-placed")
-    small = placed.where("most >= n").select("shingle", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.col("node").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("most").alias("mx"))
-    large = placed.select("shingle", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("salt"), "node", "component", "n", "most")
-    met = small.join(large, (small.shingle == large.shingle) & (small.salt == large.salt) & (F.col("cx") != F.col("component")) & (F.col("nx") <= F.col("n")) & (F.col("n") <= F.col("mx")) & (F.col("nx") <= F.col("most")) & ((F.col("nx") < F.col("n")) | (F.col("x") < F.col("node"))))
-    return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    return materialize(placed.select("shingle", "node", "n", "most", "parts"), "ngram-placed")
+
+
+def _differences(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Hamming distances of pairs of sketches, the longer one of each folded to the other's length."""
+    out = np.zeros(len(x), np.int64)
+    lengths = np.array([(min(len(a), len(b))) for a, b in zip(x, y, strict=True)])
+    for m in np.unique(lengths):
+        at = np.flatnonzero(lengths == m)
+        step = max(1, (1 << 20) // int(m))
+        for k in range(0, len(at), step):
+            own = at[k : k + step]
+            folded = [np.stack([v if len(v) == m else np.bitwise_xor.reduce(v.reshape(-1, m), axis=0) for v in (side[i] for i in own)]) for side in (x, y)]
+            out[own] = np.bitwise_count(folded[0] ^ folded[1]).sum(1)
+    return out
+
+
+def _near(percent: int, best: bool) -> Callable:
+    """Tiles of rows, index side first, to pairs (a, b, far) of different components that places and sketches leave.
+
+    ``best`` keeps each probe's nearest only. Nothing else of a tile is given out.
+    """
+    kinds = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("far", pa.float64())])
+
+    def compare(members: list, probes: list) -> pa.RecordBatch | None:
+        if not members or not probes:
+            return None
+        node, comp, n, most = (np.array([r[i] for r in members], np.int64) for i in (5, 6, 7, 8))
+        q_node, q_comp, q_n, q_most = (np.array([r[i] for r in probes], np.int64) for i in (5, 6, 7, 8))
+        open_ = (comp != q_comp[:, None]) & (n <= q_n[:, None]) & (q_n[:, None] <= most) & (n <= q_most[:, None])
+        open_ &= (n < q_n[:, None]) | (node < q_node[:, None])
+        q, m = np.nonzero(open_)
+        if not len(q):
+            return None
+        sketch = {r[5]: read_bits(r[9])[1] for rows in (members, probes) for r in rows}
+        both = n[m] + q_n[q]
+        apart = _differences([sketch[i] for i in node[m].tolist()], [sketch[i] for i in q_node[q].tolist()])
+        near = apart * (100 + percent) <= (100 - percent) * both
+        q, m, far = q[near], m[near], (apart / both)[near]
+        if best and len(q):
+            order = np.lexsort((node[m], far, q))
+            q, m, far = q[order], m[order], far[order]
+            first = np.flatnonzero(np.diff(q, prepend=-1))
+            q, m, far = q[first], m[first], far[first]
+        return pa.RecordBatch.from_arrays([pa.array(node[m]), pa.array(q_node[q]), pa.array(far)], schema=kinds) if len(q) else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, members, probes = None, [], []
+        for batch in slices(batches, 1024):
+            # shingle, i, j, probe, (unused), node, component, n, most, bits
+            for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if r[:3] != tile or len(probes) * len(members) >= 1 << 22:
+                    out = compare(members, probes)
+                    if out is not None:
+                        yield out
+                    tile, members, probes = r[:3], members if r[:3] == tile else [], []
+                (probes if r[3] else members).append(r)
+        out = compare(members, probes)
+        if out is not None:
+            yield out
+
+    return run
+
+
+def _crossing(placed: DataFrame, mixed: DataFrame, texts: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Pairs (a, b) of ``mixed`` (node, component) in different components that may still link.
+
+    Sets that meet at a shingle too late for either one's size are no pair, and a
+    copy with many words of its own meets nobody; other pairs are compared by the
+    Hamming distance of their bit sketches where they meet, inside a task. Only
+    what may link comes out: for ``best`` one pair a set, else all. Shingles of
+    many sets are dealt to tiles, each of a part of either side.
+    """
+    rows = placed.join(mixed, "node").join(texts.select("node", "bits"), "node")
+    own, every = F.pmod(F.xxhash64("node"), "parts").cast("int"), F.sequence(F.lit(0), F.col("parts") - 1)
+    columns = ["shingle", "i", "j", "probe", F.lit(0).alias("unused"), "node", "component", "n", "most", "bits"]
+    index = rows.where("most >= n").withColumn("i", own).withColumn("j", F.explode(every)).withColumn("probe", F.lit(False)).select(*columns)
+    probe = rows.withColumn("j", own).withColumn("i", F.explode(every)).withColumn("probe", F.lit(True)).select(*columns)
+    tiles = index.unionByName(probe).repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "probe")
+    found = tiles.mapInArrow(_near(percent, best), "a long, b long, far double")
+    if best:
+        found = found.groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _release(spark) -> None:
@@ -384,7 +465,7 @@ def document_sets(docs: DataFrame, bands: Bands) -> DataFrame:
     return materialize(_named(docs).mapInArrow(_nodes(bands), "doc_id long, node long, n long, bare map<int,int>, th long"), "ngram-nodes")
 
 
-def set_links(docs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
+def set_links(docs: DataFrame, sets: DataFrame, bands: Bands, per_tile: int = 1 << 14) -> DataFrame:
     """``node, component`` for every set that links with another."""
     spark = docs.sparkSession
     named = _named(docs)
@@ -404,10 +485,15 @@ def set_links(docs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
     comps = components(links, "ngram-components")
     mixed = _mixed(kept, comps)
     if not is_empty(mixed):
-        more = materialize(links.unionByName(verified(_crossing(mixed, texts, bands.percent), texts, bands)), "ngram-links")
-        discard(links)
-        links = more
-        comps = components(links, "ngram-components")
+        placed = _placed(mixed, texts, bands.percent, per_tile)
+        for best in (True, False):  # each set's nearest first: what they join needs no other look
+            named = mixed.select("node").join(comps, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+            pairs = materialize(_crossing(placed, named, texts, bands.percent, best), "ngram-pairs")
+            more = materialize(links.unionByName(verified(pairs, texts, bands, sketched=True)), "ngram-links")
+            discard(links, pairs)
+            links = more
+            comps = components(links, "ngram-components")
+        discard(placed)
     discard(kept, texts, links, mixed)
     return comps
 
@@ -417,9 +503,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     bands = Bands(percent)
     sets = document_sets(docs, bands)
     comps = set_links(docs, sets, bands)
-    classed = sets.join(comps, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("class"))
+    classed = join_spread(sets.select("doc_id", "n", "node"), comps, "node", "doc_id").select("doc_id", "n", F.coalesce("component", "node").alias("class"))
     least = classed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    return classed.join(least, "class", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return join_spread(classed, least, "class", "doc_id").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -429,7 +515,7 @@ def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
     bands = Bands(percent)
     sets = document_sets(docs, bands)
     comps = set_links(docs, sets, bands)
-    classed = sets.join(comps, "node", "left").select("doc_id", "th", F.coalesce("component", "node").alias("class"))
+    classed = join_spread(sets.select("doc_id", "th", "node"), comps, "node", "doc_id").select("doc_id", "th", F.coalesce("component", "node").alias("class"))
     named = classed.where("class is not null").groupBy("class", "doc_id", "th").agg(F.count("*").alias("rows"))
     best = named.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "th", "rows")).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.th").alias("_th"), F.col("k.rows").alias("_rows"))
     bare = classed.where("class is null").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.lit(1).cast("long").alias("_rows")).distinct()

@@ -115,6 +115,14 @@ def test_sketch_distance_never_exceeds_the_symmetric_difference():
             assert set(bands.sketch(x, band).tolist()) & set(bands.sketch(y, band).tolist())
 
 
+def crossing(spark, df, per_tile, best=False):
+    """What the last step finds when every document is a component of its own."""
+    bands = nj.Bands()
+    texts = df.selectExpr("doc_id as node", "text").mapInArrow(nj._texts(bands), "node long, text string, bits binary")
+    alone = df.selectExpr("doc_id as node", "doc_id as component")
+    return {(r["a"], r["b"]) for r in nj._crossing(nj._placed(alone, texts, 80, per_tile), alone, texts, 80, best).collect()}
+
+
 def test_hamming_distance_rules_out_no_link_and_most_others():
     rnd = random.Random(4)
     bands = nj.Bands()
@@ -142,10 +150,7 @@ def test_a_group_of_many_sets_that_share_most_words_makes_no_pairs(spark):
         at = rnd.randrange(0, 120)
         rows.append((i, " ".join(base[:at] + [f"own{i}_{j}" for j in range(22)] + base[at:])))
     df = spark.createDataFrame([(d, t, "en", "clash", 1) for d, t in rows], SCHEMA)
-    bands = nj.Bands()
-    texts = df.selectExpr("doc_id as node", "text")
-    alone = df.selectExpr("doc_id as node", "doc_id as component")
-    assert nj._crossing(alone, texts, bands.percent).count() == 0
+    assert crossing(spark, df, per_tile=1 << 14) == set()
     assert run(spark, rows) == brute(rows)
 
 
@@ -160,7 +165,10 @@ def test_crossing_alone_finds_every_link(spark, seed):
     df = spark.createDataFrame([(d, t, "en", "clash", 1) for d, t in rows], SCHEMA)
     sets = {d: brute_sets(t) for d, t in rows}
     links = {(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
-    found = {(r["a"], r["b"]) for r in nj._crossing(df.selectExpr("doc_id as node", "doc_id as component"), df.selectExpr("doc_id as node", "text"), 80, per_key=3).collect()}
+    found = crossing(spark, df, per_tile=3)
+    assert found == crossing(spark, df, per_tile=1 << 14)
+    nearest = crossing(spark, df, per_tile=3, best=True)
+    assert nearest <= found and {x for p in nearest for x in p} == {x for p in found for x in p}
     assert links <= found
     assert len(links) > 50
 
