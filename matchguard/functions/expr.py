@@ -11,13 +11,17 @@ NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 INTEGER = r"^[+-]?\d+$"
 
 
+#: The characters that Unicode calls white space.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def trimmed(c: Column | str) -> Column:
     """Without leading and trailing white space, Unicode included; null becomes empty."""
-    return F.regexp_replace(F.coalesce(col(c), F.lit("")), r"(?U)^\s+|\s+$", "")
+    return F.btrim(F.coalesce(col(c), F.lit("")), F.lit(WHITE_SPACE))
 
 
 def sha256(c: Column | str) -> Column:
@@ -42,17 +46,45 @@ def is_rfc3339(c: Column | str) -> Column:
     return F.coalesce(col(c).rlike(RFC3339), F.lit(False)) & F.try_to_timestamp(col(c)).isNotNull()
 
 
-def parse_double(c: Column | str) -> Column:
-    """Plain decimal notation only; null for all else, so "4d" and "NaN" are no numbers."""
-    t = trimmed(c)
+def number(t: Column) -> Column:
+    """A trimmed text in plain decimal notation; null for all else, so "4d" and "NaN" are no numbers."""
     return F.when(t.rlike(NUMBER), t.try_cast("double"))
 
 
-def parse_long(c: Column | str) -> Column:
-    t = trimmed(c)
+def whole(t: Column) -> Column:
     return F.when(t.rlike(INTEGER), t.try_cast("bigint"))
 
 
+def parse_double(c: Column | str) -> Column:
+    return number(trimmed(c))
+
+
+def parse_long(c: Column | str) -> Column:
+    return whole(trimmed(c))
+
+
+def base64(c: Column | str) -> Column:
+    """One line, whatever the session says of long ones."""
+    return F.translate(F.base64(col(c)), "\r\n", "")
+
+
+def slug(c: Column | str) -> Column:
+    """A dataset's name as one path part: trimmed, "/" as "-"."""
+    return F.replace(trimmed(c), F.lit("/"), F.lit("-"))
+
+
+def rfc3339(ts: Column) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssXXX")
+
+
+def any_of(*conditions: Column) -> Column:
+    """True if a condition is; null counts as false."""
+    out = F.lit(False)
+    for c in conditions:
+        out = out | F.coalesce(c, F.lit(False))
+    return out
+
+
 def reasons(*rules: tuple[Column, str | Column]) -> Column:
     """Codes of all rules whose condition is true, in order."""
     made = [F.when(F.coalesce(bad, F.lit(False)), F.lit(code) if isinstance(code, str) else code) for bad, code in rules]

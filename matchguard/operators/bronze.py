@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.expr import rfc3339
 
 _KILL = ["killer_name", "victim_name", "killer_placement", "victim_placement", "killer_position_x", "killer_position_y", "victim_position_x", "victim_position_y", "event_time_seconds", "weapon"]
 
@@ -51,7 +52,7 @@ def batch_id(offsets: DataFrame, by: list[str] | None = None) -> DataFrame:
     return offsets.groupBy(*(by or [])).agg(F.sha2(offsets_key(entries), 256).alias("batch_id"))
 
 
-def batch_manifest(messages: DataFrame, path: Column | None = None, checksum: Column | None = None, now: Column | None = None, by: list[str] | None = None) -> DataFrame:
+def batch_manifest(messages: DataFrame, path: Column | None = None, checksum: Column | None = None, now: Column | None = None, by: list[str] | None = None, topic: Column | str = "pubg.v1.player-stat.raw") -> DataFrame:
     """One audit row a batch from message rows with partition, offset, status, duplicate.
 
     ``status`` is valid, invalid or malformed; valid counts before deduplication.
@@ -62,14 +63,20 @@ def batch_manifest(messages: DataFrame, path: Column | None = None, checksum: Co
         F.count_if(F.col("status") == "invalid").alias("i"), F.count_if((F.col("status") == "valid") & F.col("duplicate")).alias("d"),
     )
     entries = F.collect_list(F.struct("partition", "min_offset", "max_offset"))
-    return per.groupBy(*by).agg(F.sum("n").alias("total_records_read"), F.sum("v").alias("valid_records"), F.sum("i").alias("invalid_records"), F.sum("d").alias("duplicate_records"), entries.alias("_e")).select(
-        *by, F.sha2(offsets_key(F.col("_e")), 256).alias("batch_id"), "total_records_read", "valid_records", "invalid_records", "duplicate_records",
+    return per.groupBy(*by).agg(F.sum("n").alias("total_records_read"), F.sum("v").alias("valid_records_count"), F.sum("i").alias("invalid_records_count"), F.sum("d").alias("duplicate_records_count"), entries.alias("_e")).select(
+        *by, F.sha2(offsets_key(F.col("_e")), 256).alias("batch_id"), (F.lit(topic) if isinstance(topic, str) else topic).alias("source_topic"),
         F.map_from_entries(F.transform(F.array_sort("_e"), lambda x: F.struct(x["partition"].cast("int"), F.struct(x["min_offset"].cast("bigint").alias("min_offset"), x["max_offset"].cast("bigint").alias("max_offset"))))).alias("partition_offsets"),
+        "total_records_read", "valid_records_count", "invalid_records_count", "duplicate_records_count",
         (F.lit(None).cast("string") if path is None else path).alias("data_object_path"), (F.lit(None).cast("string") if checksum is None else checksum).alias("checksum_sha256"),
-        (F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX") if now is None else now).alias("created_at"),
+        (rfc3339(F.current_timestamp()) if now is None else now).alias("processing_timestamp"),
     )
 
 
 def contract_manifest(manifests: DataFrame) -> DataFrame:
-    """The contract's form: one row for each partition of a batch."""
-    return manifests.select("batch_id", F.explode("partition_offsets").alias("partition", "o"), "total_records_read", "valid_records", "invalid_records").select("batch_id", "partition", F.col("o.min_offset").alias("start_offset"), F.col("o.max_offset").alias("end_offset"), "total_records_read", "valid_records", "invalid_records")
+    """The contract's form: one row for each partition of a batch; the counts are the batch's."""
+    each = manifests.select("*", F.explode("partition_offsets").alias("kafka_partition", "o"))
+    return each.select(
+        "batch_id", "source_topic", "kafka_partition", F.col("o.min_offset").alias("first_offset"), F.col("o.max_offset").alias("last_offset"), F.col("total_records_read").alias("record_count"),
+        F.col("valid_records_count").alias("valid_record_count"), F.col("invalid_records_count").alias("invalid_record_count"), F.col("duplicate_records_count").alias("duplicate_record_count"),
+        F.col("data_object_path").alias("data_object"), F.col("checksum_sha256").alias("checksum"), F.lit("completed").alias("status"), F.col("processing_timestamp").alias("processed_at"),
+    )

@@ -81,10 +81,12 @@ def _outcome(action: str, priority: str, reason: Column | str, rule: str, versio
 
 def heuristic_rules(teleport: Column, kills: Column, burst: Column, streak: Column) -> Column:
     """D-6: the first heuristic that holds, or null."""
+    single = lambda c: (c if isinstance(c, Column) else F.lit(c)).cast("float")  # noqa: E731  features and bounds are single precision
+    teleport, kills, burst, streak = (single(c) for c in (teleport, kills, burst, streak))
     ban = lambda rule, text: _outcome("PERMANENT_BAN", "CRITICAL", text, rule, HEURISTIC_VERSION)
     return (
-        F.when(teleport > TELEPORT, ban("heuristic_teleport_hack", "impossible movement"))
-        .when((kills >= BURST_KILLS) & (burst > 0) & (burst < BURST_WINDOW), ban("heuristic_burst_kill", "kills within an impossible time"))
+        F.when(teleport > single(TELEPORT), ban("heuristic_teleport_hack", "impossible movement"))
+        .when((kills >= BURST_KILLS) & (burst > 0) & (burst < BURST_WINDOW), ban("heuristic_burst_aimbot", "kills within an impossible time"))
         .when(streak >= HEADSHOT_STREAK, ban("heuristic_headshot_streak", "impossible headshot streak"))
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.expr import base64
 
 
 def classify_payload(df: DataFrame, max_bytes: int = 1_048_576) -> DataFrame:
@@ -45,7 +46,7 @@ def parse_envelopes(df: DataFrame, max_bytes: int = 1_048_576) -> DataFrame:
 
 def malformed(parsed: DataFrame) -> DataFrame:
     """S10 rows: where the message was, why it is malformed, and its bytes."""
-    return parsed.where("kind = 'malformed'").select("topic", "partition", "offset", F.col("reject_reason").alias("reason"), F.base64("value").alias("payload_base64"), F.sha2(F.coalesce("value", F.lit("").cast("binary")), 256).alias("payload_sha256"))
+    return parsed.where("kind = 'malformed'").select("topic", "partition", "offset", F.col("reject_reason").alias("reason"), base64("value").alias("payload_base64"), F.sha2(F.coalesce("value", F.lit("").cast("binary")), 256).alias("payload_sha256"))
 
 
 def envelopes(parsed: DataFrame) -> DataFrame:

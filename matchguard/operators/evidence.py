@@ -10,8 +10,8 @@ from .. import schemas as S
 #: Reference medians and median absolute deviations, in feature order.
 MEDIANS = [0.15, 120.0, 0.18, 100.0, 150.0, 200.0]
 MADS = [0.08, 45.0, 0.08, 30.0, 40.0, 80.0]
-#: The positional names, the normal-consistency factor and the least z of an item.
-POSITIONAL = ["kills_per_minute", "damage_per_minute", "headshot_ratio", "movement_per_minute", "damage_per_kill", "performance_vs_lobby"]
+#: The names in the same order, the normal-consistency factor and the least z of an item.
+POSITIONAL = S.EVIDENCE_FEATURES
 MAD_FACTOR, LEAST_Z, KEEP = 1.4826, 1.5, 2
 
 
@@ -21,18 +21,29 @@ def robust_z(x: Column, median: Column, mad: Column) -> Column:
     return F.try_divide(f(x) - f(median), f(mad) * F.lit(MAD_FACTOR).cast("float")).cast("float")
 
 
-def _item(name: str, x: Column, median: Column, mad: Column, i: int) -> Column:
-    z = robust_z(x, median, mad)
-    rounded = (F.round(z.cast("double"), 1)).cast("float")
-    reason = F.format_string(f"{name} %.2f against %.2f in the lobby (+%.1f sigma)", x.cast("double"), median.cast("double"), rounded.cast("double"))
-    return F.struct((-rounded).alias("order"), F.lit(i).alias("at"), F.lit(name).alias("feature"), x.cast("float").alias("value"), median.cast("float").alias("lobby_avg"), rounded.alias("z_score"), z.alias("z"), reason.alias("reason"))
+Item = tuple[str, Column, Column, Column]
 
 
-def top_evidence(items: list[Column], keep: int = KEEP) -> Column:
-    """Items with z over 1.5 by falling rounded z, ties in feature order, the first ``keep``."""
-    found = F.filter(F.array(*items), lambda e: e["z"] > LEAST_Z)
-    top = F.slice(F.array_sort(found), 1, keep) if keep else F.array_sort(found)
-    return F.transform(top, lambda e: F.struct(e["feature"].alias("feature"), e["value"].alias("value"), e["lobby_avg"].alias("lobby_avg"), e["z_score"].alias("z_score"), e["reason"].alias("reason")))
+def top_evidence(items: list[Item], keep: int = KEEP) -> Column:
+    """Items (name, value, median, MAD) with z over 1.5 by falling rounded z, ties in feature order, the first ``keep``.
+
+    Only numbers are sorted and cut; names and texts are made for the items that stay.
+    """
+    ten = F.lit(10.0).cast("float")
+    numbers = []
+    for i, (_, x, median, mad) in enumerate(items):
+        z = robust_z(x, median, mad)
+        rounded = (F.round(z * ten) / ten).cast("float")
+        numbers.append(F.when(z > LEAST_Z, F.struct((-rounded).alias("order"), F.lit(i).alias("at"), x.cast("float").alias("value"), median.cast("float").alias("lobby_avg"), z.alias("z"))))
+    found = F.array_sort(F.array_compact(F.array(*numbers)))
+    names = F.array(*(F.lit(name) for name, *_ in items))
+
+    def shown(e: Column) -> Column:
+        name = names[e["at"]]
+        reason = F.format_string("%s %.2f against %.2f in the lobby (+%.1f sigma)", name, e["value"].cast("double"), e["lobby_avg"].cast("double"), e["z"].cast("double"))
+        return F.struct(name.alias("feature"), e["value"].alias("value"), e["lobby_avg"].alias("lobby_avg"), (-e["order"]).alias("z_score"), reason.alias("reason"))
+
+    return F.transform(F.slice(found, 1, keep) if keep else found, shown)
 
 
 def evidence(named: dict[str, Column] | None = None, positional: Column | None = None, keep: int = KEEP) -> Column:
@@ -41,15 +52,15 @@ def evidence(named: dict[str, Column] | None = None, positional: Column | None =
         if positional is None:
             raise ValueError("give named features or an array")
         named = {n: F.get(positional, F.lit(i)) for i, n in enumerate(POSITIONAL)}
-    items = [_item(n, named[n], F.lit(m), F.lit(d), i) for i, (n, m, d) in enumerate(zip(POSITIONAL, MEDIANS, MADS, strict=True)) if n in named]
+    items = [(n, named[n], F.lit(m), F.lit(d)) for n, m, d in zip(POSITIONAL, MEDIANS, MADS, strict=True) if n in named]
     return top_evidence(items, keep)
 
 
 def evidence_from_lobby(df: DataFrame, cols: list[str] | None = None, keep: int = KEEP) -> DataFrame:
-    """D-5: medians and MADs of each match, in two grouped passes."""
-    cols = S.EVIDENCE_FEATURES if cols is None else cols
+    """D-5: medians and MADs of each match, in two grouped passes. ``cols`` defaults to the rate features' columns."""
+    cols = [S.EVIDENCE_COLUMNS.get(c, c) for c in S.EVIDENCE_FEATURES] if cols is None else cols
     medians = df.groupBy("match_id").agg(*(F.percentile(c, F.lit(0.5)).alias(f"_m_{c}") for c in cols))
     with_m = df.join(medians, "match_id")
     mads = with_m.groupBy("match_id").agg(*(F.percentile(F.abs(F.col(c) - F.col(f"_m_{c}")), F.lit(0.5)).alias(f"_d_{c}") for c in cols))
-    items = [_item(c, F.col(c), F.col(f"_m_{c}"), F.col(f"_d_{c}"), i) for i, c in enumerate(cols)]
+    items = [(c, F.col(c), F.col(f"_m_{c}"), F.col(f"_d_{c}")) for c in cols]
     return with_m.join(mads, "match_id").withColumn("evidence", top_evidence(items, keep)).drop(*(f"_{k}_{c}" for k in "md" for c in cols))

@@ -14,10 +14,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from .ranks import before, dealt, percentiles, ranked
 from .reports import unprocessed_files
 from .scoring import THRESHOLDS, check_thresholds
 from .validate import finite_features, labeled_rows
@@ -27,7 +28,8 @@ def group_split(df: DataFrame, group: str = "match_id", test_share: float = 0.2,
     """No group on both sides; the test side has ceil(share) of the groups, by a hash of their id."""
     groups = df.select(group).distinct()
     n = math.ceil(groups.count() * test_share)
-    test = groups.orderBy(F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(group).cast("string")), 256), group).limit(n)
+    hashed = groups.withColumn("_h", F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(group).cast("string")), 256))
+    test = ranked(hashed, ["_h", group], "_rank").where(F.col("_rank") <= n).select(group)
     return df.join(test, group, "left_anti"), df.join(test, group, "left_semi")
 
 
@@ -52,13 +54,10 @@ def classification_metrics(df: DataFrame, score: str = "score", label: str = "la
     """
     y, p = F.col(label).cast("int") == 1, F.col(score) >= threshold
     by = df.groupBy(F.col(score).cast("double").alias("s")).agg(F.count("*").alias("n"), F.count_if(y).alias("pos"), F.count_if(p & y).alias("tp"), F.count_if(p & ~y).alias("fp"), F.count_if(~p & y).alias("fn"))
-    dealt = by.repartitionByRange(F.desc("s")).withColumn("part", F.spark_partition_id())
-    totals = dealt.groupBy("part").agg(F.sum("n").alias("pn"), F.sum("pos").alias("pp"))
-    earlier = totals.select(F.col("part").alias("q"), F.col("pn").alias("qn"), F.col("pp").alias("qp"))
-    # one row a partition on both sides
-    before = totals.join(F.broadcast(earlier), F.col("q") < F.col("part"), "left").groupBy("part").agg(F.coalesce(F.sum("qn"), F.lit(0)).alias("bn"), F.coalesce(F.sum("qp"), F.lit(0)).alias("bp"))
-    run = Window.partitionBy("part").orderBy(F.desc("s"))
-    at = dealt.join(F.broadcast(before), "part").withColumns({"cn": F.sum("n").over(run) + F.col("bn"), "cp": F.sum("pos").over(run) + F.col("bp")})
+    rows = dealt(by, [F.desc("s")])
+    first = before(rows, {"bn": F.sum("n"), "bp": F.sum("pos")})
+    run = Window.partitionBy("_part").orderBy(F.desc("s"))
+    at = rows.join(F.broadcast(first), "_part").withColumns({"cn": F.sum("n").over(run) + F.col("bn"), "cp": F.sum("pos").over(run) + F.col("bp")})
     total = at.agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"), F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.sum(F.col("pos") * F.col("cp") / F.col("cn")).alias("weighted"))
     d = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
     precision, recall = d(F.col("tp"), F.col("tp") + F.col("fp")), d(F.col("tp"), F.col("tp") + F.col("fn"))
@@ -66,19 +65,15 @@ def classification_metrics(df: DataFrame, score: str = "score", label: str = "la
 
 
 def anomaly_score_summary(df: DataFrame, score: str = "anomaly_score") -> DataFrame:
-    """A23."""
-    return df.agg(F.percentile(score, F.lit(0.05)).alias("p05"), F.avg(score).alias("mean"))
+    """The exact 5th percentile and the mean; one row, nulls without scores."""
+    mean = df.agg(F.avg(score).alias("mean"))
+    return mean.join(F.broadcast(percentiles(df, score, {"p05": 0.05})), how="left").select("p05", "mean")  # one row each
 
 
 def pseudo_labels(df: DataFrame, ids: list[str], score: str = "anomaly_score", share: float = 0.05) -> DataFrame:
-    """1 for the lowest max(1, round-half-even(n * share)) scores, ties by ids, else 0.
-
-    The k-th row is a cut-off found by a limit, so no window spans all rows.
-    """
+    """1 for the lowest max(1, round-half-even(n * share)) scores, ties by ids, else 0."""
     k = max(1, round(df.count() * share))
-    key = F.struct(F.col(score), *ids)
-    cut = df.select(key.alias("_key")).orderBy("_key").limit(k).agg(F.max("_key").alias("_cut"))
-    return df.join(F.broadcast(cut)).withColumn("pseudo_label", F.when(key <= F.col("_cut"), 1).otherwise(0)).drop("_cut")
+    return ranked(df, [score, *ids], "_rank").withColumn("pseudo_label", F.when(F.col("_rank") <= k, 1).otherwise(0)).drop("_rank")
 
 
 # -- isolation forest (M4) ---------------------------------------------------
@@ -114,18 +109,19 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple
 def isolation_forest_fit(df: DataFrame, cols: list[str] | None = None, trees: int = 100, sample: int = 256, contamination: float = 0.05, seed: int = 42) -> dict:
     """M4: trees on bounded random samples, grown in parallel, one group a tree.
 
-    Every row draws the trees whose sample it may join; a tree gets ``sample``
-    rows by a hash. The forest (at most trees * 2 * sample nodes) fits a broadcast.
+    Every row draws, by a hash of its values, the trees whose sample it may
+    join, so another partitioning or a repeated task draws the same; rows that
+    are equal draw alike. A tree gets ``sample`` rows. The forest (at most trees * 2 * sample nodes) fits a broadcast.
     """
     cols = S.FEATURES if cols is None else cols
-    ready = finite_features(df, cols, minimum=1).select(*cols)
+    ready = finite_features(df, cols, minimum=1)
     n = ready.count()
     rate = min(1.0, 4 * sample / n)
     # a row joins a tree with probability rate; only the trees that it joins are expanded
-    at = ready.withColumn("_row", F.monotonically_increasing_id())
+    at = ready.withColumn("_row", F.xxhash64(*ready.columns)).select(*cols, "_row")
     mine = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.pmod(F.xxhash64(F.lit(seed), t, F.col("_row")), F.lit(1_000_000)) < int(rate * 1_000_000))
     draws = at.withColumn("tree", F.explode(mine)).withColumn("r", F.xxhash64(F.lit(seed + 1), "tree", "_row"))
-    chosen = draws.withColumn("k", F.row_number().over(Window.partitionBy("tree").orderBy("r"))).where(F.col("k") <= sample)
+    chosen = draws.withColumn("k", F.row_number().over(Window.partitionBy("tree").orderBy("r", *cols))).where(F.col("k") <= sample)
     limit = math.ceil(math.log2(max(2, min(sample, n))))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -135,8 +131,8 @@ def isolation_forest_fit(df: DataFrame, cols: list[str] | None = None, trees: in
 
     rows = chosen.groupBy("tree").applyInPandas(grow, "tree long, nodes string").collect()
     forest = {"cols": cols, "sample": int(min(sample, n)), "trees": [json.loads(r["nodes"]) for r in sorted(rows, key=lambda r: r["tree"])], "offset": 0.0}
-    cut = isolation_forest_score(df, forest).agg(F.percentile("anomaly_score", F.lit(contamination)).alias("c")).head()["c"]
-    forest["offset"] = float(cut)
+    cut = isolation_forest_score(df, forest).select("anomaly_score")
+    forest["offset"] = float(percentiles(cut, "anomaly_score", {"c": contamination}).head()["c"])
     return forest
 
 
@@ -210,6 +206,11 @@ def model_version(event_id: str, checksum: str) -> str:
     return "v-" + hashlib.sha256(f"{event_id}|{checksum}".encode()).hexdigest()[:16]
 
 
+def version_of(event_id: str, checksum: str) -> Column:
+    """M7 as a column."""
+    return F.concat(F.lit("v-"), F.substring(F.sha2(F.concat_ws("|", event_id, checksum), 256), 1, 16))
+
+
 REQUIRED = ["feature_schema.json", "threshold_policy.json", "metrics.json", "training_manifest.json"]
 
 
@@ -256,13 +257,13 @@ def save_bundle(model: PipelineModel, metrics: dict, root: str, version: str, co
 
 def verify_bundle(spark: SparkSession, path: str) -> dict:
     """M9: every listed file is there with its checksum; returns the feature schema."""
-    text = spark.read.option("wholetext", True).text(f"{path}/checksums.json").head()[0]
+    text = spark.read.text(f"{path}/checksums.json", wholetext=True).head()[0]
     listed, held = json.loads(text), _files(spark, path)
     missing = [f for f in REQUIRED if f not in listed]
     wrong = [f for f, sha in listed.items() if held.get(f) != sha]
     if missing or wrong:
         raise ValueError(f"bundle {path}: missing {missing}, changed {wrong}")
-    schema = json.loads(spark.read.option("wholetext", True).text(f"{path}/feature_schema.json").head()[0])
+    schema = json.loads(spark.read.text(f"{path}/feature_schema.json", wholetext=True).head()[0])
     if not 1 <= len(schema["features"]) <= 128:
         raise ValueError("a bundle has 1 to 128 features")
     return schema

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.expr import finite, parse_double, parse_long, reasons, rfc3339_now, sha256, trimmed
+from ..functions.expr import any_of, finite, number, reasons, rfc3339_now, sha256, trimmed, whole
+from .ranks import ranked
 
-SYSTEM = {"source_file", "record_index"}
+SYSTEM = {"source_file", "source_path", "source_offset", "record_index"}
 _STAT_CELLS = {"damage_dealt": "damageDealt", "walk_distance": "walkDistance", "ride_distance": "rideDistance", "swim_distance": "swimDistance", "survival_duration": "matchDuration"}
 _KILL_CELLS = ["killer_position_x", "killer_position_y", "victim_position_x", "victim_position_y"]
 
@@ -25,32 +26,54 @@ def detect_schema(df: DataFrame) -> str:
     return "finish_placement" if names & {"winPlacePerc", "Id"} else "unknown"
 
 
-def with_record_index(df: DataFrame, file_col: str = "source_file") -> DataFrame:
+def with_record_index(df: DataFrame, file_col: str | None = None) -> DataFrame:
     """1-based row number in each file, in two passes and without a global window.
 
-    Spark's generated id grows with the place in the scan; a file's rows are
-    numbered by counts of its earlier partitions plus a count inside each.
+    Rows are numbered inside each block that the scan cut a file into (without
+    ``source_offset``: inside each task's part of it), after the rows of its
+    earlier blocks. ``file_col`` defaults to ``source_path``, else ``source_file``.
     """
-    at = df.withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", F.spark_partition_id())
-    inside = Window.partitionBy(file_col, "_part").orderBy("_id")
-    counts = at.groupBy(file_col, "_part").agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy(file_col).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    file_col = file_col or ("source_path" if "source_path" in df.columns else "source_file")
+    block = F.col("source_offset") if "source_offset" in df.columns else F.spark_partition_id()
+    at = df.withColumn("_id", F.monotonically_increasing_id()).withColumn("_block", block)
+    inside = Window.partitionBy(file_col, "_block").orderBy("_id")
+    counts = at.groupBy(file_col, "_block").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(file_col).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
     local = at.withColumn("_local", F.row_number().over(inside))
-    return local.join(before, [file_col, "_part"]).withColumn("record_index", F.col("_before") + F.col("_local")).drop("_id", "_part", "_local", "_before")
+    return local.join(before, [file_col, "_block"]).withColumn("record_index", F.col("_before") + F.col("_local")).drop("_id", "_block", "_local", "_before")
 
 
 def replay_slice(df: DataFrame, start: int = 1, limit: int = 0) -> DataFrame:
-    """Rows from ``start`` on, at most ``limit`` of them (0: all)."""
+    """Rows from ``start`` on, at most ``limit`` of them (0: all) by index and file; no task sees them all."""
     out = df.where(F.col("record_index") >= start)
-    return out.orderBy("record_index").limit(limit) if limit > 0 else out
+    if limit <= 0:
+        return out
+    by = ["record_index", *(["source_file"] if "source_file" in df.columns else [])]
+    return ranked(out, by, "_rank").where(F.col("_rank") <= limit).drop("_rank")
 
 
-def _cell(df: DataFrame, name: str) -> Column:
-    return trimmed(name) if name in df.columns else F.lit("")
+def _parsed(df: DataFrame, texts: list[str], wholes: list[str], numbers: list[str]) -> DataFrame:
+    """Every cell trimmed once (``_c_`` + name; a missing one is blank), then every number parsed once (``_v_`` + name)."""
+    cells = df.select("*", *((trimmed(f"`{c}`") if c in df.columns else F.lit("")).alias(f"_c_{c}") for c in (*texts, *wholes, *numbers)))
+    return cells.select("*", *(whole(F.col(f"_c_{c}")).alias(f"_v_{c}") for c in wholes), *(number(F.col(f"_c_{c}")).alias(f"_v_{c}") for c in numbers))
 
 
-def _bad(cell: Column, value: Column) -> Column:
-    return (cell != "") & value.isNull()
+def _cell(name: str) -> Column:
+    return F.col(f"_c_{name}")
+
+
+def _value(name: str) -> Column:
+    return F.col(f"_v_{name}")
+
+
+def _bad(name: str) -> Column:
+    return (_cell(name) != "") & _value(name).isNull()
+
+
+def _checked(rules: list[tuple[Column, str]]) -> list[Column]:
+    """``is_valid`` as a plain condition, so that valid rows need no list, and the list of ``errors``."""
+    return [(~any_of(*(bad for bad, _ in rules))).alias("is_valid"), reasons(*rules).alias("errors")]
 
 
 def _envelope(df: DataFrame, op: str, match: Column, player: Column, event: Column, payload: Column, dataset_id: str, kind: str, now: Column | None) -> list[Column]:
@@ -59,56 +82,54 @@ def _envelope(df: DataFrame, op: str, match: Column, player: Column, event: Colu
 
 
 def _raw(df: DataFrame) -> Column:
-    names = [c for c in df.columns if c not in SYSTEM]
+    names = [c for c in df.columns if c not in SYSTEM and not c.startswith(("_c_", "_v_"))]
     return F.map_from_arrays(F.array(*(F.lit(c) for c in names)), F.array(*(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in names))).alias("raw_fields")
 
 
 def normalize_player_stats(df: DataFrame, dataset_id: str, now: Column | None = None) -> DataFrame:
-    """Envelope columns, ``errors`` and ``raw_fields`` of every finish-placement row."""
-    match, player = _cell(df, "matchId"), _cell(df, "Id")
+    """Envelope columns, ``is_valid``, ``errors`` and ``raw_fields`` of every finish-placement row."""
+    df = _parsed(df, ["matchId", "Id"], ["kills", "headshotKills"], [*_STAT_CELLS.values(), "winPlacePerc"])
+    match, player = _cell("matchId"), _cell("Id")
     rules: list[tuple[Column, str]] = [(match == "", "match_id_blank"), (player == "", "player_id_blank")]
-    kills, heads = parse_long(_cell(df, "kills")), parse_long(_cell(df, "headshotKills"))
-    k, h = F.coalesce(kills, F.lit(0)), F.coalesce(heads, F.lit(0))
-    rules += [(_bad(_cell(df, "kills"), kills), "kills_invalid"), (k < 0, "kills_negative"), (_bad(_cell(df, "headshotKills"), heads), "headshot_kills_invalid"), (h < 0, "headshot_kills_negative"), ((h >= 0) & (h > k), "headshot_kills_over_kills")]
+    k, h = F.coalesce(_value("kills"), F.lit(0)), F.coalesce(_value("headshotKills"), F.lit(0))
+    rules += [(_bad("kills"), "kills_invalid"), (k < 0, "kills_negative"), (_bad("headshotKills"), "headshot_kills_invalid"), (h < 0, "headshot_kills_negative"), ((h >= 0) & (h > k), "headshot_kills_over_kills")]
     values: dict[str, Column] = {"kills": k, "headshot_kills": h}
     for name, cell in _STAT_CELLS.items():
-        v = parse_double(_cell(df, cell))
+        v = _value(cell)
         values[name] = F.coalesce(v, F.lit(0.0))
-        rules += [(_bad(_cell(df, cell), v), f"{name}_invalid"), (values[name] < 0, f"{name}_negative"), (~finite(v), f"{name}_non_finite")]
-    win = parse_double(_cell(df, "winPlacePerc"))
-    rules += [(_bad(_cell(df, "winPlacePerc"), win), "win_place_perc_invalid"), ((win < 0) | (win > 1), "win_place_perc_out_of_range")]
+        rules += [(_bad(cell), f"{name}_invalid"), (v < 0, f"{name}_negative"), (~finite(v), f"{name}_non_finite")]
+    win = _value("winPlacePerc")
+    rules += [(_bad("winPlacePerc"), "win_place_perc_invalid"), ((win < 0) | (win > 1), "win_place_perc_out_of_range")]
     payload = F.struct(*(values[c].alias(c) for c in ("kills", "damage_dealt", "headshot_kills", "walk_distance", "ride_distance", "swim_distance", "survival_duration")), win.alias("win_place_perc"))
     event = F.concat_ws(":", F.col("source_file"), match, F.col("record_index").cast("string"), player)
-    return df.select(*_envelope(df, S.OP_MATCH_SUMMARY, match, player, event, payload, dataset_id, "finish_placement", now), reasons(*rules).alias("errors"), _raw(df))
+    return df.select(*_envelope(df, S.OP_MATCH_SUMMARY, match, player, event, payload, dataset_id, "finish_placement", now), *_checked(rules), _raw(df))
 
 
 def normalize_kill_events(df: DataFrame, dataset_id: str, now: Column | None = None, identity: str = "canonical") -> DataFrame:
-    """Envelope columns, ``errors`` and ``raw_fields`` of every kill row.
+    """Envelope columns, ``is_valid``, ``errors`` and ``raw_fields`` of every kill row.
 
     ``identity="reference"`` keeps killer and victim names raw in the payload;
     ``"canonical"`` hashes them like player ids, so they can be joined.
     """
-    match, killer, victim = (_cell(df, c) for c in ("match_id", "killer_name", "victim_name"))
+    places = ["killer_placement", "victim_placement"]
+    df = _parsed(df, ["match_id", "killer_name", "victim_name", "killed_by"], places, [*_KILL_CELLS, "time"])
+    df = df.withColumns({f"_v_{c}": _value(c).try_cast("int") for c in places})  # whole numbers only: "4.0" is an error
+    match, killer, victim = (_cell(c) for c in ("match_id", "killer_name", "victim_name"))
     rules: list[tuple[Column, str]] = [(match == "", "match_id_blank"), ((killer == "") & (victim == ""), "killer_and_victim_blank")]
-    values: dict[str, Column] = {}
-    for name in ("killer_placement", "victim_placement"):  # whole numbers only: "4.0" is an error
-        v = parse_long(_cell(df, name))
-        values[name] = v.try_cast("int")
-        rules.append((_bad(_cell(df, name), values[name]), f"{name}_invalid"))
+    rules += [(_bad(name), f"{name}_invalid") for name in places]
     for name in _KILL_CELLS:
-        values[name] = parse_double(_cell(df, name))
-        rules += [(_bad(_cell(df, name), values[name]), f"{name}_invalid"), (~finite(values[name]), f"{name}_non_finite")]
-    time = parse_double(_cell(df, "time"))
-    rules += [(_bad(_cell(df, "time"), time), "time_invalid"), (time < 0, "time_negative"), (~finite(time), "time_non_finite")]
+        rules += [(_bad(name), f"{name}_invalid"), (~finite(_value(name)), f"{name}_non_finite")]
+    time = _value("time")
+    rules += [(_bad("time"), "time_invalid"), (time < 0, "time_negative"), (~finite(time), "time_non_finite")]
     name_of = (lambda c: sha256(F.nullif(c, F.lit("")))) if identity == "canonical" else (lambda c: F.nullif(c, F.lit("")))
     payload = F.struct(
         sha256(match).alias("match_id"), name_of(killer).alias("killer_name"), name_of(victim).alias("victim_name"),
-        *(values[c].alias(c) for c in ("killer_placement", "victim_placement", *_KILL_CELLS)),
-        time.alias("event_time_seconds"), F.nullif(_cell(df, "killed_by"), F.lit("")).alias("weapon"),
+        *(_value(c).alias(c) for c in (*places, *_KILL_CELLS)),
+        time.alias("event_time_seconds"), F.nullif(_cell("killed_by"), F.lit("")).alias("weapon"),
     )
     player = F.when(killer != "", killer).otherwise(victim)
     event = F.concat_ws(":", F.col("source_file"), match, F.col("record_index").cast("string"), player, victim)
-    return df.select(*_envelope(df, S.OP_KILL_RAW, match, player, event, payload, dataset_id, "match_deaths", now), reasons(*rules).alias("errors"), _raw(df))
+    return df.select(*_envelope(df, S.OP_KILL_RAW, match, player, event, payload, dataset_id, "match_deaths", now), *_checked(rules), _raw(df))
 
 
 def normalize(df: DataFrame, dataset_id: str, now: Column | None = None, identity: str = "canonical") -> DataFrame:
@@ -119,15 +140,15 @@ def normalize(df: DataFrame, dataset_id: str, now: Column | None = None, identit
 
 def split_valid_invalid(df: DataFrame, failed_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Envelopes without errors; rejects with their raw fields and errors."""
-    good = df.where(F.size("errors") == 0).drop("errors", "raw_fields")
-    bad = df.where(F.size("errors") > 0).select(F.col("source.source_file").alias("source_file"), F.col("source.record_index").alias("record_index"), "raw_fields", F.col("errors").alias("validation_errors"), (rfc3339_now() if failed_at is None else failed_at).alias("failed_at"))
+    good = df.where("is_valid").drop("is_valid", "errors", "raw_fields")
+    bad = df.where("not is_valid").select(F.col("source.source_file").alias("source_file"), F.col("source.record_index").alias("record_index"), "raw_fields", F.col("errors").alias("validation_errors"), (rfc3339_now() if failed_at is None else failed_at).alias("failed_at"))
     return good, bad
 
 
 def replay_statistics(df: DataFrame) -> DataFrame:
     """Rows read, valid, invalid; produced counts the valid ones that a sink would get."""
-    valid = F.count_if(F.size("errors") == 0)
-    return df.agg(F.count("*").alias("records_read"), valid.alias("records_valid"), F.count_if(F.size("errors") > 0).alias("records_invalid"), valid.alias("records_produced"))
+    valid = F.count_if("is_valid")
+    return df.agg(F.count("*").alias("records_read"), valid.alias("records_valid"), F.count_if(~F.col("is_valid")).alias("records_invalid"), valid.alias("records_produced"))
 
 
 def kill_death_stats(kills: DataFrame) -> DataFrame:

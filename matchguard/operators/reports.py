@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import distance, finite, ratio
+from .ranks import percentiles
 
 
 def pipeline_summary(manifests: DataFrame, gold: DataFrame | None = None, predictions: DataFrame | None = None) -> DataFrame:
     """A10: totals of all batches and the reference's estimates; measured counts where tables are given (defect X8)."""
     total = manifests.agg(
-        F.coalesce(F.sum("total_records_read"), F.lit(0)).cast("bigint").alias("total_raw"), F.coalesce(F.sum("valid_records"), F.lit(0)).cast("bigint").alias("total_valid"),
-        F.coalesce(F.sum(F.col("invalid_records") + F.col("duplicate_records")), F.lit(0)).cast("bigint").alias("total_invalid"), F.count("*").alias("total_batches"),
+        F.coalesce(F.sum("total_records_read"), F.lit(0)).cast("bigint").alias("total_raw"), F.coalesce(F.sum("valid_records_count"), F.lit(0)).cast("bigint").alias("total_valid"),
+        F.coalesce(F.sum(F.col("invalid_records_count") + F.col("duplicate_records_count")), F.lit(0)).cast("bigint").alias("total_invalid"), F.count("*").alias("total_batches"),
     )
     out = total.withColumns({
         "estimated_matches": F.greatest(F.col("total_batches"), F.expr("total_valid div 70")), "estimated_players": F.col("total_valid"),
@@ -27,7 +28,7 @@ def pipeline_summary(manifests: DataFrame, gold: DataFrame | None = None, predic
 
 def retention_rate(manifests: DataFrame) -> DataFrame:
     """Valid of read records in per cent; 0 without any."""
-    s = manifests.agg(F.sum("valid_records").alias("v"), F.sum("total_records_read").alias("r"))
+    s = manifests.agg(F.sum("valid_records_count").alias("v"), F.sum("total_records_read").alias("r"))
     return s.select((ratio(F.col("v").cast("double"), F.col("r").cast("double")) * 100).alias("retention_rate"))
 
 
@@ -41,13 +42,13 @@ def invalid_reason_breakdown(rejects: DataFrame, reasons: str = "reasons") -> Da
 
 def batch_before_after(manifests: DataFrame) -> DataFrame:
     """Long form, records before and after validation of each batch."""
-    wide = manifests.select("batch_id", F.col("total_records_read").alias("before"), F.col("valid_records").alias("after"))
+    wide = manifests.select("batch_id", F.col("total_records_read").alias("before"), F.col("valid_records_count").alias("after"))
     return wide.unpivot("batch_id", ["before", "after"], "stage", "records")
 
 
 def batch_throughput(manifests: DataFrame) -> DataFrame:
     """A14."""
-    return manifests.select(F.substring("batch_id", 1, 8).alias("batch"), "valid_records", (F.col("invalid_records") + F.col("duplicate_records")).alias("rejected_records"))
+    return manifests.select(F.substring("batch_id", 1, 8).alias("batch"), F.col("valid_records_count").alias("valid_records"), (F.col("invalid_records_count") + F.col("duplicate_records_count")).alias("rejected_records"))
 
 
 def layer_row_counts(layers: dict[str, DataFrame]) -> DataFrame:
@@ -60,10 +61,10 @@ def layer_row_counts(layers: dict[str, DataFrame]) -> DataFrame:
 
 
 def describe_features(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Moments and percentiles of each column, one row a feature."""
+    """Moments and exact percentiles of each column's finite values, one row a feature."""
     long = df.select(*(F.col(c).cast("double").alias(c) for c in cols)).unpivot([], cols, "feature", "value").where(finite("value"))
-    pct = lambda p: F.percentile("value", F.lit(p))
-    return long.groupBy("feature").agg(F.avg("value").alias("mean"), pct(0.5).alias("median"), F.min("value").alias("min"), F.max("value").alias("max"), F.stddev_samp("value").alias("sd"), pct(0.95).alias("p95"), pct(0.99).alias("p99"))
+    moments = long.groupBy("feature").agg(F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"), F.stddev_samp("value").alias("sd"))
+    return moments.join(percentiles(long, "value", {"median": 0.5, "p95": 0.95, "p99": 0.99}, "feature"), "feature").select("feature", "mean", "median", "min", "max", "sd", "p95", "p99")
 
 
 def dataset_overview(df: DataFrame) -> DataFrame:

@@ -73,12 +73,12 @@ def invalid_envelopes(df: DataFrame) -> DataFrame:
     return df.where(F.size("reasons") > 0).select("event_id", "match_id", "player_id", "reasons")
 
 
-def validate_gold_signal(df: DataFrame) -> DataFrame:
-    """Signals for training; hashes in lower case only."""
+def validate_gold_signal(df: DataFrame, scheme: str = "s3://") -> DataFrame:
+    """Signals for training; hashes in lower case only, artifacts in a store of ``scheme``."""
     low = lambda c: F.coalesce(F.col(c).rlike("^[0-9a-f]{64}$"), F.lit(False))
     return df.withColumn("reasons", reasons(
-        (~F.col("schema_version").eqNullSafe("1.0"), "schema_version_unknown"), (~F.col("op").eqNullSafe("data.gold.ready"), "op_not_gold_ready"), (~low("event_id"), "event_id_not_sha256"),
-        (~low("checksum_sha256"), "checksum_not_sha256"), (~F.coalesce(F.col("gold_uri").startswith("s3://"), F.lit(False)), "gold_uri_not_s3"),
+        (~F.col("schema_version").eqNullSafe("1.0"), "schema_version_unknown"), (~F.col("op").eqNullSafe(S.OP_GOLD_READY), "op_not_gold_ready"), (~low("event_id"), "event_id_not_sha256"),
+        (~low("checksum_sha256"), "checksum_not_sha256"), (~F.coalesce(F.col("object_uri").startswith(scheme), F.lit(False)), "object_uri_not_s3"),
     ))
 
 

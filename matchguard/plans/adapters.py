@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..operators.bronze import to_bronze, union_envelopes
 
 KILLS = """
 SELECT event_id AS row_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS match_id, 'u' || CAST(user_id AS VARCHAR) AS killer_name,
@@ -50,15 +51,28 @@ def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _enveloped(df: DataFrame, op: str, event: Column, player: Column, payload: list[Column], record: Column) -> DataFrame:
+    source = F.struct(F.lit("tables").alias("provider"), F.lit(op).alias("dataset_id"), F.lit("given.parquet").alias("source_file"), record.cast("bigint").alias("record_index"))
+    return df.select(event.alias("event_id"), F.lit("1.0").alias("schema_version"), F.lit(op).alias("op"), F.lit(None).cast("string").alias("event_time"), F.lit("2026-01-01T00:00:00Z").alias("ingest_time"), "match_id", player.alias("player_id"), source.alias("source"), F.struct(*payload).alias("payload"))
+
+
+def kill_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kills as envelopes that name people raw and their player by hash, as the reference does."""
+    k = kills(spark, sf_dir)
+    return _enveloped(k, S.OP_KILL_RAW, F.sha2(F.concat(F.lit("kill:"), F.col("row_id").cast("string")), 256), F.sha2("killer_name", 256), [F.col(c) for c in k.columns if c != "row_id"], F.col("row_id"))
+
+
+def stat_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = stats(spark, sf_dir)
+    return _enveloped(s, S.OP_MATCH_SUMMARY, F.col("event_id"), F.col("player_id"), [F.col(c) for c in S.METRICS], F.col("l_orderkey"))
+
+
+def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return union_envelopes(stat_envelopes(spark, sf_dir), kill_envelopes(spark, sf_dir))
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both sources as bronze rows; kill rows name people raw and their player by hash, as the reference does."""
-    null = lambda kind: F.lit(None).cast(kind)
-    k, s = kills(spark, sf_dir), stats(spark, sf_dir)
-    kill = k.select(F.sha2(F.concat(F.lit("kill:"), F.col("row_id").cast("string")), 256).alias("event_id"), F.lit(S.OP_KILL_RAW).alias("op"), F.sha2("killer_name", 256).alias("player_id"), *[c for c in k.columns if c != "row_id"])
-    stat = s.select("event_id", F.lit(S.OP_MATCH_SUMMARY).alias("op"), "match_id", "player_id", F.col("player_id").alias("killer_name"), *S.METRICS)
-    both = kill.unionByName(stat, allowMissingColumns=True)
-    have = set(both.columns)
-    return both.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in have else null(f.dataType).alias(f.name) for f in S.BRONZE.fields))
+    return to_bronze(envelopes(spark, sf_dir))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -298,19 +298,36 @@ def extreme_outliers(spark, sf_dir):
     return features.extreme_outliers(A.stats(spark, sf_dir))
 
 
-_Z = ", ".join(f"((CAST({n} AS FLOAT) - {m}::FLOAT) / ({d}::FLOAT * 1.4826::FLOAT))::FLOAT AS z{i}" for i, (n, m, d) in enumerate(zip(["kills_per_minute", "damage_per_minute", "headshot_ratio", "movement_per_minute", "damage_per_kill"], evidence.MEDIANS, evidence.MADS)))
-_EV = f"""{WITH_STATS}, x AS ({_RATES}), z AS (SELECT event_id, l_partkey, player_id, {_Z} FROM x)"""
+#: The evidence step in SQL, written out: rows ``x`` with ``rid`` and the named features become items ``t`` with their place ``k``.
+EVIDENCE_ITEMS = """
+ev AS (SELECT rid, unnest([
+  {'i': 0, 'f': 'kills_per_minute', 'v': kills_per_minute::FLOAT, 'm': 0.15::FLOAT, 'd': 0.08::FLOAT}, {'i': 1, 'f': 'damage_per_minute', 'v': damage_per_minute::FLOAT, 'm': 120::FLOAT, 'd': 45::FLOAT},
+  {'i': 2, 'f': 'headshot_ratio', 'v': headshot_ratio::FLOAT, 'm': 0.18::FLOAT, 'd': 0.08::FLOAT}, {'i': 3, 'f': 'damage_per_kill', 'v': damage_per_kill::FLOAT, 'm': 100::FLOAT, 'd': 30::FLOAT},
+  {'i': 4, 'f': 'movement_per_minute', 'v': movement_per_minute::FLOAT, 'm': 150::FLOAT, 'd': 40::FLOAT}, {'i': 5, 'f': 'performance_versus_lobby', 'v': lobby::FLOAT, 'm': 200::FLOAT, 'd': 80::FLOAT}]) AS u FROM x),
+ez AS (SELECT rid, u.i AS i, u.f AS f, u.v AS v, u.m AS m, ((u.v - u.m) / (u.d * 1.4826::FLOAT))::FLOAT AS z FROM ev),
+er AS (SELECT *, (round(z * 10::FLOAT) / 10::FLOAT)::FLOAT AS rz FROM ez WHERE z > 1.5::FLOAT),
+t AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY rz DESC, i) AS k FROM er QUALIFY k <= 2)"""
 
 
 def _named(df: DataFrame) -> dict[str, Column]:
-    return {n: F.col(n) for n in evidence.POSITIONAL if n in df.columns}
+    columns = {n: S.EVIDENCE_COLUMNS.get(n, n) for n in S.EVIDENCE_FEATURES}
+    return {n: F.col(c) for n, c in columns.items() if c in df.columns}
 
 
-@query(f"""{_EV} SELECT DISTINCT event_id, l_partkey, player_id, CAST(least(2, coalesce((z0 > 1.5)::INT, 0) + coalesce((z1 > 1.5)::INT, 0) + coalesce((z2 > 1.5)::INT, 0) + coalesce((z3 > 1.5)::INT, 0) + coalesce((z4 > 1.5)::INT, 0)) AS INTEGER) AS items FROM z""")
+def _shown(items: Column, field: str = "feature") -> Column:
+    if field == "z":
+        return F.array_join(F.transform(items, lambda e: F.format_string("%.1f", e["z_score"].cast("double"))), "|")
+    return F.array_join(F.transform(items, lambda e: e[field]), "|")
+
+
+@query(f"""{WITH_STATS}, x AS (SELECT *, NULL::DOUBLE AS lobby, row_number() OVER () AS rid FROM ({_RATES})), {EVIDENCE_ITEMS},
+g AS (SELECT rid, string_agg(f, '|' ORDER BY k) AS fs, string_agg(printf('%.1f', rz::DOUBLE), '|' ORDER BY k) AS zs FROM t GROUP BY 1)
+SELECT event_id, l_partkey, player_id, coalesce(fs, '') AS features, coalesce(zs, '') AS z_scores FROM x LEFT JOIN g USING (rid)""")
 def evidence_top2(spark, sf_dir):
-    """How many items each row has; which ones is in the tests' golden vectors."""
+    """The two strongest items of every row, by name and rounded z."""
     r = features.rate_features(A.stats(spark, sf_dir))
-    return r.select("event_id", "l_partkey", "player_id", F.size(evidence.evidence(_named(r))).alias("items")).distinct()
+    e = r.select("event_id", "l_partkey", "player_id", evidence.evidence(_named(r)).alias("e"))
+    return e.select("event_id", "l_partkey", "player_id", _shown(F.col("e")).alias("features"), _shown(F.col("e"), "z").alias("z_scores"))
 
 
 @query(f"""{_PM}, l AS (SELECT match_id, quantile_cont(damage_dealt, 0.5) AS m FROM pm GROUP BY 1), d AS (SELECT match_id, any_value(m) AS m, quantile_cont(abs(damage_dealt - m), 0.5) AS mad FROM pm JOIN l USING (match_id) GROUP BY 1)
@@ -337,7 +354,7 @@ def risk_levels(spark, sf_dir):
     return _preds(spark, sf_dir).select("match_id", "player_id", F.round(F.col("risk_score").cast("double"), 5).alias("risk_score"), "risk_level")
 
 
-@query("""SELECT coalesce(rule, 'none') AS policy_rule, count(*) AS n FROM (SELECT CASE WHEN l_discount * 10 > 0.8 THEN 'heuristic_teleport_hack' WHEN l_quantity >= 2 AND l_partkey > 0 AND l_partkey < 200 THEN 'heuristic_burst_kill'
+@query("""SELECT coalesce(rule, 'none') AS policy_rule, count(*) AS n FROM (SELECT CASE WHEN l_discount * 10 > 0.8 THEN 'heuristic_teleport_hack' WHEN l_quantity >= 2 AND l_partkey > 0 AND l_partkey < 200 THEN 'heuristic_burst_aimbot'
 WHEN l_linenumber >= 5 THEN 'heuristic_headshot_streak' END AS rule FROM lineitem) GROUP BY 1""")
 def heuristic_decisions(spark, sf_dir):
     rule = decision.heuristic_rules(F.col("l_discount") * 10, F.col("l_quantity"), F.col("l_partkey"), F.col("l_linenumber"))
@@ -354,18 +371,33 @@ def policy_decisions(spark, sf_dir):
     return _preds(spark, sf_dir).withColumn("d", d).select("match_id", "player_id", "d.policy_rule", "d.action")
 
 
-@query(f"""{_PREDS}, q AS (SELECT *, (kills % 13 = 0) AS bad FROM lv), d AS (SELECT *, CASE WHEN NOT bad THEN {_POLICY.replace("short_kill_interval_count >= 3", "false")} END AS policy_rule FROM q)
-SELECT match_id, player_id, CASE WHEN bad THEN 'UNAVAILABLE' ELSE 'OK' END AS status, CASE WHEN bad THEN 0 ELSE round(risk_score::DOUBLE, 5) END AS risk_score, CASE WHEN NOT bad THEN risk_level END AS risk_level,
-policy_rule, CASE WHEN bad THEN 'op_not_predict' END AS error FROM d""")
+_SERVED = f"""{_PM}, l AS (SELECT match_id, quantile_cont(damage_dealt, 0.5) AS md FROM pm GROUP BY 1),
+x AS (SELECT match_id || '/' || player_id AS rid, match_id, player_id, kills, headshot_kills, survival_duration, kills % 13 = 0 AS bad, kills / {_MIN} AS kills_per_minute, damage_dealt / {_MIN} AS damage_per_minute,
+  CASE WHEN kills = 0 THEN 0 ELSE CAST(headshot_kills AS DOUBLE) / greatest(kills, 1) END AS headshot_ratio, damage_dealt / greatest(kills, 1) AS damage_per_kill,
+  (walk_distance + ride_distance + swim_distance) / {_MIN} AS movement_per_minute, damage_dealt - md AS lobby,
+  CAST(1.0::DOUBLE / (1.0::DOUBLE + exp(-(-1.5 + 0.05 * kills + 0.25 * headshot_kills + -0.0005 * survival_duration))) AS FLOAT) AS score FROM pm JOIN l USING (match_id)), {EVIDENCE_ITEMS},
+g AS (SELECT rid, string_agg(f, '|' ORDER BY k) AS fs, string_agg(printf('%.1f', rz::DOUBLE), '|' ORDER BY k) AS zs, max(CASE WHEN f = 'headshot_ratio' THEN rz END) AS hz,
+  string_agg(CASE WHEN rz >= 4 THEN 'high' WHEN rz >= 2 THEN 'medium' ELSE 'low' END, '|' ORDER BY k) AS sizes,
+  string_agg(f || ' ' || printf('%.2f', v::DOUBLE + 1e-9) || ' against ' || printf('%.2f', m::DOUBLE + 1e-9) || ' in the lobby (+' || printf('%.1f', z::DOUBLE + 1e-9) || ' sigma)', '|' ORDER BY k) AS texts FROM t GROUP BY 1),
+sv AS (SELECT x.*, coalesce(fs, '') AS fs, coalesce(zs, '') AS zs, coalesce(hz, 0) AS hz, coalesce(sizes, '') AS sizes, coalesce(texts, '') AS texts,
+  CASE WHEN score >= 0.95 THEN 'CRITICAL' WHEN score >= 0.8 THEN 'HIGH' WHEN score >= 0.6 THEN 'MEDIUM' ELSE 'LOW' END AS level FROM x LEFT JOIN g USING (rid))"""
+
+
+def served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of player-match rows, some of them wrong, through scoring, evidence and policy."""
+    pm = features.lobby_relative(features.rate_features(_pm(spark, sf_dir)), scaled=False)
+    three = [F.col(c).cast("double") for c in ("kills", "headshot_kills", "survival_duration")]
+    req = pm.withColumn("op", F.when(F.col("kills") % 13 == 0, "other").otherwise("predict")).withColumn("features", F.array(*three))
+    at = [F.col("features")[i] for i in range(3)]
+    return scoring.predict(req, scoring.score_logistic([0.05, 0.25, -0.0005], -1.5, at), decision.FIVE_RULES, "v1", 3, named=_named(req))
+
+
+@query(f"""{_SERVED} SELECT match_id, player_id, CASE WHEN bad THEN 'UNAVAILABLE' ELSE 'OK' END AS status, CASE WHEN bad THEN 0 ELSE round(score::DOUBLE, 5) END AS risk_score, CASE WHEN NOT bad THEN level END AS risk_level,
+CASE WHEN bad THEN NULL WHEN score < 0.3::FLOAT THEN 'auto_clear' WHEN score < 0.6::FLOAT THEN 'watchlist_monitoring' WHEN score < 0.85::FLOAT THEN 'escalate_human_review' WHEN hz >= 3 THEN 'auto_suspend_aimbot' ELSE 'critical_permanent_ban' END AS policy_rule,
+CASE WHEN NOT bad THEN fs END AS features, CASE WHEN NOT bad THEN zs END AS z_scores, CASE WHEN bad THEN 'op_not_predict' END AS error FROM sv""")
 def predictions_full(spark, sf_dir):
-    """Requests built from gold rows, some of them wrong, through scoring, evidence and policy."""
-    g = _gold(spark, sf_dir)
-    cols = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in S.FEATURES]
-    req = g.select(F.when(F.col("kills") % 13 == 0, "other").otherwise("predict").alias("op"), "match_id", "player_id", F.array(*cols).alias("features"))
-    at = [F.col("features")[i] for i in range(len(cols))]
-    none = {"kills_per_minute": F.lit(0.0)}
-    out = scoring.predict(req, scoring.score_logistic(COEF, INTERCEPT, at), decision.FIVE_RULES, "v1", len(cols), named=none)
-    return out.select("match_id", "player_id", "status", F.round(F.col("risk_score").cast("double"), 5).alias("risk_score"), "risk_level", F.col("decision.policy_rule").alias("policy_rule"), "error")
+    out = served(spark, sf_dir)
+    return out.select("match_id", "player_id", "status", F.round(F.col("risk_score").cast("double"), 5).alias("risk_score"), "risk_level", F.col("decision.policy_rule").alias("policy_rule"), _shown(F.col("evidence")).alias("features"), _shown(F.col("evidence"), "z").alias("z_scores"), "error")
 
 
 @query(f"{_PREDS} SELECT CAST(least(floor(risk_score::DOUBLE * 10), 9) AS INTEGER) AS bin, risk_level, count(*) AS predictions FROM lv GROUP BY 1, 2")
@@ -399,14 +431,14 @@ def _manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.batch_manifest(A.messages(spark, sf_dir), by=["batch"])
 
 
-@query(f"{_MAN} SELECT batch, batch_id, total_records_read, valid_records, invalid_records, duplicate_records FROM man")
+@query(f"{_MAN} SELECT batch, batch_id, total_records_read, valid_records AS valid_records_count, invalid_records AS invalid_records_count, duplicate_records AS duplicate_records_count FROM man")
 def batch_manifest(spark, sf_dir):
-    return _manifests(spark, sf_dir).select("batch", "batch_id", "total_records_read", "valid_records", "invalid_records", "duplicate_records")
+    return _manifests(spark, sf_dir).select("batch", "batch_id", "total_records_read", "valid_records_count", "invalid_records_count", "duplicate_records_count")
 
 
-@query(f"{_MAN} SELECT batch_id, part AS \"partition\", lo AS start_offset, hi AS end_offset, total_records_read FROM man JOIN o USING (batch)")
+@query(f"{_MAN} SELECT batch_id, part AS kafka_partition, lo AS first_offset, hi AS last_offset, total_records_read AS record_count, valid_records AS valid_record_count FROM man JOIN o USING (batch)")
 def contract_manifest(spark, sf_dir):
-    return B.contract_manifest(_manifests(spark, sf_dir)).select("batch_id", "partition", "start_offset", "end_offset", "total_records_read")
+    return B.contract_manifest(_manifests(spark, sf_dir)).select("batch_id", "kafka_partition", "first_offset", "last_offset", "record_count", "valid_record_count")
 
 
 @query(f"{_MAN} SELECT batch, part AS \"partition\", lo AS min_offset, hi AS max_offset FROM o")
@@ -474,14 +506,42 @@ def unprocessed_files(spark, sf_dir):
     return reports.unprocessed_files(e.select("path").distinct(), e.where("event_id % 500 = 0").select("path").distinct())
 
 
-@query(f"""{WITH_KILLS}, v AS (SELECT * FROM (VALUES ('I1_bronze_not_empty', 0), ('I2_kill_events_not_empty', 0), ('I3_player_match_not_empty', 0), ('I4_gold_not_empty', 0), ('I5_kill_rows_equal_bronze', 0),
-('I6_no_duplicate_player_match', 0), ('I7_no_synthetic_kill_rows', 0), ('I7_no_synthetic_player_rows', 0)) t(invariant, violations)) SELECT invariant, CAST(violations AS BIGINT) AS violations FROM v WHERE (SELECT count(*) FROM k) > 0""")
+_INVARIANTS = """
+  SELECT 'I1_bronze_not_empty' AS invariant, CASE WHEN (SELECT count(*) FROM bz) = 0 THEN 1 ELSE 0 END AS violations
+  UNION ALL SELECT 'I2_kill_events_not_empty', CASE WHEN (SELECT count(*) FROM ke) = 0 THEN 1 ELSE 0 END
+  UNION ALL SELECT 'I3_player_match_not_empty', CASE WHEN (SELECT count(*) FROM pms) = 0 THEN 1 ELSE 0 END
+  UNION ALL SELECT 'I4_gold_not_empty', CASE WHEN (SELECT count(*) FROM gs) = 0 THEN 1 ELSE 0 END
+  UNION ALL SELECT 'I5_kill_rows_equal_bronze', abs((SELECT count(*) FROM bz WHERE op = 'data.kill_event.raw') - (SELECT count(*) FROM ke))
+  UNION ALL SELECT 'I6_no_duplicate_player_match', (SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM pms GROUP BY match_id, player_id) WHERE n > 1)
+  UNION ALL SELECT 'I7_no_synthetic_kill_rows', (SELECT count(*) FROM ke WHERE killer_name LIKE '%player_suspect\\_%' ESCAPE '\\' OR killer_name LIKE '%player_alpha\\_%' ESCAPE '\\' OR victim_name LIKE '%player_suspect\\_%' ESCAPE '\\' OR victim_name LIKE '%player_alpha\\_%' ESCAPE '\\')
+  UNION ALL SELECT 'I7_no_synthetic_player_rows', (SELECT count(*) FROM pms WHERE player_id LIKE '%player_suspect\\_%' ESCAPE '\\' OR player_id LIKE '%player_alpha\\_%' ESCAPE '\\')"""
+
+
+@query(f"""{_BRONZE_SQL}, bz AS (SELECT op FROM b), ke AS (SELECT killer_name, victim_name FROM k), pms AS (SELECT match_id, player_id FROM s UNION SELECT match_id, unnest([sha256(killer_name), sha256(victim_name)]) FROM k), gs AS (SELECT * FROM pms),
+v AS ({_INVARIANTS}) SELECT invariant, CAST(violations AS BIGINT) AS violations FROM v""")
 def invariants(spark, sf_dir):
     b = silver.canonical_identity(A.bronze(spark, sf_dir))
     k, pm = silver.to_silver_kill_events(b), silver.player_match(b)
     return quality.verify_invariants(b, k, pm, gold.gold_features(pm, k, SHORT))
 
 
+_MARKED = "CASE WHEN event_id % 23 = 0 THEN 'player_suspect_' || user_id WHEN event_id % 29 = 0 THEN 'x_player_alpha_' || user_id ELSE 'u' || user_id END"
+
+
+@query(f"""{_BRONZE_SQL}, ke AS (SELECT {_MARKED} AS killer_name, 'v' AS victim_name FROM events WHERE event_id % 7 <> 0), pms AS (SELECT match_id, {_MARKED.replace("user_id", "(l_suppkey)").replace("event_id", "(l_orderkey)").replace("'u'", "'s'")} AS player_id FROM s),
+bz AS (SELECT op FROM b), gs AS (SELECT 1 WHERE false), v AS ({_INVARIANTS}) SELECT invariant, CAST(violations AS BIGINT) AS violations FROM v""")
+def invariants_broken(spark, sf_dir):
+    """The same rules over layers that break them: lost kill rows, repeated players, marked names, no gold."""
+    def marked(at: str, who: str, prefix: str) -> Column:
+        name = F.col(who).cast("string")
+        return F.when(F.col(at) % 23 == 0, F.concat(F.lit("player_suspect_"), name)).when(F.col(at) % 29 == 0, F.concat(F.lit("x_player_alpha_"), name)).otherwise(F.concat(F.lit(prefix), name))
+
+    b = silver.canonical_identity(A.bronze(spark, sf_dir))
+    k = A.table(spark, sf_dir, "events").where("event_id % 7 <> 0").select(marked("event_id", "user_id", "u").alias("killer_name"), F.lit("v").alias("victim_name"))
+    pm = A.stats(spark, sf_dir).select("match_id", marked("l_orderkey", "l_suppkey", "s").alias("player_id"))
+    return quality.verify_invariants(b, k, pm, pm.where("false"))
+
+
 @query(f"""{_GOLD}, gs AS (SELECT DISTINCT match_id FROM gold), t AS (SELECT match_id FROM gs ORDER BY sha256('42:' || match_id), match_id LIMIT (SELECT CAST(ceil(count(*) * 0.2) AS BIGINT) FROM gs))
 SELECT match_id, CASE WHEN match_id IN (SELECT match_id FROM t) THEN 'test' ELSE 'train' END AS side, count(*) AS n FROM gold GROUP BY 1, 2""")
 def group_split(spark, sf_dir):
@@ -525,7 +585,7 @@ def anomaly_score_summary(spark, sf_dir):
 def isolation_forest_scores(spark, sf_dir):
     """Scores of all complete gold rows by a forest grown from them; no SQL."""
     g = _gold(spark, sf_dir)
-    return ml.isolation_forest_score(g, ml.isolation_forest_fit(g, trees=50)).select("match_id", "player_id", "anomaly_score")
+    return ml.isolation_forest_score(g, ml.isolation_forest_fit(g)).select("match_id", "player_id", "anomaly_score")
 
 
 def _metrics_row(spark: SparkSession, metrics: dict) -> DataFrame:
@@ -545,7 +605,7 @@ def train_supervised(spark, sf_dir):
     return _metrics_row(spark, ml.train_supervised(g, rounds=3, depth=3)[1])
 
 
-@query()
+@query(f"{_GOLD} SELECT 'streamed' AS side, count(*) AS rows FROM gold")
 def stream_equals_batch(spark, sf_dir):
     """All kills as topic messages through the streaming pipeline, in files of several micro-batches, against the batch plan: rows of either that the other lacks."""
     root = scratch(spark, "stream")
@@ -570,3 +630,6 @@ def stream_equals_batch(spark, sf_dir):
 @query(f"{WITH_KILLS} SELECT row_id, {_DIST} AS distance FROM k")
 def kill_distance(spark, sf_dir):
     return A.kills(spark, sf_dir).select("row_id", distance("killer_position_x", "killer_position_y", "victim_position_x", "victim_position_y").alias("distance"))
+
+
+from . import lake_queries  # noqa: E402, F401  the queries of sources, sinks and checks register themselves

@@ -1,11 +1,12 @@
-"""New folders that driver and executors share."""
+"""Folders that driver and executors share, and checksums of what lies in them."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -16,3 +17,15 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def checksums(spark: SparkSession, paths: list[str], pattern: str = "*.parquet") -> DataFrame:
+    """``folder, checksum_sha256`` of data folders: the SHA-256 over the sorted SHA-256 of their files, hashed on the executors."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(paths)
+    each = files.select(F.regexp_replace("path", r"/[^/]*$", "").alias("folder"), F.sha2("content", 256).alias("sha"))
+    return each.groupBy("folder").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("sha")), "\n"), 256).alias("checksum_sha256"))

@@ -11,29 +11,42 @@ from ..functions.expr import trimmed
 
 
 def read_raw_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Header CSV, all cells trimmed strings, ragged rows kept, blank lines skipped; adds ``source_file``.
+    """Header CSV, all cells trimmed strings, ragged rows kept, blank lines skipped.
 
+    Adds ``source_file`` (its name), and ``source_path`` and ``source_offset``,
+    by which rows of large or equally named files are numbered.
     The header of the first file names the columns; files of another layout are
     read by another call.
     """
     read = spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", False).option("escape", '"').option("inferSchema", False)
     df = read.csv(paths)
     cells = [trimmed(F.col(f"`{c}`")).alias(c.strip()) for c in df.columns if c != "_corrupt_record"]
-    return df.select(*cells, F.col("_metadata.file_name").alias("source_file"))
+    place = [F.col(f"_metadata.{a}").alias(b) for a, b in (("file_name", "source_file"), ("file_path", "source_path"), ("file_block_start", "source_offset"))]
+    return df.select(*cells, *place)
 
 
 def read_event_stream(spark: SparkSession, options: dict[str, str], fmt: str = "kafka") -> DataFrame:
-    """The raw topic from its first offset. Offsets are kept by the query's checkpoint."""
-    return spark.readStream.format(fmt).options(**({"startingOffsets": "earliest"} if fmt == "kafka" else {}), **options).load()
+    """The raw topic from its first offset. Offsets are kept by the query's checkpoint.
+
+    ST1: a batch is due at 1000 records or after a second (:data:`TRIGGERS`);
+    ``options`` override.
+    """
+    return spark.readStream.format(fmt).options(**{**TRIGGERS.get(fmt, {}), **options}).load()
 
 
+#: A batch's records, bytes and age, as far as each source knows them (a topic has no limit by bytes).
+TRIGGERS = {
+    "kafka": {"startingOffsets": "earliest", "maxOffsetsPerTrigger": "1000", "minOffsetsPerTrigger": "1000", "maxTriggerDelay": "1s"},
+    "parquet": {"maxBytesPerTrigger": str(10 * 1024 * 1024)},
+}
+
 MESSAGE = T.StructType([T.StructField(n, k) for n, k in (("key", T.BinaryType()), ("value", T.BinaryType()), ("topic", T.StringType()), ("partition", T.IntegerType()), ("offset", T.LongType()), ("timestamp", T.TimestampType()))])
 
 
 def read_message_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """A stream of Parquet files that hold message rows: the same columns as the topic."""
     read = spark.readStream.schema(MESSAGE)
-    return (read.option("maxFilesPerTrigger", max_files) if max_files else read).parquet(path)
+    return (read.option("maxFilesPerTrigger", max_files) if max_files else read.options(**TRIGGERS["parquet"])).parquet(path)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
@@ -44,14 +57,27 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
+def _json_objects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Objects of files that hold one, a list of them, or one (or a list) a line; only files with an object over several lines are read whole."""
+    read = spark.read.option("recursiveFileLookup", "true")
+    lines = read.text(path).select("value", F.col("_metadata.file_path").alias("file")).where(F.trim("value") != "")
+    broken = lines.where(F.try_parse_json("value").isNull()).select("file").distinct()
+    whole = read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    texts = lines.join(broken, "file", "left_anti").unionByName(whole.join(broken, "file", "left_semi"))
+    return texts.select(F.explode(F.from_json("value", T.ArrayType(schema))).alias("o")).select("o.*")
+
+
 def read_manifests(spark: SparkSession, root: str) -> DataFrame:
-    """Batch manifests only, by their dated folders (defect X9)."""
-    return spark.read.schema(S.MANIFEST).json(f"{root}/year=*/")
+    """Batch manifests only, by their dated folders (defect X9), whole objects or one a line; any depth below a day."""
+    offsets = S.MANIFEST["partition_offsets"].dataType
+    loose = T.StructType([T.StructField(f.name, T.MapType(T.StringType(), offsets.valueType) if f.name == "partition_offsets" else f.dataType) for f in S.MANIFEST.fields])
+    df = _json_objects(spark, f"{root}/year=*/", loose)
+    return df.withColumn("partition_offsets", F.transform_keys("partition_offsets", lambda k, _: k.cast("int")))
 
 
 def read_invalid(spark: SparkSession, path: str) -> DataFrame:
-    """Files that hold an object, a list of objects, or one object a line."""
-    return spark.read.option("multiLine", True).option("recursiveFileLookup", "true").json(path)
+    """Rejects of any kind (:data:`~matchguard.schemas.REJECT`), from files that hold an object, a list of objects, or one a line."""
+    return _json_objects(spark, path, S.REJECT)
 
 
 def read_gold(spark: SparkSession, prefix: str, uri: str | None = None, mode: str = "all") -> DataFrame:
@@ -76,8 +102,13 @@ def read_kill_events(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_model_registry(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Versions, their metrics and their training manifests."""
+    """Versions (every folder that holds a file), their metrics and their training manifests, where there are any."""
     version = F.regexp_extract("_metadata.file_path", r"/versions/([^/]+)/", 1).alias("version")
-    metrics = spark.read.text(f"{root}/versions/*/metrics.json").select(version, F.col("value").alias("metrics"))
-    manifests = spark.read.text(f"{root}/versions/*/training_manifest.json").select(version, F.col("value").alias("training_manifest"))
-    return metrics.select("version"), metrics, manifests
+    # names only: no file is opened for the list of versions
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").load(f"{root}/versions")
+    texts = spark.read.option("recursiveFileLookup", "true")
+
+    def of(name: str, column: str) -> DataFrame:
+        return texts.option("pathGlobFilter", name).text(f"{root}/versions", wholetext=True).select(version, F.col("value").alias(column))
+
+    return listed.select(F.regexp_extract("path", r"/versions/([^/]+)/", 1).alias("version")).distinct(), of("metrics.json", "metrics"), of("training_manifest.json", "training_manifest")

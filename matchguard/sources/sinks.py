@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.expr import date_parts
+from ..functions.expr import base64, date_parts, rfc3339
 
 
 def event_messages(df: DataFrame) -> DataFrame:
@@ -41,6 +41,15 @@ def write_bronze(df: DataFrame, root: str, batch: Column | str, at: Column | Non
     _lake(df.select(*names, *date_parts(when), (F.lit(batch) if isinstance(batch, str) else batch).alias("batch")), ["year", "month", "day", "batch"], root)
 
 
+def write_bronze_batch(df: DataFrame, root: str, batch: str, at: Column, buckets: int) -> str:
+    """S7 of a stream: below the day, by match bucket, so that a match's rows are found without the others; returns the day's folder."""
+    names = [f.name for f in S.BRONZE.fields]
+    day = df.sparkSession.range(1).select(F.date_format(at, "'year='yyyy'/month='MM'/day='dd").alias("d")).head()["d"]
+    rows = with_bucket(df.select(*names), buckets).select("*", *date_parts(at), F.lit(batch).alias("batch"))
+    _lake(rows.repartition("match_bucket"), ["year", "month", "day", "match_bucket", "batch"], root)
+    return f"{root}/{day}"
+
+
 def write_invalid_records(df: DataFrame, root: str, batch: str, at: Column | None = None) -> None:
     """S9."""
     when = F.current_timestamp() if at is None else at
@@ -71,26 +80,36 @@ def write_gold(df: DataFrame, root: str, buckets: int = 64) -> None:
     _lake(with_bucket(df, buckets), ["match_bucket"], root)
 
 
-def write_predictions(df: DataFrame, root: str, fmt: str = "parquet") -> None:
+def write_predictions(df: DataFrame, root: str, fmt: str = "parquet", by: list[str] | None = None) -> None:
     """By model version; nothing to write is an error."""
     if not df.head(1):
         raise ValueError("no predictions to write")
-    _lake(df, ["model_version"], root, fmt)
+    _lake(df, by or ["model_version"], root, fmt)
+
+
+def _now(at: Column | None) -> Column:
+    return rfc3339(F.current_timestamp()) if at is None else at
 
 
 def gold_ready_signals(artifacts: DataFrame, at: Column | None = None) -> DataFrame:
-    """One signal for each gold artifact (batch_id, object_key, checksum_sha256, gold_uri)."""
+    """One signal for each gold artifact (batch_id, object_key, checksum_sha256, object_uri, source_manifest)."""
     return artifacts.select(
-        F.lit("1.0").alias("schema_version"), F.sha2(F.concat_ws("|", "batch_id", "object_key", "checksum_sha256"), 256).alias("event_id"), F.lit("data.gold.ready").alias("op"),
-        "batch_id", "gold_uri", "checksum_sha256", (F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX") if at is None else at).alias("created_at"),
+        F.lit("1.0").alias("schema_version"), F.sha2(F.concat_ws("|", "batch_id", "object_key", "checksum_sha256"), 256).alias("event_id"), F.lit(S.OP_GOLD_READY).alias("op"),
+        "batch_id", "object_uri", "checksum_sha256", "source_manifest", _now(at).alias("created_at"),
     )
 
 
-def model_ready_signals(models: DataFrame) -> DataFrame:
-    """From operation_id, version, bundle_uri."""
-    return models.select(F.lit("1.0").alias("schema_version"), F.sha2(F.concat_ws("|", F.lit("model.ready"), "operation_id", "version"), 256).alias("event_id"), F.lit("model.ready").alias("op"), "version", "bundle_uri")
+def model_ready_signals(models: DataFrame, at: Column | None = None) -> DataFrame:
+    """From operation_id, model_version, bundle_uri and metrics (a map)."""
+    return models.select(
+        F.lit("1.0").alias("schema_version"), F.sha2(F.concat_ws("|", F.lit("model.ready"), "operation_id", "model_version"), 256).alias("event_id"), F.lit(S.OP_MODEL_READY).alias("op"), "operation_id",
+        F.lit(S.MODEL_NAME).alias("model_name"), "model_version", F.lit(S.MODEL_FEATURE_VERSION).alias("feature_version"), "bundle_uri", "metrics", _now(at).alias("created_at"),
+    )
 
 
-def training_dead_letters(failed: DataFrame) -> DataFrame:
-    """Signals that cannot be served: place, payload, error cut to 2000 characters."""
-    return failed.select(F.sha2(F.concat_ws("|", "topic", F.col("partition").cast("string"), F.col("offset").cast("string")), 256).alias("event_id"), "topic", "partition", "offset", F.base64("value").alias("payload_base64"), F.substring("error", 1, 2000).alias("error"))
+def training_dead_letters(failed: DataFrame, at: Column | None = None) -> DataFrame:
+    """Signals that cannot be served: place, payload (as text and as bytes), error cut to 2000 characters."""
+    return failed.select(
+        F.lit("1.0").alias("schema_version"), F.lit(S.OP_TRAINING_DLQ).alias("op"), F.sha2(F.concat_ws("|", "topic", F.col("partition").cast("string"), F.col("offset").cast("string")), 256).alias("event_id"),
+        F.col("topic").alias("source_topic"), "partition", "offset", F.try_validate_utf8(F.col("value").cast("string")).alias("payload"), base64("value").alias("payload_base64"), F.substring("error", 1, 2000).alias("error"), _now(at).alias("created_at"),
+    )

@@ -7,10 +7,12 @@ is done again without traces.
 
 from __future__ import annotations
 
+import functools
 import time
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,28 +21,33 @@ from ..operators import bronze as B
 from ..operators import dedup, envelope, gold, ml, silver, validate
 from ..operators.decision import Policy
 from ..operators.scoring import predict, score_model
-from ..sources import sinks
+from ..functions.expr import rfc3339
+from ..sources import readers, sinks
+from ..sources.folders import checksums, exists
 
+#: Match buckets of a new lake. A lake keeps the number that it began with; take enough for a bucket's gold to fit a task.
 BUCKETS = 64
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _ingest_time(messages: DataFrame) -> Column:
+    """The newest time of the batch's messages: a repeated batch has the same, so it writes the same folders on any day."""
+    newest = messages.agg(F.max("timestamp").alias("at")).head()["at"] if "timestamp" in messages.columns else None
+    return F.lit(newest if newest is not None else datetime(1970, 1, 1)).cast("timestamp")
 
 
-def process_batch(messages: DataFrame, root: str, identity: str = "canonical", max_bytes: int = 1_048_576, short_interval_threshold: float = 10.0) -> dict | None:
-    """One micro-batch: rejects, bronze, manifest, then silver and gold of the matches it touched, then the signal.
+def process_batch(messages: DataFrame, root: str, identity: str = "canonical", max_bytes: int = 1_048_576, short_interval_threshold: float = 10.0, buckets: int = BUCKETS) -> dict | None:
+    """One micro-batch: rejects, bronze, manifest, then silver and gold of the matches it touched, then the signals.
 
-    Matches are recomputed from all of bronze (ST10), so one that spans batches
-    is right; only the buckets of touched matches are read and replaced.
+    Touched matches are recomputed from all of bronze (ST10), so one that spans
+    batches is right. Folders are named by the day of the batch's newest message
+    (``timestamp``; without one, 1970) and by its offsets.
     """
     spark = messages.sparkSession
     messages = messages.persist()
     try:
         if not messages.head(1):
             return None
-        key = B.batch_id(B.partition_offsets(messages)).head()["batch_id"]
+        key, at = B.batch_id(B.partition_offsets(messages)).head()["batch_id"], _ingest_time(messages)
         parsed = envelope.parse_envelopes(messages, max_bytes)
         checked = validate.validate_events(envelope.envelopes(parsed)).persist()
         good = checked.where(F.size("reasons") == 0)
@@ -51,50 +58,71 @@ def process_batch(messages: DataFrame, root: str, identity: str = "canonical", m
         rows = rows.unionByName(parsed.where("kind = 'malformed'").select("partition", "offset", F.lit("malformed").alias("status"), F.lit(False).alias("duplicate")))
         malformed, invalid = envelope.malformed(parsed), validate.invalid_envelopes(checked)
         if malformed.head(1):
-            sinks.write_malformed(malformed, f"{root}/bronze/malformed", key)
+            sinks.write_malformed(malformed, f"{root}/bronze/malformed", key, at)
         if invalid.head(1):
-            sinks.write_invalid_records(invalid, f"{root}/bronze/invalid", key)
+            sinks.write_invalid_records(invalid, f"{root}/bronze/invalid", key, at)
         kept = B.to_bronze(ranked.where(~F.col("duplicate")).drop("reasons", "duplicate"))
+        place, checksum = F.lit(None).cast("string"), F.lit(None).cast("string")
         some = bool(kept.head(1))
         if some:
-            _write_bronze(kept, f"{root}/bronze/events", key)
-        manifest = B.batch_manifest(rows, path=F.lit(f"{root}/bronze/events/batch={key}"))
-        sinks.write_manifest(manifest, f"{root}/manifests", key)
+            path = sinks.write_bronze_batch(kept, f"{root}/bronze/events", key, at, buckets)
+            sums = checksums(spark, [f"{path}/match_bucket=*/batch={key}"]).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("checksum_sha256")), "\n"), 256).alias("c"))
+            place, checksum = F.lit(path), F.lit(sums.head()["c"])
+        topic = F.lit(messages.select("topic").head()["topic"]) if "topic" in messages.columns else "raw"
+        sinks.write_manifest(B.batch_manifest(rows, path=place, checksum=checksum, now=rfc3339(at), topic=topic), f"{root}/manifests", key, at)
         if some:
-            refresh_matches(spark, root, kept, identity, short_interval_threshold)
-            artifact = spark.createDataFrame([(key, f"gold/{key}", key, f"{root}/gold")], "batch_id string, object_key string, checksum_sha256 string, gold_uri string")
-            sinks.gold_ready_signals(artifact).withColumn("batch", F.lit(key)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{root}/signals/gold_ready")
+            touched = refresh_matches(spark, root, kept, identity, short_interval_threshold, buckets)
+            _signal(spark, root, key, touched, at)
         checked.unpersist()
         return {"batch_id": key}
     finally:
         messages.unpersist()
 
 
-def _write_bronze(df: DataFrame, root: str, key: str) -> None:
-    names = [f.name for f in S.BRONZE.fields]
-    out = sinks.with_bucket(df.select(*names), BUCKETS).withColumn("batch", F.lit(key))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("match_bucket", "batch").option("compression", "zstd").parquet(root)
-
-
-def refresh_matches(spark: SparkSession, root: str, touched: DataFrame, identity: str = "canonical", short_interval_threshold: float = 10.0) -> None:
-    """Recompute silver and gold of the buckets that hold touched matches."""
-    buckets = [r[0] for r in sinks.with_bucket(touched, BUCKETS).select("match_bucket").distinct().collect()]  # at most BUCKETS numbers
-    events = spark.read.parquet(f"{root}/bronze/events").where(F.col("match_bucket").isin(buckets)).drop("match_bucket", "batch")
-    events = dedup.dedup_bronze(events)
+def _signal(spark: SparkSession, root: str, key: str, touched: list[int], at: Column) -> None:
+    """One signal for each gold folder that the batch wrote, with that folder's checksum."""
+    folders = [f"{root}/gold/match_bucket={b}" for b in touched]
+    there = [f for f in folders if exists(spark, f)]
+    if not there:
+        return
+    bucket = F.regexp_extract("folder", r"(match_bucket=[^/]+)$", 1)
+    day = F.date_format(at, "yyyy/MM/dd").alias("day")
+    artifacts = checksums(spark, there).select(
+        F.lit(key).alias("batch_id"), F.concat(F.lit("gold/"), bucket).alias("object_key"), "checksum_sha256",
+        F.concat(F.lit(f"{root}/gold/"), bucket).alias("object_uri"), F.concat(F.lit("manifests/"), day, F.lit(f"/{key}")).alias("source_manifest"),
+    )
+    out = sinks.gold_ready_signals(artifacts, rfc3339(at)).withColumn("batch", F.lit(key))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{root}/signals/gold_ready")
+
+
+def _replace_matches(spark: SparkSession, path: str, fresh: DataFrame, matches: DataFrame, numbers: list[int], buckets: int) -> None:
+    """Rewrite the named buckets: rows of other matches stay as they are, those of ``matches`` are replaced."""
+    rows = sinks.with_bucket(fresh, buckets)
+    if exists(spark, path):
+        held = spark.read.schema(rows.schema).parquet(path).where(F.col("match_bucket").isin(numbers))
+        rows = rows.unionByName(held.join(matches, "match_id", "left_anti"))
+    rows.repartition("match_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("match_bucket").option("compression", "zstd").parquet(path)
+
+
+def refresh_matches(spark: SparkSession, root: str, touched: DataFrame, identity: str = "canonical", short_interval_threshold: float = 10.0, buckets: int = BUCKETS) -> list[int]:
+    """Recompute silver and gold of the touched matches alone; returns the numbers of their buckets."""
+    matches = touched.select("match_id").distinct()
+    numbers = sorted(r[0] for r in sinks.with_bucket(matches, buckets).select("match_bucket").distinct().collect())  # at most ``buckets`` numbers
+    events = spark.read.parquet(f"{root}/bronze/events").where(F.col("match_bucket").isin(numbers)).join(matches, "match_id", "left_semi")
+    events = dedup.dedup_bronze(events.select(*(f.name for f in S.BRONZE.fields)))
     if identity == "canonical":
         events = silver.canonical_identity(events)
     kills, pm = silver.to_silver_kill_events(events, identity), silver.player_match(events, identity)
-    sinks.write_silver(kills, pm, f"{root}/silver", BUCKETS)
-    features = gold.gold_features(pm, kills, short_interval_threshold)
-    if features.head(1):
-        sinks.write_gold(features, f"{root}/gold", BUCKETS)
+    for name, fresh in (("silver/kill_events", kills), ("silver/player_match", pm), ("gold", gold.gold_features(pm, kills, short_interval_threshold))):
+        _replace_matches(spark, f"{root}/{name}", fresh, matches, numbers, buckets)
+    return numbers
 
 
-def start_pipeline(stream: DataFrame, root: str, checkpoint: str, trigger: dict | None = None, identity: str = "canonical", across_batches: bool = False, short_interval_threshold: float = 10.0) -> StreamingQuery:
+def start_pipeline(stream: DataFrame, root: str, checkpoint: str, trigger: dict | None = None, identity: str = "canonical", across_batches: bool = False, short_interval_threshold: float = 10.0, buckets: int = BUCKETS) -> StreamingQuery:
     """ST1-ST7, ST10. ``across_batches`` also drops repeated messages of earlier batches (within an hour)."""
     if across_batches:
         stream = stream.withColumn("_h", F.sha2("value", 256)).withWatermark("timestamp", "1 hour").dropDuplicatesWithinWatermark(["_h"]).drop("_h")
-    out = stream.writeStream.foreachBatch(lambda df, _: process_batch(df, root, identity, short_interval_threshold=short_interval_threshold) and None)
+    out = stream.writeStream.foreachBatch(lambda df, _: process_batch(df, root, identity, short_interval_threshold=short_interval_threshold, buckets=buckets) and None)
     return out.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
@@ -114,17 +142,40 @@ def with_retries(work: Callable[[], None], retries: int = 3, wait: Callable[[flo
     return error
 
 
-def start_training(signals: DataFrame, gold_root: str, model_root: str, checkpoint: str, retries: int = 3, trigger: dict | None = None, wait: Callable[[float], None] = time.sleep, **params) -> StreamingQuery:
-    """ST8: trains once a batch of valid signals; what keeps failing goes to the dead letters and is committed."""
+def start_training(signals: DataFrame, gold_root: str, model_root: str, checkpoint: str, retries: int = 3, trigger: dict | None = None, wait: Callable[[float], None] = time.sleep, scheme: str = "s3://", **params) -> StreamingQuery:
+    """ST8: each valid signal trains the version that its id and checksum name, so a repeated signal trains nothing anew.
+
+    Signals that do not validate, and those whose training keeps failing, go to
+    the dead letters; then the batch is committed. ``signals`` are messages whose
+    value is the signal as JSON; a micro-batch of them is what the trigger lets in.
+    """
 
-    def run(batch: DataFrame, _: int) -> None:
+    def serve(spark: SparkSession, signal: Row) -> None:
+        version = ml.model_version(signal["event_id"], signal["checksum_sha256"])
+        if not exists(spark, f"{model_root}/versions/{version}/checksums.json"):
+            rows = readers.read_gold(spark, gold_root, signal["object_uri"], "one")
+            model, metrics = ml.train(rows, **params)
+            ml.save_bundle(model, metrics, model_root, version, source={"object_uri": signal["object_uri"], "checksum_sha256": signal["checksum_sha256"]})
+        texts = spark.read.text(f"{model_root}/versions/{version}/metrics.json", wholetext=True)
+        made = texts.select(F.lit(signal["event_id"]).alias("operation_id"), F.lit(version).alias("model_version"), F.lit(f"{model_root}/versions/{version}").alias("bundle_uri"), F.from_json("value", "map<string,string>").alias("metrics"))
+        ready = sinks.model_ready_signals(made).withColumn("version", F.lit(version))
+        ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(f"{model_root}/signals/model_ready")
+
+    def run(batch: DataFrame, number: int) -> None:
         if not batch.head(1):
             return
         spark = batch.sparkSession
-        error = with_retries(lambda: ml.train_incremental(spark, gold_root, model_root, **params) and None, retries, wait)
-        if error is not None:
-            failed = batch.withColumn("error", F.lit(str(error)))
-            sinks.training_dead_letters(failed).write.mode("append").parquet(f"{model_root}/dead_letters")
+        parsed = batch.withColumn("s", F.from_json(F.col("value").cast("string"), S.GOLD_SIGNAL))
+        checked = validate.validate_gold_signal(parsed.select("topic", "partition", "offset", "value", *(F.col(f"s.{f.name}").alias(f.name) for f in S.GOLD_SIGNAL.fields)), scheme)
+        failed = [checked.where(F.size("reasons") > 0).withColumn("error", F.array_join("reasons", ","))]
+        good = checked.where(F.size("reasons") == 0)
+        for signal in good.select("event_id", "checksum_sha256", "object_uri").distinct().orderBy("event_id").toLocalIterator():
+            error = with_retries(functools.partial(serve, spark, signal), retries, wait)
+            if error is not None:
+                failed.append(good.where((F.col("event_id") == signal["event_id"]) & (F.col("checksum_sha256") == signal["checksum_sha256"])).withColumn("error", F.lit(str(error))))
+        letters = functools.reduce(DataFrame.unionByName, (f.select("topic", "partition", "offset", "value", "error") for f in failed))
+        out = sinks.training_dead_letters(letters).withColumn("batch", F.lit(number))
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{model_root}/dead_letters")
 
     return signals.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
@@ -136,7 +187,7 @@ class ModelHolder:
         self.spark, self.root, self.version, self.model, self.schema = spark, root, None, None, None
 
     def refresh(self) -> None:
-        if not _exists(self.spark, f"{self.root}/versions"):
+        if not exists(self.spark, f"{self.root}/versions"):
             return
         p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/versions")
         names = sorted((s.getPath().getName() for s in p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)), reverse=True)
@@ -164,6 +215,7 @@ def start_scoring(gold_stream: DataFrame, model_root: str, policy: Policy, out:
         requests = batch.select(F.lit("predict").alias("op"), "match_id", "player_id", feats.alias("features"))
         scored = score_model(requests, holder.model.stages[-1])
         done = predict(scored, F.col("risk_score"), policy, holder.version, len(cols))
-        done.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model_version", "batch").parquet(out)
+        if done.head(1):
+            sinks.write_predictions(done.withColumn("batch", F.lit(number)), out, by=["model_version", "batch"])
 
     return gold_stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -64,12 +64,23 @@ def test_score_vectors(spark):
     ([1.50, 750.0, 0.833, 500.0, 250.0, 800.0], [("kills_per_minute", 11.4), ("damage_per_minute", 9.4)]),
     ([0.10, 100.0, 0.15, 80.0, 140.0, 180.0], []),
     ([0.15, 120.0, 0.95, 100.0, 150.0, 200.0], [("headshot_ratio", 6.5)]),
+    ([0.15, 120.0, 0.18, 500.0, 250.0, 200.0], [("damage_per_kill", 9.0), ("movement_per_minute", 1.7)]),
+    ([0.15, 120.0, 0.18, 500.0, 250.0, 800.0], [("damage_per_kill", 9.0), ("performance_versus_lobby", 5.1)]),
+    ([0.15, 120.0, 0.18, 100.0, 400.0], [("movement_per_minute", 4.2)]),
 ])
 def test_evidence_vectors(spark, x, want):
     e = spark.createDataFrame([(x,)], "x array<double>").select(evidence.evidence(positional=F.col("x")).alias("e")).head()["e"]
     assert [(i["feature"], round(i["z_score"], 1)) for i in e] == want
 
 
+def test_evidence_by_name_equals_by_position(spark):
+    df = spark.createDataFrame([([0.15, 120.0, 0.18, 500.0, 400.0, 200.0],)], "x array<double>")
+    named = {n: F.col("x")[i] for i, n in enumerate(["kills_per_minute", "damage_per_minute", "headshot_ratio", "damage_per_kill", "movement_per_minute", "performance_versus_lobby"])}
+    a, b = df.select(evidence.evidence(named).alias("a"), evidence.evidence(positional=F.col("x")).alias("b")).head()
+    assert a == b and [i["feature"] for i in a] == ["damage_per_kill", "movement_per_minute"]
+    assert a[0]["reason"] == "damage_per_kill 500.00 against 100.00 in the lobby (+9.0 sigma)"
+
+
 @pytest.mark.parametrize(("score", "x", "want"), [
     (0.15, [0.10, 100.0, 0.15, 80.0, 140.0, 180.0], ("CLEAR", "LOW", "auto_clear")),
     (0.45, [0.10, 100.0, 0.15, 80.0, 140.0, 180.0], ("WATCHLIST", "MEDIUM", "watchlist_monitoring")),
@@ -77,7 +88,7 @@ def test_evidence_vectors(spark, x, want):
     (0.90, [0.15, 120.0, 0.95, 100.0, 150.0, 200.0], ("SUSPEND_ACCOUNT", "URGENT", "auto_suspend_aimbot")),
     (0.90, [0.10, 100.0, 0.15, 80.0, 140.0, 180.0], ("PERMANENT_BAN", "CRITICAL", "critical_permanent_ban")),
     (0.15, [0.0] * 9 + [0.95, 0.0], ("PERMANENT_BAN", "CRITICAL", "heuristic_teleport_hack")),
-    (0.15, [2.0] + [0.0] * 7 + [150.0, 0.0], ("PERMANENT_BAN", "CRITICAL", "heuristic_burst_kill")),
+    (0.15, [2.0] + [0.0] * 7 + [150.0, 0.0], ("PERMANENT_BAN", "CRITICAL", "heuristic_burst_aimbot")),
     (0.15, [0.0] * 10 + [5.0], ("PERMANENT_BAN", "CRITICAL", "heuristic_headshot_streak")),
 ])
 def test_decision_vectors(spark, score, x, want):

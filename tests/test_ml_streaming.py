@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from matchguard import schemas as S
 from matchguard.operators import decision, ml, validate
+from matchguard.operators import bronze, reports
 from matchguard.plans.queries import QUERIES
+from matchguard.sources import readers, sinks
 from matchguard.streaming import pipeline
 
 GOLD = "match_id string, player_id string, kills long, minimum_kill_interval_seconds double, median_kill_distance_coordinate_units double, short_kill_interval_count long, unique_weapons_used long, is_suspicious int"
@@ -119,9 +121,130 @@ def test_rejects_never_block_and_batches_repeat_without_traces(spark, tmp_path):
     root = f"file://{tmp_path}/lake"
     first = pipeline.process_batch(m, root)
     assert first == pipeline.process_batch(m, root)
-    manifest = spark.read.json(f"{root}/manifests").head()
-    assert (manifest["total_records_read"], manifest["valid_records"], manifest["invalid_records"], manifest["duplicate_records"]) == (5, 3, 1, 2)
+    manifest = readers.read_manifests(spark, f"{root}/manifests").collect()
+    assert [(m["total_records_read"], m["valid_records_count"], m["invalid_records_count"], m["duplicate_records_count"]) for m in manifest] == [(5, 3, 1, 2)]
+    assert len(manifest[0]["checksum_sha256"]) == 64 and manifest[0]["partition_offsets"].keys() == {2}
     assert spark.read.parquet(f"{root}/bronze/events").count() == 1
     assert spark.read.json(f"{root}/bronze/malformed").count() == 1 and spark.read.json(f"{root}/bronze/invalid").count() == 1
     only = messages(spark, [b"\xff"]).withColumn("timestamp", F.current_timestamp())
     assert pipeline.process_batch(only, f"file://{tmp_path}/other")
+
+
+def test_a_batch_repeated_after_midnight_leaves_one_of_each(spark, tmp_path, monkeypatch):
+    from test_normalize_validate import BASE, KILL, messages
+
+    bad = BASE | {"event_id": "short"}
+    m = messages(spark, [BASE, KILL, bad, b"\xff"]).withColumn("timestamp", F.lit("2026-07-28 23:59:59").cast("timestamp"))
+    root = f"file://{tmp_path}/lake"
+    pipeline.process_batch(m, root)
+    monkeypatch.setattr(sinks.F, "current_timestamp", lambda: F.lit("2030-01-01 00:00:01").cast("timestamp"))
+    pipeline.process_batch(m, root)
+    for layer in ("manifests", "bronze/invalid", "bronze/malformed", "bronze/events", "signals/gold_ready"):
+        days = {str(p.parent.relative_to(tmp_path / "lake" / layer)) for p in (tmp_path / "lake" / layer).rglob("part-*")}
+        assert days and all("2026" in d or layer.startswith("signals") for d in days)
+    assert readers.read_manifests(spark, f"{root}/manifests").count() == 1
+    assert readers.read_invalid(spark, f"{root}/bronze/invalid").count() == 1 and readers.read_invalid(spark, f"{root}/bronze/malformed").count() == 1
+    signal = spark.read.parquet(f"{root}/signals/gold_ready")
+    held = readers.read_gold(spark, f"{root}/gold", signal.head()["object_uri"], "one")
+    assert held.count() > 0 and validate.validate_gold_signal(signal, "file://").where(F.size("reasons") > 0).count() == 0
+
+
+def test_only_touched_matches_are_recomputed(spark, tmp_path):
+    from test_normalize_validate import KILL, messages
+
+    def kill(n, match, offset):
+        return KILL | {"event_id": f"{n:064x}", "match_id": match, "payload": KILL["payload"] | {"match_id": match, "event_time_seconds": float(n)}}
+
+    root = f"file://{tmp_path}/lake"
+    at = F.lit("2026-07-28 10:00:00").cast("timestamp")
+    pipeline.process_batch(messages(spark, [kill(1, "a" * 64, 0), kill(2, "b" * 64, 1)]).withColumn("timestamp", at), root, buckets=1)
+    pipeline.process_batch(messages(spark, [kill(9, "a" * 64, 0)]).withColumn("offset", F.lit(70).cast("long")).withColumn("timestamp", at), root, buckets=1)
+    gold_rows = spark.read.parquet(f"{root}/gold").groupBy("match_id").agg(F.max("kills").alias("k"), F.count("*").alias("n")).collect()
+    assert {r["match_id"][0]: r["k"] for r in gold_rows} == {"a": 2, "b": 1} and len({r["n"] for r in gold_rows}) == 1
+    assert spark.read.parquet(f"{root}/silver/kill_events").count() == 3
+
+
+def test_across_batches_drops_repeated_messages(spark, tmp_path):
+    from test_normalize_validate import BASE, KILL, messages
+
+    one = messages(spark, [BASE, KILL]).withColumn("topic", F.lit("raw")).withColumn("key", F.lit(b"k")).withColumn("timestamp", F.lit("2026-07-28 10:00:00").cast("timestamp"))
+    cols = [f.name for f in readers.MESSAGE.fields]
+    folder = str(tmp_path / "in")
+    one.select(cols).coalesce(1).write.parquet(folder)
+    one.withColumn("offset", F.col("offset") + 100).select(cols).coalesce(1).write.mode("append").parquet(folder)
+    stream = readers.read_message_files(spark, folder, 1)
+    pipeline.start_pipeline(stream, f"file://{tmp_path}/lake", str(tmp_path / "cp"), across_batches=True).awaitTermination()
+    assert readers.read_manifests(spark, f"file://{tmp_path}/lake/manifests").agg(F.sum("total_records_read")).head()[0] == 2
+
+
+def test_training_stream_serves_valid_signals_once_and_keeps_the_rest(spark, tmp_path):
+    root, lake = f"file://{tmp_path}/models", f"file://{tmp_path}/lake/gold"
+    gold(spark, label=lambda i: i % 3 == 0).write.parquet(f"{lake}/one")
+    good = ("b", "gold/one", "a" * 64, f"{lake}/one", "manifests/b")
+    gone = ("b", "gold/two", "b" * 64, f"{lake}/two", "manifests/b")
+    art = spark.createDataFrame([good, gone], "batch_id string, object_key string, checksum_sha256 string, object_uri string, source_manifest string")
+    signals = sinks.gold_ready_signals(art)
+    wrong = signals.limit(1).withColumn("op", F.lit("other"))
+    sent = signals.unionByName(wrong).select(F.lit(b"k").alias("key"), F.to_json(F.struct("*")).cast("binary").alias("value"), F.lit("gold").alias("topic"), F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset"), F.current_timestamp().alias("timestamp"))
+    sent.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = readers.read_message_files(spark, str(tmp_path / "in"))
+    for k in range(2):  # the second run, from a new checkpoint, trains nothing anew
+        pipeline.start_training(stream, lake, root, str(tmp_path / f"cp{k}"), retries=2, wait=lambda s: None, scheme="file://", rounds=1, depth=2).awaitTermination()
+        ready = spark.read.parquet(f"{root}/signals/model_ready").collect()
+        version = ml.model_version(ready[0]["operation_id"], "a" * 64)
+        assert len(ready) == 1 and ready[0]["model_version"] == version and ready[0]["op"] == "ml.model.ready" and ready[0]["model_name"] == "pubg-risk"
+        made = (tmp_path / f"models/versions/{version}/checksums.json").stat().st_mtime
+        if k:
+            assert made == first
+        first = made
+    letters = spark.read.parquet(f"{root}/dead_letters")
+    assert letters.where("error = 'op_not_gold_ready'").count() == 1 and letters.count() == 2 and letters.select("source_topic").distinct().head()[0] == "gold"
+    assert ml.load_bundle(spark, f"{root}/versions/{version}")[1]["features"] == S.FEATURES
+
+
+def test_manifests_and_rejects_in_any_json_form(spark, tmp_path):
+    import json
+
+    day = tmp_path / "manifests/year=2026/month=07/day=28"
+    day.mkdir(parents=True)
+    one = {"batch_id": "b1", "source_topic": "t", "partition_offsets": {"0": {"min_offset": 100, "max_offset": 250}}, "total_records_read": 151, "valid_records_count": 150, "invalid_records_count": 1, "duplicate_records_count": 0, "data_object_path": "bronze/x.parquet", "checksum_sha256": "c", "processing_timestamp": "2026-07-28T02:30:00Z"}
+    (day / "b1.json").write_text(json.dumps(one, indent=2))
+    (day / "b2.json").write_text(json.dumps(one | {"batch_id": "b2"}) + "\n" + json.dumps(one | {"batch_id": "b3"}))
+    (tmp_path / "manifests/dataset-manifest.json").write_text(json.dumps({"total_records_read": 9}))
+    m = readers.read_manifests(spark, str(tmp_path / "manifests"))
+    rows = {r["batch_id"]: r for r in m.collect()}
+    assert set(rows) == {"b1", "b2", "b3"} and rows["b1"]["partition_offsets"][0]["max_offset"] == 250
+    total = reports.pipeline_summary(m).head()
+    assert (total["total_raw"], total["total_valid"], total["total_batches"]) == (453, 450, 3)
+    assert bronze.contract_manifest(m).where("kafka_partition = 0 and first_offset = 100 and status = 'completed'").count() == 3
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad/list.json").write_text(json.dumps([{"event_id": "e", "reasons": ["a", "b"]}, {"event_id": "f", "reasons": []}], indent=1))
+    (tmp_path / "bad/object.json").write_text(json.dumps({"event_id": "g", "reasons": ["a"]}, indent=1))
+    (tmp_path / "bad/lines.json").write_text('{"event_id": "h", "reasons": ["b"]}\n\n{"event_id": "i", "reasons": ["b"]}\n')
+    assert {r["event_id"]: len(r["reasons"]) for r in readers.read_invalid(spark, str(tmp_path / "bad")).collect()} == {"e": 2, "f": 0, "g": 1, "h": 1, "i": 1}
+
+
+def test_registry_lists_versions_without_metrics(spark, tmp_path):
+    for v, names in (("v1", ["metrics.json", "training_manifest.json"]), ("v2", ["training_manifest.json"]), ("v3", ["metrics.json"])):
+        (tmp_path / "versions" / v).mkdir(parents=True)
+        for n in names:
+            (tmp_path / "versions" / v / n).write_text('{\n"a": 1\n}')
+    out = reports.model_registry(*readers.read_model_registry(spark, str(tmp_path)), "v2").collect()
+    assert [(r["version"], r["metrics"] is None, r["training_manifest"] is None, r["is_active"]) for r in out] == [("v3", False, True, False), ("v2", True, False, True), ("v1", False, False, False)]
+
+
+def test_no_rank_or_percentile_gathers_a_column(spark):
+    from matchguard.operators import ranks
+
+    df = spark.range(0, 1000, 1, 7).select((F.col("id") % 97).cast("double").alias("v"), F.col("id").alias("i"))
+    plans = [d._jdf.queryExecution().toString() for d in (reports.describe_features(df, ["v"]), ml.anomaly_score_summary(df, "v"), ml.pseudo_labels(df, ["i"], "v"), ml.classification_metrics(df.select((F.col("v") / 97).alias("score"), F.lit(1).alias("label"))))]
+    for plan in plans:
+        assert "percentile(" not in plan and "TakeOrdered" not in plan and "GlobalLimit" not in plan
+    values = sorted(i % 97 for i in range(1000))
+    got = ranks.percentiles(df, "v", {"a": 0.0, "b": 0.123, "c": 0.5, "d": 1.0}).head()
+    for name, p in (("a", 0.0), ("b", 0.123), ("c", 0.5), ("d", 1.0)):
+        assert abs(got[name] - float(np.quantile(values, p))) < 1e-9
+    assert [r["rank"] for r in ranks.ranked(df, ["v", "i"]).orderBy("v", "i").collect()] == list(range(1, 1001))
+    assert ranks.percentiles(df.where("false"), "v", {"a": 0.5}).collect() == [] and ranks.ranked(df.where("false"), ["v"]).count() == 0
+    empty = ml.anomaly_score_summary(df.where("false"), "v").head()
+    assert empty["p05"] is None and empty["mean"] is None

@@ -116,7 +116,7 @@ def test_bronze_dedup_and_manifest(spark):
     off = spark.createDataFrame([(0, 5, "valid", False), (0, 15, "valid", True), (1, 100, "invalid", False), (1, 105, "malformed", False)], "partition int, offset long, status string, duplicate boolean")
     m = bronze.batch_manifest(off).head()
     assert m["partition_offsets"][0].asDict() == {"min_offset": 5, "max_offset": 15} and m["partition_offsets"][1]["max_offset"] == 105
-    assert (m["total_records_read"], m["valid_records"], m["invalid_records"], m["duplicate_records"]) == (4, 2, 1, 1)
+    assert (m["total_records_read"], m["valid_records_count"], m["invalid_records_count"], m["duplicate_records_count"]) == (4, 2, 1, 1)
     assert m["batch_id"] == spark.range(1).select(F.sha2(F.lit("p0:5-15|p1:100-105|"), 256)).head()[0] == bronze.batch_id(bronze.partition_offsets(off)).head()[0]
 
 
@@ -135,5 +135,5 @@ def test_lake_paths_round_trip(spark, tmp_path):
 def test_scoring_and_signal_rules(spark):
     df = spark.createDataFrame([("predict", "m", "p", [1.0, 2.0]), ("predict", "m", "p", [1.0]), ("predict", "m", "p", [1.0, float("nan")]), ("x", "m", "p", [1.0, 2.0]), ("predict", " ", "p", [1.0, 2.0])], "op string, match_id string, player_id string, features array<double>")
     assert [r[0] for r in df.select(validate.scoring_error(2)).collect()] == [None, "feature_count_mismatch", "features_not_finite", "op_not_predict", "match_id_invalid"]
-    sig = spark.createDataFrame([("1.0", "a" * 64, "data.gold.ready", "b" * 64, "s3://x"), ("1.0", "A" * 64, "data.gold.ready", "b" * 64, "file:/x")], "schema_version string, event_id string, op string, checksum_sha256 string, gold_uri string")
-    assert [r["reasons"] for r in validate.validate_gold_signal(sig).collect()] == [[], ["event_id_not_sha256", "gold_uri_not_s3"]]
+    sig = spark.createDataFrame([("1.0", "a" * 64, "data.dataset.gold.ready", "b" * 64, "s3://x"), ("1.0", "A" * 64, "data.dataset.gold.ready", "b" * 64, "file:/x")], "schema_version string, event_id string, op string, checksum_sha256 string, object_uri string")
+    assert [r["reasons"] for r in validate.validate_gold_signal(sig).collect()] == [[], ["event_id_not_sha256", "object_uri_not_s3"]]
