@@ -272,4 +272,3 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "
     return _named(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-Mapper = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]

@@ -20,7 +20,8 @@ index, reads one block and binary-searches its restart points.
 
 Defined results: a null text is an empty document, so it holds only the end id;
 a null id sorts first; rows that repeat an id are all kept, ordered by their
-text's hash; an empty table gives no shards; other columns are not stored.
+text's hash; a text of any length is one entry, encoded whole in one task; an
+empty table gives no shards; other columns are not stored.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import io
+import itertools
 import json
 import os
 import struct
@@ -48,7 +50,7 @@ from .common import slices, strings
 MAGIC = b"MGSST001"
 FOOTER = struct.Struct("<QQQQQQBB")  # index at, size, bloom at, size, entries, ids, bytes an id, Bloom probes
 RESTART = 16
-MANIFEST_SCHEMA = "shard int, path string, n_docs long, n_tokens long"
+MANIFEST_SCHEMA = "shard int, path string, n_docs long, n_tokens long, first_id long, last_id long"
 
 
 def key_of(doc_id: int | None) -> bytes:
@@ -301,7 +303,8 @@ class ChunkEncoder:
         cache, stems, cut = self.cache, set(), {}
         for w in new:
             stem = w.rstrip(self.MARKS)
-            if stem == w or not stem[-1:].isalpha():
+            # only after a letter of an old alphabet that stays one in lower case (capital dotted I does not)
+            if stem == w or not (stem[-1:] < "\u0530" and stem[-1:].lower()[-1:].isalpha()):
                 stems.add(w)
             else:
                 cut[w] = stem
@@ -350,36 +353,39 @@ def _writer(uri: str, tokenizer: str, end_id: int) -> Callable:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         fs, root = _fs(uri)
-        coder, table, sink = encoder(tokenizer), None, None
+        coder, table, sink, first, last = encoder(tokenizer), None, None, None, None
         end = np.array([end_id], coder.kind).tobytes()
         tmp, path = f"{root}/.shard-{shard:06d}-{uuid.uuid4().hex[:8]}.tmp", f"{root}/shard-{shard:06d}.sst"
         for batch in slices(batches, 128):
             if table is None:
                 sink = fs.open_output_stream(tmp)
                 table = SSTableWriter(sink, coder.id_bytes)
+                first = batch.column(0)[0].as_py()
+            last = batch.column(0)[batch.num_rows - 1].as_py()
             for doc_id, ids in zip(batch.column(0).to_pylist(), coder.encode(strings(batch.column(1))), strict=True):
                 table.add(key_of(doc_id), ids + end)
         if table is not None:
             table.close()
             sink.close()
             fs.move(tmp, path)  # a second attempt of the task writes the same bytes
-            yield pa.RecordBatch.from_pylist([{"shard": shard, "path": f"{uri}/shard-{shard:06d}.sst", "n_docs": table.entries, "n_tokens": table.ids}], schema=pa.schema([("shard", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
+            yield pa.RecordBatch.from_pylist([{"shard": shard, "path": f"{uri}/shard-{shard:06d}.sst", "n_docs": table.entries, "n_tokens": table.ids, "first_id": first, "last_id": last}], schema=pa.schema([("shard", pa.int32()), ("path", pa.string()), *((c, pa.int64()) for c in ("n_docs", "n_tokens", "first_id", "last_id"))]))
 
     return write
 
 
-def write_sstables(docs: DataFrame, uri: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> list[dict]:
+def write_sstables(docs: DataFrame, uri: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shards: int | None = None) -> list[dict]:
     """Encode every text and write sorted shards under ``uri``; returns the manifest.
 
     One range shuffle on (id, hash of the text) deals the documents: the hash
-    splits the rows of an id that repeats often. Shards hold about as many
-    documents each as ``spark.sql.shuffle.partitions`` asks for. The manifest,
-    one small row a shard, is also written to ``uri/MANIFEST.json``.
+    splits the rows of an id that repeats often. ``shards`` sets how many there
+    are (by default ``spark.sql.shuffle.partitions``): take the input's size over
+    the shard size that readers want, some 256 MB. The manifest, one small row a
+    shard with its first and last id, is also written to ``uri/MANIFEST.json``.
     """
     fs, root = _fs(uri)
     fs.create_dir(root, recursive=True)
     keyed = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(text_col).alias("h"))
-    dealt = keyed.repartitionByRange("id", "h").sortWithinPartitions("id", "h").select("id", "text")
+    dealt = (keyed.repartitionByRange(shards, "id", "h") if shards else keyed.repartitionByRange("id", "h")).sortWithinPartitions("id", "h").select("id", "text")
     rows = dealt.mapInArrow(_writer(uri, tokenizer, end_id), MANIFEST_SCHEMA).collect()
     start, manifest = 0, []
     for r in sorted(rows, key=lambda r: r["shard"]):
@@ -402,9 +408,12 @@ def open_shard(path: str) -> SSTableReader:
 
 
 def lookup(uri: str, doc_id: int | None) -> list[np.ndarray]:
-    """Ids of one document; every shard's Bloom filter is asked before a block is read."""
-    out = []
-    for entry in manifest_of(uri):
+    """Ids of one document: the manifest's key ranges name the shards, whose Bloom filters are asked before a block is read."""
+    out, manifest = [], manifest_of(uri)
+    order = (-1, 0) if doc_id is None else (0, doc_id)
+    rank = lambda v: (-1, 0) if v is None else (0, v)
+    at = bisect.bisect_left(manifest, order, key=lambda m: rank(m["last_id"]))
+    for entry in itertools.takewhile(lambda m: rank(m["first_id"]) <= order, manifest[at:]):
         table = open_shard(entry["path"])
         out += [np.frombuffer(v, f"<u{table.id_bytes}") for v in table.get(key_of(doc_id))]
     return out

@@ -9,7 +9,9 @@ filled by the library in batches and emptied at ``limit``. No pre-token is ever
 shuffled; the sample only warms tier one and never changes a count.
 
 Defined results: null and empty texts have 0 tokens and 0 bytes; ids, nulls
-among them, pass through; rows that repeat are counted each; an empty table
+among them, pass through; texts of any length are counted whole; texts with runs
+of spaces or the model's own sign for a space go to the library as they are; rows
+that repeat are counted each; an empty table
 gives an empty result; other columns are dropped.
 """
 
@@ -59,7 +61,7 @@ class PieceCounter:
     def count(self, texts: list[str]) -> list[int]:
         out = [0] * len(texts)
         if self.parts:
-            plain = [i for i, t in enumerate(texts) if t and "  " not in t and t[0] != " " and t[-1] != " "]
+            plain = [i for i, t in enumerate(texts) if t and "  " not in t and t[0] != " " and t[-1] != " " and "▁" not in t]
         else:
             plain = []
         split = [texts[i].split(" ") for i in plain]
@@ -72,7 +74,7 @@ class PieceCounter:
         get = cache.__getitem__
         for i, words in zip(plain, split, strict=True):
             out[i] = sum(map(get, words))
-        rest = sorted(set(range(len(texts))).difference(plain))  # runs of spaces: the library counts the whole text
+        rest = sorted(set(range(len(texts))).difference(plain))  # runs of spaces, or the sign that stands for one: the library counts the whole text
         for i, n in zip(rest, self.lengths([texts[i] for i in rest]) if rest else [], strict=True):
             out[i] = n
         return out

@@ -14,7 +14,14 @@ from matchguard.llm import bpe, sstable, token_count
 from matchguard.llm.queries import split_pattern, tokenizer_path
 
 SCHEMA = "doc_id long, text string, n_tokens string, ids string"
-ODD = ["", " ", "  ", "a  b", " a", "a ", "a \n b", "a\n \nb", "\n\n x", "x \n\n", "\t a\t b ", "don't we'll go 123 4567 !! ??", "é ü ß 中文字 字", "<|endoftext|> a<|startoftext|>b", "a\x1c b \x1d c", "x" * 3000, "😀😀 👍🏽a", "a ▁b ▁▁c", "\r\n a \r\n", "İI ΑΣ Σ.", "J̌ x", "A.B,c!?'s", "<s> </s>"]
+ODD = ["", " ", "  ", "a  b", " a", "a ", "a \n b", "a\n \nb", "\n\n x", "x \n\n", "\t a\t b ", "don't we'll go 123 4567 !! ??", "é ü ß 中文字 字", "<|endoftext|> a<|startoftext|>b", "a\x1c b \x1d c", "x" * 3000, "😀😀 👍🏽a", "a ▁b ▁▁c", "\r\n a \r\n", "İI ΑΣ Σ.", "J̌ x", "A.B,c!?'s", "<s> </s>", "İSTANBUL BELEDİYESİ.", "TÜRKİYE CUMHURİYETİ, 1923", "xİ.", "▁▁ ▁▁", "a▁ ▁ ▁b"]
+#: Letters whose lower case is no single letter, combining marks, white space of all kinds, the pieces' own sign, astral letters.
+ALPHABET = [*"abzAZ .,!?'\"-09éİıŞΣςЖ中ſßﬁÀÅªº²½", "\u0307", "\u0301", "\u0327", "\u0345", "▁", "\u00a0", "\u2003", "\u3000", "\u200b", "\t", "\n", "😀", "\U0001d400", *"      ", "İ.", "s'", "<|endoftext|>"]
+
+
+def wild(seed=3, n=20_000):
+    rnd = random.Random(seed)
+    return ["".join(rnd.choice(ALPHABET) for _ in range(rnd.randint(0, 30))) for _ in range(n)]
 
 
 def texts(seed=1, n=400):
@@ -80,6 +87,20 @@ def test_counts_equal_the_library(spark):
     assert token_count.count_tokens(table(spark, []), path).count() == 0
 
 
+def test_wild_texts_equal_the_libraries():
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    texts = wild()
+    path = tokenizer_path("word_bpe_49k.json")
+    coder = sstable.ChunkEncoder(path)
+    want = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    assert [t for t, a, b in zip(texts, coder.encode(texts), want) if np.frombuffer(a, coder.kind).tolist() != b.ids] == []
+    path = tokenizer_path("piece_bpe_32k.model")
+    want = sentencepiece.SentencePieceProcessor(model_file=path).encode(texts)
+    assert [t for t, n, b in zip(texts, token_count.PieceCounter(path).count(texts), want) if n != len(b)] == []
+
+
 def test_chunk_encoder_equals_the_library():
     from tokenizers import Tokenizer
 
