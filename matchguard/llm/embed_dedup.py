@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import discard, join_spread, materialize, slices
 from .components import components, roots
 
 TILE_MEMBERS, TILE_QUERIES = 1024, 16_384
@@ -179,7 +179,7 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, dims = [], []
         for vector, label in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             v = _clean(vector) if label is not None else None
-            nodes.append(None if v is None else int(np.uint64(xxhash.xxh3_64_intdigest(v.tobytes(), seed=hash(label) & 0xFFFF)).astype(np.int64)))
+            nodes.append(None if v is None else int(np.uint64(xxhash.xxh3_64_intdigest(v.tobytes() + label.to_bytes(8, "little", signed=True))).astype(np.int64)))
             dims.append(None if v is None else len(v))
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64()), pa.array(dims, pa.int32())], names=["vec_id", "embedding", "label", "node", "dim"])
 
@@ -252,8 +252,12 @@ def _tiles(cosine: float) -> Callable:
     return run
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.93, recall: float = 0.985, sample: int = 20_000, codes: int | None = None) -> DataFrame:
-    """Per row of ``vectors`` (vec_id, embedding, label): ``vec_id, n_links, component_id, kept``."""
+def near_duplicates(vectors: DataFrame, cosine: float = 0.93, recall: float = 0.985, sample: int = 20_000, codes: int | None = None, exact: bool = False) -> DataFrame:
+    """Per row of ``vectors`` (vec_id, embedding, label): ``vec_id, n_links, component_id, kept``.
+
+    ``exact`` compares all vectors of a label (a grid of one cell, in the same
+    bounded tiles): whole recall, for a time that grows with the square.
+    """
     spark = vectors.sparkSession
     named = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("long").alias("label"))
     rows = materialize(named.mapInArrow(_nodes, "vec_id long, embedding array<double>, label long, node long, dim int"), "imi-rows")
@@ -262,12 +266,14 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, recall: float = 0.
     n = nodes.count()
     chosen = nodes.orderBy(F.xxhash64("node"), "node").limit(sample).select("dim", "label", "embedding").collect()
     indexes = {}
-    if codes is None:  # the grid grows with the table
-        codes = int(min(256, max(4, round(n**0.5 / 4))))
+    if exact:
+        codes = 1
+    if codes is None:  # the grid grows with the table, as far as the sample can teach it
+        codes = int(min(sample // 8, max(4, round(n**0.5 / 4))))
     for dim in {r["dim"] for r in chosen} | {r["dim"] for r in nodes.select("dim").distinct().collect()}:
         own = [r for r in chosen if r["dim"] == dim] or nodes.where(F.col("dim") == dim).select("dim", "label", "embedding").limit(100).collect()
         indexes[dim] = fit_index(unit([r["embedding"] for r in own]), np.array([r["label"] for r in own]), codes, cosine, recall)
-    shared = spark.sparkContext.broadcast(indexes)  # two codebooks of at most 256 rows a vector length
+    shared = spark.sparkContext.broadcast(indexes)  # two codebooks of at most sample / 8 half vectors, for each vector length
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _dealt(shared.value)(batches)
@@ -284,10 +290,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, recall: float = 0.
     tiled = tiled.join(nodes.select("node", "embedding"), "node")  # only rows that meet a member carry their vector
     tiled = tiled.repartition(*key, "part").sortWithinPartitions("tile", "query").select("tile", "query", "part", "node", "embedding", "copies", "home", "cell")
     found = materialize(tiled.mapInArrow(_tiles(cosine), "kind int, a long, b long"), "imi-found")
+    discard(dealt)
     comps = components(found.where(F.col("kind") == EDGE).select("a", "b"), "imi-components")
     degrees = found.where(F.col("kind") == DEGREE).groupBy("a").agg(F.sum("b").alias("links")).withColumnRenamed("a", "node")
     known = nodes.select("node", "copies").join(degrees, "node", "left").join(comps, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("class"))
-    classed = rows.select("vec_id", "node").join(known, "node", "left")
+    classed = join_spread(rows.select("vec_id", "node"), known, "node", "vec_id")
     least = classed.where("class is not null").groupBy("class").agg(F.min("vec_id").alias("least"))
-    out = classed.join(least, "class", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("least", "vec_id").alias("component_id"))
+    out = join_spread(classed, least, "class", "vec_id").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("least", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -69,6 +69,13 @@ def test_odd_rows(spark):
     assert got == answer(rows, brute(rows)) and got[1] == (3, 1)
 
 
+def test_labels_never_share_a_node(spark):
+    v = [1.0, 2.0, -0.5, 0.25]
+    rows = [(i, v, label) for i, label in enumerate([-1, -2, 7, 65543, 7 + (1 << 24), 0, 1 << 16])]
+    assert run(spark, rows) == {i: (0, i) for i in range(len(rows))}
+    assert run(spark, rows + [(100, [2 * x for x in v], -2)], exact=True) == {i: (0, i) for i in range(len(rows)) if i != 1} | {1: (1, 1), 100: (1, 1)}
+
+
 def test_empty_table(spark):
     assert run(spark, []) == {}
 
