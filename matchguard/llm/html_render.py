@@ -9,7 +9,11 @@ depth, and tables as rows of aligned cells.
 
 Both steps keep their own stacks, so nesting of any depth is safe, and each
 takes time in proportion to the page. Cells are padded to their column's width,
-at most ``CELL`` characters; longer text is written whole.
+at most ``CELL`` characters, and indented by at most ``INDENT``; longer text is
+written whole. A cell spans at most 100 columns, so padding is at most 160
+characters a cell and line. Form fields, drawings and media (``UNSEEN``: select,
+textarea, svg, canvas, object, audio, video) are not text of the page and left
+out, but for the labels of buttons; formulas are written.
 
 Defined results: null and empty pages give an empty text; broken or unknown tags
 are read as a browser would nearly read them and never fail; ids, nulls among
@@ -19,9 +23,10 @@ empty result; other columns are not read.
 
 from __future__ import annotations
 
+import bisect
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -30,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import slices, strings
 
-CELL = 40
+CELL, INDENT = 40, 160
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
@@ -39,7 +44,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figure dl table ul ol".split())
-UNSEEN = frozenset("head script style template noscript title meta link base iframe noembed noframes object audio video canvas svg math datalist select textarea".split())
+UNSEEN = frozenset("head script style template noscript title meta link base iframe noembed noframes object audio video canvas svg annotation annotation-xml datalist select textarea".split())
 TABLE_PARTS = frozenset("caption colgroup thead tbody tfoot tr td th".split())
 
 
@@ -69,12 +74,16 @@ IMPLIED = {
 
 
 class Builder:
-    """Makes the tree; ``open`` counts open elements so that stray ends cost nothing."""
+    """Makes the tree; ``open`` holds, for each tag, the places of its open elements in the stack, so that no step walks it."""
 
     def __init__(self):
         self.root = Node("#root", {})
         self.stack, self.open = [self.root], {}
 
+    def _nearest(self, tags: Iterable[str]) -> int:
+        """The place of the innermost open element of ``tags``; 0 if there is none."""
+        return max((at[-1] for t in tags if (at := self.open.get(t))), default=0)
+
     def text(self, data: str) -> None:
         if data:
             self.stack[-1].children.append(data)
@@ -91,7 +100,7 @@ class Builder:
         self.stack[-1].children.append(node)
         if tag not in VOID:
             self.stack.append(node)
-            self.open[tag] = self.open.get(tag, 0) + 1
+            self.open.setdefault(tag, []).append(len(self.stack) - 1)
 
     def end(self, tag: str) -> None:
         if tag == "br":
@@ -99,31 +108,20 @@ class Builder:
         if not self.open.get(tag):
             return
         if tag not in ("table", *TABLE_PARTS) and self.open.get("table"):
-            for node in reversed(self.stack):  # an end inside a table does not close what holds the table
-                if node.tag == tag:
-                    break
-                if node.tag in ("td", "th", "caption", "table"):
-                    return
-        self._pop(tag)
-
-    def _pop(self, tag: str) -> None:
-        while True:
-            node = self.stack.pop()
-            self.open[node.tag] -= 1
-            if node.tag == tag:
-                return
+            if self._nearest(("td", "th", "caption", "table")) > self.open[tag][-1]:
+                return  # an end inside a table does not close what holds the table
+        self._cut(self.open[tag][-1])
+
+    def _cut(self, at: int) -> None:
+        while len(self.stack) > at:
+            self.open[self.stack.pop().tag].pop()
 
     def _until(self, ends: tuple[str, ...], fence: tuple[str, ...]) -> None:
         """Close the outermost of ``ends`` that is open inside the nearest fence."""
-        last = None
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag in fence:
-                break
-            if self.stack[i].tag in ends:
-                last = i
-        if last is not None:
-            while len(self.stack) > last:
-                self.open[self.stack.pop().tag] -= 1
+        inside = self._nearest(fence)
+        first = [places[i] for t in ends if (places := self.open.get(t)) and (i := bisect.bisect_right(places, inside)) < len(places)]
+        if first:
+            self._cut(min(first))
 
 
 def parse(html: str) -> Node:
@@ -322,9 +320,9 @@ def render(html: str | None) -> str:
                     if n is not None:
                         lists[-1] += 1
                     mark.append(prefixes[-1] + sign)
-                    prefixes.append(prefixes[-1] + " " * len(sign))
+                    prefixes.append((prefixes[-1] + " " * len(sign))[:INDENT])
                 elif tag in ("dd", "blockquote"):
-                    prefixes.append(prefixes[-1] + "    ")
+                    prefixes.append((prefixes[-1] + "    ")[:INDENT])
                 elif tag == "pre":
                     pre += 1
                 opened = "block"

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -85,6 +86,17 @@ def test_noise_never_fails_and_depth_is_no_limit():
     assert [c.tag for c in node.children] == ["p", "div"]
 
 
+@pytest.mark.parametrize("page", ["<p><button>" + "<div>" * 20_000, "<table><tr><td>" * 5_000 + "x" + "</b></td>" * 5_000, "<blockquote>" * 20_000, "<ul><li>" * 20_000, "<p><table><td>" + "<p>x" * 20_000, "<select>" + "<option>" * 20_000, "<a><b></a>" * 20_000])
+def test_time_grows_with_the_page(page):
+    start = time.process_time()
+    render(page + "text")
+    assert time.process_time() - start < 3
+
+
+def test_formulas_are_text():
+    assert render("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math>.") == "so x=1."
+
+
 def test_operator(spark):
     rows = [(1, "<p>a<p>b", "clash", 1), (None, "<b>x</b>", "c", 1), (3, None, "c", 1), (3, "", "c", 1), (4, "<p>" + "word " * 100_000, "c", 1)]
     df = spark.createDataFrame(rows, "page_id long, html string, text string, n_chars int")
