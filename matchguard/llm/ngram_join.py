@@ -345,7 +345,8 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _placed(mixed: DataFrame, texts: DataFrame, percent: int, per_tile: int) -> DataFrame:
-    """``shingle, node, n, most, parts``: the shingles at which a set may meet a partner, and the largest size of one.
+    """``shingle, node, n, most, mp, qp``: the shingles at which a set may meet a partner, the largest size of one, and
+    in how many parts of ``per_tile`` sets the shingle's smaller and larger sides are cut.
 
     A set's shingles stand in one order for all sets, those that fewest of the
     sets hold first. The first shingle that two linked sets share has at least
@@ -360,9 +361,13 @@ def _placed(mixed: DataFrame, texts: DataFrame, percent: int, per_tile: int) ->
         .withColumn("left", F.lit(1) - F.row_number().over(each.orderBy("df", "shingle")) + F.count("*").over(each))
         .where(F.col("left") * 100 >= F.col("n") * percent)
         .withColumn("most", F.floor(F.col("left") * (100 + percent) / F.lit(percent)) - F.col("n"))
-        .withColumn("parts", F.ceil(F.col("df") / per_tile).cast("int"))
     )
-    return materialize(placed.select("shingle", "node", "n", "most", "parts"), "ngram-placed")
+    placed = materialize(placed.select("shingle", "node", "n", "most"), "ngram-placed")
+    cut = lambda c: F.ceil(c / per_tile).cast("int")
+    large = placed.groupBy("shingle").agg(cut(F.count_if(F.col("most") >= F.col("n"))).alias("mp"), cut(F.count("*")).alias("qp")).where("qp > 1")
+    out = placed.join(large, "shingle", "left").withColumns({c: F.greatest(F.coalesce(c, F.lit(1)), F.lit(1)) for c in ("mp", "qp")})
+    out._scratch_path = placed._scratch_path
+    return out
 
 
 def _differences(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
@@ -436,10 +441,11 @@ def _crossing(placed: DataFrame, mixed: DataFrame, texts: DataFrame, percent: in
     many sets are dealt to tiles, each of a part of either side.
     """
     rows = placed.join(mixed, "node").join(texts.select("node", "bits"), "node")
-    own, every = F.pmod(F.xxhash64("node"), "parts").cast("int"), F.sequence(F.lit(0), F.col("parts") - 1)
+    own = lambda parts: F.pmod(F.xxhash64("node"), parts).cast("int")
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
     columns = ["shingle", "i", "j", "probe", F.lit(0).alias("unused"), "node", "component", "n", "most", "bits"]
-    index = rows.where("most >= n").withColumn("i", own).withColumn("j", F.explode(every)).withColumn("probe", F.lit(False)).select(*columns)
-    probe = rows.withColumn("j", own).withColumn("i", F.explode(every)).withColumn("probe", F.lit(True)).select(*columns)
+    index = rows.where("most >= n").withColumn("i", own("mp")).withColumn("j", every("qp")).withColumn("probe", F.lit(False)).select(*columns)
+    probe = rows.withColumn("j", own("qp")).withColumn("i", every("mp")).withColumn("probe", F.lit(True)).select(*columns)
     tiles = index.unionByName(probe).repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "probe")
     found = tiles.mapInArrow(_near(percent, best), "a long, b long, far double")
     if best:
@@ -465,7 +471,7 @@ def document_sets(docs: DataFrame, bands: Bands) -> DataFrame:
     return materialize(_named(docs).mapInArrow(_nodes(bands), "doc_id long, node long, n long, bare map<int,int>, th long"), "ngram-nodes")
 
 
-def set_links(docs: DataFrame, sets: DataFrame, bands: Bands, per_tile: int = 1 << 14) -> DataFrame:
+def set_links(docs: DataFrame, sets: DataFrame, bands: Bands, per_tile: int = 1 << 10) -> DataFrame:
     """``node, component`` for every set that links with another."""
     spark = docs.sparkSession
     named = _named(docs)
