@@ -19,7 +19,10 @@ and a quarter of the words).
 
 The index is broadcast in pieces of at most ``piece_bytes`` of item text, a
 bound that holds for any benchmark; each piece costs one pass over the texts.
-An item longer than that has a piece of its own.
+An item longer than that has a piece of its own. Document frequencies and the
+mean length are those of all items, counted in Spark first where there are
+several pieces, so scores do not depend on the cut. Texts and items of any
+length are searched whole.
 
 Defined results: null and empty texts have no hits; null and empty items find
 nothing; repeated items give a hit each; rows that repeat are searched each; an
@@ -32,13 +35,14 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, strings
+from .common import discard, materialize, slices, strings
 
 WORD = re.compile(r"\w+")
 SEGMENT, WINDOW, STRIDE, BLOCK = 48, 64, 32, 8
@@ -69,29 +73,50 @@ def _shares(grams: list, held: set) -> float:
     return sum(g in held for g in grams) / len(grams) if grams else 1.0
 
 
+def segments(words: list[str]) -> list[list[str]]:
+    """Parts of about equal length, of at most SEGMENT words."""
+    n = -(-len(words) // SEGMENT)
+    size = -(-len(words) // n) if n else 1
+    return [words[a : a + size] for a in range(0, len(words), size)]
+
+
+@dataclass
+class Statistics:
+    """Segments that hold each term, all segments, their mean length."""
+
+    df: dict[str, int]
+    n: int
+    mean: float
+
+    @classmethod
+    def of(cls, parts: list[list[str]]) -> Statistics:
+        return cls(Counter(t for w in parts for t in set(w)), len(parts), sum(map(len, parts)) / max(1, len(parts)))
+
+
 class Index:
-    """Inverted index of items with the greatest impact of each term, in all and by block."""
+    """Inverted index of items with the greatest impact of each term, in all and by block.
+
+    ``known`` has the statistics of all items where these are a part of them.
+    """
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], known: Statistics | None = None):
         self.items, entries = [], []
         for item_id, text in items:
             w = words_of(text)
             if not w:
                 continue
-            n = -(-len(w) // SEGMENT)
-            size = -(-len(w) // n)
-            entries += [(len(self.items), w[a : a + size]) for a in range(0, len(w), size)]
+            entries += [(len(self.items), part) for part in segments(w)]
             question, answer = question_and_answer(text)
             self.items.append((item_id, question, answer, len(w)))
         self.item_of = np.array([i for i, _ in entries], np.int64)
         self.n_entries, self.n_blocks = len(entries), -(-len(entries) // BLOCK)
-        df = Counter(t for _, w in entries for t in set(w))
-        self.terms = {t: i for i, t in enumerate(sorted(df))}
-        mean = sum(len(w) for _, w in entries) / max(1, len(entries))
+        known = known or Statistics.of([w for _, w in entries])
+        df, n_all, mean = known.df, known.n, known.mean
+        self.terms = {t: i for i, t in enumerate(sorted({t for _, w in entries for t in w}))}
         rows = []
         for e, (_, w) in enumerate(entries):
             tf = Counter(w)
-            weight = {t: np.log1p((len(entries) - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * len(w) / mean)) for t, c in tf.items()}
+            weight = {t: np.log1p((n_all - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * len(w) / mean)) for t, c in tf.items()}
             best = sum(weight.values())
             rows += [(self.terms[t], e, x / best) for t, x in weight.items()]
         rows.sort()
@@ -185,19 +210,45 @@ class Index:
         return list(best.values())
 
 
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, segments that hold it); the row without a term has the number of segments and of words."""
+    for batch in slices(batches, 64):
+        seen, n, words = Counter(), 0, 0
+        for text in strings(batch.column(0)):
+            parts = segments(words_of(text))
+            seen.update(t for w in parts for t in set(w))
+            n, words = n + len(parts), words + sum(map(len, parts))
+        yield pa.RecordBatch.from_arrays([pa.array([None, *seen], pa.string()), pa.array([n, *seen.values()], pa.int64()), pa.array([words] + [0] * len(seen), pa.int64())], names=["term", "n", "words"])
+
+
 def pieces(benchmark: DataFrame, piece_bytes: int = 16 << 20) -> Iterator[Index]:
     """Indexes of the items, each of at most ``piece_bytes`` of text."""
+    spark = benchmark.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.length("text") > 0)
+    counted = None
+    if (items.agg(F.sum(F.octet_length("text"))).head()[0] or 0) > piece_bytes:
+        tally = items.select("text").mapInArrow(_tally, "term string, n long, words long")
+        counted = materialize(tally.groupBy("term").agg(F.sum("n").alias("n"), F.sum("words").alias("words")), "bm25-terms")
+        whole = counted.where("term is null").head()
+
+    def index(held: list[tuple[int, str]]) -> Index:
+        if counted is None:
+            return Index(held)
+        own = spark.createDataFrame([(t,) for t in {t for _, text in held for t in words_of(text)}], "term string")
+        known = Statistics({r["term"]: r["n"] for r in counted.join(own, "term").collect()}, whole["n"], whole["words"] / max(1, whole["n"]))  # the words of one piece
+        return Index(held, known)
+
     size, held = 0, []
     for row in items.orderBy("item_id", "text").toLocalIterator():  # in bounded parts; never the whole table at once
         n = len(row["text"].encode())
         if held and size + n > piece_bytes:
-            yield Index(held)
+            yield index(held)
             size, held = 0, []
         held.append((row["item_id"], row["text"]))
         size += n
     if held:
-        yield Index(held)
+        yield index(held)
+    discard(counted)
 
 
 def _finder(index, threshold: float) -> Callable:

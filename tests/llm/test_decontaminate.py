@@ -57,12 +57,16 @@ def test_planted_items_are_found_and_clean_documents_left(spark):
     df = spark.createDataFrame(docs, DOCS)
     b = spark.createDataFrame([(i, t, "extra") for i, t in bench] + [(900, None, ""), (901, "", "")], "item_id long, text string, doc_id string")
     want = planted | {(None, 0)}
+    scores = []
     for size in (16 << 20, 2000):  # one piece, several pieces
-        got = {(r["doc_id"], r["item_id"]) for r in dc.find_leaks(df, b, piece_bytes=size).collect()}
+        rows = dc.find_leaks(df, b, piece_bytes=size).collect()
+        got = {(r["doc_id"], r["item_id"]) for r in rows}
+        scores.append({(r["doc_id"], r["item_id"]): round(r["score"], 9) for r in rows})
         assert want <= got and {d for d, _ in got} == {d for d, _ in want}
         kept = dc.keep_unleaked(df, b, piece_bytes=size)
         assert kept.columns == df.columns
         assert {r["doc_id"] for r in kept.collect()} == {d[0] for d in docs} - {d for d, _ in want}
+    assert scores[0] == scores[1]  # statistics are those of all items, however they are cut
 
 
 def test_empty_tables(spark):
