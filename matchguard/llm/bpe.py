@@ -4,12 +4,16 @@ Pre-tokens (matches of the split pattern) of a batch are laid into integer
 matrices, one for each power-of-two length, padded with -1. Each round every
 row merges its leftmost pair of minimum rank, found through a hashed table of
 token pairs, then closes the gap; rows without a pair left leave the matrix.
+That takes time with the square of a pre-token's length, so the rare one of more
+than ``LONG`` bytes merges its pairs in the same order from a heap instead.
 
 A text is cut at each space that follows a non-space; matches never span such a
 cut, so the ids of a chunk are kept in the worker's cache and new chunks of a
 batch are encoded together.
 
-Defined results: a null or empty text has no ids and decodes to no bytes; ids
+Defined results: texts of any length are encoded whole in one task, in time in
+proportion to their length, for unbroken runs of letters times its logarithm; a
+null or empty text has no ids and decodes to no bytes; ids
 out of the vocabulary raise ``ValueError``; rows that repeat are encoded each;
 an empty table gives an empty result; other columns stay unless stated.
 """
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import re
 from collections.abc import Callable, Iterator
 
@@ -28,6 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import slices, strings
 
+LONG = 4096
 NONE = np.int32(2**31 - 1)
 #: A space before white space or the end.
 _ODD = re.compile(r" (?:\s|\Z)")
@@ -96,6 +102,7 @@ class ByteBPE:
         self.byte_id = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         table = np.array(pairs, np.int64).reshape(-1, 3)
+        self.joined = {a << 32 | b: r for a, b, r in pairs}
         self.pairs = PairTable(table[:, 0], table[:, 1], table[:, 2].astype(np.int32))
 
     def merge(self, ids: np.ndarray) -> np.ndarray:
@@ -130,6 +137,26 @@ class ByteBPE:
             rank[k[right], at[right]] = self.pairs.find(ids[k[right], at[right]], ids[k[right], at[right] + 1])
         return out
 
+    def merge_long(self, word: bytes) -> bytes:
+        """The same merges for one long pre-token: a heap of (rank, place) over a linked list."""
+        ids, n, get = self.byte_id[np.frombuffer(word, np.uint8)].tolist(), len(word), self.joined.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i in range(n - 1) if (r := get(ids[i] << 32 | ids[i + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            rank, i = heapq.heappop(heap)
+            j = after[i]
+            if ids[i] < 0 or j >= n or get(ids[i] << 32 | ids[j]) != rank:
+                continue  # merged otherwise since
+            ids[i], ids[j], after[i] = rank, -1, after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            for k in (before[i], i):
+                if k >= 0 and after[k] < n and (r := get(ids[k] << 32 | ids[after[k]])) is not None:
+                    heapq.heappush(heap, (r, k))
+        done = np.array(ids, "<i4")
+        return done[done >= 0].tobytes()
+
     def encode_words(self, words: list[bytes], cells: int = 1 << 20) -> list[bytes]:
         """Ids of separate pre-tokens as little-endian 32-bit numbers; at most ``cells`` matrix cells at a time."""
         out: list[bytes] = [b""] * len(words)
@@ -139,6 +166,8 @@ class ByteBPE:
             rank = whole(w)
             if rank is not None:
                 out[i] = rank.to_bytes(4, "little")
+            elif len(w) > LONG:
+                out[i] = self.merge_long(w)
             elif w:
                 buckets.setdefault(max(2, 1 << (len(w) - 1).bit_length()), []).append(i)
         for width, members in buckets.items():

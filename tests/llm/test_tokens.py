@@ -4,6 +4,7 @@ import base64
 import hashlib
 import io
 import random
+import time
 import zlib
 
 import numpy as np
@@ -64,6 +65,20 @@ def test_bpe_equals_the_library_and_round_trips(spark):
         codec.decode(np.array([10**6]))
 
 
+def test_long_pre_tokens_equal_the_library_in_little_time():
+    import tiktoken
+
+    path, pattern = tokenizer_path("byte_bpe_50k.tiktoken"), split_pattern()
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    want = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    codec, rnd = bpe.ByteBPE(path, pattern), random.Random(8)
+    for t in ("a" * 50_000, "".join(rnd.choice("ACGT") for _ in range(100_000)), "".join(rnd.choice("etaoinshrdlu") for _ in range(bpe.LONG + 1)), "".join(rnd.choice("etaoinshrdlu") for _ in range(bpe.LONG)), "é中" * 9_000, "!?" * 5_000):
+        start = time.process_time()
+        ids = codec.encode_batch([t])[0]
+        assert time.process_time() - start < 10
+        assert ids.tolist() == want.encode_ordinary(t)
+
+
 def test_pair_table_holds_every_pair():
     rng = np.random.default_rng(1)
     keys = np.unique(rng.integers(0, 3000, (5000, 2)), axis=0)
