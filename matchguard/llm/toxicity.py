@@ -7,10 +7,13 @@ likelihood of those labels, so blame settles on the sentences that explain them,
 and the same weights then locate offending sentences.
 
 The features of a word are the word itself and its beginnings of 3 to 9 letters,
-so that inflected forms of one stem share what is learned. Training reads at most ``max_train`` labelled documents (a documented bound, in
-the order of a hash of the id); their ids, never the texts, are broadcast. Features
-are chosen by a chi-square test on the documents of that sample. Scoring reads
-every document, whole.
+so that inflected forms of one stem share what is learned. Training reads at
+most ``max_train`` labelled documents (a documented bound, in the order of a hash
+of the id); their ids, never the texts, are broadcast. Of that sample's features
+the ``max_words`` with the greatest chi-square that ``min_docs`` documents hold
+are learned, and weights up to ``min_weight`` are left out of the model: bounds
+of the model, not of what it reads. Scoring reads every document, whole, of any
+length.
 
 Defined results: null and empty texts, and texts without a word, score 0; a
 label row without id or label is not used; several labels of one id count as the
@@ -166,7 +169,7 @@ def _bags(train: DataFrame, words: list[str]) -> list:
     return train.select("y", "text").mapInArrow(run, "y int, plain long, sid array<int>, wid array<int>").collect()
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_train: int = 8_000, max_words: int = 3_000, min_docs: int = 5, rounds: int = 300, rate: float = 0.15, l2: float = 5e-5) -> NoisyOr:
+def fit(docs: DataFrame, labels: DataFrame, max_train: int = 8_000, max_words: int = 3_000, min_docs: int = 5, rounds: int = 300, rate: float = 0.15, l2: float = 5e-5, min_weight: float = 0.05) -> NoisyOr:
     """Learn from document labels. The driver gets ``max_train`` small bags of word codes."""
     train = materialize(_train_docs(docs, labels, max_train), "tox-train")
     words = _vocabulary(train, max_words, min_docs)
@@ -203,7 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = 8_000, max_words: i
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
-    keep = np.abs(w) > 0.05
+    keep = np.abs(w) > min_weight
     return NoisyOr([x for x, k in zip(words, keep, strict=True) if k], w[keep], float(b))
 
 
