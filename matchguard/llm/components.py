@@ -2,7 +2,8 @@
 
 Rounds of large-star and small-star steps, after a union-find inside each
 partition that thins the edges; every step is written to the shared folder, so
-a lost executor repeats one step only. Edges never reach the driver.
+a lost executor repeats one step only. Edges never reach the driver, and the
+neighbours of one node never have to meet in one task.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize
+from .common import discard, join_spread, materialize
 
 
 def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,10 +77,10 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         # large-star: each node passes its smallest neighbour to its larger neighbours
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = join_spread(both, least, "a", "b").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         # small-star: and then to its smaller ones
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+        small = join_spread(large, least, "a", "b").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).distinct()
         after = materialize(small.mapInArrow(_thin, "a long, b long"), name)
         discard(now)
         now = after
