@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from matchguard.llm import bpe, decontaminate, ngram_join, toxicity
-from matchguard.llm.common import scratch
+from matchguard.llm.common import discard, materialize
 from matchguard.llm.queries import split_pattern, table, tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -51,10 +51,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again."""
+    """All stages over ``documents``, each written as Parquet and read again; a stage's table goes once the next is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        path = scratch(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        kept = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
