@@ -166,6 +166,12 @@ def fit_index(sample: np.ndarray, labels: np.ndarray, codes: int, cosine: float,
     return index
 
 
+def _rows(column: pa.Array) -> list[np.ndarray]:
+    """The lists of a column without nulls as views of one array."""
+    values, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy().tolist()
+    return [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+
+
 def _clean(vector: list | None) -> np.ndarray | None:
     if not vector or any(x is None for x in vector):
         return None
@@ -193,7 +199,7 @@ def _dealt(indexes: dict[int, MultiIndex]) -> Callable:
             for dim in np.unique(dims):
                 own = np.flatnonzero(dims == dim)
                 part = batch.take(pa.array(own))
-                x = np.array(part.column(2).to_pylist(), np.float64)
+                x = np.stack(_rows(part.column(2)))
                 u, index = unit(x), indexes[int(dim)]
                 home = index.homes(u)
                 row, cell = index.visited(u)
@@ -237,7 +243,7 @@ def _tiles(cosine: float) -> Callable:
 
         for batch in slices(batches, 1024):
             queries: list = []
-            rows = list(zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True))
+            rows = list(zip(*(_rows(batch.column(i)) if i == 4 else batch.column(i).to_pylist() for i in range(8)), strict=True))
             for r in rows:  # tile, query, part, node, embedding, copies, home, cell
                 if r[0] != tile:
                     out = block(members, queries)
@@ -268,8 +274,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, recall: float = 0.
     indexes = {}
     if exact:
         codes = 1
-    if codes is None:  # the grid grows with the table, as far as the sample can teach it
-        codes = int(min(sample // 8, max(4, round(n**0.5 / 4))))
+    if codes is None:  # the grid grows with the table, as far as the sample can teach it, but cells do so faster: a finer one makes a vector visit more cells for about as many comparisons
+        codes = int(min(sample // 8, max(4, round(n ** (1 / 3)))))
     for dim in {r["dim"] for r in chosen} | {r["dim"] for r in nodes.select("dim").distinct().collect()}:
         own = [r for r in chosen if r["dim"] == dim] or nodes.where(F.col("dim") == dim).select("dim", "label", "embedding").limit(100).collect()
         indexes[dim] = fit_index(unit([r["embedding"] for r in own]), np.array([r["label"] for r in own]), codes, cosine, recall)
