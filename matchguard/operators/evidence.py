@@ -33,17 +33,17 @@ def top_evidence(items: list[Item], keep: int = KEEP) -> Column:
     numbers = []
     for i, (_, x, median, mad) in enumerate(items):
         z = robust_z(x, median, mad)
-        rounded = (F.round(z * ten) / ten).cast("float")
-        numbers.append(F.when(z > LEAST_Z, F.struct((-rounded).alias("order"), F.lit(i).alias("at"), x.cast("float").alias("value"), median.cast("float").alias("lobby_avg"), z.alias("z"))))
-    found = F.array_sort(F.array_compact(F.array(*numbers)))
+        rounded = (F.floor((z * ten).cast("double") + 0.5) / 10).cast("float")  # half up; z is positive where it counts
+        numbers.append(F.when(z > LEAST_Z, F.struct(rounded.alias("rounded"), F.lit(-i).alias("at"), x.cast("float").alias("value"), median.cast("float").alias("lobby_avg"), z.alias("z"))))
+    found = F.sort_array(F.array(*numbers), asc=False)  # nulls come last
     names = F.array(*(F.lit(name) for name, *_ in items))
 
     def shown(e: Column) -> Column:
-        name = names[e["at"]]
+        name = names[-e["at"]]
         reason = F.format_string("%s %.2f against %.2f in the lobby (+%.1f sigma)", name, e["value"].cast("double"), e["lobby_avg"].cast("double"), e["z"].cast("double"))
-        return F.struct(name.alias("feature"), e["value"].alias("value"), e["lobby_avg"].alias("lobby_avg"), (-e["order"]).alias("z_score"), reason.alias("reason"))
+        return F.struct(name.alias("feature"), e["value"].alias("value"), e["lobby_avg"].alias("lobby_avg"), e["rounded"].alias("z_score"), reason.alias("reason"))
 
-    return F.transform(F.slice(found, 1, keep) if keep else found, shown)
+    return F.transform(F.array_compact(F.slice(found, 1, keep) if keep else found), shown)
 
 
 def evidence(named: dict[str, Column] | None = None, positional: Column | None = None, keep: int = KEEP) -> Column:

@@ -54,9 +54,12 @@ def replay_slice(df: DataFrame, start: int = 1, limit: int = 0) -> DataFrame:
 
 
 def _parsed(df: DataFrame, texts: list[str], wholes: list[str], numbers: list[str]) -> DataFrame:
-    """Every cell trimmed once (``_c_`` + name; a missing one is blank), then every number parsed once (``_v_`` + name)."""
+    """Every cell trimmed once (``_c_`` + name; a missing one is blank), then every number parsed once (``_v_`` + name).
+
+    ``_row`` keeps conditions on these above the parsing: pushed below it, each use would trim and parse anew.
+    """
     cells = df.select("*", *((trimmed(f"`{c}`") if c in df.columns else F.lit("")).alias(f"_c_{c}") for c in (*texts, *wholes, *numbers)))
-    return cells.select("*", *(whole(F.col(f"_c_{c}")).alias(f"_v_{c}") for c in wholes), *(number(F.col(f"_c_{c}")).alias(f"_v_{c}") for c in numbers))
+    return cells.select("*", F.monotonically_increasing_id().alias("_row"), *(whole(F.col(f"_c_{c}")).alias(f"_v_{c}") for c in wholes), *(number(F.col(f"_c_{c}")).alias(f"_v_{c}") for c in numbers))
 
 
 def _cell(name: str) -> Column:
@@ -73,7 +76,7 @@ def _bad(name: str) -> Column:
 
 def _checked(rules: list[tuple[Column, str]]) -> list[Column]:
     """``is_valid`` as a plain condition, so that valid rows need no list, and the list of ``errors``."""
-    return [(~any_of(*(bad for bad, _ in rules))).alias("is_valid"), reasons(*rules).alias("errors")]
+    return [((F.col("_row") >= 0) & ~any_of(*(bad for bad, _ in rules))).alias("is_valid"), reasons(*rules).alias("errors")]
 
 
 def _envelope(df: DataFrame, op: str, match: Column, player: Column, event: Column, payload: Column, dataset_id: str, kind: str, now: Column | None) -> list[Column]:
@@ -82,7 +85,7 @@ def _envelope(df: DataFrame, op: str, match: Column, player: Column, event: Colu
 
 
 def _raw(df: DataFrame) -> Column:
-    names = [c for c in df.columns if c not in SYSTEM and not c.startswith(("_c_", "_v_"))]
+    names = [c for c in df.columns if c not in SYSTEM and not c.startswith(("_c_", "_v_", "_row"))]
     return F.map_from_arrays(F.array(*(F.lit(c) for c in names)), F.array(*(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in names))).alias("raw_fields")
 
 

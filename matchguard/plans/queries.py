@@ -316,7 +316,7 @@ def _named(df: DataFrame) -> dict[str, Column]:
 
 def _shown(items: Column, field: str = "feature") -> Column:
     if field == "z":
-        return F.array_join(F.transform(items, lambda e: F.format_string("%.1f", e["z_score"].cast("double"))), "|")
+        return F.array_join(F.transform(items, lambda e: F.round(e["z_score"].cast("double"), 1).cast("string")), "|")
     return F.array_join(F.transform(items, lambda e: e[field]), "|")
 
 

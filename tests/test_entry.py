@@ -26,10 +26,10 @@ def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", ["gold_features", "player_match", "invalid_reason_breakdown", "batch_manifest", "predictions_full", "group_split", "average_precision"])
+@pytest.mark.parametrize("name", ["gold_features", "player_match", "invalid_reason_breakdown", "batch_manifest", "predictions_full", "group_split", "average_precision", "evidence_top2", "event_ids", "record_index", "rejects_lake", "manifest_lake", "gold_signals", "model_registry", "invariants_broken", "describe_features"])
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("events", "lineitem", "labels"):
+    for t in ("events", "lineitem", "labels", "nation"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df = entry.queries()[name](spark, SF)
     cols = sorted(df.columns)
