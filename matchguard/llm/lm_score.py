@@ -7,12 +7,11 @@ probabilities.
 * tokens: words (as the n-gram join cuts them), hashed to ``VOCABULARY`` ids;
 * counts of all ids come from all documents (a shuffle of partial sums);
 * network: a row for each context id and place, summed and put through tanh,
-  then a softmax over token classes. Frequent tokens are their own class, the
-  others are dealt to classes of about equal mass. Within a class a token is
-  found by the turns of a binary tree, each a learned logistic of the same
-  hidden values that starts at the ratio of the counts on its two sides, so the
-  neighbours tell tokens of a class apart. The ``NODES`` heaviest turns have
-  weights of their own but for an eighth, which the lighter turns share by hash;
+  then a softmax over ``CLASSES`` token classes, then one over ``GROUPS`` groups
+  of the class, which starts at the groups' counts. Frequent tokens are a class
+  (or a group) of their own, the others are dealt to classes (and groups) of
+  about equal mass. A token has its share of counts of its group: only tokens of
+  one group, all of them rare, are told apart by counts alone;
 * training: numpy in tasks, each round on another part of all documents, every
   token once in all; the tasks' weights are averaged by tokens seen in two
   grouped steps, so no task and not the driver sees more than a bounded share.
@@ -23,7 +22,8 @@ id are one token: 404,216 words leave about one in six with company.
 
 Defined results: null, empty and blank texts have 0 tokens, score 0 and a null
 mean; ids, nulls among them, pass through; rows that repeat are scored each; an
-empty table gives an empty result; other columns are not read.
+empty table gives an empty result; a text of any length is scored whole, its ids
+in one task's memory; other columns are not read.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from .common import slices
 from .ngram_join import word_hashes
 
-VOCABULARY, CONTEXTS, CLASSES, NODES, HIDDEN, SIDE = 1 << 21, 1 << 12, 64, 1 << 15, 32, 2
+VOCABULARY, CONTEXTS, CLASSES, GROUPS, HIDDEN, SIDE = 1 << 21, 1 << 12, 64, 64, 32, 2
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 PAD = CONTEXTS  # the row of places before and after a document
 
@@ -50,56 +50,61 @@ def token_ids(text: str | None) -> np.ndarray:
     return (word_hashes((text or "").encode()) >> np.uint64(40)).astype(np.int64) % VOCABULARY
 
 
+def _dealt(mass: np.ndarray, parts: int) -> np.ndarray:
+    """Parts of ids in falling order of mass: half of the parts for one id each, the others of about equal mass."""
+    if len(mass) <= parts:
+        return np.arange(len(mass))
+    own = parts // 2
+    upto = np.cumsum(mass[own:])
+    rest = own + np.minimum((upto - mass[own:]) * (parts - own) / upto[-1], parts - own - 1).astype(np.int64)
+    return np.concatenate([np.arange(own), rest])
+
+
 @dataclass
 class Tables:
-    """What the counts fix: a token's class, its share of the class, its context row, and the trees in the classes.
+    """What the counts fix: a token's class and group, its share of the class, its context row, and the groups' shares.
 
-    Ids in falling order of count lie on a line; a turn is named by the place
-    where it cuts the line. ``above`` (of an id) and ``up`` (of a turn) hold
-    twice the next turn towards the root plus the side taken there, 0 at a root.
     Only the counts that are not 0 are sent; a worker builds the arrays again.
     """
 
     seen: tuple[np.ndarray, np.ndarray]
 
     klass: np.ndarray
+    group: np.ndarray
     log_share: np.ndarray
     context: np.ndarray
-    above: np.ndarray
-    up: np.ndarray
     bias: np.ndarray
-    row: np.ndarray
 
     @classmethod
     def from_counts(cls, counts: np.ndarray) -> Tables:
         mass = counts + max(1, (counts == 1).sum()) / VOCABULARY  # unseen ids keep a share
         used = np.flatnonzero(counts)
         order = np.concatenate([used[np.argsort(-counts[used], kind="stable")], np.flatnonzero(counts == 0)])
-        own = CLASSES // 2
-        klass = np.empty(VOCABULARY, np.uint8)
-        klass[order[:own]] = np.arange(own)
-        rest = np.cumsum(mass[order[own:]])
-        klass[order[own:]] = own + np.minimum((rest - mass[order[own:]]) * (CLASSES - own) / rest[-1], CLASSES - own - 1).astype(np.int64)
-        log_share = np.log(mass / np.bincount(klass, mass, CLASSES)[klass]).astype(np.float32)
+        klass, group = np.empty(VOCABULARY, np.uint8), np.empty(VOCABULARY, np.uint8)
+        line = _dealt(mass[order], CLASSES)
+        klass[order] = line
+        for c in range(CLASSES):
+            own = order[slice(*np.searchsorted(line, [c, c + 1]))]
+            group[own] = _dealt(mass[own], GROUPS)
+        total = np.bincount(klass, mass, CLASSES)
+        bias = np.full(CLASSES * GROUPS, -1e9)
+        held = np.bincount(klass.astype(np.int64) * GROUPS + group, mass, CLASSES * GROUPS).reshape(CLASSES, GROUPS)
+        np.log(held / np.maximum(total, 1e-300)[:, None], out=bias.reshape(CLASSES, GROUPS), where=held > 0)
         single = CONTEXTS * 7 // 8
         context = np.empty(VOCABULARY, np.int16)
         context[order[:single]] = np.arange(single)
         context[order[single:]] = single + order[single:] % (CONTEXTS - single)
-        return cls((used.astype(np.int32), counts[used]), klass, log_share, context, *_trees(mass[order], order, klass[order]))
+        return cls((used.astype(np.int32), counts[used]), klass, group, np.log(mass / total[klass]).astype(np.float32), context, bias.reshape(CLASSES, GROUPS).astype(np.float32))
 
     def __reduce__(self) -> tuple:
         return _rebuilt, self.seen
 
-    def paths(self, tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(row, turn, side) from the leaves to the roots; a row occurs once in each step."""
-        code = self.above[tokens]
-        rows = np.flatnonzero(code)
-        code = code[rows]
-        while len(rows):
-            turn = code >> 1
-            yield rows, turn, (code & 1).astype(np.float32)
-            code = self.up[turn]
-            rows, code = rows[code > 0], code[code > 0]
+    def by_class(self, tokens: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """The order that puts tokens of a class together, and (class, start, end) there for classes of several groups."""
+        klass = self.klass[tokens]
+        order = np.argsort(klass, kind="stable")
+        ends = np.searchsorted(klass[order], np.arange(CLASSES + 1)).tolist()
+        return order, [(c, a, b) for c, a, b in zip(range(CLASSES), ends[:-1], ends[1:], strict=True) if a < b and self.bias[c, 1] > -1e8]
 
 
 _BUILT: dict[int, Tables] = {}
@@ -116,29 +121,15 @@ def _rebuilt(used: np.ndarray, n: np.ndarray) -> Tables:
     return _BUILT[key]
 
 
-def _trees(mass: np.ndarray, order: np.ndarray, klass: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Halves the mass of each class again and again: ``above``, ``up``, ``bias`` and ``row`` of ``Tables``."""
-    before = np.concatenate([[0.0], np.cumsum(mass)])
-    above, up = np.zeros((2, len(mass)), np.int32)
-    bias, heavy = np.zeros(len(mass), np.float32), np.zeros(len(mass))
-    lo = np.flatnonzero(np.diff(klass.astype(int), prepend=-1))
-    hi, code = np.append(lo[1:], len(mass)), np.zeros(len(lo), np.int32)
-    while len(lo):
-        leaf = hi - lo == 1
-        above[order[lo[leaf]]] = code[leaf]
-        lo, hi, code = lo[~leaf], hi[~leaf], code[~leaf]
-        cut = np.clip(np.searchsorted(before, (before[lo] + before[hi]) / 2), lo + 1, hi - 1)
-        bias[cut] = np.log((before[hi] - before[cut]) / (before[cut] - before[lo]))
-        heavy[cut], up[cut] = before[hi] - before[lo], code
-        lo, hi, code = np.concatenate([lo, cut]), np.concatenate([cut, hi]), np.concatenate([2 * cut, 2 * cut + 1]).astype(np.int32)
-    single = NODES * 7 // 8
-    row = (single + np.arange(len(mass)) * 2654435761 % (1 << 32) % (NODES - single)).astype(np.uint16)
-    row[np.argsort(-heavy, kind="stable")[:single]] = np.arange(single)
-    return above, up, bias, row
+def normal(z: np.ndarray) -> np.ndarray:
+    """Rows of log odds to log probabilities; odds beyond e^60, which exp would not hold, are cut there."""
+    np.minimum(z, 60, out=z)
+    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    return z
 
 
 class Network:
-    """Context rows for each place, hidden bias, class weights and bias, weights of the turns within classes."""
+    """Context rows for each place, hidden bias, class weights and bias, weights of the groups in each class."""
 
     def __init__(self, seed: int = 11):
         rng = np.random.default_rng(seed)
@@ -146,7 +137,7 @@ class Network:
         self.bias = np.zeros(HIDDEN, np.float32)
         self.out = rng.normal(0, 0.1, (HIDDEN, CLASSES)).astype(np.float32)
         self.out_bias = np.zeros(CLASSES, np.float32)
-        self.nodes = np.zeros((NODES, HIDDEN), np.float32)
+        self.nodes = np.zeros((CLASSES, HIDDEN, GROUPS), np.float32)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.rows.ravel(), self.bias, self.out.ravel(), self.out_bias, self.nodes.ravel()])
@@ -154,7 +145,7 @@ class Network:
     @classmethod
     def of(cls, flat: np.ndarray) -> Network:
         net, at = cls.__new__(cls), 0
-        for name, shape in (("rows", (len(OFFSETS), CONTEXTS + 1, HIDDEN)), ("bias", (HIDDEN,)), ("out", (HIDDEN, CLASSES)), ("out_bias", (CLASSES,)), ("nodes", (NODES, HIDDEN))):
+        for name, shape in (("rows", (len(OFFSETS), CONTEXTS + 1, HIDDEN)), ("bias", (HIDDEN,)), ("out", (HIDDEN, CLASSES)), ("out_bias", (CLASSES,)), ("nodes", (CLASSES, HIDDEN, GROUPS))):
             n = int(np.prod(shape))
             setattr(net, name, flat[at : at + n].reshape(shape).astype(np.float32))
             at += n
@@ -162,22 +153,24 @@ class Network:
 
     def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hidden values and class log probabilities for rows of context ids."""
-        h = self.bias + self.rows[0][context[:, 0]]
+        h = np.take(self.rows[0], context[:, 0], axis=0)
         for o in range(1, len(OFFSETS)):
-            h += self.rows[o][context[:, o]]
+            h += np.take(self.rows[o], context[:, o], axis=0)
+        h += self.bias
         np.tanh(h, out=h)
-        z = h @ self.out + self.out_bias
-        z -= z.max(axis=1, keepdims=True)
-        z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-        return h, z
+        return h, normal(h @ self.out + self.out_bias)
+
+    def groups(self, h: np.ndarray, c: int, tables: Tables) -> np.ndarray:
+        """Log probabilities of a class's groups."""
+        return normal(h @ self.nodes[c] + tables.bias[c])
 
     def within(self, h: np.ndarray, tokens: np.ndarray, tables: Tables) -> np.ndarray:
         """What the neighbours add to the log of each token's share of its class."""
-        more = np.zeros(len(tokens))
-        for rows, turn, side in tables.paths(tokens):
-            flip, plain = 1 - 2 * side, tables.bias[turn]
-            a = plain + np.einsum("ij,ij->i", h[rows], self.nodes[tables.row[turn]])
-            more[rows] += np.logaddexp(0, flip * plain) - np.logaddexp(0, flip * a)
+        order, runs = tables.by_class(tokens)
+        h, group, more = np.take(h, order, axis=0), tables.group[tokens[order]], np.zeros(len(tokens))
+        for c, a, b in runs:
+            g = group[a:b]
+            more[order[a:b]] = self.groups(h[a:b], c, tables)[np.arange(b - a), g] - tables.bias[c, g]
         return more
 
 
@@ -196,7 +189,7 @@ class Trainer:
     def __init__(self, net: Network, rate: float = 0.15):
         self.net, self.rate = net, rate
         self.seen = [np.full((CONTEXTS + 1, 1), 1e-6, np.float32) for _ in OFFSETS]
-        self.seen_nodes = np.full((NODES, 1), 1e-7, np.float32)
+        self.seen_nodes = np.full_like(net.nodes, 1e-7)
         self.dense = [np.full_like(x, 1e-6) for x in (net.bias, net.out, net.out_bias)]
 
     def step(self, context: np.ndarray, tokens: np.ndarray, tables: Tables) -> None:
@@ -206,31 +199,27 @@ class Trainer:
         d[np.arange(n), klass] -= 1
         d /= n
         back = d @ net.out.T
-        turns, wrong, of = [], [], []
-        for rows, turn, side in tables.paths(tokens):
-            row = tables.row[turn]
-            w = net.nodes[row]
-            a = tables.bias[turn] + np.einsum("ij,ij->i", h[rows], w)
-            g = (1 / (1 + np.exp(-a)) - side) / n
-            back[rows] += g[:, None] * w
-            turns.append(row), wrong.append(g), of.append(rows)
-        if turns:
-            row = np.concatenate(turns)
-            order = np.argsort(row, kind="stable")
-            row, g, of = row[order], np.concatenate(wrong)[order], np.concatenate(of)[order]
-            first = np.flatnonzero(np.diff(row.astype(np.int32), prepend=-1))
-            ids, g = row[first], np.add.reduceat(g[:, None] * h[of], first)
-            self.seen_nodes[ids] += (g * g).mean(axis=1, keepdims=True)
-            net.nodes[ids] -= self.rate * g / np.sqrt(self.seen_nodes[ids])
+        order, runs = tables.by_class(tokens)
+        own, group, pull = np.take(h, order, axis=0), tables.group[tokens[order]], np.zeros_like(h)
+        for c, a, b in runs:
+            e = np.exp(net.groups(own[a:b], c, tables))
+            e[np.arange(b - a), group[a:b]] -= 1
+            e /= n
+            np.matmul(e, net.nodes[c].T, out=pull[a:b])
+            g = own[a:b].T @ e
+            self.seen_nodes[c] += g * g
+            net.nodes[c] -= self.rate * g / np.sqrt(self.seen_nodes[c])
+        back[order] += pull
         back *= 1 - h * h
         for x, acc, g in zip((net.bias, net.out, net.out_bias), self.dense, (back.sum(0), h.T @ d, d.sum(0)), strict=True):
             acc += g * g
             x -= self.rate * g / np.sqrt(acc)
         for o in range(len(OFFSETS)):
-            order = np.argsort(context[:, o].astype(np.uint16), kind="stable")
-            sorted_ids = context[order, o]
-            first = np.flatnonzero(np.diff(sorted_ids, prepend=-1))
-            ids, g = sorted_ids[first], np.add.reduceat(back[order], first)
+            ids = context[:, o].astype(np.uint16)
+            order = np.argsort(ids, kind="stable")
+            ids = ids[order]
+            first = np.flatnonzero(np.diff(ids.astype(np.int32), prepend=-1))
+            ids, g = ids[first], np.add.reduceat(np.take(back, order, axis=0), first)
             self.seen[o][ids] += (g * g).mean(axis=1, keepdims=True)
             net.rows[o][ids] -= self.rate * g / np.sqrt(self.seen[o][ids])
 
@@ -305,7 +294,7 @@ def fit(docs: DataFrame, rounds: int = 2) -> tuple[Network, Tables]:
     return net, tables
 
 
-def log_likelihoods(texts: list[str | None], net: Network, tables: Tables, most: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
+def log_likelihoods(texts: list[str | None], net: Network, tables: Tables, most: int = 1 << 13) -> tuple[np.ndarray, np.ndarray]:
     """Summed log probability and token count of each text; ``most`` tokens at a time."""
     ids = [token_ids(t) for t in texts]
     size = np.array([len(x) for x in ids], np.int64)
