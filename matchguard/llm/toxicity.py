@@ -48,7 +48,7 @@ def features(word: str) -> list[str]:
 class _Lookup(dict):
     """What ``make`` gives for a token, kept; starts anew when full."""
 
-    def __init__(self, make: Callable, limit: int = 600_000):
+    def __init__(self, make: Callable, limit: int = 200_000):
         self.make, self.limit = make, limit
 
     def __missing__(self, token: str):
