@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchguard.llm import ngram_join as nj
+from matchguard.llm.common import join_spread
 from matchguard.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, node string, key int"
@@ -173,6 +174,16 @@ def test_crossing_alone_finds_every_link(spark, seed):
     assert len(links) > 50
 
 
+def test_join_spread_is_a_left_join_whatever_is_frequent(spark):
+    rows = [(i, 7) for i in range(500)] + [(i, i) for i in range(500, 560)] + [(i, None) for i in range(600, 640)] + [(900, 8), (None, 7), (None, None)]
+    side = [(7, "hot")] + [(i, f"v{i}") for i in range(500, 540)]
+    a, b = spark.createDataFrame(rows, "id long, key long"), spark.createDataFrame(side, "key long, value string")
+    want = sorted(((i, k, dict(side).get(k)) for i, k in rows), key=repr)
+    for share in (1, 3, 10_000):  # no key, one key, every key by broadcast
+        assert sorted((tuple(r) for r in join_spread(a, b, "key", "id", share).collect()), key=repr) == want
+    assert join_spread(a.where("false"), b, "key", "id").count() == 0 and join_spread(a, b.where("false"), "key", "id").where("value is not null").count() == 0
+
+
 @pytest.mark.parametrize("kind", ["path", "star", "random"])
 def test_components(spark, kind):
     rnd = random.Random(7)
