@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, dialogue_repair, embed_dedup, html_render, lm_score, nearest, ngram_join, sstable, token_count, toxicity
+from . import bpe, chat, decontaminate, dialogue_repair, embed_dedup, html_render, lm_score, nearest, ngram_join, spelling, sstable, token_count, toxicity
 from .common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), split_pattern())
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words one edit apart under their frequent forms, after misspellings were planted in all texts."""
+    words = spelling.count_words(table(spark, sf_dir, "documents"), min_len=6, min_count=5, typos=199)
+    return spelling.group_variants(words, ratio=5)
+
+
 def op12_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cheapest repairs of all conversations, after faults were planted in them."""
     return dialogue_repair.repair(dialogue_repair.damage(table(spark, sf_dir, "conversations")))
@@ -113,8 +119,9 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_decontamination": op9_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_dialogue_repair": op12_dialogue_repair,
     "op13_nearest": op13_nearest,
 }
 
-SQL: dict[str, str] = {"op5_chat_rotation": chat.SQL, "op6_ngram_join": ngram_join.SQL, "op12_dialogue_repair": dialogue_repair.SQL}
+SQL: dict[str, str] = {"op5_chat_rotation": chat.SQL, "op6_ngram_join": ngram_join.SQL, "op11_spelling_variants": spelling.SQL, "op12_dialogue_repair": dialogue_repair.SQL}
