@@ -13,7 +13,7 @@ from .. import schemas as S
 from ..functions.expr import any_of, finite, number, reasons, rfc3339_now, sha256, trimmed, whole
 from .ranks import ranked
 
-SYSTEM = {"source_file", "source_path", "source_offset", "record_index"}
+SYSTEM = {"source_file", "source_path", "source_offset", "source_line", "record_index"}
 _STAT_CELLS = {"damage_dealt": "damageDealt", "walk_distance": "walkDistance", "ride_distance": "rideDistance", "swim_distance": "swimDistance", "survival_duration": "matchDuration"}
 _KILL_CELLS = ["killer_position_x", "killer_position_y", "victim_position_x", "victim_position_y"]
 
@@ -30,12 +30,12 @@ def with_record_index(df: DataFrame, file_col: str | None = None) -> DataFrame:
     """1-based row number in each file, in two passes and without a global window.
 
     Rows are numbered inside each block that the scan cut a file into (without
-    ``source_offset``: inside each task's part of it), after the rows of its
-    earlier blocks. ``file_col`` defaults to ``source_path``, else ``source_file``.
+    ``source_offset``: inside each task's part of it) by ``source_line`` or, without
+    that, as they come, after the rows of its earlier blocks. ``file_col`` defaults to ``source_path``, else ``source_file``.
     """
     file_col = file_col or ("source_path" if "source_path" in df.columns else "source_file")
     block = F.col("source_offset") if "source_offset" in df.columns else F.spark_partition_id()
-    at = df.withColumn("_id", F.monotonically_increasing_id()).withColumn("_block", block)
+    at = df.withColumn("_id", F.col("source_line") if "source_line" in df.columns else F.monotonically_increasing_id()).withColumn("_block", block)
     inside = Window.partitionBy(file_col, "_block").orderBy("_id")
     counts = at.groupBy(file_col, "_block").agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy(file_col).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)

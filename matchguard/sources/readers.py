@@ -2,27 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..functions.expr import trimmed
+from ..functions.expr import WHITE_SPACE, trimmed
+from .csv_records import read_records
 
 
 def read_raw_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Header CSV, all cells trimmed strings, ragged rows kept, blank lines skipped.
 
-    Adds ``source_file`` (its name), and ``source_path`` and ``source_offset``,
-    by which rows of large or equally named files are numbered.
-    The header of the first file names the columns; files of another layout are
-    read by another call.
+    Quoted cells may hold line ends, and quotes may be lazy; each file's own
+    header names its cells, and a column that a file has not got is empty there.
+    Of columns named alike the last counts. Adds ``source_file`` (its name), and
+    ``source_path``, ``source_offset`` and ``source_line``, by which rows of
+    large or equally named files are numbered.
     """
-    read = spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", False).option("escape", '"').option("inferSchema", False)
-    df = read.csv(paths)
-    cells = [trimmed(F.col(f"`{c}`")).alias(c.strip()) for c in df.columns if c != "_corrupt_record"]
-    place = [F.col(f"_metadata.{a}").alias(b) for a, b in (("file_name", "source_file"), ("file_path", "source_path"), ("file_block_start", "source_offset"))]
-    return df.select(*cells, *place)
+    records, layouts = read_records(spark, paths)
+    names = [[n.strip(WHITE_SPACE) for n in layout] for layout in layouts]
+    columns = list(dict.fromkeys(n for layout in names for n in layout if n))
+
+    def cell(name: str) -> Column:
+        out = F.lit(None).cast("string")
+        for number, layout in enumerate(names):
+            if name in layout:
+                at = F.get("cells", F.lit(len(layout) - 1 - layout[::-1].index(name)))
+                out = at if len(names) == 1 else F.when(F.col("layout") == number, at).otherwise(out)
+        return trimmed(out).alias(name)
+
+    filled = records.where((F.size("cells") > 1) | (trimmed(F.get("cells", F.lit(0))) != ""))
+    return filled.select(*map(cell, columns), *(c for c in records.columns if c not in ("cells", "layout", *columns)))
 
 
 def read_event_stream(spark: SparkSession, options: dict[str, str], fmt: str = "kafka") -> DataFrame:
