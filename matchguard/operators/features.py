@@ -27,12 +27,17 @@ def rate_features(df: DataFrame) -> DataFrame:
     })
 
 
-def lobby_relative(df: DataFrame, value: str = "damage_dealt", scaled: bool = True, name: str = "performance_vs_lobby") -> DataFrame:
-    """Value against its match's median, in standard deviations if ``scaled``."""
+def lobby_features(df: DataFrame, names: dict[str, bool], value: str = "damage_dealt") -> DataFrame:
+    """``value`` against its match's median under each name, in standard deviations where the name says True; one grouped pass and one join for all."""
     lobby = df.groupBy("match_id").agg(F.percentile(value, F.lit(0.5)).alias("_median"), F.stddev_samp(value).alias("_sd"))
     gap = F.col(value) - F.col("_median")
-    out = F.coalesce(F.try_divide(gap, F.col("_sd")), F.lit(0.0)) if scaled else gap
-    return df.join(lobby, "match_id").withColumn(name, _rate(out)).drop("_median", "_sd")
+    in_deviations = F.coalesce(F.try_divide(gap, F.col("_sd")), F.lit(0.0))
+    return df.join(lobby, "match_id").withColumns({n: _rate(in_deviations if scaled else gap) for n, scaled in names.items()}).drop("_median", "_sd")
+
+
+def lobby_relative(df: DataFrame, value: str = "damage_dealt", scaled: bool = True, name: str = "performance_vs_lobby") -> DataFrame:
+    """F7, W7 as one column."""
+    return lobby_features(df, {name: scaled}, value)
 
 
 def speed_anomaly(df: DataFrame) -> DataFrame:

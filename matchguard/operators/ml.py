@@ -5,11 +5,8 @@ from __future__ import annotations
 import hashlib
 import json
 import math
-from collections.abc import Iterator
 from datetime import datetime, timezone
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -18,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..sources import lake
 from .ranks import before, dealt, percentiles, ranked
 from .reports import unprocessed_files
 from .scoring import THRESHOLDS, check_thresholds
@@ -78,91 +76,86 @@ def pseudo_labels(df: DataFrame, ids: list[str], score: str = "anomaly_score", s
 
 # -- isolation forest (M4) ---------------------------------------------------
 
+#: Draws are the first and second seven hex digits of an MD5, as whole numbers below this, and sums of them below the prime.
+_DRAWS, _PRIME = 1 << 28, 268_435_399
+_EULER = 0.5772156649015329
 
-def _average_path(n: np.ndarray | float) -> np.ndarray:
+
+def _draw(text: Column, place: int) -> Column:
+    return F.conv(F.substring(F.md5(text), 7 * place + 1, 7), 16, 10).cast("long")
+
+
+def _average_path(n: Column) -> Column:
     """Mean depth of an unsuccessful search among n points."""
-    n = np.asarray(n, float)
-    return np.where(n > 2, 2 * (np.log(np.maximum(n, 2) - 1) + np.euler_gamma) - 2 * (n - 1) / np.maximum(n, 1), np.where(n == 2, 1.0, 0.0))
-
-
-def grow_tree(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple[int, float, int, int, float]]:
-    """Nodes (feature, cut, left, right, path length of a leaf); feature -1 is a leaf."""
-    nodes: list = [None]
-    todo = [(0, np.arange(len(x)), 0)]
-    while todo:
-        at, rows, depth = todo.pop()
-        low, high = (x[rows].min(0), x[rows].max(0)) if len(rows) else (np.zeros(x.shape[1]),) * 2
-        wide = np.flatnonzero(high > low)
-        if depth >= limit or len(rows) <= 1 or not len(wide):
-            nodes[at] = (-1, 0.0, -1, -1, depth + float(_average_path(len(rows))))
-            continue
-        f = int(rng.choice(wide))
-        cut = float(rng.uniform(low[f], high[f]))
-        goes = x[rows, f] < cut
-        left = len(nodes)
-        nodes += [None, None]
-        nodes[at] = (f, cut, left, left + 1, 0.0)
-        todo += [(left, rows[goes], depth + 1), (left + 1, rows[~goes], depth + 1)]
-    return nodes
-
-
-def isolation_forest_fit(df: DataFrame, cols: list[str] | None = None, trees: int = 100, sample: int = 256, contamination: float = 0.05, seed: int = 42) -> dict:
-    """M4: trees on bounded random samples, grown in parallel, one group a tree.
-
-    Every row draws, by a hash of its values, the trees whose sample it may
+    return F.when(n > 2, 2 * (F.log(n - 1.0) + _EULER) - 2 * (n - 1.0) / n).when(n == 2, 1.0).otherwise(0.0)
+
+
+def isolation_forest_fit(df: DataFrame, cols: list[str] | None = None, trees: int = 100, sample: int = 256, contamination: float = 0.05, seed: int = 42, ids: list[str] | None = None) -> dict:
+    """M4: trees on bounded random samples, grown level by level as window steps, all trees at once.
+
+    Every row draws from an MD5 of its ``ids`` (default: all its values) the trees whose sample it may
     join, so another partitioning or a repeated task draws the same; rows that
-    are equal draw alike. A tree gets ``sample`` rows. The forest (at most trees * 2 * sample nodes) fits a broadcast.
+    are equal draw alike. A tree gets the ``sample`` rows of least draw. A split
+    draws one of the columns that differ in its node, and a cut between their
+    least and largest value. The forest (at most trees * 2 * sample nodes) comes
+    to the driver as arrays, one place a node: the children of k are 2 k + 1 and 2 k + 2.
     """
     cols = S.FEATURES if cols is None else cols
     ready = finite_features(df, cols, minimum=1)
     n = ready.count()
     rate = min(1.0, 4 * sample / n)
-    # a row joins a tree with probability rate; only the trees that it joins are expanded
-    at = ready.withColumn("_row", F.xxhash64(*ready.columns)).select(*cols, "_row")
-    mine = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.pmod(F.xxhash64(F.lit(seed), t, F.col("_row")), F.lit(1_000_000)) < int(rate * 1_000_000))
-    draws = at.withColumn("tree", F.explode(mine)).withColumn("r", F.xxhash64(F.lit(seed + 1), "tree", "_row"))
-    chosen = draws.withColumn("k", F.row_number().over(Window.partitionBy("tree").orderBy("r", *cols))).where(F.col("k") <= sample)
-    limit = math.ceil(math.log2(max(2, min(sample, n))))
-
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = int(pdf["tree"].iloc[0])
-        nodes = grow_tree(pdf.sort_values("k")[cols].to_numpy(float), np.random.default_rng(seed * 1000 + t), limit)
-        return pd.DataFrame({"tree": [t], "nodes": [json.dumps(nodes)]})
-
-    rows = chosen.groupBy("tree").applyInPandas(grow, "tree long, nodes string").collect()
-    forest = {"cols": cols, "sample": int(min(sample, n)), "trees": [json.loads(r["nodes"]) for r in sorted(rows, key=lambda r: r["tree"])], "offset": 0.0}
-    cut = isolation_forest_score(df, forest).select("anomaly_score")
-    forest["offset"] = float(percentiles(cut, "anomaly_score", {"c": contamination}).head()["c"])
+    name = F.concat_ws("|", *(F.col(c).cast("string") for c in (ids or ready.columns)))
+    at = ready.select(*(F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)), name.alias("name")).withColumns({"h0": _draw(F.col("name"), 0), "h1": _draw(F.col("name"), 1)})
+    draw = lambda t: F.pmod(F.col("h0") + t * F.col("h1"), F.lit(_PRIME))
+    # only the trees that a row may join are expanded
+    drawn = at.withColumn("tree", F.explode(F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) <= int(rate * _PRIME)))).withColumn("draw", draw(F.col("tree")))
+    rows = drawn.withColumn("k", F.row_number().over(Window.partitionBy("tree").orderBy("draw", "name"))).where(F.col("k") <= sample)
+    xs, limit = [f"x{i}" for i in range(len(cols))], math.ceil(math.log2(max(2, min(sample, n))))
+    rows = rows.select("tree", *xs, F.lit(0).alias("node"), F.lit(False).alias("leaf"), F.array().cast("array<struct<node:int,f:int,cut:double>>").alias("path"))
+    node = Window.partitionBy("tree", "node")
+    for _ in range(limit):  # rows of a tree stay together: no level shuffles
+        spans = [F.struct(F.lit(i).alias("f"), F.min(x).over(node).alias("low"), F.max(x).over(node).alias("high")) for i, x in enumerate(xs)]
+        rows = rows.withColumn("wide", F.filter(F.array(*spans), lambda e: e["high"] > e["low"]))
+        named = F.concat_ws(":", F.lit(seed), "tree", "node")
+        pick = F.get("wide", F.pmod(_draw(named, 0), F.greatest(F.size("wide"), F.lit(1))).cast("int"))
+        cut = pick["low"] + (_draw(named, 1).cast("double") / float(_DRAWS)) * (pick["high"] - pick["low"])
+        rows = rows.withColumn("leaf", F.col("leaf") | (F.size("wide") == 0)).withColumn("s", F.struct(F.col("node"), pick["f"].alias("f"), cut.alias("cut")))
+        goes = F.when(F.get(F.array(*xs), F.col("s.f")) < F.col("s.cut"), 1).otherwise(2)
+        rows = rows.withColumns({"path": F.when(F.col("leaf"), F.col("path")).otherwise(F.concat("path", F.array("s"))), "node": F.when(F.col("leaf"), F.col("node")).otherwise(2 * F.col("node") + goes)}).drop("wide", "s")
+    ends = rows.groupBy("tree", "node").agg(F.count("*").alias("n"), F.first("path").alias("path"))
+    leaves = ends.select("tree", "node", (F.size("path") + _average_path(F.col("n"))).alias("length"), "path").collect()
+    size = 2 ** (limit + 1) - 1
+    held = [{"f": [-1] * size, "cut": [0.0] * size, "length": [0.0] * size} for _ in range(trees)]
+    for r in leaves:
+        tree = held[r["tree"]]
+        tree["length"][r["node"]] = r["length"]
+        for s in r["path"]:
+            tree["f"][s["node"]], tree["cut"][s["node"]] = s["f"], s["cut"]
+    forest = {"cols": cols, "sample": int(min(sample, n)), "limit": limit, "trees": held, "offset": 0.0}
+    low = isolation_forest_score(df, forest).select("anomaly_score")
+    forest["offset"] = float(percentiles(low, "anomaly_score", {"c": contamination}).head()["c"])
     return forest
 
 
-def forest_scores(forest: dict, x: np.ndarray) -> np.ndarray:
-    """-2 ** (-mean path / expected path) for rows of x; low is odd."""
-    total = np.zeros(len(x))
-    for nodes in forest["trees"]:
-        f, cut, left, right, length = (np.array(c) for c in zip(*nodes, strict=True))
-        at = np.zeros(len(x), int)
-        live = f[at] >= 0
-        while live.any():
-            r = np.flatnonzero(live)
-            a = at[r]
-            at[r] = np.where(x[r, f[a]] < cut[a], left[a], right[a])
-            live[r] = f[at[r]] >= 0
-        total += length[at]
-    return -(2.0 ** -(total / max(1, len(forest["trees"])) / max(1e-9, float(_average_path(forest["sample"])))))
+def tree_arrays(spark: SparkSession, trees: list[dict], fields: str) -> Column:
+    """Arrays of a small ensemble as one constant, which is read once a plan."""
+    return F.from_json(F.lit(json.dumps(trees)), f"array<struct<{fields}>>")
 
 
-def isolation_forest_score(df: DataFrame, forest: dict) -> DataFrame:
-    """Complete rows with ``anomaly_score``: the score above the contamination cut-off; negative is odd."""
-    cols = forest["cols"]
-    shared = df.sparkSession.sparkContext.broadcast(forest)
+def walk(tree: Column, x: Column, limit: int) -> Column:
+    """The place of the leaf that a row reaches in a tree of arrays."""
+    return F.aggregate(F.sequence(F.lit(1), F.lit(limit)), F.lit(0), lambda k, _: F.when(F.get(tree["f"], k) < 0, k).otherwise(2 * k + F.when(F.get(x, F.get(tree["f"], k)) < F.get(tree["cut"], k), 1).otherwise(2)))
 
-    @F.pandas_udf("double")
-    def score(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for part in parts:
-            yield pd.Series(forest_scores(shared.value, np.column_stack([p.to_numpy(float) for p in part])) - shared.value["offset"])
 
-    return finite_features(df, cols, minimum=0).withColumn("anomaly_score", score(*cols))
+def isolation_forest_score(df: DataFrame, forest: dict) -> DataFrame:
+    """Complete rows with ``anomaly_score``: -2 ** (-mean path / expected path) above the contamination cut-off; negative is odd. No Python runs on the rows."""
+    cols, n = forest["cols"], forest["sample"]
+    expected = 2 * (math.log(n - 1) + _EULER) - 2 * (n - 1) / n if n > 2 else 1.0
+    trees = tree_arrays(df.sparkSession, forest["trees"], "f:array<int>,cut:array<double>,length:array<double>")
+    x = F.array(*(F.col(c).cast("double") for c in cols))
+    total = F.aggregate(trees, F.lit(0.0), lambda acc, t: acc + F.get(t["length"], walk(t, x, forest["limit"])))
+    mean = total / max(1, len(forest["trees"]))
+    return finite_features(df, cols, minimum=0).withColumn("anomaly_score", -F.pow(F.lit(2.0), -mean / expected) - forest["offset"])
 
 
 # -- training paths (M1, M5, M6) ---------------------------------------------
@@ -181,7 +174,7 @@ def train_unsupervised(gold: DataFrame, ids: list[str] | None = None, trees: int
     """M5: isolation forest, pseudo-labels, a surrogate classifier and its F1 on the training rows."""
     ids = ids or ["match_id", "player_id"]
     rows = finite_features(gold)
-    scored = isolation_forest_score(rows, isolation_forest_fit(rows, trees=trees))
+    scored = isolation_forest_score(rows, isolation_forest_fit(rows, trees=trees, ids=ids))
     labelled = pseudo_labels(scored, ids)
     model = fit_classifier(labelled, label="pseudo_label", **params)
     again = score_classifier(model, labelled).select(F.col("risk_score").alias("score"), F.col("pseudo_label").alias("label"))
@@ -211,6 +204,16 @@ def version_of(event_id: str, checksum: str) -> Column:
     return F.concat(F.lit("v-"), F.substring(F.sha2(F.concat_ws("|", event_id, checksum), 256), 1, 16))
 
 
+def read_versions(spark: SparkSession, root: str) -> DataFrame:
+    """S21, ST9: ``number, version`` in order of making; names say nothing of it."""
+    return lake.entries(spark, f"{root}/log", "version string").groupBy("version").agg(F.max("number").alias("number")).select("number", "version")
+
+
+def _log_version(spark: SparkSession, root: str, version: str) -> None:
+    if not lake.entries(spark, f"{root}/log", "version string").where(F.col("version") == version).head(1):
+        lake.append(spark, f"{root}/log", {"version": version})
+
+
 REQUIRED = ["feature_schema.json", "threshold_policy.json", "metrics.json", "training_manifest.json"]
 
 
@@ -247,11 +250,13 @@ def save_bundle(model: PipelineModel, metrics: dict, root: str, version: str, co
         held = _files(spark, path)
         if any(held.get(k) != hashlib.sha256(v.encode()).hexdigest() for k, v in text.items()):
             raise ValueError(f"version {version} exists with other content")
+        _log_version(spark, root, version)  # a try that stopped before this
         return path
     model.write().overwrite().save(f"{path}/model")
     for name, body in text.items():
         _write_text(spark, f"{path}/{name}", body)
     _write_text(spark, f"{path}/checksums.json", json.dumps(_files(spark, path), sort_keys=True))
+    _log_version(spark, root, version)
     return path
 
 

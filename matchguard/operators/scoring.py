@@ -55,8 +55,8 @@ def predict(df: DataFrame, score: Column, policy: Policy, model_version: str, n_
 
     ``df`` has op, match_id, player_id and features. Rows that cannot be scored
     have status UNAVAILABLE, score 0, no decision and the reason in ``error``.
-    ``named`` gives the evidence features by name; without it the array's first
-    six values are taken in order.
+    ``named`` gives the evidence features by name (none: no evidence); without
+    it the array's first six values are taken in order.
     """
     error = scoring_error(n_features)
     ok = df.withColumn("error", error)
@@ -65,7 +65,7 @@ def predict(df: DataFrame, score: Column, policy: Policy, model_version: str, n_
     ok = ok.withColumn("error", F.when(bad_score, F.lit("score_out_of_range")).otherwise(F.col("error")))
     served = F.col("error").isNull()
     feats = F.col("features")
-    items = evidence(named) if named else evidence(positional=feats)
+    items = evidence(named) if named is not None else evidence(positional=feats)
     out = ok.withColumn("risk_score", F.when(served, F.col("_s")).otherwise(F.lit(0.0)).cast("float")).drop("_s")
     out = out.withColumn("evidence", F.when(served, items))
     out = out.withColumn("decision", F.when(served, decide(F.col("risk_score"), F.col("evidence"), policy, feats, policy_z)))

@@ -14,7 +14,7 @@ from .. import schemas as S
 from ..functions.expr import distance
 from ..operators import bronze as B
 from ..operators import decision, dedup, envelope, evidence, features, gold, ml, normalize, quality, reports, scoring, silver, validate
-from ..sources import readers
+from ..sources import lake, readers
 from ..sources.folders import scratch
 from ..streaming import pipeline
 from . import adapters as A
@@ -271,7 +271,7 @@ def matches(spark, sf_dir):
 SELECT match_id, player_id, round(coalesce((damage_dealt - m) / nullif(sd, 0), 0), 5) AS performance_vs_lobby, round(damage_dealt - m, 4) AS damage_minus_median FROM pm JOIN l USING (match_id)""")
 def lobby_performance(spark, sf_dir):
     pm = _pm(spark, sf_dir)
-    both = features.lobby_relative(features.lobby_relative(pm), scaled=False, name="damage_minus_median")
+    both = features.lobby_features(pm, {"performance_vs_lobby": True, "damage_minus_median": False})
     return both.select("match_id", "player_id", F.round("performance_vs_lobby", 5).alias("performance_vs_lobby"), F.round("damage_minus_median", 4).alias("damage_minus_median"))
 
 
@@ -326,8 +326,8 @@ SELECT event_id, l_partkey, player_id, coalesce(fs, '') AS features, coalesce(zs
 def evidence_top2(spark, sf_dir):
     """The two strongest items of every row, by name and rounded z."""
     r = features.rate_features(A.stats(spark, sf_dir))
-    e = r.select("event_id", "l_partkey", "player_id", evidence.evidence(_named(r)).alias("e"))
-    return e.select("event_id", "l_partkey", "player_id", _shown(F.col("e")).alias("features"), _shown(F.col("e"), "z").alias("z_scores"))
+    e = r.select("event_id", "l_partkey", "player_id", evidence.evidence(_named(r), reasons=False).alias("e"))
+    return e.select("event_id", "l_partkey", "player_id", F.array_join("e.feature", "|").alias("features"), F.array_join(F.col("e.z_score").cast("array<string>"), "|").alias("z_scores"))
 
 
 @query(f"""{_PM}, l AS (SELECT match_id, quantile_cont(damage_dealt, 0.5) AS m FROM pm GROUP BY 1), d AS (SELECT match_id, any_value(m) AS m, quantile_cont(abs(damage_dealt - m), 0.5) AS mad FROM pm JOIN l USING (match_id) GROUP BY 1)
@@ -581,14 +581,49 @@ def anomaly_score_summary(spark, sf_dir):
     return ml.anomaly_score_summary(_scored(spark, sf_dir), "score").select(F.round("p05", 8).alias("p05"), F.round("mean", 8).alias("mean"))
 
 
-@query()
-def isolation_forest_scores(spark, sf_dir):
-    """Scores of all complete gold rows by a forest grown from them; no SQL."""
-    g = _gold(spark, sf_dir)
-    return ml.isolation_forest_score(g, ml.isolation_forest_fit(g)).select("match_id", "player_id", "anomaly_score")
+_COMPLETE = "minimum_kill_interval_seconds IS NOT NULL AND median_kill_distance_coordinate_units IS NOT NULL"
 
 
-_COMPLETE = "minimum_kill_interval_seconds IS NOT NULL AND median_kill_distance_coordinate_units IS NOT NULL"
+_FOREST_X = ["CAST(kills AS DOUBLE)", "minimum_kill_interval_seconds", "median_kill_distance_coordinate_units", "CAST(short_kill_interval_count AS DOUBLE)", "CAST(unique_weapons_used AS DOUBLE)"]
+_HEX = "CAST('0x' || substr(md5({0}), {1}, 7) AS BIGINT)"
+
+
+def _forest_sql(trees: int = 100, sample: int = 256, levels: int = 8) -> str:
+    """The forest by its rules: draws of rows, splits level by level, then the walk of every row through every tree."""
+    xs = ", ".join(f"{x} AS x{i}" for i, x in enumerate(_FOREST_X))
+    x = "[" + ", ".join(f"x{i}" for i in range(5)) + "]"
+    spans = ", ".join(f"{{'f': {i}, 'low': min(x{i}) OVER w, 'high': max(x{i}) OVER w}}" for i in range(5))
+    split = "'42:' || tree || ':' || node"
+    sql = f"""{_GOLD}, c AS (SELECT match_id, player_id, {xs}, match_id || '|' || player_id AS name FROM gold WHERE {_COMPLETE}),
+h AS (SELECT *, {_HEX.format("name", 1)} AS h0, {_HEX.format("name", 8)} AS h1 FROM c),
+d AS (SELECT h.*, t.tree, (h0 + t.tree * h1) % 268435399 AS draw FROM h, range({trees}) t(tree)),
+l0 AS (SELECT tree, {", ".join(f"x{i}" for i in range(5))}, 0 AS node, false AS leaf, 0 AS depth FROM d QUALIFY row_number() OVER (PARTITION BY tree ORDER BY draw, name) <= {sample})"""
+    for k in range(levels):
+        sql += f""",
+w{k} AS (SELECT *, list_filter([{spans}], lambda e: e.high > e.low) AS wide FROM l{k} WINDOW w AS (PARTITION BY tree, node)),
+s{k} AS (SELECT *, wide[1 + {_HEX.format(split, 1)} % greatest(len(wide), 1)] AS pick, {_HEX.format(split, 8)} / 268435456.0::DOUBLE AS u FROM w{k}),
+l{k + 1} AS (SELECT tree, x0, x1, x2, x3, x4, leaf OR len(wide) = 0 AS leaf, CASE WHEN leaf OR len(wide) = 0 THEN depth ELSE depth + 1 END AS depth,
+  CASE WHEN leaf OR len(wide) = 0 THEN node WHEN {x}[pick.f + 1] < pick.low + u * (pick.high - pick.low) THEN 2 * node + 1 ELSE 2 * node + 2 END AS node FROM s{k})"""
+    nodes = " UNION ALL ".join(f"SELECT DISTINCT tree, node, pick.f AS f, pick.low + u * (pick.high - pick.low) AS cut FROM s{k} WHERE NOT leaf AND len(wide) > 0" for k in range(levels))
+    sql += f""",
+nodes AS ({nodes}),
+ends AS (SELECT tree, node, max(depth) + CASE WHEN count(*) > 2 THEN 2 * (ln(count(*) - 1.0::DOUBLE) + 0.5772156649015329::DOUBLE) - 2 * (count(*) - 1.0::DOUBLE) / count(*) WHEN count(*) = 2 THEN 1.0 ELSE 0.0 END AS length FROM l{levels} GROUP BY 1, 2),
+p0 AS (SELECT name, {x} AS x, tree, 0 AS node FROM c, range({trees}) t(tree))"""
+    for k in range(levels):
+        sql += f", p{k + 1} AS (SELECT name, x, p.tree, CASE WHEN n.f IS NULL THEN p.node WHEN x[n.f + 1] < n.cut THEN 2 * p.node + 1 ELSE 2 * p.node + 2 END AS node FROM p{k} p LEFT JOIN nodes n ON p.tree = n.tree AND p.node = n.node)"
+    # the expected path among the sample, or among all rows where they are fewer
+    return sql + f""",
+e AS (SELECT CASE WHEN m > 2 THEN 2 * (ln(m - 1.0::DOUBLE) + 0.5772156649015329::DOUBLE) - 2 * (m - 1.0::DOUBLE) / m ELSE 1.0 END AS expected FROM (SELECT least({sample}, count(*)) AS m FROM c)),
+a AS (SELECT name, -pow(2.0::DOUBLE, -(sum(length) / {trees}) / any_value(expected)) AS score FROM p{levels} p JOIN ends USING (tree, node), e GROUP BY name)
+SELECT match_id, player_id, round(score - (SELECT quantile_cont(score, 0.05) FROM a), 6) + 0.0 AS anomaly_score FROM c JOIN a USING (name)"""
+
+
+@query(_forest_sql())
+def isolation_forest_scores(spark, sf_dir):
+    """M4: scores of all complete gold rows by a forest grown from them."""
+    g = _gold(spark, sf_dir)
+    scored = ml.isolation_forest_score(g, ml.isolation_forest_fit(g, ids=["match_id", "player_id"]))
+    return scored.select("match_id", "player_id", (F.round("anomaly_score", 6) + 0.0).alias("anomaly_score"))
 
 
 def _trained(spark: SparkSession, metrics: dict, f1: str, least: float) -> DataFrame:
@@ -623,7 +658,7 @@ def stream_equals_batch(spark, sf_dir):
     stream = readers.read_message_files(spark, f"{root}/messages", max_files=2)
     pipeline.start_pipeline(stream, f"{root}/lake", f"{root}/checkpoint", short_interval_threshold=SHORT).awaitTermination()
     cols = ["match_id", "player_id", *S.FEATURES]
-    streamed = spark.read.parquet(f"{root}/lake/gold").select(*cols)
+    streamed = lake.current(spark, f"{root}/lake", "gold").select(*cols)
     names = good.select("match_id", F.col("payload.killer_name").alias("killer_name"), F.col("payload.victim_name").alias("victim_name"), *(F.col(f"payload.{c}").alias(c) for c in ("event_time_seconds", "killer_position_x", "killer_position_y", "victim_position_x", "victim_position_y", "weapon")))
     pm = silver.participants(names).withColumn("kills", F.lit(0).cast("bigint"))
     batch = gold.gold_features(pm, names, SHORT).select(*cols)

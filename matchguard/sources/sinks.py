@@ -41,15 +41,6 @@ def write_bronze(df: DataFrame, root: str, batch: Column | str, at: Column | Non
     _lake(df.select(*names, *date_parts(when), (F.lit(batch) if isinstance(batch, str) else batch).alias("batch")), ["year", "month", "day", "batch"], root)
 
 
-def write_bronze_batch(df: DataFrame, root: str, batch: str, at: Column, buckets: int) -> str:
-    """S7 of a stream: below the day, by match bucket, so that a match's rows are found without the others; returns the day's folder."""
-    names = [f.name for f in S.BRONZE.fields]
-    day = df.sparkSession.range(1).select(F.date_format(at, "'year='yyyy'/month='MM'/day='dd").alias("d")).head()["d"]
-    rows = with_bucket(df.select(*names), buckets).select("*", *date_parts(at), F.lit(batch).alias("batch"))
-    _lake(rows.repartition("match_bucket"), ["year", "month", "day", "match_bucket", "batch"], root)
-    return f"{root}/{day}"
-
-
 def write_invalid_records(df: DataFrame, root: str, batch: str, at: Column | None = None) -> None:
     """S9."""
     when = F.current_timestamp() if at is None else at

@@ -2,7 +2,8 @@
 
 Offsets live in the query's checkpoint and commit last. Every sink of a batch is
 named by the batch's offsets and replaces itself, so a batch that fails half-way
-is done again without traces.
+is done again without traces; until it is committed, no reader of the lake sees
+any of it.
 """
 
 from __future__ import annotations
@@ -22,24 +23,20 @@ from ..operators import dedup, envelope, gold, ml, silver, validate
 from ..operators.decision import Policy
 from ..operators.scoring import predict, score_model
 from ..functions.expr import rfc3339
-from ..sources import readers, sinks
+from ..sources import lake, readers, sinks
 from ..sources.folders import checksums, exists
 
-#: Match buckets of a new lake. A lake keeps the number that it began with; take enough for a bucket's gold to fit a task.
-BUCKETS = 64
-
-
 def _ingest_time(messages: DataFrame) -> Column:
     """The newest time of the batch's messages: a repeated batch has the same, so it writes the same folders on any day."""
     newest = messages.agg(F.max("timestamp").alias("at")).head()["at"] if "timestamp" in messages.columns else None
     return F.lit(newest if newest is not None else datetime(1970, 1, 1)).cast("timestamp")
 
 
-def process_batch(messages: DataFrame, root: str, identity: str = "canonical", max_bytes: int = 1_048_576, short_interval_threshold: float = 10.0, buckets: int = BUCKETS) -> dict | None:
-    """One micro-batch: rejects, bronze, manifest, then silver and gold of the matches it touched, then the signals.
+def process_batch(messages: DataFrame, root: str, identity: str = "canonical", max_bytes: int = 1_048_576, short_interval_threshold: float = 10.0) -> dict | None:
+    """One micro-batch: rejects, bronze, manifest, then silver and gold of the matches it touched, the commit, and the signal.
 
-    Touched matches are recomputed from all of bronze (ST10), so one that spans
-    batches is right. Folders are named by the day of the batch's newest message
+    Touched matches are recomputed from the bronze of the batches that hold them
+    (ST10), so one that spans batches is right. Folders are named by the day of the batch's newest message
     (``timestamp``; without one, 1970) and by its offsets.
     """
     spark = messages.sparkSession
@@ -65,67 +62,70 @@ def process_batch(messages: DataFrame, root: str, identity: str = "canonical", m
         place, checksum = F.lit(None).cast("string"), F.lit(None).cast("string")
         some = bool(kept.head(1))
         if some:
-            path = sinks.write_bronze_batch(kept, f"{root}/bronze/events", key, at, buckets)
-            sums = checksums(spark, [f"{path}/match_bucket=*/batch={key}"]).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("checksum_sha256")), "\n"), 256).alias("c"))
+            day = spark.range(1).select(F.date_format(at, "'year='yyyy'/month='MM'/day='dd").alias("d")).head()["d"]
+            path = f"{root}/bronze/events/{day}/batch={key}"
+            sinks.write_bronze(kept.repartitionByRange("match_id").sortWithinPartitions("match_id"), f"{root}/bronze/events", key, at)
+            sums = checksums(spark, [path]).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("checksum_sha256")), "\n"), 256).alias("c"))
             place, checksum = F.lit(path), F.lit(sums.head()["c"])
         topic = F.lit(messages.select("topic").head()["topic"]) if "topic" in messages.columns else "raw"
         sinks.write_manifest(B.batch_manifest(rows, path=place, checksum=checksum, now=rfc3339(at), topic=topic), f"{root}/manifests", key, at)
         if some:
-            touched = refresh_matches(spark, root, kept, identity, short_interval_threshold, buckets)
-            _signal(spark, root, key, touched, at)
+            refresh_matches(spark, root, kept, key, day, identity, short_interval_threshold)
+            lake.commit(spark, root, key)
+            _signal(spark, root, key, at)
         checked.unpersist()
         return {"batch_id": key}
     finally:
         messages.unpersist()
 
 
-def _signal(spark: SparkSession, root: str, key: str, touched: list[int], at: Column) -> None:
-    """One signal for each gold folder that the batch wrote, with that folder's checksum."""
-    folders = [f"{root}/gold/match_bucket={b}" for b in touched]
-    there = [f for f in folders if exists(spark, f)]
-    if not there:
+def _signal(spark: SparkSession, root: str, key: str, at: Column) -> None:
+    """The signal for the batch's gold folder, with its checksum."""
+    folder = f"{root}/gold/batch={key}"
+    if not exists(spark, folder):
         return
-    bucket = F.regexp_extract("folder", r"(match_bucket=[^/]+)$", 1)
     day = F.date_format(at, "yyyy/MM/dd").alias("day")
-    artifacts = checksums(spark, there).select(
-        F.lit(key).alias("batch_id"), F.concat(F.lit("gold/"), bucket).alias("object_key"), "checksum_sha256",
-        F.concat(F.lit(f"{root}/gold/"), bucket).alias("object_uri"), F.concat(F.lit("manifests/"), day, F.lit(f"/{key}")).alias("source_manifest"),
+    artifacts = checksums(spark, [folder]).select(
+        F.lit(key).alias("batch_id"), F.lit(f"gold/batch={key}").alias("object_key"), "checksum_sha256",
+        F.lit(folder).alias("object_uri"), F.concat(F.lit("manifests/"), day, F.lit(f"/{key}")).alias("source_manifest"),
     )
     out = sinks.gold_ready_signals(artifacts, rfc3339(at)).withColumn("batch", F.lit(key))
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{root}/signals/gold_ready")
 
 
-def _replace_matches(spark: SparkSession, path: str, fresh: DataFrame, matches: DataFrame, numbers: list[int], buckets: int) -> None:
-    """Rewrite the named buckets: rows of other matches stay as they are, those of ``matches`` are replaced."""
-    rows = sinks.with_bucket(fresh, buckets)
-    if exists(spark, path):
-        held = spark.read.schema(rows.schema).parquet(path).where(F.col("match_bucket").isin(numbers))
-        rows = rows.unionByName(held.join(matches, "match_id", "left_anti"))
-    rows.repartition("match_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("match_bucket").option("compression", "zstd").parquet(path)
-
-
-def refresh_matches(spark: SparkSession, root: str, touched: DataFrame, identity: str = "canonical", short_interval_threshold: float = 10.0, buckets: int = BUCKETS) -> list[int]:
-    """Recompute silver and gold of the touched matches alone; returns the numbers of their buckets."""
+def refresh_matches(spark: SparkSession, root: str, touched: DataFrame, key: str, day: str, identity: str = "canonical", short_interval_threshold: float = 10.0) -> None:
+    """Write silver and gold of the touched matches as parts of batch ``key``; of bronze only the folders are read that hold them."""
     matches = touched.select("match_id").distinct()
-    numbers = sorted(r[0] for r in sinks.with_bucket(matches, buckets).select("match_bucket").distinct().collect())  # at most ``buckets`` numbers
-    events = spark.read.parquet(f"{root}/bronze/events").where(F.col("match_bucket").isin(numbers)).join(matches, "match_id", "left_semi")
+    lake.write_part(matches.select("match_id", F.lit(day).alias("day"), F.lit(key).alias("source_batch")), root, "index", key)
+    events = spark.read.schema(S.BRONZE).parquet(*lake.bronze_folders(spark, root, matches, key)).join(matches, "match_id", "left_semi")
     events = dedup.dedup_bronze(events.select(*(f.name for f in S.BRONZE.fields)))
     if identity == "canonical":
         events = silver.canonical_identity(events)
     kills, pm = silver.to_silver_kill_events(events, identity), silver.player_match(events, identity)
-    for name, fresh in (("silver/kill_events", kills), ("silver/player_match", pm), ("gold", gold.gold_features(pm, kills, short_interval_threshold))):
-        _replace_matches(spark, f"{root}/{name}", fresh, matches, numbers, buckets)
-    return numbers
+    for name, fresh in zip(lake.LAYERS, (kills, pm, gold.gold_features(pm, kills, short_interval_threshold)), strict=True):
+        lake.write_part(fresh, root, name, key)
+
 
+def start_pipeline(stream: DataFrame, root: str, checkpoint: str, trigger: dict | None = None, identity: str = "canonical", across_batches: bool = False, short_interval_threshold: float = 10.0, memory: str = "1 hour") -> StreamingQuery:
+    """ST1-ST7, ST10. ``across_batches`` also drops events whose id came in an earlier batch (within ``memory``).
 
-def start_pipeline(stream: DataFrame, root: str, checkpoint: str, trigger: dict | None = None, identity: str = "canonical", across_batches: bool = False, short_interval_threshold: float = 10.0, buckets: int = BUCKETS) -> StreamingQuery:
-    """ST1-ST7, ST10. ``across_batches`` also drops repeated messages of earlier batches (within an hour)."""
+    The ids are kept in the query's state, so a restart knows them. A message
+    without an id that reads as one is known by its bytes. :func:`dropped` tells how many were dropped.
+    """
     if across_batches:
-        stream = stream.withColumn("_h", F.sha2("value", 256)).withWatermark("timestamp", "1 hour").dropDuplicatesWithinWatermark(["_h"]).drop("_h")
-    out = stream.writeStream.foreachBatch(lambda df, _: process_batch(df, root, identity, short_interval_threshold=short_interval_threshold, buckets=buckets) and None)
+        text = F.try_validate_utf8(F.col("value").cast("string"))
+        named = F.get_json_object(text, "$.event_id")
+        known = F.when(named.rlike(r"\A[0-9a-f]{64}\z"), named).otherwise(F.concat(F.lit("bytes:"), F.sha2("value", 256)))
+        stream = stream.withColumn("_e", known).withWatermark("timestamp", memory).dropDuplicatesWithinWatermark(["_e"]).drop("_e")
+    out = stream.writeStream.foreachBatch(lambda df, _: process_batch(df, root, identity, short_interval_threshold=short_interval_threshold) and None)
     return out.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
+def dropped(query: StreamingQuery) -> int:
+    """ST4: rows that the query's progress reports as repeats of earlier batches' events."""
+    return sum(int(op["customMetrics"].get("numDroppedDuplicateRows", 0)) for p in query.recentProgress for op in p["stateOperators"] if "customMetrics" in op)
+
+
 def with_retries(work: Callable[[], None], retries: int = 3, wait: Callable[[float], None] = time.sleep) -> Exception | None:
     """ST8: tries with back-off min(60, 2**n) seconds; the last error, or None."""
     if not 1 <= retries <= 20:
@@ -181,17 +181,14 @@ def start_training(signals: DataFrame, gold_root: str, model_root: str, checkpoi
 
 
 class ModelHolder:
-    """ST9: the newest version that verifies; a bad candidate never replaces a good model."""
+    """ST9: of the versions in order of their making the newest that verifies; a bad candidate never replaces a good model."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root, self.version, self.model, self.schema = spark, root, None, None, None
 
     def refresh(self) -> None:
-        if not exists(self.spark, f"{self.root}/versions"):
-            return
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/versions")
-        names = sorted((s.getPath().getName() for s in p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)), reverse=True)
-        for name in names:
+        made = ml.read_versions(self.spark, self.root).orderBy(F.desc("number")).toLocalIterator()  # the newest come first; usually one is read
+        for name in (r["version"] for r in made):
             if name == self.version:
                 return
             try:
@@ -203,7 +200,10 @@ class ModelHolder:
 
 
 def start_scoring(gold_stream: DataFrame, model_root: str, policy: Policy, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """ST9: predictions for every gold row, with the model reloaded between batches."""
+    """ST9: predictions for every gold row, with the model reloaded between batches.
+
+    Evidence names only the evidence features that the rows have as columns.
+    """
     holder = ModelHolder(gold_stream.sparkSession, model_root)
 
     def run(batch: DataFrame, number: int) -> None:
@@ -212,9 +212,10 @@ def start_scoring(gold_stream: DataFrame, model_root: str, policy: Policy, out:
             raise RuntimeError("no verified model")
         cols = holder.schema["features"]
         feats = F.array(*(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols))
-        requests = batch.select(F.lit("predict").alias("op"), "match_id", "player_id", feats.alias("features"))
+        named = {n: S.EVIDENCE_COLUMNS.get(n, n) for n in S.EVIDENCE_FEATURES if S.EVIDENCE_COLUMNS.get(n, n) in batch.columns}
+        requests = batch.select(F.lit("predict").alias("op"), "match_id", "player_id", feats.alias("features"), *(F.col(c).alias(f"_named_{n}") for n, c in named.items()))
         scored = score_model(requests, holder.model.stages[-1])
-        done = predict(scored, F.col("risk_score"), policy, holder.version, len(cols))
+        done = predict(scored, F.col("risk_score"), policy, holder.version, len(cols), named={n: F.col(f"_named_{n}") for n in named})
         if done.head(1):
             sinks.write_predictions(done.withColumn("batch", F.lit(number)), out, by=["model_version", "batch"])
 

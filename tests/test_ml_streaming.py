@@ -8,7 +8,7 @@ from matchguard import schemas as S
 from matchguard.operators import decision, ml, validate
 from matchguard.operators import bronze, reports
 from matchguard.plans.queries import QUERIES
-from matchguard.sources import readers, sinks
+from matchguard.sources import lake, readers, sinks
 from matchguard.streaming import pipeline
 
 GOLD = "match_id string, player_id string, kills long, minimum_kill_interval_seconds double, median_kill_distance_coordinate_units double, short_kill_interval_count long, unique_weapons_used long, is_suspicious int"
@@ -149,19 +149,135 @@ def test_a_batch_repeated_after_midnight_leaves_one_of_each(spark, tmp_path, mon
     assert held.count() > 0 and validate.validate_gold_signal(signal, "file://").where(F.size("reasons") > 0).count() == 0
 
 
+def kill(n, match, **more):
+    from test_normalize_validate import KILL
+
+    return KILL | {"event_id": f"{n:064x}", "match_id": match * 64, "payload": KILL["payload"] | {"match_id": match * 64, "event_time_seconds": float(n)}} | more
+
+
+def batch(spark, events, offset, at="2026-07-28 10:00:00"):
+    from test_normalize_validate import messages
+
+    return messages(spark, events).withColumn("offset", F.col("offset") + offset).withColumn("timestamp", F.lit(at).cast("timestamp"))
+
+
+def kills_by_match(spark, root):
+    rows = lake.current(spark, root, "gold").groupBy("match_id").agg(F.max("kills").alias("k"), F.count("*").alias("n")).collect()
+    return {r["match_id"][0]: (r["k"], r["n"]) for r in rows}
+
+
 def test_only_touched_matches_are_recomputed(spark, tmp_path):
-    from test_normalize_validate import KILL, messages
+    root = f"file://{tmp_path}/lake"
+    for n, events in enumerate(([kill(1, "a"), kill(2, "b")], [kill(3, "c")], [kill(4, "d"), kill(5, "b")], [kill(9, "a")])):
+        done = pipeline.process_batch(batch(spark, events, 100 * n), root)
+    assert kills_by_match(spark, root) == {"a": (2, 3), "b": (2, 3), "c": (1, 3), "d": (1, 3)}
+    assert lake.current(spark, root, "silver/kill_events").count() == 6 and lake.bronze(spark, root).count() == 6
+    # a batch of match a reads the bronze of the two batches that hold it, and its gold has no other match
+    one = spark.createDataFrame([("a" * 64,)], "match_id string")
+    assert len(lake.bronze_folders(spark, root, one, done["batch_id"])) == 2
+    fresh = spark.read.parquet(f"{root}/gold/batch={done['batch_id']}")
+    assert {r[0][0] for r in fresh.select("match_id").distinct().collect()} == {"a"}
+
+
+def test_compaction_keeps_the_newest_rows(spark, tmp_path):
+    root = f"file://{tmp_path}/lake"
+    for n, events in enumerate(([kill(1, "a"), kill(2, "b")], [kill(3, "a")], [kill(4, "c")])):
+        pipeline.process_batch(batch(spark, events, 100 * n), root)
+    want = kills_by_match(spark, root)
+    assert lake.compact(spark, root).startswith("base-3-") and lake.compact(spark, root) is None
+    assert kills_by_match(spark, root) == want and len(lake.live_batches(spark, root)) == 1
+    assert lake.vacuum(spark, root) == 12 and kills_by_match(spark, root) == want
+    pipeline.process_batch(batch(spark, [kill(8, "a")], 900), root)
+    assert kills_by_match(spark, root) == want | {"a": (3, 3)} and lake.bronze(spark, root).count() == 5
 
-    def kill(n, match, offset):
-        return KILL | {"event_id": f"{n:064x}", "match_id": match, "payload": KILL["payload"] | {"match_id": match, "event_time_seconds": float(n)}}
 
+def test_a_batch_that_stops_half_way_is_not_seen(spark, tmp_path, monkeypatch):
     root = f"file://{tmp_path}/lake"
-    at = F.lit("2026-07-28 10:00:00").cast("timestamp")
-    pipeline.process_batch(messages(spark, [kill(1, "a" * 64, 0), kill(2, "b" * 64, 1)]).withColumn("timestamp", at), root, buckets=1)
-    pipeline.process_batch(messages(spark, [kill(9, "a" * 64, 0)]).withColumn("offset", F.lit(70).cast("long")).withColumn("timestamp", at), root, buckets=1)
-    gold_rows = spark.read.parquet(f"{root}/gold").groupBy("match_id").agg(F.max("kills").alias("k"), F.count("*").alias("n")).collect()
-    assert {r["match_id"][0]: r["k"] for r in gold_rows} == {"a": 2, "b": 1} and len({r["n"] for r in gold_rows}) == 1
-    assert spark.read.parquet(f"{root}/silver/kill_events").count() == 3
+    pipeline.process_batch(batch(spark, [kill(1, "a")], 0), root)
+    whole = lake.write_part
+
+    def stops(df, root, layer, name):
+        if layer == "gold":
+            raise RuntimeError("lost")
+        whole(df, root, layer, name)
+
+    second = batch(spark, [kill(2, "a"), kill(3, "b")], 50)
+    monkeypatch.setattr(lake, "write_part", stops)
+    with pytest.raises(RuntimeError):
+        pipeline.process_batch(second, root)
+    monkeypatch.undo()
+    assert kills_by_match(spark, root) == {"a": (1, 3)}
+    assert lake.bronze(spark, root).count() == 1 and lake.current(spark, root, "silver/kill_events").count() == 1
+    third = batch(spark, [kill(5, "a")], 90)
+    pipeline.process_batch(third, root)  # does not take what was never committed
+    assert kills_by_match(spark, root) == {"a": (2, 3)}
+    pipeline.process_batch(second, root)
+    assert kills_by_match(spark, root) == {"a": (3, 3), "b": (1, 3)}
+
+
+def test_writers_of_a_log_lose_nothing(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    log = f"file://{tmp_path}/log"
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda n: lake.append(spark, log, {"version": f"v{n}"}), range(24)))
+    held = {r["number"]: r["version"] for r in lake.entries(spark, log, "version string").collect()}
+    assert sorted(numbers) == sorted(held) == list(range(1, 25)) and sorted(held.values()) == sorted(f"v{n}" for n in range(24))
+    assert not lake.put_new(spark, f"{log}/{1:020d}.json", "{}") and held[numbers[3]] == "v3"
+
+
+@pytest.mark.parametrize("names", [("v-3bbb", "v-9aaa"), ("v-9aaa", "v-3bbb")])
+def test_the_later_version_is_served_whatever_its_name(spark, tmp_path, names):
+    root = f"file://{tmp_path}/models"
+    model, metrics = ml.train(gold(spark, label=lambda i: i % 3 == 0), rounds=1, depth=2)
+    holder = pipeline.ModelHolder(spark, root)
+    holder.refresh()
+    assert holder.version is None
+    for name in names:
+        ml.save_bundle(model, metrics, root, name)
+        holder.refresh()
+        assert holder.version == name
+    ml.save_bundle(model, metrics, root, "v-5")
+    (tmp_path / "models/versions/v-5/.metrics.json.crc").unlink(missing_ok=True)
+    (tmp_path / "models/versions/v-5/metrics.json").write_text("{}")  # broken: passed over
+    holder.refresh()
+    again = pipeline.ModelHolder(spark, root)
+    again.refresh()
+    assert holder.version == again.version == names[1]
+    assert [r["version"] for r in ml.read_versions(spark, root).orderBy("number").collect()] == [*names, "v-5"]
+
+
+def test_an_event_sent_again_is_dropped_in_later_batches(spark, tmp_path):
+    cols = [f.name for f in readers.MESSAGE.fields]
+    folder, root = str(tmp_path / "in"), f"file://{tmp_path}/lake"
+
+    def send(events, offset):
+        sent = batch(spark, events, offset).withColumn("topic", F.lit("raw")).withColumn("key", F.lit(b"k"))
+        sent.select(cols).coalesce(1).write.mode("append").parquet(folder)
+
+    def run():
+        q = pipeline.start_pipeline(readers.read_message_files(spark, folder, 1), root, str(tmp_path / "cp"), across_batches=True)
+        q.awaitTermination()
+        return pipeline.dropped(q)
+
+    send([kill(1, "a"), kill(2, "a")], 0)
+    assert run() == 0
+    send([kill(1, "a", ingest_time="2026-07-28T10:30:00Z"), kill(3, "a")], 100)  # another payload, the same event
+    assert run() == 1  # a new query from the checkpoint remembers
+    assert kills_by_match(spark, root) == {"a": (3, 3)} and lake.bronze(spark, root).count() == 3
+
+
+def test_scoring_names_the_evidence_that_is_there(spark, tmp_path):
+    root, lake_dir = f"file://{tmp_path}/models", str(tmp_path / "gold")
+    gold(spark, label=lambda i: i % 3 == 0).write.parquet(lake_dir)
+    ml.train_incremental(spark, lake_dir, root, rounds=1, depth=2)
+    for name, extra in (("plain", {}), ("named", {"kills_per_minute": F.lit(9.0)})):
+        rows = spark.read.parquet(lake_dir).withColumns(extra) if extra else spark.read.parquet(lake_dir)
+        rows.write.parquet(str(tmp_path / name))
+        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / name))
+        pipeline.start_scoring(stream, root, decision.FIVE_RULES, str(tmp_path / f"p-{name}"), str(tmp_path / f"cp-{name}")).awaitTermination()
+        found = spark.read.parquet(str(tmp_path / f"p-{name}")).select(F.explode_outer("evidence.feature")).distinct().collect()
+        assert [r[0] for r in found] == (["kills_per_minute"] if extra else [None])
 
 
 def test_across_batches_drops_repeated_messages(spark, tmp_path):
