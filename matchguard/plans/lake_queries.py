@@ -141,10 +141,10 @@ def rejects_lake(spark, sf_dir):
     return readers.read_invalid(spark, path).select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("records"))
 
 
-@query("SELECT doc_id AS \"offset\", 'unparseable_payload' AS reason, base64(encode(text)) AS payload_base64, sha256(text) AS payload_sha256 FROM documents WHERE strlen(text) > 0 AND strlen(text) <= 1048576")
+@query("SELECT doc_id AS \"offset\", CASE WHEN coalesce(text, '') = '' THEN 'empty_payload' WHEN strlen(text) > 1048576 THEN 'payload_too_large' ELSE 'unparseable_payload' END AS reason, base64(array_slice(encode(text), 1, 1048576)) AS payload_base64, sha256(array_slice(encode(coalesce(text, '')), 1, 1048576)) AS payload_sha256 FROM documents")
 def malformed_lake(spark, sf_dir):
-    """Texts are no envelopes; their bytes are kept."""
-    docs = A.table(spark, sf_dir, "documents").where("octet_length(text) between 1 and 1048576")
+    """Texts are no envelopes; their bytes are kept, of over-long ones the limit's; empty ones are named so."""
+    docs = A.table(spark, sf_dir, "documents")
     sent = docs.select(F.col("text").cast("binary").alias("value"), F.lit("raw").alias("topic"), F.lit(0).alias("partition"), F.col("doc_id").alias("offset"))
     path = scratch(spark, "malformed")
     sinks.write_malformed(envelope.malformed(envelope.parse_envelopes(sent)), path, "b1", at())
@@ -403,10 +403,10 @@ def rounding(spark, sf_dir):
     return A.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", E.half_away(q, 0).alias("whole"), E.half_away(q, 1).alias("tenth"), E.ratio(F.col("l_partkey").cast("double"), (F.col("l_suppkey") % 7).cast("double"), -1.0).alias("ratio"))
 
 
-@query("""SELECT doc_id, regexp_replace(regexp_replace(text, '^[\\s\\p{Z}\\x{0085}\\x0B]+', ''), '[\\s\\p{Z}\\x{0085}\\x0B]+$', '') AS trimmed, sha256(text) AS sha FROM documents WHERE text IS NOT NULL""")
+@query("""SELECT doc_id, regexp_replace(regexp_replace(text, '^[\\s\\p{Z}\\x{0085}\\x0B]+', ''), '[\\s\\p{Z}\\x{0085}\\x0B]+$', '') AS trimmed, sha256(text) AS sha FROM documents""")
 def trim_and_sha(spark, sf_dir):
-    """2.8 over whole texts."""
-    return A.table(spark, sf_dir, "documents").where("text is not null").select("doc_id", E.trimmed("text").alias("trimmed"), E.sha256("text").alias("sha"))
+    """2.8 over whole texts; null gives null."""
+    return A.table(spark, sf_dir, "documents").select("doc_id", E.trimmed("text").alias("trimmed"), E.sha256("text").alias("sha"))
 
 
 @query("""SELECT event_id, CASE event_id % 8 WHEN 0 THEN event_id WHEN 1 THEN -event_id WHEN 2 THEN event_id END AS whole, CASE event_id % 8 WHEN 0 THEN event_id::DOUBLE WHEN 1 THEN -event_id::DOUBLE WHEN 2 THEN event_id::DOUBLE WHEN 3 THEN event_id + 0.5::DOUBLE WHEN 4 THEN event_id * 100.0::DOUBLE END AS number FROM events""")
