@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..sources import lake
+from ..sources.folders import file_digests
 from .ranks import before, dealt, percentiles, ranked
 from .reports import unprocessed_files
 from .scoring import THRESHOLDS, check_thresholds
@@ -227,8 +228,7 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
 
 def _files(spark: SparkSession, path: str) -> dict[str, str]:
     """Name below ``path`` to SHA-256 of every file, hashed on the executors."""
-    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    rows = read.select("path", F.sha2("content", 256).alias("sha")).collect()
+    rows = file_digests(spark, path).collect()
     tail = path.split("://")[-1].split(":", 1)[-1].rstrip("/") + "/"
     return {r["path"].split(tail, 1)[1]: r["sha"] for r in rows if "/_" not in r["path"] and not r["path"].endswith(".crc")}
 

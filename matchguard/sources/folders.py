@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
+from urllib.parse import quote
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +27,42 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def checksums(spark: SparkSession, paths: list[str], pattern: str = "*.parquet") -> DataFrame:
-    """``folder, checksum_sha256`` of data folders: the SHA-256 over the sorted SHA-256 of their files, hashed on the executors."""
+def _open(path: str):
+    """A Hadoop path's bytes as they are."""
+    scheme, sep, rest = path.partition(":")
+    if not sep or scheme == "file":
+        return fs.LocalFileSystem().open_input_stream("/" + (rest if sep else path).lstrip("/"), compression=None)
+    files, name = fs.FileSystem.from_uri(quote("s3" + path[3:] if scheme == "s3a" else path, safe=":/@"))
+    return files.open_input_stream(name, compression=None)
+
+
+def sha256_of(path: str, chunk: int = 4 << 20) -> str:
+    """The SHA-256 of a file of any size, which is never held: one range of ``chunk`` bytes after the other."""
+    digest = hashlib.sha256()
+    with _open(path) as f:
+        while part := f.read(chunk):
+            digest.update(part)
+    return digest.hexdigest()
+
+
+def file_digests(spark: SparkSession, paths: str | list[str], pattern: str = "*", whole: int = 32 << 20) -> DataFrame:
+    """``path, sha`` (SHA-256 of the bytes) of all files below some folders but empty ones, which Spark's file sources pass over; hashed on the executors.
+
+    Files of up to ``whole`` bytes are read as rows without Python; larger ones,
+    which no row could hold beyond 2 GB, go range by range through one digest, with the same result.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(paths)
-    each = files.select(F.regexp_replace("path", r"/[^/]*$", "").alias("folder"), F.sha2("content", 256).alias("sha"))
+
+    def stream(parts):
+        for rows in parts:
+            yield rows.assign(sha=[sha256_of(p) for p in rows["path"]])
+
+    # the filter on the length reaches the source, so no content of a large file is read as a row
+    small = files.where(F.col("length") <= whole).select("path", F.sha2("content", 256).alias("sha"))
+    return small.unionByName(files.where(F.col("length") > whole).select("path").mapInPandas(stream, "path string, sha string"))
+
+
+def checksums(spark: SparkSession, paths: list[str], pattern: str = "*.parquet") -> DataFrame:
+    """``folder, checksum_sha256`` of data folders: the SHA-256 over the sorted SHA-256 of their files."""
+    each = file_digests(spark, paths, pattern).select(F.regexp_replace("path", r"/[^/]*$", "").alias("folder"), "sha")
     return each.groupBy("folder").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("sha")), "\n"), 256).alias("checksum_sha256"))
