@@ -30,42 +30,27 @@ _ITEM = "struct<feature:string,value:float,lobby_avg:float,z_score:float,reason:
 def top_evidence(items: list[Item], keep: int = KEEP, reasons: bool = True) -> Column:
     """Items (name, value, median, MAD) with z over 1.5 by falling rounded z, ties in feature order, the first ``keep`` (0: all).
 
-    The strongest item is the greatest of the rounded z; the next one is the
-    greatest of the others, and so on: numbers only, within generated code. Names
-    and texts (unless not ``reasons``) are made for the items that stay.
+    Only numbers are sorted and cut; names and texts (unless not ``reasons``) are
+    made for the items that stay. Each z is written once, so the plan grows with the number of items only.
     """
-    ten, none = F.lit(10.0).cast("float"), F.lit(None)
-    zs = [robust_z(x, median, mad) for _, x, median, mad in items]
-    rounded = [F.when(z > LEAST_Z, (F.floor((z * ten).cast("double") + 0.5) / 10).cast("float")) for z in zs]  # half up; z is positive where it counts
-    columns = {
-        "feature": F.array(*(F.lit(name) for name, *_ in items)), "value": F.array(*(x.cast("float") for _, x, *_ in items)),
-        "lobby_avg": F.array(*(m.cast("float") for _, _, m, _ in items)), "z_score": F.array(*rounded), "z": F.array(*zs),
-    }
-    taken: list[Column] = []
-    for _ in range(min(keep or len(items), len(items))):
-        left = [r if not taken else F.when(~_any(t == i for t in taken), r) for i, r in enumerate(rounded)]
-        most = F.greatest(*left) if len(left) > 1 else left[0]
-        place = none.cast("int")
-        for i in range(len(left) - 1, -1, -1):  # the first of equal ones
-            place = F.when(left[i] == most, i).otherwise(place)
-        taken.append(F.coalesce(place, F.lit(-1)))
-
-    def shown(at: Column) -> Column:
-        one = {name: F.get(c, at) for name, c in columns.items()}
-        text = F.format_string("%s %.2f against %.2f in the lobby (+%.1f sigma)", one["feature"], one["value"].cast("double"), one["lobby_avg"].cast("double"), one["z"].cast("double"))
-        return F.struct(*(one[c].alias(c) for c in ("feature", "value", "lobby_avg", "z_score")), (text if reasons else none.cast("string")).alias("reason"))
-
-    out = F.array().cast(f"array<{_ITEM}>")
-    for n in range(1, len(taken) + 1):
-        out = F.when(taken[n - 1] >= 0, F.array(*map(shown, taken[:n]))).otherwise(out)
-    return out
-
-
-def _any(tests) -> Column:
-    out = F.lit(False)
-    for t in tests:
-        out = out | t
-    return out
+    if not items:
+        return F.array().cast(f"array<{_ITEM}>")
+    ten = F.lit(10.0).cast("float")
+    numbers = []
+    for i, (_, x, median, mad) in enumerate(items):
+        z = robust_z(x, median, mad)
+        rounded = (F.floor((z * ten).cast("double") + 0.5) / 10).cast("float")  # half up; z is positive where it counts
+        numbers.append(F.when(z > LEAST_Z, F.struct(rounded.alias("rounded"), F.lit(-i).alias("at"), x.cast("float").alias("value"), median.cast("float").alias("lobby_avg"), z.alias("z"))))
+    found = F.sort_array(F.array(*numbers), asc=False)  # nulls come last
+    names = F.array(*(F.lit(name) for name, *_ in items))
+
+    def shown(e: Column) -> Column:
+        name = names[-e["at"]]
+        text = F.format_string("%s %.2f against %.2f in the lobby (+%.1f sigma)", name, e["value"].cast("double"), e["lobby_avg"].cast("double"), e["z"].cast("double"))
+        reason = text if reasons else F.lit(None).cast("string")
+        return F.struct(name.alias("feature"), e["value"].alias("value"), e["lobby_avg"].alias("lobby_avg"), e["rounded"].alias("z_score"), reason.alias("reason"))
+
+    return F.transform(F.array_compact(F.slice(found, 1, keep) if keep else found), shown)
 
 
 def evidence(named: dict[str, Column] | None = None, positional: Column | None = None, keep: int = KEEP, reasons: bool = True) -> Column:
