@@ -7,16 +7,14 @@ import json
 import math
 from datetime import datetime, timezone
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..sources import lake
 from ..sources.folders import file_digests
+from . import boosting
+from .boosting import BoostedTrees
 from .ranks import before, dealt, percentiles, ranked
 from .reports import unprocessed_files
 from .scoring import THRESHOLDS, check_thresholds
@@ -32,16 +30,13 @@ def group_split(df: DataFrame, group: str = "match_id", test_share: float = 0.2,
     return df.join(test, group, "left_anti"), df.join(test, group, "left_semi")
 
 
-def fit_classifier(df: DataFrame, cols: list[str] | None = None, label: str = "is_suspicious", rounds: int = 100, depth: int = 10, seed: int = 42) -> PipelineModel:
-    """M3: boosted trees."""
-    cols = S.FEATURES if cols is None else cols
-    ready = df.withColumn("_label", F.col(label).cast("double"))
-    return Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features"), GBTClassifier(labelCol="_label", featuresCol="features", maxIter=rounds, maxDepth=depth, seed=seed)]).fit(ready)
+def fit_classifier(df: DataFrame, cols: list[str] | None = None, label: str = "is_suspicious", rounds: int = 100, depth: int = 10, **params) -> BoostedTrees:
+    """M3: boosted trees from histograms."""
+    return boosting.fit(df, S.FEATURES if cols is None else cols, label, rounds, depth, **params)
 
 
-def score_classifier(model: PipelineModel, df: DataFrame) -> DataFrame:
-    out = model.transform(df)
-    return out.withColumn("risk_score", vector_to_array("probability")[1].cast("float")).drop("features", "rawPrediction", "probability", "prediction")
+def score_classifier(model: BoostedTrees, df: DataFrame) -> DataFrame:
+    return boosting.score(model, df)
 
 
 def classification_metrics(df: DataFrame, score: str = "score", label: str = "label", threshold: float = 0.5) -> DataFrame:
@@ -162,7 +157,7 @@ def isolation_forest_score(df: DataFrame, forest: dict) -> DataFrame:
 # -- training paths (M1, M5, M6) ---------------------------------------------
 
 
-def train_supervised(gold: DataFrame, label: str = "is_suspicious", **params) -> tuple[PipelineModel, dict]:
+def train_supervised(gold: DataFrame, label: str = "is_suspicious", **params) -> tuple[BoostedTrees, dict]:
     """M6."""
     rows = labeled_rows(gold, label)
     train, test = group_split(rows)
@@ -171,7 +166,7 @@ def train_supervised(gold: DataFrame, label: str = "is_suspicious", **params) ->
     return model, {"mode": "supervised", **classification_metrics(scored).head().asDict()}
 
 
-def train_unsupervised(gold: DataFrame, ids: list[str] | None = None, trees: int = 100, **params) -> tuple[PipelineModel, dict]:
+def train_unsupervised(gold: DataFrame, ids: list[str] | None = None, trees: int = 100, **params) -> tuple[BoostedTrees, dict]:
     """M5: isolation forest, pseudo-labels, a surrogate classifier and its F1 on the training rows."""
     ids = ids or ["match_id", "player_id"]
     rows = finite_features(gold)
@@ -183,7 +178,7 @@ def train_unsupervised(gold: DataFrame, ids: list[str] | None = None, trees: int
     return model, {"mode": "unsupervised", "surrogate_f1": metrics["f1"], "rows": metrics["rows"], **{f"anomaly_{k}": v for k, v in anomaly_score_summary(scored).head().asDict().items()}}
 
 
-def train(gold: DataFrame, label: str = "is_suspicious", **params) -> tuple[PipelineModel, dict]:
+def train(gold: DataFrame, label: str = "is_suspicious", **params) -> tuple[BoostedTrees, dict]:
     """M1: supervised if any row has a label."""
     if gold.limit(20).count() < 20:
         raise ValueError("training needs 20 rows")
@@ -233,7 +228,7 @@ def _files(spark: SparkSession, path: str) -> dict[str, str]:
     return {r["path"].split(tail, 1)[1]: r["sha"] for r in rows if "/_" not in r["path"] and not r["path"].endswith(".crc")}
 
 
-def save_bundle(model: PipelineModel, metrics: dict, root: str, version: str, cols: list[str] | None = None, thresholds: dict | None = None, source: dict | None = None) -> str:
+def save_bundle(model: BoostedTrees, metrics: dict, root: str, version: str, cols: list[str] | None = None, thresholds: dict | None = None, source: dict | None = None) -> str:
     """M8: model and metadata under ``root/versions/<version>``; the same version with other content is an error."""
     spark = SparkSession.getActiveSession()
     cols, path = S.FEATURES if cols is None else cols, f"{root}/versions/{version}"
@@ -252,7 +247,7 @@ def save_bundle(model: PipelineModel, metrics: dict, root: str, version: str, co
             raise ValueError(f"version {version} exists with other content")
         _log_version(spark, root, version)  # a try that stopped before this
         return path
-    model.write().overwrite().save(f"{path}/model")
+    model.save(spark, f"{path}/model")
     for name, body in text.items():
         _write_text(spark, f"{path}/{name}", body)
     _write_text(spark, f"{path}/checksums.json", json.dumps(_files(spark, path), sort_keys=True))
@@ -274,9 +269,9 @@ def verify_bundle(spark: SparkSession, path: str) -> dict:
     return schema
 
 
-def load_bundle(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
+def load_bundle(spark: SparkSession, path: str) -> tuple[BoostedTrees, dict]:
     schema = verify_bundle(spark, path)
-    return PipelineModel.load(f"{path}/model"), schema
+    return BoostedTrees.load(spark, f"{path}/model"), schema
 
 
 def train_incremental(spark: SparkSession, gold_path: str, root: str, **params) -> str | None:

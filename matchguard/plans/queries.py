@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.expr import distance
 from ..operators import bronze as B
-from ..operators import decision, dedup, envelope, evidence, features, gold, ml, normalize, quality, reports, scoring, silver, validate
+from ..operators import boosting, decision, dedup, envelope, evidence, features, gold, ml, normalize, quality, reports, scoring, silver, validate
 from ..sources import lake, readers
 from ..sources.folders import scratch
 from ..streaming import pipeline
@@ -626,22 +626,70 @@ def isolation_forest_scores(spark, sf_dir):
     return scored.select("match_id", "player_id", (F.round("anomaly_score", 6) + 0.0).alias("anomaly_score"))
 
 
+_LABEL = "short_kill_interval_count >= 2 OR kills % 3 = 0"
+_BINNED = f"""{_GOLD}, c AS (SELECT match_id, player_id, CAST({_LABEL} AS INTEGER) AS y, {", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(S.FEATURES))} FROM gold WHERE {_COMPLETE}),
+ranks AS (SELECT *, {", ".join(f"dense_rank() OVER (ORDER BY x{i}) AS d{i}, count(*) OVER (ORDER BY x{i}) AS r{i}" for i in range(5))} FROM c),
+held AS (SELECT *, {", ".join(f"CASE WHEN max(d{i}) OVER () <= 256 THEN d{i} - 1 ELSE (r{i} - 1) * 256 // count(*) OVER () END AS q{i}" for i in range(5))} FROM ranks),
+binned AS (SELECT match_id, player_id, y, {", ".join(f"x{i}, dense_rank() OVER (ORDER BY q{i}) - 1 AS b{i}" for i in range(5))} FROM held)"""
+
+
+def _boosted_sql(rounds: int, depth: int) -> str:
+    """Plain boosting of the same bins, over rows: each level's sums by node, column and bin, their prefixes, and the best."""
+    sql = f"""{_BINNED},
+m0 AS (SELECT match_id, player_id, y, [b0, b1, b2, b3, b4] AS b, ln(avg(y) OVER () / (1 - avg(y) OVER ())) AS m FROM binned)"""
+    for r in range(rounds):
+        sql += f""",
+n{r}_0 AS MATERIALIZED (SELECT *, 1 / (1 + exp(-m)) AS p, 0 AS node, true AS grows FROM m{r})"""
+        for k in range(depth):
+            sql += f""",
+h{r}_{k} AS (SELECT node, f, b[f + 1] AS bin, sum(p - y) AS g, sum(p * (1 - p)) AS h FROM n{r}_{k}, range(5) t(f) WHERE grows GROUP BY ALL),
+s{r}_{k} AS (SELECT node, f, bin, sum(g) OVER run AS gl, sum(h) OVER run AS hl, sum(g) OVER col AS gt, sum(h) OVER col AS ht FROM h{r}_{k} WINDOW col AS (PARTITION BY node, f), run AS (PARTITION BY node, f ORDER BY bin)),
+w{r}_{k} AS (SELECT *, gl * gl / (hl + 1) + (gt - gl) * (gt - gl) / (ht - hl + 1) - gt * gt / (ht + 1) AS gain FROM s{r}_{k}),
+best{r}_{k} AS (SELECT node, f, bin FROM w{r}_{k} WHERE hl >= 1 AND ht - hl >= 1 AND gain > 1e-6 QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, f, bin) = 1),
+n{r}_{k + 1} AS MATERIALIZED (SELECT match_id, player_id, y, b, m, p, CASE WHEN s.node IS NULL THEN n.node WHEN b[f + 1] <= bin THEN 2 * n.node + 1 ELSE 2 * n.node + 2 END AS node, s.node IS NOT NULL AS grows
+  FROM n{r}_{k} n LEFT JOIN best{r}_{k} s ON n.node = s.node AND n.grows)"""
+        sql += f""",
+m{r + 1} AS MATERIALIZED (SELECT match_id, player_id, y, b, m - 0.3 * (sum(p - y) OVER leaf) / (1 + sum(p * (1 - p)) OVER leaf) AS m FROM n{r}_{depth} WINDOW leaf AS (PARTITION BY node))"""
+    return sql + f" SELECT match_id, player_id, round(1 / (1 + exp(-m)), 5) AS risk_score FROM m{rounds}"
+
+
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.finite_features(_gold(spark, sf_dir)).withColumn("y", F.expr(f"CAST({_LABEL} AS INT)"))
+
+
+@query(f"{_BINNED} SELECT f, bin, count(*) AS rows, min(x) AS least FROM (SELECT unnest([{', '.join(f'{{f: {i}, bin: b{i}, x: x{i}}}' for i in range(5))}], recursive := true) FROM binned) GROUP BY f, bin")
+def feature_bins(spark, sf_dir):
+    """M3: the bins of the five gold features, with their rows and least values."""
+    rows = _labelled(spark, sf_dir)
+    edges = boosting.bin_edges(rows, S.FEATURES)
+    each = F.explode(F.array(*(F.struct(F.lit(i).alias("f"), boosting.bin_of(F.col(c).cast("double"), e).cast("long").alias("bin"), F.col(c).cast("double").alias("x")) for i, (c, e) in enumerate(zip(S.FEATURES, edges, strict=True)))))
+    return rows.select(each.alias("e")).groupBy("e.f", "e.bin").agg(F.count("*").alias("rows"), F.min("e.x").alias("least"))
+
+
+@query(_boosted_sql(3, 3))
+def boosted_scores(spark, sf_dir):
+    """M3, D-1: scores of all complete gold rows by three trees of three levels, each row's walk a column expression."""
+    rows = _labelled(spark, sf_dir)
+    model = boosting.fit(rows, S.FEATURES, "y", rounds=3, depth=3)
+    return rows.select("match_id", "player_id", F.round(model.score(f"array({', '.join(S.FEATURES)})"), 5).alias("risk_score"))
+
+
 def _trained(spark: SparkSession, metrics: dict, f1: str, least: float) -> DataFrame:
     return spark.createDataFrame([(metrics["mode"], metrics["rows"], metrics[f1] >= least)], "mode string, rows long, learned boolean")
 
 
 @query(f"{_GOLD} SELECT 'unsupervised' AS mode, count(*) AS rows, true AS learned FROM gold WHERE {_COMPLETE}")
 def train_unsupervised(spark, sf_dir):
-    """Isolation forest, pseudo-labels and surrogate over all complete gold rows: 100 trees and 20 of 100 boosting rounds, to save time."""
-    return _trained(spark, ml.train_unsupervised(_gold(spark, sf_dir), rounds=20)[1], "surrogate_f1", 0.8)
+    """Isolation forest, pseudo-labels and surrogate over all complete gold rows: 100 trees and 100 boosting rounds of depth 10."""
+    return _trained(spark, ml.train_unsupervised(_gold(spark, sf_dir))[1], "surrogate_f1", 0.8)
 
 
 @query(f"""{_GOLD}, c AS (SELECT * FROM gold WHERE {_COMPLETE}), gs AS (SELECT DISTINCT match_id FROM c), t AS (SELECT match_id FROM gs ORDER BY sha256('42:' || match_id), match_id LIMIT (SELECT CAST(ceil(count(*) * 0.2) AS BIGINT) FROM gs))
 SELECT 'supervised' AS mode, count(*) AS rows, true AS learned FROM c WHERE match_id IN (SELECT match_id FROM t)""")
 def train_supervised(spark, sf_dir):
-    """A label that one feature tells must be learned; 20 of 100 boosting rounds, to save time."""
+    """A label that one feature tells must be learned, in 100 boosting rounds of depth 10."""
     g = _gold(spark, sf_dir).withColumn("is_suspicious", (F.col("short_kill_interval_count") >= 2).cast("int"))
-    return _trained(spark, ml.train_supervised(g, rounds=20)[1], "f1", 0.99)
+    return _trained(spark, ml.train_supervised(g)[1], "f1", 0.99)
 
 
 @query(f"{_GOLD} SELECT 'streamed' AS side, count(*) AS rows FROM gold")

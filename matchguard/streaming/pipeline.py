@@ -23,7 +23,7 @@ from .. import schemas as S
 from ..operators import bronze as B
 from ..operators import dedup, envelope, gold, ml, silver, validate
 from ..operators.decision import Policy
-from ..operators.scoring import predict, score_model
+from ..operators.scoring import predict
 from ..functions.expr import rfc3339
 from ..sources import lake, readers, sinks
 from ..sources.folders import checksums, exists
@@ -245,7 +245,7 @@ def start_scoring(gold_stream: DataFrame, model_root: str, policy: Policy, out:
         feats = F.array(*(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols))
         named = {n: S.EVIDENCE_COLUMNS.get(n, n) for n in S.EVIDENCE_FEATURES if S.EVIDENCE_COLUMNS.get(n, n) in batch.columns}
         requests = batch.select(F.lit("predict").alias("op"), "match_id", "player_id", feats.alias("features"), *(F.col(c).alias(f"_named_{n}") for n, c in named.items()))
-        scored = score_model(requests, holder.model.stages[-1])
+        scored = requests.withColumn("risk_score", holder.model.score("features").cast("float"))
         done = predict(scored, F.col("risk_score"), policy, holder.version, len(cols), named={n: F.col(f"_named_{n}") for n in named})
         if done.head(1):
             sinks.write_predictions(done.withColumn("batch", F.lit(number)), out, by=["model_version", "batch"])
