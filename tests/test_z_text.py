@@ -22,3 +22,8 @@ def test_large_part_keys_give_plain_z(spark, tmp_path):
     one.write.parquet(str(tmp_path / "lineitem.parquet"))
     z = Q.QUERIES["evidence_top2"](spark, str(tmp_path)).head()["z_scores"]
     assert "E" not in z and float(z.split("|")[0]) > 1e7
+
+
+def test_predictions_print_large_z_alike(spark):
+    items = F.array(*(F.struct(F.lit(v).cast("float").alias("z_score")) for v in (1.1978093e7, 2500000.25, 1.6)))
+    assert spark.range(1).select(Q._shown(items, "z").alias("z")).head()["z"] == "11978093.0|2500000.2|1.6"
