@@ -17,6 +17,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .folders import exists
 
@@ -142,6 +143,14 @@ def write_part(df: DataFrame, root: str, layer: str, batch: str) -> None:
     out.partitionBy("batch").option("compression", "zstd").parquet(f"{root}/{layer}")
 
 
+def part(spark: SparkSession, root: str, layer: str, batch: str, schema: StructType | None = None) -> DataFrame:
+    """The rows that :func:`write_part` wrote; a batch without rows leaves no folder, and ``schema`` tells the columns."""
+    path = f"{root}/{layer}/batch={batch}"
+    if schema is not None and not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+
+
 def compact(spark: SparkSession, root: str, layers: tuple[str, ...] = LAYERS) -> str | None:
     """Write the newest rows of all matches as one batch, which replaces those committed so far; batches that are committed meanwhile stay above it."""
     live = live_batches(spark, root)
