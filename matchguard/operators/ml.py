@@ -5,14 +5,18 @@ from __future__ import annotations
 import hashlib
 import json
 import math
+from collections.abc import Iterator
 from datetime import datetime, timezone
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..sources import lake
-from ..sources.folders import file_digests
+from ..sources.folders import file_digests, scratch
 from . import boosting
 from .boosting import BoostedTrees
 from .ranks import before, dealt, percentiles, ranked
@@ -97,11 +101,17 @@ def isolation_forest_fit(df: DataFrame, cols: list[str] | None = None, trees: in
     to the driver as arrays, one place a node: the children of k are 2 k + 1 and 2 k + 2.
     """
     cols = S.FEATURES if cols is None else cols
-    ready = finite_features(df, cols, minimum=1)
+    # what the draws and scores need of complete rows is written once, so the plan before it runs once
+    named = ids or df.columns
+    path = scratch(df.sparkSession, "forest")
+    complete = finite_features(df, cols, minimum=0)
+    complete.select(*cols, F.concat_ws("|", *(F.col(c).cast("string") for c in named)).alias("_name")).write.parquet(path)
+    ready = df.sparkSession.read.parquet(path)
     n = ready.count()
+    if not n:
+        raise ValueError("fewer than 1 complete rows")
     rate = min(1.0, 4 * sample / n)
-    name = F.concat_ws("|", *(F.col(c).cast("string") for c in (ids or ready.columns)))
-    at = ready.select(*(F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)), name.alias("name")).withColumns({"h0": _draw(F.col("name"), 0), "h1": _draw(F.col("name"), 1)})
+    at = ready.select(*(F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)), F.col("_name").alias("name")).withColumns({"h0": _draw(F.col("name"), 0), "h1": _draw(F.col("name"), 1)})
     draw = lambda t: F.pmod(F.col("h0") + t * F.col("h1"), F.lit(_PRIME))
     # only the trees that a row may join are expanded
     drawn = at.withColumn("tree", F.explode(F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) <= int(rate * _PRIME)))).withColumn("draw", draw(F.col("tree")))
@@ -128,30 +138,45 @@ def isolation_forest_fit(df: DataFrame, cols: list[str] | None = None, trees: in
         for s in r["path"]:
             tree["f"][s["node"]], tree["cut"][s["node"]] = s["f"], s["cut"]
     forest = {"cols": cols, "sample": int(min(sample, n)), "limit": limit, "trees": held, "offset": 0.0}
-    low = isolation_forest_score(df, forest).select("anomaly_score")
+    low = isolation_forest_score(ready.select(*cols), forest).select("anomaly_score")
     forest["offset"] = float(percentiles(low, "anomaly_score", {"c": contamination}).head()["c"])
     return forest
 
 
-def tree_arrays(spark: SparkSession, trees: list[dict], fields: str) -> Column:
-    """Arrays of a small ensemble as one constant, which is read once a plan."""
-    return F.from_json(F.lit(json.dumps(trees)), f"array<struct<{fields}>>")
+def _path_sums(forest: dict):
+    """An Arrow function: for rows of the forest's columns the sum of their paths' lengths over all trees, in the order of the trees."""
+    size = 2 ** (forest["limit"] + 1) - 1
+    f, cut, length = (np.array([t[k] for t in forest["trees"]]).reshape(-1, size) for k in ("f", "cut", "length"))
+    limit = forest["limit"]
 
+    def walk(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in parts:
+            x = np.column_stack([rows.column(i).to_numpy(zero_copy_only=False) for i in range(rows.num_columns - 1)])
+            flat, first = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1]
+            total = np.zeros(len(x))
+            for ff, cc, ll in zip(f, cut, length, strict=True):
+                at = np.zeros(len(x), dtype=np.int64)
+                for _ in range(limit):
+                    column = ff[at]
+                    at = np.where(column < 0, at, 2 * at + 2 - (flat[first + column] < cc[at]))
+                total += ll[at]
+            yield pa.RecordBatch.from_arrays([rows.column(rows.num_columns - 1), pa.array(total)], names=["kept", "total"])
 
-def walk(tree: Column, x: Column, limit: int) -> Column:
-    """The place of the leaf that a row reaches in a tree of arrays."""
-    return F.aggregate(F.sequence(F.lit(1), F.lit(limit)), F.lit(0), lambda k, _: F.when(F.get(tree["f"], k) < 0, k).otherwise(2 * k + F.when(F.get(x, F.get(tree["f"], k)) < F.get(tree["cut"], k), 1).otherwise(2)))
+    return walk
 
 
 def isolation_forest_score(df: DataFrame, forest: dict) -> DataFrame:
-    """Complete rows with ``anomaly_score``: -2 ** (-mean path / expected path) above the contamination cut-off; negative is odd. No Python runs on the rows."""
+    """Complete rows with ``anomaly_score``: -2 ** (-mean path / expected path) above the contamination cut-off; negative is odd.
+
+    The walk is over Arrow columns, one step a level for all rows of a batch.
+    """
     cols, n = forest["cols"], forest["sample"]
     expected = 2 * (math.log(n - 1) + _EULER) - 2 * (n - 1) / n if n > 2 else 1.0
-    trees = tree_arrays(df.sparkSession, forest["trees"], "f:array<int>,cut:array<double>,length:array<double>")
-    x = F.array(*(F.col(c).cast("double") for c in cols))
-    total = F.aggregate(trees, F.lit(0.0), lambda acc, t: acc + F.get(t["length"], walk(t, x, forest["limit"])))
-    mean = total / max(1, len(forest["trees"]))
-    return finite_features(df, cols, minimum=0).withColumn("anomaly_score", -F.pow(F.lit(2.0), -mean / expected) - forest["offset"])
+    ready = finite_features(df, cols, minimum=0)
+    given = ready.select(*(F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)), F.struct("*").alias("kept"))
+    walked = given.mapInArrow(_path_sums(forest), T.StructType([given.schema["kept"], T.StructField("total", T.DoubleType())]))
+    mean = F.col("total") / max(1, len(forest["trees"]))
+    return walked.withColumn("anomaly_score", -F.pow(F.lit(2.0), -mean / expected) - forest["offset"]).select(*(F.col("kept")[c].alias(c) for c in ready.columns), "anomaly_score")
 
 
 # -- training paths (M1, M5, M6) ---------------------------------------------
