@@ -2,16 +2,19 @@
 
 Features are cut into bins once, by exact ranks. Rows with equal bins always
 score alike, so training keeps one row for each distinct vector of bins with its
-counts of rows and of label 1. Every level of every tree is one aggregate job
-over them; what comes to the driver is the best split of each open node.
+counts of rows and of label 1. Every level of every tree is one job
+over them; what comes to the driver is the best split of each open node, or a bounded number of sums.
 """
 
 from __future__ import annotations
 
 import json
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +23,8 @@ from .ranks import before, dealt
 
 #: Gains below this are rounding.
 _LEAST_GAIN = 1e-6
+#: Sums (of 28 bytes each) that may come to the driver for a level.
+_CELLS = 2_000_000
 _TREE = "f:array<int>,at:array<int>,cut:array<double>,left:array<int>,value:array<double>"
 
 
@@ -103,14 +108,67 @@ def bin_of(x: Column, edges: list[float]) -> Column:
     return F.when(x.isNull() | F.isnan(x), len(edges)).otherwise(found)
 
 
-def _splits(state: DataFrame, tree: dict, depth: int, share: float, least: float) -> list:
+def _sums(tree: dict, depth: int, features: int, bins: int):
+    """An Arrow function: a task's rows (b, n, pos, m) -> its sums of both derivatives by open node, column and bin."""
+    kind, at_most, left = (np.array(tree[k]) for k in ("f", "at", "left"))
+    opened = np.flatnonzero(kind == -2)
+    number = np.zeros(len(kind), dtype=np.int64)
+    number[opened] = np.arange(len(opened))
+
+    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = len(opened) * features * bins
+        gs, hs, held = np.zeros(size), np.zeros(size), np.zeros(size, dtype=bool)
+        for rows in parts:
+            b = rows.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, features).astype(np.int64)
+            n, pos, m = (rows.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
+            node, row = np.zeros(len(b), dtype=np.int64), np.arange(len(b))
+            for _ in range(depth):
+                f = kind[node]
+                node = np.where(f < 0, node, left[node] + (b[row, f] > at_most[node]))
+            keep = kind[node] == -2
+            p = 1 / (1 + np.exp(-m[keep]))
+            g, h = n[keep] * p - pos[keep], n[keep] * p * (1 - p)
+            for i in range(features):
+                key = (number[node[keep]] * features + i) * bins + b[keep, i]
+                gs += np.bincount(key, g, size)
+                hs += np.bincount(key, h, size)
+                held[key] = True
+        cell = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(opened[cell // (features * bins)], pa.int32()), pa.array(cell // bins % features, pa.int32()), pa.array(cell % bins, pa.int32()), pa.array(gs[cell]), pa.array(hs[cell])], names=["node", "f", "bin", "g", "h"])
+
+    return work
+
+
+def _best(cells: pa.Table, features: int, bins: int, share: float, least: float) -> list[dict]:
+    """What the plan of :func:`_splits` asks for, from tasks' sums of a few nodes."""
+    node, f, b, g, h = (cells.column(i).to_numpy() for i in range(5))
+    nodes, at = np.unique(node, return_inverse=True)
+    key, size = (at * features + f) * bins + b, len(nodes) * features * bins
+    fold = lambda w: np.bincount(key, w, size).reshape(len(nodes), features, bins)
+    held, gl, hl = fold(None) > 0, fold(g).cumsum(axis=2), fold(h).cumsum(axis=2)
+    gt, ht = gl[:, :, -1:], hl[:, :, -1:]
+    gain = gl * gl / (hl + share) + (gt - gl) ** 2 / (ht - hl + share) - gt * gt / (ht + share)
+    gain = np.where(held & (hl >= least) & (ht - hl >= least) & (gain > _LEAST_GAIN), np.round(gain, 9), -np.inf).reshape(len(nodes), -1)
+    out = []
+    for k, place in enumerate(gain.argmax(axis=1)):  # the first of equals: the least column, then the least bin
+        i, j = divmod(int(place), bins)
+        s = {"f": i, "bin": j, "gl": float(gl[k, i, j]), "hl": float(hl[k, i, j])} if gain[k, place] > -np.inf else None
+        out.append({"node": int(nodes[k]), "gt": float(gt[k, 0, 0]), "ht": float(ht[k, 0, 0]), "s": s})
+    return out
+
+
+def _splits(state: DataFrame, edges: list[list[float]], tree: dict, depth: int, share: float, least: float, tasks: int, most: int = _CELLS) -> list:
     """For every open node (f = -2) its sums and best split: the prefix of a column's bins with the largest gain, ties to the first column and bin.
 
     With the sums G and H of the derivatives, a side is worth G^2 / (H + share).
+    Each task folds its rows to one sum a node, column and bin. At most ``most`` of them in all
+    come to the driver as they are; more are folded by a shuffle, and one row a node comes.
     """
-    held = state.selectExpr(f"{_constant([tree])}[0] AS t", "b", "n", "pos", "1.0D / (1.0D + exp(-m)) AS p")
-    at = held.selectExpr("t.f AS kind", f"{_leaf('t', 'b', '<=', 'at', depth)} AS node", "b", "n * p - pos AS g", "n * p * (1.0D - p) AS h").where("get(kind, node) = -2")
-    cells = at.selectExpr("node", "posexplode(b) AS (f, bin)", "g", "h").groupBy("node", "f", "bin").agg(F.expr("sum(g) AS g"), F.expr("sum(h) AS h"))
+    features, bins = len(edges), max(len(e) for e in edges) + 2
+    cells = state.select("b", F.col("n").cast("double"), F.col("pos").cast("double"), "m").mapInArrow(_sums(tree, depth, features, bins), "node int, f int, bin int, g double, h double")
+    if tree["f"].count(-2) * features * bins * tasks <= most:
+        return _best(cells.toArrow(), features, bins, share, least)
+    cells = cells.groupBy("node", "f", "bin").agg(F.expr("sum(g) AS g"), F.expr("sum(h) AS h"))
     column, run = "(PARTITION BY node, f)", "(PARTITION BY node, f ORDER BY bin ROWS UNBOUNDED PRECEDING)"
     sums = cells.selectExpr("node", "f", "bin", f"sum(g) OVER {run} AS gl", f"sum(h) OVER {run} AS hl", f"sum(g) OVER {column} AS gt", f"sum(h) OVER {column} AS ht")
     worth = sums.selectExpr("*", f"gl * gl / (hl + {share}D) + (gt - gl) * (gt - gl) / (ht - hl + {share}D) - gt * gt / (ht + {share}D) AS gain")
@@ -119,14 +177,14 @@ def _splits(state: DataFrame, tree: dict, depth: int, share: float, least: float
     return worth.groupBy("node").agg(*totals, F.expr(f"max_by(struct(f, bin, gl, hl), {order}) AS s")).collect()
 
 
-def _grow(state: DataFrame, edges: list[list[float]], depth: int, rate: float, share: float, least: float) -> dict:
+def _grow(state: DataFrame, edges: list[list[float]], depth: int, rate: float, share: float, least: float, tasks: int) -> dict:
     """One tree, level by level; it ends where no node gains."""
     tree = {"f": [-2], "at": [0], "cut": [0.0], "left": [0], "value": [0.0]}
     for level in range(depth + 1):
         # below the last level only sums would be asked for, and the split above has told them
         if level == depth and depth:
             break
-        splits = _splits(state, tree, level, share, least)
+        splits = _splits(state, edges, tree, level, share, least, tasks)
         tree["f"] = [max(f, -1) for f in tree["f"]]
         for r in sorted(splits, key=lambda r: r["node"]):
             k, s = r["node"], r["s"]
@@ -164,12 +222,13 @@ def fit(df: DataFrame, cols: list[str], label: str, rounds: int = 100, depth: in
     n, pos = state.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("pos"), F.lit(0))).head()
     odds = min(max(pos / n if n else 0.0, 1e-6), 1 - 1e-6)
     base = math.log(odds / (1 - odds))
+    tasks = state.rdd.getNumPartitions()
     state = state.withColumn("m", F.lit(base)).persist()
     trees: list[dict] = []
     past: list[DataFrame] = []
     try:
         for k in range(rounds if n else 0):
-            tree = _grow(state, edges, depth, rate, share, least)
+            tree = _grow(state, edges, depth, rate, share, least, tasks)
             trees.append(tree)
             for old in past:  # this tree's first job has read all of ``state``
                 old.unpersist()
@@ -181,6 +240,7 @@ def fit(df: DataFrame, cols: list[str], label: str, rounds: int = 100, depth: in
             if (k + 1) % written == 0:
                 after.write.parquet(f"{path}/round-{k + 1}")
                 after = spark.read.parquet(f"{path}/round-{k + 1}")
+                tasks = after.rdd.getNumPartitions()
             past.append(state)
             state = after.persist()
     finally:
