@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.expr import any_of, finite, number, reasons, rfc3339_now, sha256, trimmed, whole
+from ..sources.folders import scratch
 from .ranks import ranked
 
 SYSTEM = {"source_file", "source_path", "source_offset", "source_line", "record_index"}
@@ -31,17 +32,28 @@ def with_record_index(df: DataFrame, file_col: str | None = None) -> DataFrame:
 
     Rows are numbered inside each block that the scan cut a file into (without
     ``source_offset``: inside each task's part of it) by ``source_line`` or, without
-    that, as they come, after the rows of its earlier blocks. ``file_col`` defaults to ``source_path``, else ``source_file``.
+    that, as they come, after the rows of its earlier blocks. ``file_col`` defaults to ``source_path``, else ``source_file``;
+    where it names a file kept in parts, these follow each other by ``source_path``.
+    Blocks without a gap between their lines, all but those with blank lines or line ends in quotes, are numbered where they are read; only others are shuffled.
     """
     file_col = file_col or ("source_path" if "source_path" in df.columns else "source_file")
+    part = F.col("source_path") if "source_path" in df.columns else F.lit("")
     block = F.col("source_offset") if "source_offset" in df.columns else F.spark_partition_id()
-    at = df.withColumn("_id", F.col("source_line") if "source_line" in df.columns else F.monotonically_increasing_id()).withColumn("_block", block)
-    inside = Window.partitionBy(file_col, "_block").orderBy("_id")
-    counts = at.groupBy(file_col, "_block").agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy(file_col).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    local = at.withColumn("_local", F.row_number().over(inside))
-    return local.join(before, [file_col, "_block"]).withColumn("record_index", F.col("_before") + F.col("_local")).drop("_id", "_block", "_local", "_before")
+    at = df.withColumn("_id", F.col("source_line") if "source_line" in df.columns else F.monotonically_increasing_id()).withColumn("_part", part).withColumn("_block", block)
+    keys = [file_col, "_part", "_block"]
+    counts = at.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_id").alias("_first"), F.max("_id").alias("_last"))
+    earlier = Window.partitionBy(file_col).orderBy("_part", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).withColumn("_dense", F.col("_last") - F.col("_first") + 1 == F.col("_n"))
+    path = scratch(df.sparkSession, "blocks")
+    numbered.select(*keys, "_before", "_first", "_dense").write.parquet(path)
+    blocks = df.sparkSession.read.parquet(path)  # one row a block
+    same = [at[k].eqNullSafe(blocks[k]) for k in keys]
+    met = at.join(F.broadcast(blocks), same).select(*(at[c] for c in at.columns), "_before", "_first", "_dense")
+    out = met.where("_dense").withColumn("record_index", F.col("_before") + F.col("_id") - F.col("_first") + 1)
+    if blocks.where("not _dense").head(1):
+        inside = Window.partitionBy(*keys).orderBy("_id")
+        out = out.unionByName(met.where("not _dense").withColumn("record_index", F.col("_before") + F.row_number().over(inside)))
+    return out.drop("_id", "_part", "_block", "_before", "_first", "_dense")
 
 
 def replay_slice(df: DataFrame, start: int = 1, limit: int = 0) -> DataFrame:

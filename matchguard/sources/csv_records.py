@@ -120,7 +120,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_records(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, list[list[str]]]:
-    """Records below the header of each file (``cells, layout, source_file, source_path, source_offset, source_line`` and the columns of the folders' names), and the header cells of each layout.
+    """Records below the header of each file (``record, cells, layout, source_file, source_path, source_offset, source_line`` and the columns of the folders' names), and the header cells of each layout.
 
     ``source_line`` orders the records of one block. Broadcast is one row a block
     (of ``spark.sql.files.maxPartitionBytes`` each); the layouts come to the
@@ -162,4 +162,4 @@ def read_records(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame
     at = heads.select(F.xxhash64("source_path").alias("_file"), "header_line", numbered.alias("layout"))
     out = records.where(F.col("value") != "").withColumn("_file", F.xxhash64("source_path")).join(F.broadcast(at), "_file")  # one row a file
     out = out.where((F.col("source_offset") != 0) | (F.col("source_line") != F.col("header_line")))
-    return out.select(cells(F.col("value"), F.col("unclosed")).alias("cells"), "layout", *(c for c in carried if c != "value")), layouts
+    return out.select(F.col("value").alias("record"), cells(F.col("value"), F.col("unclosed")).alias("cells"), "layout", *(c for c in carried if c != "value")), layouts
