@@ -28,3 +28,8 @@ def test_blank_long_and_padded_ids_are_named(spark):
     df = spark.createDataFrame(rows, "event_id string, match_id string, player_id string").select("*", F.lit("1.0").alias("schema_version"), F.lit("2026-01-01T00:00:00Z").alias("ingest_time"), F.lit(None).cast("string").alias("event_time"))
     got = [r["reasons"] for r in validate.validate_common(df).select("reasons").collect()]
     assert got == [[], ["event_id_blank", "match_id_blank", "player_id_too_long"], ["event_id_not_sha256"], ["event_id_blank", "match_id_blank", "player_id_blank"]]
+
+
+def test_rejects_are_picked_without_making_their_envelopes_again(spark):
+    plan = plan_of(validate.invalid_envelopes(validate.validate_events(A.envelopes(spark, "/root/testdata/sf0.001"))))
+    assert plan.count("get_json_object") == 1 and plan.count("sha2(concat(kill:") + plan.count("sha2(cast(concat(kill:") == 1
