@@ -124,10 +124,27 @@ def _rebuilt(used: np.ndarray, n: np.ndarray) -> Tables:
 def normal(z: np.ndarray) -> np.ndarray:
     """Rows of log odds to log probabilities; odds beyond e^60, which exp would not hold, are cut there."""
     np.minimum(z, 60, out=z)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    z -= np.log(_total(np.exp(z)))[:, None]
     return z
 
 
+def _total(z: np.ndarray) -> np.ndarray:
+    return z @ np.ones(z.shape[1], z.dtype)
+
+
+def shares(z: np.ndarray) -> np.ndarray:
+    """Rows of log odds to probabilities, cut like :func:`normal`."""
+    np.exp(np.minimum(z, 60, out=z), out=z)
+    z /= _total(z)[:, None]
+    return z
+
+
+def picked(z: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The log probability of one column of each row of log odds, cut like :func:`normal`."""
+    np.minimum(z, 60, out=z)
+    return z[np.arange(len(z)), column] - np.log(_total(np.exp(z)))
+
+
 class Network:
     """Context rows for each place, hidden bias, class weights and bias, weights of the groups in each class."""
 
@@ -151,18 +168,30 @@ class Network:
             at += n
         return net
 
-    def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden values and class log probabilities for rows of context ids."""
+    def hidden(self, context: np.ndarray) -> np.ndarray:
+        """Hidden values for rows of context ids."""
         h = np.take(self.rows[0], context[:, 0], axis=0)
         for o in range(1, len(OFFSETS)):
             h += np.take(self.rows[o], context[:, o], axis=0)
         h += self.bias
-        np.tanh(h, out=h)
-        return h, normal(h @ self.out + self.out_bias)
+        return np.tanh(h, out=h)
+
+    def classes(self, h: np.ndarray) -> np.ndarray:
+        """Log odds of the classes."""
+        z = h @ self.out
+        z += self.out_bias
+        return z
+
+    def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hidden values and class log probabilities for rows of context ids."""
+        h = self.hidden(context)
+        return h, normal(self.classes(h))
 
     def groups(self, h: np.ndarray, c: int, tables: Tables) -> np.ndarray:
-        """Log probabilities of a class's groups."""
-        return normal(h @ self.nodes[c] + tables.bias[c])
+        """Log odds of a class's groups."""
+        z = h @ self.nodes[c]
+        z += tables.bias[c]
+        return z
 
     def within(self, h: np.ndarray, tokens: np.ndarray, tables: Tables) -> np.ndarray:
         """What the neighbours add to the log of each token's share of its class."""
@@ -170,7 +199,7 @@ class Network:
         h, group, more = np.take(h, order, axis=0), tables.group[tokens[order]], np.zeros(len(tokens))
         for c, a, b in runs:
             g = group[a:b]
-            more[order[a:b]] = self.groups(h[a:b], c, tables)[np.arange(b - a), g] - tables.bias[c, g]
+            more[order[a:b]] = picked(self.groups(h[a:b], c, tables), g) - tables.bias[c, g]
         return more
 
 
@@ -192,36 +221,45 @@ class Trainer:
         self.seen_nodes = np.full_like(net.nodes, 1e-7)
         self.dense = [np.full_like(x, 1e-6) for x in (net.bias, net.out, net.out_bias)]
 
+    def _move(self, x: np.ndarray, seen: np.ndarray, g: np.ndarray) -> None:
+        seen += g * g
+        by = np.sqrt(seen)
+        np.divide(g, by, out=by)
+        by *= self.rate
+        x -= by
+
     def step(self, context: np.ndarray, tokens: np.ndarray, tables: Tables) -> None:
-        net, n, klass = self.net, len(tokens), tables.klass[tokens]
-        h, logp = net.forward(context)
-        d = np.exp(logp)
-        d[np.arange(n), klass] -= 1
+        net, n = self.net, len(tokens)
+        order, runs = tables.by_class(tokens)
+        context, tokens = context[order], tokens[order]
+        h, group = net.hidden(context), tables.group[tokens]
+        d = shares(net.classes(h))
+        d[np.arange(n), tables.klass[tokens]] -= 1
         d /= n
         back = d @ net.out.T
-        order, runs = tables.by_class(tokens)
-        own, group, pull = np.take(h, order, axis=0), tables.group[tokens[order]], np.zeros_like(h)
+        grads = np.zeros((CLASSES, HIDDEN, GROUPS), np.float32)
         for c, a, b in runs:
-            e = np.exp(net.groups(own[a:b], c, tables))
+            e = shares(net.groups(h[a:b], c, tables))
             e[np.arange(b - a), group[a:b]] -= 1
             e /= n
-            np.matmul(e, net.nodes[c].T, out=pull[a:b])
-            g = own[a:b].T @ e
-            self.seen_nodes[c] += g * g
-            net.nodes[c] -= self.rate * g / np.sqrt(self.seen_nodes[c])
-        back[order] += pull
+            back[a:b] += e @ net.nodes[c].T
+            np.matmul(h[a:b].T, e, out=grads[c])
+        low = runs[0][0] if runs else CLASSES  # classes before it have no gradient
+        self._move(net.nodes[low:], self.seen_nodes[low:], grads[low:])
         back *= 1 - h * h
-        for x, acc, g in zip((net.bias, net.out, net.out_bias), self.dense, (back.sum(0), h.T @ d, d.sum(0)), strict=True):
-            acc += g * g
-            x -= self.rate * g / np.sqrt(acc)
+        one = np.ones(n, np.float32)
+        for x, acc, g in zip((net.bias, net.out, net.out_bias), self.dense, (one @ back, h.T @ d, one @ d), strict=True):
+            self._move(x, acc, g)
         for o in range(len(OFFSETS)):
             ids = context[:, o].astype(np.uint16)
             order = np.argsort(ids, kind="stable")
             ids = ids[order]
             first = np.flatnonzero(np.diff(ids.astype(np.int32), prepend=-1))
-            ids, g = ids[first], np.add.reduceat(np.take(back, order, axis=0), first)
-            self.seen[o][ids] += (g * g).mean(axis=1, keepdims=True)
-            net.rows[o][ids] -= self.rate * g / np.sqrt(self.seen[o][ids])
+            # two values at a time: sums of complex numbers are those of their parts
+            ids, g = ids[first], np.add.reduceat(np.take(back, order, axis=0).view(np.complex64), first).view(np.float32)
+            seen = self.seen[o][ids] + np.einsum("ij,ij->i", g, g)[:, None] / HIDDEN
+            self.seen[o][ids] = seen
+            net.rows[o][ids] -= g * (self.rate / np.sqrt(seen))
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -233,9 +271,15 @@ def count_ids(docs: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(VOCABULARY, np.int64)
+        held, n = [], 0
         for batch in slices(batches):
             for text in batch.column(0).to_pylist():
-                np.add.at(total, token_ids(text), 1)
+                held.append(token_ids(text))
+                n += len(held[-1])
+                if n > VOCABULARY:  # a count of all ids is worth its pass
+                    total += np.bincount(np.concatenate(held), minlength=VOCABULARY)
+                    held, n = [], 0
+        total += np.bincount(np.concatenate([np.zeros(0, np.int64), *held]), minlength=VOCABULARY)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], names=["id", "n"])
 
@@ -302,8 +346,8 @@ def log_likelihoods(texts: list[str | None], net: Network, tables: Tables, most:
     logp = np.empty(len(tokens), np.float64)
     for a in range(0, len(tokens), most):
         t = tokens[a : a + most]
-        h, z = net.forward(context[a : a + most])
-        logp[a : a + most] = z[np.arange(len(t)), tables.klass[t]] + tables.log_share[t] + net.within(h, t, tables)
+        h = net.hidden(context[a : a + most])
+        logp[a : a + most] = picked(net.classes(h), tables.klass[t]) + tables.log_share[t] + net.within(h, t, tables)
     return np.bincount(np.repeat(np.arange(len(ids)), size), logp, len(ids)), size
 
 

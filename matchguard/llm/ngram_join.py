@@ -56,6 +56,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+_LOWER, _GAP = LOWER.tobytes(), SPACE.tobytes()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -81,14 +82,18 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(data: bytes) -> np.ndarray:
     """A 64-bit hash of every word of lower-cased UTF-8 bytes."""
-    raw = LOWER[np.frombuffer(data, np.uint8)]
-    gap = np.concatenate([[True], SPACE[raw], [True]])
+    lower = data.translate(_LOWER)  # bytes by table: a tenth of the time of looking up an array
+    raw = np.frombuffer(lower, np.uint8)
+    gap = np.frombuffer(b"\1" + lower.translate(_GAP) + b"\1", bool)
     turn = np.flatnonzero(gap[1:] != gap[:-1])
     start, end = turn[::2], turn[1::2]
     if not len(start):
         return np.zeros(0, np.uint64)
     power, back = _powers(len(raw) + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUE[raw] * power[: len(raw)])])
+    total = np.zeros(len(raw) + 1, np.uint64)
+    value = np.take(_VALUE, raw)
+    value *= power[: len(raw)]
+    np.cumsum(value, out=total[1:])
     return mix((total[end] - total[start]) * back[start] + (end - start).astype(np.uint64))
 
 

@@ -94,3 +94,49 @@ def test_tokens_sum_to_one_in_any_context():
     ids = np.arange(lm.VOCABULARY)
     more = net.within(np.broadcast_to(h, (len(ids), lm.HIDDEN)), ids, tables)
     assert abs(np.exp(z[0, tables.klass] + tables.log_share + more).sum() - 1) < 1e-3
+
+
+def test_shares_and_picked_are_the_plain_softmax():
+    z = np.random.default_rng(3).normal(0, 5, (50, 7)).astype(np.float32)
+    z[0, 0] = 100  # cut at 60
+    cut = np.minimum(z.astype(float), 60)
+    want = np.exp(cut) / np.exp(cut).sum(axis=1, keepdims=True)
+    column = np.arange(50) % 7
+    assert np.allclose(lm.shares(z.copy()), want, rtol=1e-4, atol=1e-30)
+    assert np.allclose(lm.picked(z.copy(), column), np.log(want[np.arange(50), column]), atol=1e-4)
+
+
+def test_a_step_is_that_of_a_loop_over_tokens():
+    """One step from fresh weights against gradients summed token by token in double precision."""
+    rng = np.random.default_rng(5)
+    tables = lm.Tables.from_counts(np.bincount(rng.integers(0, 5000, 20_000), minlength=lm.VOCABULARY).astype(float))
+    tokens, context = lm.windows([rng.integers(0, 5000, 150)], tables)
+    net, plain = lm.Network(seed=2), lm.Network(seed=2)
+    net.nodes += rng.normal(0, 0.3, net.nodes.shape).astype(np.float32)
+    plain.nodes[:] = net.nodes
+    trainer = lm.Trainer(net)
+    trainer.step(context, tokens, tables)
+    sums = {k: np.zeros(getattr(plain, k).shape) for k in ("rows", "bias", "out", "out_bias", "nodes")}
+    soft = lambda z: np.exp(z) / np.exp(z).sum()
+    for t, near in zip(tokens, context, strict=True):
+        h, c = np.tanh(plain.bias + sum(plain.rows[o][i] for o, i in enumerate(near)).astype(float)), tables.klass[t]
+        d = soft(h @ plain.out + plain.out_bias)
+        d[c] -= 1
+        back = plain.out @ d
+        if tables.bias[c, 1] > -1e8:
+            e = soft(h @ plain.nodes[c] + tables.bias[c])
+            e[tables.group[t]] -= 1
+            back = back + plain.nodes[c] @ e
+            sums["nodes"][c] += np.outer(h, e)
+        back = back * (1 - h * h)
+        sums["out"] += np.outer(h, d)
+        sums["out_bias"] += d
+        sums["bias"] += back
+        for o, i in enumerate(near):
+            sums["rows"][o, i] += back
+    n, rate = len(tokens), trainer.rate
+    for k, start in (("bias", 1e-6), ("out", 1e-6), ("out_bias", 1e-6), ("nodes", 1e-7)):
+        g = sums[k] / n
+        assert np.allclose(getattr(net, k), getattr(plain, k) - rate * g / np.sqrt(start + g * g), atol=2e-3), k
+    g = sums["rows"] / n
+    assert np.allclose(net.rows, plain.rows - rate * g / np.sqrt(1e-6 + (g * g).mean(axis=2, keepdims=True)), atol=2e-3)
